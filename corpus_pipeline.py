@@ -3,21 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from factloom.llm import bpe, packing
+from factloom.llm import bpe, exact_dedup, near_dedup, packing, suffix_dedup, toxicity
+from factloom.llm.scratch import written
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not flag at their language's threshold."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    net = toxicity.trained(docs, labels)
+    limits = toxicity.language_thresholds(docs, labels, net, F.lit(True))
+    return toxicity.accepted(docs, net, limits)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    return exact_dedup.deduplicate(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near-duplicates."""
+    return near_dedup.deduplicate(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the long strings that an earlier document has; n_chars follows the text."""
+    return suffix_dedup.remove_repeats(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 tokens."""
     return packing.pack(docs, bpe.default_tokenizer())
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_copies),
+    ("MinHash near-dedup", drop_near_copies),
+    ("suffix-array dedup", cut_repeats),
+    ("packing", pack),
+]
+#: Fitting, minimum-hash links and token packing have no SQL form; tests compare with brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from factloom.llm.scratch import written
-
+    """The last stage's rows; each earlier stage is written as Parquet and read back."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

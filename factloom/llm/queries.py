@@ -3,15 +3,81 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, packing
+from . import bpe, cover_search, exact_dedup, language_id, lm_scoring, near_dedup, packing, quality, suffix_dedup, toxicity
+from .fitting import remainder
 from .textops import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document that long repeats take away, and a digest of what is left."""
+    return suffix_dedup.digests(suffix_dedup.repeated_spans(table(spark, sf_dir, "documents")))
+
+
+def _held_out_scores(scores: DataFrame, held_out) -> DataFrame:
+    return scores.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    net = toxicity.trained(docs, labels, remainder(F.col("doc_id"), 4) != 2)
+    return _held_out_scores(toxicity.score(docs, net), remainder(F.col("doc_id"), 4) == 2)
+
+
+def op3_cover_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+def op4_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents against the benchmark's passages as the target and all documents as the background."""
+    docs = table(spark, sf_dir, "documents")
+    target, background = lm_scoring.trained(table(spark, sf_dir, "benchmark"), docs)
+    return lm_scoring.score(docs, target, background)
+
+
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), width=5, percent=75)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.trained(docs, labels, remainder(F.col("doc_id"), 5) != 0)
+    return _held_out_scores(quality.score(docs, model), remainder(F.col("doc_id"), 5) == 0)
+
+
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("bucket", "link")
+
+
+OP7_SQL = r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
+g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY norm)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM n JOIN g USING (norm)
+"""
+
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.default_tokenizer())
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    langs, protos = language_id.learn(docs, remainder(F.col("doc_id"), 3) != 1)
+    held_out = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    return language_id.predict(docs, langs, protos).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), bpe.default_tokenizer())
 
@@ -21,4 +87,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_cover_tree_top_k": OP3_SQL, "op7_exact_dedup": OP7_SQL}

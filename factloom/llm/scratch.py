@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -25,6 +26,10 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan in bytes (file sizes for a scan); no job is run."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(df: DataFrame, text_col: str) -> int:
+    """Bytes that a plan's tables take on disk, without a job; where that is unknown, the bytes of the text column."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    if sum(sizes) < 1 << 60:
+        return sum(sizes)
+    return df.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0] // 2

@@ -69,7 +69,7 @@ class Words:
     _base = 0x5851F42D4C957F2D
 
     def __init__(self, buf: np.ndarray, offs: np.ndarray, lower: bool = True) -> None:
-        n = len(buf)
+        self.raw, n = buf, len(buf)
         inside = ~SPACE[buf]
         begins = np.zeros(n + 1, bool)
         begins[offs] = True
