@@ -90,7 +90,7 @@ class Network:
         return sigmoid(self.logits(words).astype(float))
 
 
-def fit(texts: list[str], y: np.ndarray, epochs: int = 6, batch: int = 64, seed: int = 2) -> Network:
+def fit(texts: list[str], y: np.ndarray, steps: int = 600, batch: int = 48, seed: int = 2) -> Network:
     net = Network(seed)
     if not len(y) or y.min() == y.max():
         net.constant = float(y.mean()) if len(y) else 0.0
@@ -112,12 +112,14 @@ def fit(texts: list[str], y: np.ndarray, epochs: int = 6, batch: int = 64, seed:
         df.append(count)
     n1, n0 = (y[~held] == 1).sum(), (y[~held] == 0).sum()
     ratio = np.log((df[0] + 0.5) / (n1 + 1)) - np.log((df[1] + 0.5) / (n0 + 1))
-    net.emb[:, 0] = np.where(df[0] + df[1] >= 2, np.clip(ratio, -3, 3), 0) / 3
+    # rare buckets are evidence of nothing yet
+    seen = df[0] + df[1]
+    net.emb[:, 0] = np.clip(ratio, -3, 3) / 3 * seen**2 / (seen**2 + 25)
     train = np.flatnonzero(~held)
     dense = Adam([*net.filters, *net.shift, net.out, net.bias], 0.01)
     weight = np.where(y == 1, 0.5 / max(n1, 1), 0.5 / max(n0, 1)) * len(train)
     weight = np.sqrt(weight)
-    for epoch in range(epochs):
+    for _ in range(int(np.clip(steps * batch / max(1, len(train)), 4, 120))):
         rng.shuffle(train)
         for b in range(0, len(train), batch):
             rows = train[b : b + batch]
