@@ -3,11 +3,11 @@
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a document's set is its distinct ``width``-word shingles
 (the whole sequence, if it has fewer words).  Documents with equal sets are one class from the start.  Per class, one hash
 pass fills BINS bins by the leading hash bits; an empty bin copies the first filled bin of its own random
-permutation of the bins.  Runs of ROWS bins are banded buckets.  A bucket with several classes gives one star:
-its centre and an edge to every other member, so pairs grow with the members and not with their square.  Edges
-whose signatures agree far too little are dropped (by more than five standard deviations), the rest are confirmed
+permutation of the bins.  Runs of ROWS bins are banded buckets.  A bucket with several classes gives a few stars:
+a centre each and an edge to every other member, so pairs grow with the members and not with their square.  Edges
+whose signatures agree far too little are dropped (by more than five standard deviations), the likeliest of each class are confirmed
 on the full sets, and confirmed links are contracted to components.  Buckets that then still hold
-several components get a new star with another centre, until a round confirms nothing; this is how links are
+several components get new stars with other centres, until a round confirms nothing; this is how links are
 found whose ends were never a centre.
 
 Null, empty and blank texts have an empty set (n_shingles 0), link with nothing and stay.
@@ -27,7 +27,9 @@ from .textops import U64, Words, doc_chunks, ids_at, mix, shingles
 BINS, ROWS = 128, 4
 #: Signatures of sets with similarity 0.75 agree in fewer bins than this once in over a million cases.
 LEAST_AGREEING = 0.55
-MAX_ROUNDS = 8
+#: Stars of a bucket in one round, and edges that a class has confirmed in one round.
+STARS, EDGES_A_ROUND = 3, 2
+MAX_ROUNDS = 12
 
 _rng = np.random.default_rng(20)
 #: Row i: the order in which bin i looks for a filled bin, itself first.
@@ -97,16 +99,17 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 def agreeing(pairs: DataFrame, least: float) -> DataFrame:
-    """Of (a, b, sig_a, sig_b), the (a, b) whose signatures agree in at least that share of bins."""
+    """Of (a, b, sig_a, sig_b), the (a, b, share) whose signatures agree in at least that share of bins."""
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BINS) for k in (2, 3))
-            yield pa.RecordBatch.from_struct_array(batch.to_struct_array().filter(pa.array((x == y).mean(1) >= least))).select(["a", "b"])
+            share = (x == y).mean(1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(share)], ["a", "b", "share"]).filter(pa.array(share >= least))
 
-    return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long, share double")
 
 
 def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
@@ -139,25 +142,24 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     labels = tested = links = None
     for turn in range(MAX_ROUNDS):
         if labels is None:
-            now = active.select("bucket", "rep", F.col("rep").alias("label"))
+            now = active.withColumn("label", F.col("rep"))
         else:
-            now = active.join(labels, "rep", "left").select("bucket", "rep", F.coalesce("label", "rep").alias("label"))
-            open_ = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("bucket")
-            now = now.join(open_, "bucket").select("bucket", "rep", "label")
-            now = active = written(now, "near-entries")
-            active = active.select("bucket", "rep")
-        # the first star has the smallest document as its centre, later ones any other member
-        order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
-        centre = now.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), "rep", "label")).alias("c"))
-        star = now.join(centre.select("bucket", F.col("c.rep").alias("centre"), F.col("c.label").alias("other")), "bucket")
-        edges = star.filter("label <> other").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
+            now = written(active.join(labels, "rep", "left").select("bucket", "rep", F.coalesce("label", "rep").alias("label")), "near-entries")
+        # the first centre is at first the smallest document; the others, and all later ones, are any member
+        orders = [F.col("rep") if turn == 0 and k == 0 else F.xxhash64("rep", F.lit(STARS * turn + k)) for k in range(STARS)]
+        centres = [F.min(F.struct(o.alias("o"), "rep", "label")).alias(f"c{k}") for k, o in enumerate(orders)]
+        open_ = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), *centres).filter("lo < hi")
+        star = now.join(open_.select("bucket", F.array(*(f"c{k}" for k in range(STARS))).alias("c")), "bucket").select("rep", "label", F.explode("c").alias("c"))
+        star = star.filter("label <> c.label").select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct()
         if tested is not None:
-            edges = edges.join(tested, ["a", "b"], "left_anti")
-        pairs = edges.join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b")), "b").join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a")
-        edges = written(agreeing(pairs, LEAST_AGREEING), "near-edges")
+            star = star.join(tested, ["a", "b"], "left_anti")
+        pairs = star.join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b")), "b").join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a")
+        # a class needs one true link to get into its component: its likeliest edges go first, the others stay for later rounds
+        best = agreeing(pairs, LEAST_AGREEING).groupBy("b").agg(F.slice(F.sort_array(F.collect_list(F.struct("share", "a")), False), 1, EDGES_A_ROUND).alias("e"))
+        edges = written(best.select("b", F.explode("e.a").alias("a")).select("a", "b"), "near-edges")
         if edges.isEmpty():
             break
-        tested = edges if tested is None else written(tested.unionByName(edges), "near-tested")
+        tested = edges if tested is None else tested.unionByName(edges)
         ends = edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         sets = written(full_sets(docs.join(ends, "doc_id", "left_semi"), width), "near-sets")
         pairs = edges.join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b")), "b").join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a")), "a")

@@ -87,7 +87,7 @@ def test_suffix_dedup(spark, seed, monkeypatch):
     texts = fixture_texts(seed)
     ids = list(range(100, 100 + len(texts)))
     random.Random(seed).shuffle(ids)
-    got = suffix_dedup.digests(suffix_dedup.repeated_spans(frame(spark, texts, ids))).collect()
+    got = suffix_dedup.digests(frame(spark, texts, ids)).collect()
     want = brute_repeats(zip(ids, texts))
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
     assert sum(r.n_removed for r in got) > 10_000
@@ -303,7 +303,7 @@ def test_empty_tables(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     from factloom.llm import quality, toxicity
 
-    assert suffix_dedup.digests(suffix_dedup.repeated_spans(docs)).count() == 0
+    assert suffix_dedup.digests(docs).count() == 0
     assert near_dedup.near_groups(docs).count() == 0
     assert exact_dedup.exact_groups(docs).count() == 0
     assert bpe.round_trip(docs, bpe.default_tokenizer()).count() == 0
@@ -322,3 +322,26 @@ def test_untrained_scores(spark):
     labels = spark.createDataFrame([(0, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
     assert {r.score for r in toxicity.score(docs, toxicity.trained(docs, labels)).collect()} == {0.0}
     assert {r.score for r in quality.score(docs, quality.trained(docs, labels)).collect()} == {1.0}
+
+
+def test_components(spark):
+    """Both ways of labelling against a plain union-find, on paths, stars and random graphs."""
+    from factloom.llm.components import min_labels
+
+    rng = random.Random(9)
+    links = [(k, k + 1) for k in range(30)] + [(100, k) for k in range(101, 130)] + [(rng.randint(200, 400), rng.randint(200, 400)) for _ in range(120)]
+    links = [(min(x), max(x)) for x in links if x[0] != x[1]]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    want = {v: find(v) for v in list(root)}
+    df = spark.createDataFrame(links, "a long, b long")
+    for local in (10**6, 0):
+        assert {r.rep: r.label for r in min_labels(df, local=local).collect()} == want
