@@ -12,7 +12,7 @@ from .textops import table
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of each document that long repeats take away, and a digest of what is left."""
-    return suffix_dedup.digests(suffix_dedup.repeated_spans(table(spark, sf_dir, "documents")))
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
 
 def _held_out_scores(scores: DataFrame, held_out) -> DataFrame:

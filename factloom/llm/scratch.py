@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -33,3 +34,9 @@ def input_bytes(df: DataFrame, text_col: str) -> int:
     if sum(sizes) < 1 << 60:
         return sum(sizes)
     return df.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0] // 2
+
+
+def released(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs, whose results are written, before the next stage needs room."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

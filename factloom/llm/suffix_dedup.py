@@ -24,26 +24,31 @@ ids do not cover each other; matches inside a document do not count.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .run_index import RunIndex
-from .scratch import input_bytes, written
+from .scratch import input_bytes, released, written
 from .textops import U64, doc_chunks, mix
 
 GRAM = 20
+#: Routes of cells to be matched; they are dealt over the buckets.
+ROUTES = (1 << 22) - 3
 #: Distinct cells of a minimiser, in one task or bucket, from which its windows are dealt one by one.
 HOT = 48
-FLUSH = 1_500_000
+FLUSH = 400_000
 POSITION_BITS = U64(28)
-BUCKET_BYTES = 6_000_000
+BUCKET_BYTES = 8_000_000
 
 
-def grams(buf: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
-    """Hashes of all byte runs of the given sizes (16 to 64), built by doubling from 8-byte loads."""
+def grams(buf: np.ndarray, sizes: tuple[int, ...]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Hashes of all byte runs of the given sizes (16 to 64), built by doubling from 8-byte loads, and those of 8 bytes."""
     n = len(buf)
     two = buf[:-1].astype(np.uint64) | buf[1:].astype(np.uint64) << U64(8)
     four = two[:-2] | two[2:] << U64(16)
@@ -59,16 +64,21 @@ def grams(buf: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
         base = max(s for s in levels if s <= size)
         h = levels[base]
         out.append(mix(h[: n - size + 1] * spread + h[size - base : n - base + 1] + U64(size)))
-    return out
+    return out, levels[8]
 
 
 def cells(buf: np.ndarray, offs: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(document, first window, windows, minimiser hash, content hash) of every cell of a chunk of documents."""
-    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, U64))
+    """(document, first window, windows, minimiser hash, content hash, left and right context) of every cell of a chunk of documents.
+
+    A context is a 16-bit hash of the bytes beside the minimiser, half as many as a window has besides it, or 0 if the document has
+    fewer.  Two cells of one minimiser that share a window have their left or their right context in common.
+    """
+    none = (*(np.zeros(0, np.int64) for _ in range(3)), *(np.zeros(0, U64) for _ in range(4)))
     long_enough = np.flatnonzero(np.diff(offs) >= length)
     if not len(long_enough):
         return none
-    g, whole = grams(buf, (gram, length))
+    half = (length - gram + 1) // 2
+    (g, whole), eight = grams(buf, (gram, length))
     key = (g >> POSITION_BITS << POSITION_BITS) | np.arange(len(g), dtype=U64)
     width = length - gram + 1
     least, reach = key, 1
@@ -87,7 +97,15 @@ def cells(buf: np.ndarray, offs: np.ndarray, length: int, gram: int = GRAM) -> t
     content = mix(np.add.reduceat(whole[at], first) + windows.astype(U64))
     begin = at[first]
     doc = np.searchsorted(offs, begin, "right") - 1
-    return doc, begin - offs[doc], windows, mix(g[anchor[first]]), content
+    anchor = anchor[first]
+
+    def beside(at: np.ndarray) -> np.ndarray:
+        at = np.clip(at, 0, len(buf) - half)
+        return mix(eight[at] * U64(0x9E3779B97F4A7C15) + eight[at + half - 8]) % U64(65535) + U64(1)
+
+    left = np.where(anchor - half >= offs[doc], beside(anchor - half), U64(0))
+    right = np.where(anchor + gram + half <= offs[doc + 1], beside(anchor + gram), U64(0))
+    return doc, begin - offs[doc], windows, mix(g[anchor]), content, left, right
 
 
 def planes(values: np.ndarray, width: int) -> bytes:
@@ -101,8 +119,8 @@ def unplanes(data: memoryview, n: int, width: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-#: Columns of a blob and their bytes each.
-ENTRY = (("h", 8), ("c", 6), ("row", 4), ("at", 4), ("n", 1))
+#: Columns of a blob and their bytes each; h are the leading bytes of a minimiser's hash, whose rest its bucket partly tells.
+ENTRY = (("h", 4), ("c", 6), ("left", 2), ("right", 2), ("row", 4), ("at", 4), ("n", 1))
 
 
 def blob(fields: dict[str, np.ndarray], spec: tuple) -> bytes:
@@ -117,16 +135,7 @@ def unblob(data: memoryview, n: int, spec: tuple) -> dict[str, np.ndarray]:
     return out
 
 
-def marks(at: np.ndarray, n: np.ndarray, *more: np.ndarray) -> bytes:
-    """Rows of 32-bit numbers: first window, windows, and more."""
-    return np.stack([x.astype("<u4") for x in (at, n, *more)], 1).tobytes()
-
-
-def unmarks(data: bytes | None, width: int) -> np.ndarray:
-    return np.frombuffer(data or b"", "<u4").reshape(-1, width).astype(np.int64)
-
-
-ANCHORS = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), ("rows", pa.binary()), ("entries", pa.binary()), ("done", pa.binary())])
+ANCHORS = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), ("rows", pa.binary()), ("entries", pa.binary()), ("done", pa.list_(pa.int64()))])
 
 
 class AnchorTask:
@@ -140,21 +149,21 @@ class AnchorTask:
         self.parts, self.keys, self.size = [], [], 0
 
     def add(self, keys: list[tuple[int, int]], buf: np.ndarray, offs: np.ndarray) -> None:
-        doc, at, n, h, c = cells(buf, offs, self.length)
-        self.parts.append((doc + len(self.keys), at, n, h, c))
+        doc, *rest = cells(buf, offs, self.length)
+        self.parts.append((doc + len(self.keys), *rest))
         self.keys += keys
         self.size += len(doc)
 
     def flush(self):
         if not self.size:
             return self.reset()
-        row, at, n, h, c = (np.concatenate(x) for x in zip(*self.parts))
+        row, at, n, h, c, left, right = (np.concatenate(x) for x in zip(*self.parts))
         keys = np.array(self.keys, np.int64)
         self.reset()
         c &= (U64(1) << U64(48)) - U64(1)
         owner = keys[row, 0]
         order = np.lexsort((owner, c, h))
-        row, at, n, h, c, owner = (x[order] for x in (row, at, n, h, c, owner))
+        row, at, n, h, c, left, right, owner = (x[order] for x in (row, at, n, h, c, left, right, owner))
         new_h = np.append(True, h[1:] != h[:-1])
         new_c = new_h | np.append(True, c[1:] != c[:-1])
         first = np.flatnonzero(new_c)
@@ -176,45 +185,61 @@ class AnchorTask:
         for b in np.flatnonzero(np.diff(cut)):
             s = slice(cut[b], cut[b + 1])
             used, local = np.unique(row[send[s]], return_inverse=True)
-            entries = blob({"h": h[send[s]], "c": c[send[s]], "row": local, "at": at[send[s]], "n": n_send[s]}, ENTRY)
+            entries = blob({"h": h[send[s]] >> U64(32), "c": c[send[s]], "left": left[send[s]], "right": right[send[s]], "row": local, "at": at[send[s]], "n": n_send[s]}, ENTRY)
             yield int(b), len(local), keys[used].tobytes(), entries, None
         known = np.flatnonzero(kinds != 3)
-        if len(known):
-            known = known[np.argsort(row[known], kind="stable")]
-            used, start = np.unique(row[known], return_index=True)
-            for k, (r, a, z) in enumerate(zip(used.tolist(), start.tolist(), [*start[1:].tolist(), len(known)])):
-                kk = known[a:z]
-                done = kk[kinds[kk] == 0]
-                late = kk[kinds[kk] == 2]
-                yield k % self.buckets, 0, keys[r].tobytes(), None, pack_done(at[done], n[done], late_marks(at[late], n[late]))
+        used, lists = by_row(row[known], told(at[known], n[known], np.where(kinds[known] == 0, COVERED, 0)))
+        for k, (r, codes) in enumerate(zip(used.tolist(), lists)):
+            yield k % self.buckets, 0, keys[r].tobytes(), None, codes
+
+
+#: A told cell is one number: first window (33 bits), windows (8), route (22 bits: 0 by window, COVERED, or a bucket and one).
+COVERED = (1 << 22) - 1
+
+
+def told(at: np.ndarray, n: np.ndarray, route: np.ndarray) -> np.ndarray:
+    return at.astype(np.int64) << 30 | n.astype(np.int64) << 22 | route
+
+
+def untold(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Covered cells as (first window, windows), then cells to be matched as (first window, windows, route)."""
+    cells = np.stack([code >> 30, code >> 22 & 255, code & COVERED], 1)
+    done = cells[:, 2] == COVERED
+    return cells[done, :2], cells[~done]
+
 
+def by_row(row: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, pa.ListArray]:
+    """Distinct rows, and the values of each as a list column."""
+    order = np.argsort(row, kind="stable")
+    used, begin = np.unique(row[order], return_index=True)
+    return used, pa.ListArray.from_arrays(pa.array(np.append(begin, len(row)), pa.int32()), pa.array(values[order], pa.int64()))
 
-def late_marks(at: np.ndarray, n: np.ndarray, h: np.ndarray | None = None) -> np.ndarray:
-    """Cells to be matched: first window, windows, route (0: by window)."""
-    route = np.zeros(len(at), np.int64) if h is None else (h & U64(0x7FFFFFFF)).astype(np.int64) + 1
-    return np.stack([at.astype(np.int64), n.astype(np.int64), route], 1).reshape(-1, 3)
 
+def in_common(group: np.ndarray, side: np.ndarray, first: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which entries have a context that several distinct cells of their minimiser have; ``first`` are the first entries of the cells."""
+    key = group.astype(np.int64) << 16 | side.astype(np.int64)
+    own = first[some[first] & (side[first] > 0)]
+    values, times = np.unique(key[own], return_counts=True)
+    return (side > 0) & np.isin(key, values[times > 1])
 
-def pack_done(at: np.ndarray, n: np.ndarray, late: np.ndarray) -> bytes:
-    """Covered cells, then cells to be matched."""
-    return np.array([len(at)], "<u4").tobytes() + marks(at, n) + late.astype("<u4").tobytes()
 
+KEYED = pa.schema([("owner", pa.int64()), ("content", pa.int64()), ("done", pa.list_(pa.int64()))])
 
-def unpack_done(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    m = int(np.frombuffer(data[:4], "<u4")[0])
-    return unmarks(data[4 : 4 + 8 * m], 2), unmarks(data[4 + 8 * m :], 3)
+
+def known_rows(table: pa.Table) -> pa.Table:
+    """What tasks have told already, passed on."""
+    rows = table.filter(pc.is_valid(table.column("done")))
+    keys = np.frombuffer(b"".join(rows.column("rows").to_pylist()), np.int64).reshape(-1, 2)
+    return pa.Table.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), rows.column("done").cast(pa.list_(pa.int64()))], schema=KEYED)
 
 
 def settle(table: pa.Table) -> pa.Table:
     """One bucket: what its cells' owners and neighbours say of each document's cells."""
-    out_keys, out_done = [], []
+    out = [known_rows(table)]
+    rest = table.filter(pc.is_valid(table.column("entries")))
     parts, keys, size = [], [], 0
-    for n, rows, entries, done in zip(*(table.column(c).to_pylist() for c in ("n", "rows", "entries", "done"))):
+    for n, rows, entries in zip(*(rest.column(c).to_pylist() for c in ("n", "rows", "entries"))):
         k = np.frombuffer(rows, np.int64).reshape(-1, 2)
-        if done is not None:
-            out_keys.append((int(k[0, 0]), int(k[0, 1])))
-            out_done.append(done)
-            continue
         e = unblob(memoryview(entries), n, ENTRY)
         e["row"] = e["row"].astype(np.int64) + size
         parts.append(e)
@@ -222,13 +247,13 @@ def settle(table: pa.Table) -> pa.Table:
         size += len(k)
     if parts:
         keys = np.concatenate(keys)
-        h, c, row, at, n = (np.concatenate([p[k] for p in parts]) for k, _ in ENTRY)
+        h, c, left, right, row, at, n = (np.concatenate([p[k] for p in parts]) for k, _ in ENTRY)
         owner = keys[row, 0]
         real = n > 0
         marked = np.unique(h[~real])
-        h, c, row, at, n, owner = (x[real] for x in (h, c, row, at, n, owner))
-        order = np.lexsort((owner, c, h))
-        h, c, row, at, n, owner = (x[order] for x in (h, c, row, at, n, owner))
+        order = np.flatnonzero(real)
+        order = order[np.lexsort((owner[order], c[order], h[order]))]
+        h, c, left, right, row, at, n, owner = (x[order] for x in (h, c, left, right, row, at, n, owner))
         if len(h):
             new_h = np.append(True, h[1:] != h[:-1])
             new_c = new_h | np.append(True, c[1:] != c[:-1])
@@ -238,18 +263,15 @@ def settle(table: pa.Table) -> pa.Table:
             start = np.flatnonzero(new_h)
             lo, hi = np.minimum.reduceat(owner, start), np.maximum.reduceat(owner, start)
             distinct = np.bincount(group[first])
-            hot = (distinct >= HOT) | np.isin(h[start], marked)
-            late = ~covered & (hot | ((distinct > 1) & (lo < hi)))[group]
-            route = np.where(hot[group], 0, (h & U64(0x7FFFFFFF)).astype(np.int64) + 1)
+            known_hot = np.isin(h[start], marked)
+            open_ = ~covered & ((distinct > 1) & (lo < hi))[group]
+            late = open_ & (in_common(group, left, first, open_) | in_common(group, right, first, open_)) | ~covered & known_hot[group]
+            hot = known_hot | (np.bincount(group[first[late[first]]], minlength=len(start)) >= HOT)
+            route = np.where(hot[group], 0, (h % U64(ROUTES)).astype(np.int64) + 1)
             tell = np.flatnonzero(covered | late)
-            tell = tell[np.argsort(row[tell], kind="stable")]
-            used, begin = np.unique(row[tell], return_index=True)
-            for r, a, z in zip(used.tolist(), begin.tolist(), [*begin[1:].tolist(), len(tell)]):
-                t = tell[a:z]
-                d, x = t[covered[t]], t[late[t]]
-                out_keys.append((int(keys[r, 0]), int(keys[r, 1])))
-                out_done.append(pack_done(at[d], n[d], np.stack([at[x].astype(np.int64), n[x].astype(np.int64), route[x]], 1)))
-    return pa.table({"owner": pa.array([k for k, _ in out_keys], pa.int64()), "content": pa.array([k for _, k in out_keys], pa.int64()), "done": pa.array(out_done, pa.binary())})
+            used, lists = by_row(row[tell], told(at[tell], n[tell], np.where(covered[tell], COVERED, route[tell])))
+            out.append(pa.Table.from_arrays([pa.array(keys[used, 0]), pa.array(keys[used, 1]), lists], schema=KEYED))
+    return pa.concat_tables(out)
 
 
 #: Texts to be matched: owner's row in the blob, first window, windows.
@@ -265,7 +287,7 @@ def deal(batches, buckets: int, length: int):
             own, content, text = own.as_py(), content.as_py(), text.as_py()
             r = len(keys)
             keys.append((own, content))
-            for at, n, route in unmarks(late.as_py(), 3).tolist():
+            for at, n, route in np.frombuffer(late.as_py(), "<i8").reshape(-1, 3).tolist():
                 if route:
                     rows.setdefault(route % buckets, []).append((r, at, n, text[at : at + n - 1 + length]))
                     continue
@@ -290,11 +312,8 @@ def deal(batches, buckets: int, length: int):
             out.append((b, len(some), keys[used].tobytes(), blob({"row": local, "at": at, "n": n}, TEXTS) + b"".join(x[3] for x in some), None))
         if covered:
             row, at = np.array(covered, np.int64).T
-            by = np.argsort(row, kind="stable")
-            row, at = row[by], at[by]
-            used, begin = np.unique(row, return_index=True)
-            for k, (r, a, z) in enumerate(zip(used.tolist(), begin.tolist(), [*begin[1:].tolist(), len(row)])):
-                out.append((k % buckets, 0, keys[r].tobytes(), None, marks(at[a:z], np.ones(z - a))))
+            used, lists = by_row(row, told(at, np.ones(len(at)), np.full(len(at), COVERED)))
+            out += [(k % buckets, 0, keys[r].tobytes(), None, codes) for k, (r, codes) in enumerate(zip(used.tolist(), lists))]
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [()] * 5, ANCHORS.types)], schema=ANCHORS)
 
 
@@ -306,14 +325,11 @@ def window_route(window: bytes, buckets: int) -> int:
 
 def match(table: pa.Table, length: int) -> pa.Table:
     """One bucket of texts: index them and mark each window that also stands in a text of a smaller owner."""
-    out_keys, out_marks = [], []
+    out = [known_rows(table)]
+    rest = table.filter(pc.is_valid(table.column("entries")))
     keys, rows, ats, ns, segments, size = [], [], [], [], [], 0
-    for n, own, entries, done in zip(*(table.column(c).to_pylist() for c in ("n", "rows", "entries", "done"))):
+    for n, own, entries in zip(*(rest.column(c).to_pylist() for c in ("n", "rows", "entries"))):
         k = np.frombuffer(own, np.int64).reshape(-1, 2)
-        if done is not None:
-            out_keys.append((int(k[0, 0]), int(k[0, 1])))
-            out_marks.append(done)
-            continue
         e = unblob(memoryview(entries), n, TEXTS)
         cut = np.concatenate([[0], np.cumsum(e["n"].astype(np.int64) + length - 1)]) + n * sum(w for _, w in TEXTS)
         segments += [entries[a:z] for a, z in zip(cut[:-1].tolist(), cut[1:].tolist())]
@@ -325,35 +341,45 @@ def match(table: pa.Table, length: int) -> pa.Table:
     if segments:
         keys, row, at, n = np.concatenate(keys), np.concatenate(rows), np.concatenate(ats), np.concatenate(ns)
         owner = keys[row, 0]
-        # equal texts are indexed once, for their smallest owner
-        distinct: dict[bytes, int] = {}
-        place = np.array([distinct.setdefault(s, len(distinct)) for s in segments], np.int64)
-        least = np.full(len(distinct), np.iinfo(np.int64).max)
-        np.minimum.at(least, place, owner)
-        index = RunIndex(list(distinct), least)
-        found = np.zeros(len(index.text), bool)
-        size = np.array([len(s) - length + 1 for s in distinct], np.int64)
-        begin = np.repeat(index.starts, size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        least_found = np.full(len(index.text), np.iinfo(np.int64).max)
-        for s in range(0, len(begin), 200_000):
-            some = begin[s : s + 200_000]
-            matched, best = index.stream(some, length)
-            whole = matched == length
-            least_found[some[whole]] = best[whole]
-        del found
-        # windows of each text: marked if an equal window has a smaller owner, in another text or the same
-        window = np.repeat(index.starts[place], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        who = np.repeat(np.arange(len(place)), n)
-        gone = (np.minimum(least_found[window], least[place[who]]) < owner[who])
-        who, p = who[gone], (at[who] + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n))[gone]
-        r = row[who]
-        by = np.argsort(r, kind="stable")
-        r, p = r[by], p[by]
-        used, begin = np.unique(r, return_index=True)
-        for k, a, z in zip(used.tolist(), begin.tolist(), [*begin[1:].tolist(), len(r)]):
-            out_keys.append((int(keys[k, 0]), int(keys[k, 1])))
-            out_marks.append(marks(p[a:z], np.ones(z - a)))
-    return pa.table({"owner": pa.array([k for k, _ in out_keys], pa.int64()), "content": pa.array([k for _, k in out_keys], pa.int64()), "done": pa.array(out_marks, pa.binary())})
+        who = np.repeat(np.arange(len(segments)), n)
+        inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        size = n + length - 1
+        begin = np.cumsum(size) - size
+        with np.errstate(over="ignore"):
+            code = grams(np.frombuffer(b"".join(segments), np.uint8), (length,))[0][0][begin[who] + inner]
+        # windows whose hash no other owner has need no index; for the rest, one text of each owner and cell is enough
+        order = np.lexsort((owner[who], code))
+        head = np.append(True, code[order][1:] != code[order][:-1])
+        smallest = np.zeros(len(code), np.int64)
+        smallest[order] = np.repeat(owner[who[order[head]]], np.diff(np.append(np.flatnonzero(head), len(code))))
+        asks = owner[who] > smallest
+        wanted = np.unique(code[asks])
+        used = np.unique(who[np.isin(code, wanted)])
+        gone = np.zeros(len(code), bool)
+        if len(used):
+            distinct: dict[bytes, int] = {}
+            place = np.array([distinct.setdefault(segments[k], len(distinct)) for k in used.tolist()], np.int64)
+            least = np.full(len(distinct), np.iinfo(np.int64).max)
+            np.minimum.at(least, place, owner[used])
+            index = RunIndex(list(distinct), least)
+            where = np.full(len(segments), -1, np.int64)
+            where[used] = index.starts[place]
+            text_least = np.full(len(segments), np.iinfo(np.int64).max)
+            text_least[used] = least[place]
+            # equal windows are asked once
+            ask = np.flatnonzero(asks)
+            _, one, back = np.unique(code[ask], return_index=True, return_inverse=True)
+            spot = where[who[ask[one]]] + inner[ask[one]]
+            best = np.full(len(spot), np.iinfo(np.int64).max)
+            for k in range(0, len(spot), 200_000):
+                matched, found = index.stream(spot[k : k + 200_000], length)
+                whole = matched == length
+                best[k : k + 200_000][whole] = found[whole]
+            gone[ask] = np.minimum(best[back], text_least[who[ask]]) < owner[who[ask]]
+        who, p = who[gone], (at[who] + inner)[gone]
+        used, lists = by_row(row[who], told(p, np.ones(len(p)), np.full(len(p), COVERED)))
+        out.append(pa.Table.from_arrays([pa.array(keys[used, 0]), pa.array(keys[used, 1]), lists], schema=KEYED))
+    return pa.concat_tables(out)
 
 
 def removed_runs(windows: np.ndarray, size: int, length: int) -> np.ndarray:
@@ -375,15 +401,17 @@ def kept_bytes(text: bytes, runs: np.ndarray) -> bytes:
     return b"".join(text[a:z] for a, z in zip(edges[::2], edges[1::2]))
 
 
-RESULT = "doc_id long, owner long, content long, text binary, runs binary, late binary"
-
+def processed(docs: DataFrame, length: int, id_col: str, text_col: str, emit: Callable[[bytes, np.ndarray], tuple], fields: str) -> DataFrame:
+    """(doc_id, content, fields): ``emit(text, runs)`` of every document, with the byte runs (start, end) to be removed.
 
-def repeated_spans(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text as bytes, runs): the byte runs of each document to be removed, as pairs of 64-bit numbers (start, end)."""
+    Texts are moved once to meet what is known of their cells; only those with cells that still need the index are kept for a second time.
+    """
+    spark = docs.sparkSession
     buckets = max(64, input_bytes(docs, text_col) // BUCKET_BYTES)
-    content = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), content.alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     rows = rows.select("doc_id", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("owner"), F.xxhash64("text").alias("content"), "text")
+    kinds = to_arrow_schema(spark.createDataFrame([], fields).schema)
 
     def anchors(batches):
         task = AnchorTask(buckets, length)
@@ -397,80 +425,75 @@ def repeated_spans(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
                         yield pack(list(task.flush()))
             yield pack(list(task.flush()))
 
-    blob_schema = "bucket int, n int, rows binary, entries binary, done binary"
-    key_schema = "owner long, content long, done binary"
-    cut = rows.select("owner", "content", "text").mapInArrow(anchors, blob_schema)
-    settled = written(cut.groupBy("bucket").applyInArrow(settle, key_schema), "suffix-settled")
-    told = settled.groupBy("owner", "content").agg(F.collect_list("done").alias("done"))
+    blob_schema = "bucket int, n int, rows binary, entries binary, done array<long>"
+    key_schema = "owner long, content long, done array<long>"
+    settled = written(rows.select("owner", "content", "text").mapInArrow(anchors, blob_schema).groupBy("bucket").applyInArrow(settle, key_schema), "suffix-settled")
+    released(spark)
+    told = settled.groupBy("owner", "content").agg(F.flatten(F.collect_list("done")).alias("done"))
 
     def apply(batches):
         for batch in batches:
-            texts, runs, lates = [], [], []
-            for text, done in zip(batch.column(3), batch.column(4)):
-                covered, late = [np.zeros((0, 2), np.int64)], [np.zeros((0, 3), np.int64)]
-                for d in done.as_py() or ():
-                    a, b = unpack_done(d)
-                    covered.append(a), late.append(b)
-                text, covered, late = text.as_py(), np.concatenate(covered), np.concatenate(late)
+            out = []
+            for doc, owner, content, text, done in zip(*(batch.column(k) for k in range(5))):
+                covered, late = untold(done.values.to_numpy() if done.is_valid else np.zeros(0, np.int64))
+                text = text.as_py()
                 gone = removed_runs(covered, len(text), length)
-                lates.append(late.astype("<u4").tobytes() if len(late) else None)
-                texts.append(text)
-                runs.append(gone.astype("<i8").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(texts, pa.binary()), pa.array(runs, pa.binary()), pa.array(lates, pa.binary())], ["doc_id", "owner", "content", "text", "runs", "late"])
-
-    staged = written(rows.join(told, ["owner", "content"], "left").select("doc_id", "owner", "content", "text", "done").mapInArrow(apply, RESULT), "suffix-staged")
-    open_ = staged.filter("late is not null")
-    # repeated rows are one and the same here
-    texts = open_.select("owner", "content", "text", "late")
-    dealt = texts.mapInArrow(lambda b: deal(b, buckets, length), blob_schema)
-    found = dealt.groupBy("bucket").applyInArrow(lambda t: match(t, length), key_schema).groupBy("owner", "content").agg(F.collect_list("done").alias("done"))
+                key = (doc.as_py(), owner.as_py(), content.as_py())
+                if len(late):
+                    out.append((*key, *[None] * len(kinds), text, gone.astype("<i8").tobytes(), late.astype("<i8").tobytes()))
+                else:
+                    out.append((*key, *emit(text, gone), None, None, None))
+            types = [pa.int64()] * 3 + kinds.types + [pa.binary()] * 3
+            names = ["doc_id", "owner", "content", *kinds.names, "text", "runs", "late"]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [()] * len(types), types)], names)
+
+    met = rows.join(told, ["owner", "content"], "left").select("doc_id", "owner", "content", "text", "done")
+    staged = written(met.mapInArrow(apply, f"doc_id long, owner long, content long, {fields}, text binary, runs binary, late binary"), "suffix-staged")
+    del met, told
+    released(spark)
+    open_ = staged.filter("late is not null").select("doc_id", "owner", "content", "text", "runs", "late")
+    dealt = open_.select("owner", "content", "text", "late").mapInArrow(lambda b: deal(b, buckets, length), blob_schema)
+    found = dealt.groupBy("bucket").applyInArrow(lambda t: match(t, length), key_schema).groupBy("owner", "content").agg(F.flatten(F.collect_list("done")).alias("done"))
 
     def finish(batches):
         for batch in batches:
-            runs = []
-            for text, old, done in zip(batch.column(1), batch.column(2), batch.column(3)):
-                old = np.frombuffer(old.as_py(), "<i8").reshape(-1, 2)
-                more = [unmarks(d, 2) for d in done.as_py() or ()]
+            out = []
+            for doc, content, text, old, done in zip(*(batch.column(k) for k in range(5))):
+                text, old = text.as_py(), np.frombuffer(old.as_py(), "<i8").reshape(-1, 2)
                 # a run counts as windows that cover exactly it
                 own = np.stack([old[:, 0], old[:, 1] - old[:, 0] - length + 1], 1)
-                runs.append(removed_runs(np.concatenate([own, *more]), len(text.as_buffer()), length).astype("<i8").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(runs, pa.binary())], ["doc_id", "text", "runs"])
+                runs = removed_runs(np.concatenate([own, untold(done.values.to_numpy() if done.is_valid else np.zeros(0, np.int64))[0]]), len(text), length)
+                out.append((doc.as_py(), content.as_py(), *emit(text, runs)))
+            types = [pa.int64()] * 2 + kinds.types
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [()] * len(types), types)], ["doc_id", "content", *kinds.names])
 
-    late = open_.join(found, ["owner", "content"], "left").select("doc_id", "text", "runs", "done").mapInArrow(finish, "doc_id long, text binary, runs binary")
-    return staged.filter("late is null").select("doc_id", "text", "runs").unionByName(late)
+    late = open_.join(found, ["owner", "content"], "left").select("doc_id", "content", "text", "runs", "done").mapInArrow(finish, f"doc_id long, content long, {fields}")
+    return staged.filter("late is null").select("doc_id", "content", *kinds.names).unionByName(late)
 
 
-def digests(spans: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of ``repeated_spans``."""
+def digests(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
 
-    def run(batches):
-        for batch in batches:
-            out = []
-            for doc, text, runs in zip(*(batch.column(k) for k in range(3))):
-                text, runs = text.as_py(), np.frombuffer(runs.as_py(), "<i8").reshape(-1, 2)
-                out.append((doc.as_py(), len(text), int((runs[:, 1] - runs[:, 0]).sum()), len(runs), hashlib.sha256(kept_bytes(text, runs)).hexdigest()))
-            types = [pa.int64()] * 4 + [pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [()] * 5, types)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+    def emit(text: bytes, runs: np.ndarray) -> tuple:
+        return len(text), int((runs[:, 1] - runs[:, 0]).sum()), len(runs), hashlib.sha256(kept_bytes(text, runs)).hexdigest()
 
-    return spans.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return processed(docs, length, id_col, text_col, emit, "n_bytes long, n_removed long, n_spans long, kept_sha256 string").drop("content")
+
+
+def repeated_spans(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, spans): the byte runs of each document that go, as array<struct<start, end>>."""
+    emit = lambda text, runs: ([{"start": a, "end": z} for a, z in runs.tolist()],)
+    return processed(docs, length, id_col, text_col, emit, "spans array<struct<start:long,end:long>>").drop("content")
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with repeated strings cut out of their texts; other columns as they are.
 
-    A cut inside a UTF-8 character leaves broken bytes, which are dropped.  Repeated rows of one id and text count once each.
+    A cut inside a UTF-8 character leaves broken bytes, which are dropped.  Repeated rows of one id and text are treated alike.
     """
-    spans = repeated_spans(docs, length, id_col, text_col)
-
-    def run(batches):
-        for batch in batches:
-            texts = []
-            for text, runs in zip(batch.column(1), batch.column(2)):
-                texts.append(kept_bytes(text.as_py(), np.frombuffer(runs.as_py(), "<i8").reshape(-1, 2)).decode("utf-8", "ignore"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array(texts, pa.string())], ["__id", "__content", "__kept"])
-
-    cut = spans.filter(F.length("runs") > 0).select("doc_id", "text", "runs", F.xxhash64("text").alias("c"))
-    cut = cut.mapInArrow(run, "__id long, __content long, __kept string").dropDuplicates(["__id", "__content"])
-    keyed = docs.withColumn("__content", F.xxhash64(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))).withColumn("__id", F.col(id_col).cast("long"))
-    joined = keyed.join(cut.withColumnsRenamed({"__id": "__id2", "__content": "__content2"}), F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__content") == F.col("__content2")), "left")
-    return joined.select(*(F.coalesce("__kept", F.col(text_col)).alias(text_col) if c == text_col else F.col(c) for c in docs.columns))
+    emit = lambda text, runs: (kept_bytes(text, runs).decode("utf-8", "ignore") if len(runs) else None,)
+    cut = processed(docs, length, id_col, text_col, emit, "kept string").filter("kept is not null").dropDuplicates(["doc_id", "content"])
+    cut = cut.select(F.col("doc_id").alias("__id"), F.col("content").alias("__content"), F.col("kept").alias("__kept"))
+    content = F.xxhash64(F.coalesce(docs[text_col], F.lit("")).cast("binary"))
+    joined = docs.join(cut, docs[id_col].cast("long").eqNullSafe(F.col("__id")) & (content == F.col("__content")), "left")
+    return joined.select(*(F.coalesce("__kept", docs[text_col]).alias(text_col) if c == text_col else docs[c] for c in docs.columns))
