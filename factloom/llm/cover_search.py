@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-LEAF = 48
+#: A leaf is scored as one matrix product; a node has at most CHILDREN children.
+LEAF, CHILDREN = 128, 8
 QUERY_BLOCK, CANDIDATE_BLOCK = 512, 4096
 
 
@@ -52,10 +53,10 @@ class CoverTree:
         self.children.append([])
         if hi - lo <= LEAF or self.radius[node] == 0:
             return node
-        # children: centres farther than half the radius from each other, farthest first; at most as many as a leaf holds
+        # children: centres farther than half the radius from each other, farthest first
         near, nearest = away.copy(), np.zeros(hi - lo, np.int64)
         picks = [centre]
-        while near.max() > self.radius[node] / 2 and len(picks) < LEAF:
+        while near.max() > self.radius[node] / 2 and len(picks) < CHILDREN:
             c = x[int(np.argmax(near))]
             d = np.sqrt(((x - c) ** 2).sum(1))
             closer = d < near
@@ -112,9 +113,6 @@ def dual_search(queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarr
             n = parent[n]
             worst[n] = min(worst[m] for m in qt.children[n])
 
-    def leaves_below(q: int) -> list[int]:
-        return [q] if not qt.children[q] else [x for c in qt.children[q] for x in leaves_below(c)]
-
     # each query leaf goes down the candidate tree best bound first; whole query nodes are pruned before it
     stack = [(0, np.array([0]))]
     while stack:
