@@ -27,8 +27,8 @@ from .textops import U64, Words, doc_chunks, ids_at, mix, shingles
 BINS, ROWS = 128, 4
 #: Signatures of sets with similarity 0.75 agree in fewer bins than this once in over a million cases.
 LEAST_AGREEING = 0.55
-#: Stars of a bucket in one round, and edges that a class has confirmed in one round.
-STARS, EDGES_A_ROUND = 3, 2
+#: In one round: stars of a bucket, and edges of a member that are tested.
+STARS, EDGES_A_ROUND = 3, 4
 MAX_ROUNDS = 12
 
 _rng = np.random.default_rng(20)
@@ -99,17 +99,16 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 def agreeing(pairs: DataFrame, least: float) -> DataFrame:
-    """Of (a, b, sig_a, sig_b), the (a, b, share) whose signatures agree in at least that share of bins."""
+    """Of (a, b, sig_a, sig_b), the (a, b) whose signatures agree in at least that share of bins."""
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BINS) for k in (2, 3))
-            share = (x == y).mean(1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(share)], ["a", "b", "share"]).filter(pa.array(share >= least))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(1) >= least))
 
-    return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long, share double")
+    return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
 def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
@@ -150,16 +149,19 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         centres = [F.min(F.struct(o.alias("o"), "rep", "label")).alias(f"c{k}") for k, o in enumerate(orders)]
         open_ = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), *centres).filter("lo < hi")
         star = now.join(open_.select("bucket", F.array(*(f"c{k}" for k in range(STARS))).alias("c")), "bucket").select("rep", "label", F.explode("c").alias("c"))
-        star = star.filter("label <> c.label").select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct()
+        # member b and centre a, with the number of buckets that make this edge
+        star = star.filter("label <> c.label").groupBy(F.col("c.rep").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("n"))
         if tested is not None:
             star = star.join(tested, ["a", "b"], "left_anti")
+        # a member needs one true link to get into its component: its likeliest edges go first, the others stay for later rounds
+        likely = F.slice(F.sort_array(F.collect_list(F.struct("n", "a")), False), 1, EDGES_A_ROUND).getField("a")
+        star = written(star.groupBy("b").agg(F.explode(likely).alias("a")).select("a", "b"), "near-stars")
         pairs = star.join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b")), "b").join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a")
-        # a class needs one true link to get into its component: its likeliest edges go first, the others stay for later rounds
-        best = agreeing(pairs, LEAST_AGREEING).groupBy("b").agg(F.slice(F.sort_array(F.collect_list(F.struct("share", "a")), False), 1, EDGES_A_ROUND).alias("e"))
-        edges = written(best.select("b", F.explode("e.a").alias("a")).select("a", "b"), "near-edges")
+        edges = written(agreeing(pairs, LEAST_AGREEING), "near-edges")
         if edges.isEmpty():
             break
-        tested = edges if tested is None else tested.unionByName(edges)
+        both = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        tested = both if tested is None else tested.unionByName(both)
         ends = edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         sets = written(full_sets(docs.join(ends, "doc_id", "left_semi"), width), "near-sets")
         pairs = edges.join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b")), "b").join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a")), "a")
