@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/factloom/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -38,5 +39,7 @@ def input_bytes(df: DataFrame, text_col: str) -> int:
 
 def released(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs, whose results are written, before the next stage needs room."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)  # files go a moment after their last reference

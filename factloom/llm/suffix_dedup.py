@@ -47,8 +47,8 @@ POSITION_BITS = U64(28)
 BUCKET_BYTES = 8_000_000
 
 
-def grams(buf: np.ndarray, sizes: tuple[int, ...]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Hashes of all byte runs of the given sizes (16 to 64), built by doubling from 8-byte loads, and those of 8 bytes."""
+def grams(buf: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
+    """Hashes of all byte runs of the given sizes (16 to 64), built by doubling from 8-byte loads."""
     n = len(buf)
     two = buf[:-1].astype(np.uint64) | buf[1:].astype(np.uint64) << U64(8)
     four = two[:-2] | two[2:] << U64(16)
@@ -64,21 +64,16 @@ def grams(buf: np.ndarray, sizes: tuple[int, ...]) -> tuple[list[np.ndarray], np
         base = max(s for s in levels if s <= size)
         h = levels[base]
         out.append(mix(h[: n - size + 1] * spread + h[size - base : n - base + 1] + U64(size)))
-    return out, levels[8]
+    return out
 
 
 def cells(buf: np.ndarray, offs: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(document, first window, windows, minimiser hash, content hash, left and right context) of every cell of a chunk of documents.
-
-    A context is a 16-bit hash of the bytes beside the minimiser, half as many as a window has besides it, or 0 if the document has
-    fewer.  Two cells of one minimiser that share a window have their left or their right context in common.
-    """
-    none = (*(np.zeros(0, np.int64) for _ in range(3)), *(np.zeros(0, U64) for _ in range(4)))
+    """(document, first window, windows, minimiser hash, content hash) of every cell of a chunk of documents."""
+    none = (*(np.zeros(0, np.int64) for _ in range(3)), *(np.zeros(0, U64) for _ in range(2)))
     long_enough = np.flatnonzero(np.diff(offs) >= length)
     if not len(long_enough):
         return none
-    half = (length - gram + 1) // 2
-    (g, whole), eight = grams(buf, (gram, length))
+    g, whole = grams(buf, (gram, length))
     key = (g >> POSITION_BITS << POSITION_BITS) | np.arange(len(g), dtype=U64)
     width = length - gram + 1
     least, reach = key, 1
@@ -97,15 +92,7 @@ def cells(buf: np.ndarray, offs: np.ndarray, length: int, gram: int = GRAM) -> t
     content = mix(np.add.reduceat(whole[at], first) + windows.astype(U64))
     begin = at[first]
     doc = np.searchsorted(offs, begin, "right") - 1
-    anchor = anchor[first]
-
-    def beside(at: np.ndarray) -> np.ndarray:
-        at = np.clip(at, 0, len(buf) - half)
-        return mix(eight[at] * U64(0x9E3779B97F4A7C15) + eight[at + half - 8]) % U64(65535) + U64(1)
-
-    left = np.where(anchor - half >= offs[doc], beside(anchor - half), U64(0))
-    right = np.where(anchor + gram + half <= offs[doc + 1], beside(anchor + gram), U64(0))
-    return doc, begin - offs[doc], windows, mix(g[anchor]), content, left, right
+    return doc, begin - offs[doc], windows, mix(g[anchor[first]]), content
 
 
 def planes(values: np.ndarray, width: int) -> bytes:
@@ -120,7 +107,7 @@ def unplanes(data: memoryview, n: int, width: int) -> np.ndarray:
 
 
 #: Columns of a blob and their bytes each; h are the leading bytes of a minimiser's hash, whose rest its bucket partly tells.
-ENTRY = (("h", 4), ("c", 6), ("left", 2), ("right", 2), ("row", 4), ("at", 4), ("n", 1))
+ENTRY = (("h", 4), ("c", 6), ("row", 4), ("at", 4), ("n", 1))
 
 
 def blob(fields: dict[str, np.ndarray], spec: tuple) -> bytes:
@@ -157,13 +144,13 @@ class AnchorTask:
     def flush(self):
         if not self.size:
             return self.reset()
-        row, at, n, h, c, left, right = (np.concatenate(x) for x in zip(*self.parts))
+        row, at, n, h, c = (np.concatenate(x) for x in zip(*self.parts))
         keys = np.array(self.keys, np.int64)
         self.reset()
         c &= (U64(1) << U64(48)) - U64(1)
         owner = keys[row, 0]
         order = np.lexsort((owner, c, h))
-        row, at, n, h, c, left, right, owner = (x[order] for x in (row, at, n, h, c, left, right, owner))
+        row, at, n, h, c, owner = (x[order] for x in (row, at, n, h, c, owner))
         new_h = np.append(True, h[1:] != h[:-1])
         new_c = new_h | np.append(True, c[1:] != c[:-1])
         first = np.flatnonzero(new_c)
@@ -185,7 +172,7 @@ class AnchorTask:
         for b in np.flatnonzero(np.diff(cut)):
             s = slice(cut[b], cut[b + 1])
             used, local = np.unique(row[send[s]], return_inverse=True)
-            entries = blob({"h": h[send[s]] >> U64(32), "c": c[send[s]], "left": left[send[s]], "right": right[send[s]], "row": local, "at": at[send[s]], "n": n_send[s]}, ENTRY)
+            entries = blob({"h": h[send[s]] >> U64(32), "c": c[send[s]], "row": local, "at": at[send[s]], "n": n_send[s]}, ENTRY)
             yield int(b), len(local), keys[used].tobytes(), entries, None
         known = np.flatnonzero(kinds != 3)
         used, lists = by_row(row[known], told(at[known], n[known], np.where(kinds[known] == 0, COVERED, 0)))
@@ -215,14 +202,6 @@ def by_row(row: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, pa.ListArra
     return used, pa.ListArray.from_arrays(pa.array(np.append(begin, len(row)), pa.int32()), pa.array(values[order], pa.int64()))
 
 
-def in_common(group: np.ndarray, side: np.ndarray, first: np.ndarray, some: np.ndarray) -> np.ndarray:
-    """Which entries have a context that several distinct cells of their minimiser have; ``first`` are the first entries of the cells."""
-    key = group.astype(np.int64) << 16 | side.astype(np.int64)
-    own = first[some[first] & (side[first] > 0)]
-    values, times = np.unique(key[own], return_counts=True)
-    return (side > 0) & np.isin(key, values[times > 1])
-
-
 KEYED = pa.schema([("owner", pa.int64()), ("content", pa.int64()), ("done", pa.list_(pa.int64()))])
 
 
@@ -247,13 +226,13 @@ def settle(table: pa.Table) -> pa.Table:
         size += len(k)
     if parts:
         keys = np.concatenate(keys)
-        h, c, left, right, row, at, n = (np.concatenate([p[k] for p in parts]) for k, _ in ENTRY)
+        h, c, row, at, n = (np.concatenate([p[k] for p in parts]) for k, _ in ENTRY)
         owner = keys[row, 0]
         real = n > 0
         marked = np.unique(h[~real])
         order = np.flatnonzero(real)
         order = order[np.lexsort((owner[order], c[order], h[order]))]
-        h, c, left, right, row, at, n, owner = (x[order] for x in (h, c, left, right, row, at, n, owner))
+        h, c, row, at, n, owner = (x[order] for x in (h, c, row, at, n, owner))
         if len(h):
             new_h = np.append(True, h[1:] != h[:-1])
             new_c = new_h | np.append(True, c[1:] != c[:-1])
@@ -263,10 +242,8 @@ def settle(table: pa.Table) -> pa.Table:
             start = np.flatnonzero(new_h)
             lo, hi = np.minimum.reduceat(owner, start), np.maximum.reduceat(owner, start)
             distinct = np.bincount(group[first])
-            known_hot = np.isin(h[start], marked)
-            open_ = ~covered & ((distinct > 1) & (lo < hi))[group]
-            late = open_ & (in_common(group, left, first, open_) | in_common(group, right, first, open_)) | ~covered & known_hot[group]
-            hot = known_hot | (np.bincount(group[first[late[first]]], minlength=len(start)) >= HOT)
+            hot = (distinct >= HOT) | np.isin(h[start], marked)
+            late = ~covered & (hot | ((distinct > 1) & (lo < hi)))[group]
             route = np.where(hot[group], 0, (h % U64(ROUTES)).astype(np.int64) + 1)
             tell = np.flatnonzero(covered | late)
             used, lists = by_row(row[tell], told(at[tell], n[tell], np.where(covered[tell], COVERED, route[tell])))
@@ -346,7 +323,7 @@ def match(table: pa.Table, length: int) -> pa.Table:
         size = n + length - 1
         begin = np.cumsum(size) - size
         with np.errstate(over="ignore"):
-            code = grams(np.frombuffer(b"".join(segments), np.uint8), (length,))[0][0][begin[who] + inner]
+            code = grams(np.frombuffer(b"".join(segments), np.uint8), (length,))[0][begin[who] + inner]
         # windows whose hash no other owner has need no index; for the rest, one text of each owner and cell is enough
         order = np.lexsort((owner[who], code))
         head = np.append(True, code[order][1:] != code[order][:-1])
