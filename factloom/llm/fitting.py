@@ -39,11 +39,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, trains: Colu
     return [r.text for r in got], np.array([r.y for r in got], float)
 
 
-def words_of(texts: list[str]) -> tuple[Words, np.ndarray]:
-    """All words of a list of texts as one chunk, with offsets."""
-    for _, _, buf, offs in doc_chunks(pa.array(texts, pa.large_string()), limit=1 << 62):
-        return Words(buf, offs), offs
-    return Words(np.zeros(0, np.uint8), np.zeros(1, np.int64)), np.zeros(1, np.int64)
+def word_chunks(texts: list[str]):
+    """Words and offsets of runs of whole texts of about a chunk's size, so that training needs no more room than scoring."""
+    for _, _, buf, offs in doc_chunks(pa.array(texts, pa.large_string())):
+        yield Words(buf, offs), offs
 
 
 class Adam:

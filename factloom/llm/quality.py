@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .fitting import Adam, labelled_sample, scored, sigmoid, temperature, words_of
+from .fitting import Adam, labelled_sample, scored, sigmoid, temperature, word_chunks
 from .textops import U64, Words, mix
 
 BUCKETS, DIMS, HIDDEN, WINDOW, SHAPES = 1 << 14, 64, 24, 2, 256
@@ -63,10 +63,12 @@ class Model:
         code = ((kind[words.starts] * 5 + kind[words.ends - 1]) * 8 + bits) * 6 + size
         return (mix(code.astype(U64)) & U64(SHAPES - 1)).astype(np.int64)
 
-    def learn_contexts(self, words: Words) -> None:
+    def add_contexts(self, words: Words, total: np.ndarray) -> None:
+        """Add to each bucket the index vectors of its words' neighbours."""
         b = self.buckets(words)
-        total = np.zeros((BUCKETS, DIMS), np.float32)
         for gap in range(1, WINDOW + 1):
+            if len(b) <= gap:
+                continue
             left, right, same = b[:-gap], b[gap:], words.doc[:-gap] == words.doc[gap:]
             # each distinct pair of buckets once, with its count
             pair, n = np.unique(left[same] * BUCKETS + right[same], return_counts=True)
@@ -78,6 +80,8 @@ class Model:
                     a = at[o]
                     first = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
                     total[a[first]] += np.add.reduceat(self.index[other[o]] * n[o][:, None], first)
+
+    def set_contexts(self, total: np.ndarray) -> None:
         norm = np.linalg.norm(total, axis=1, keepdims=True)
         self.context = np.where(norm > 0, total / np.maximum(norm, 1e-9), self.index / np.sqrt(8)).astype(np.float32)
 
@@ -127,9 +131,11 @@ def fit(texts: list[str], y: np.ndarray, epochs: int = 60, batch: int = 64, seed
         return model
     rng = np.random.default_rng(seed)
     with np.errstate(over="ignore"):
-        words, offs = words_of(texts)
-        model.learn_contexts(words)
-        x = model.features(words, words.raw, offs)
+        total = np.zeros((BUCKETS, DIMS), np.float32)
+        for words, _ in word_chunks(texts):
+            model.add_contexts(words, total)
+        model.set_contexts(total)
+        x = np.concatenate([model.features(words, words.raw, offs) for words, offs in word_chunks(texts)])
     held = np.zeros(len(y), bool)
     held[rng.permutation(len(y))[: len(y) // 5]] = True
     model.mean, model.spread = x[~held].mean(0), x[~held].std(0) + 1e-3

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .fitting import Adam, labelled_sample, scored, sigmoid, temperature, words_of
+from .fitting import Adam, labelled_sample, scored, sigmoid, temperature, word_chunks
 from .textops import U64, Words, mix
 
 BUCKETS, DIMS, FILTERS, WIDTHS = 1 << 16, 8, 8, (1, 2, 3)
@@ -97,8 +97,10 @@ def fit(texts: list[str], y: np.ndarray, steps: int = 600, batch: int = 48, seed
         return net
     rng = np.random.default_rng(seed)
     with np.errstate(over="ignore"):
-        words, _ = words_of(texts)
-        feats = net.features(words)
+        parts = [(w.counts, net.features(w)) for w, _ in word_chunks(texts)]
+    counts, feats = np.concatenate([c for c, _ in parts]), np.concatenate([f for _, f in parts])
+    first = np.concatenate([[0], np.cumsum(counts)])
+    owner = np.repeat(np.arange(len(y)), counts)
     held = np.zeros(len(y), bool)
     held[rng.permutation(len(y))[: len(y) // 5]] = True
     # evidence: log ratio of document frequencies per bucket, over the rows that are trained on
@@ -106,8 +108,8 @@ def fit(texts: list[str], y: np.ndarray, steps: int = 600, batch: int = 48, seed
     for label in (1, 0):
         count = np.zeros(BUCKETS)
         for k in range(feats.shape[1]):
-            use = (y[words.doc] == label) & ~held[words.doc]
-            pairs = np.unique(words.doc[use].astype(np.int64) * BUCKETS + feats[use, k])
+            use = (y[owner] == label) & ~held[owner]
+            pairs = np.unique(owner[use] * BUCKETS + feats[use, k])
             count += np.bincount(pairs % BUCKETS, minlength=BUCKETS)
         df.append(count)
     n1, n0 = (y[~held] == 1).sum(), (y[~held] == 0).sum()
@@ -123,13 +125,13 @@ def fit(texts: list[str], y: np.ndarray, steps: int = 600, batch: int = 48, seed
         rng.shuffle(train)
         for b in range(0, len(train), batch):
             rows = train[b : b + batch]
-            counts = words.counts[rows]
-            first = np.concatenate([[0], np.cumsum(counts)])
-            take = np.concatenate([np.arange(words.first[r], words.first[r + 1]) for r in rows]) if len(rows) else np.zeros(0, np.int64)
+            size = counts[rows]
+            begin = np.concatenate([[0], np.cumsum(size)])
+            take = np.concatenate([np.arange(first[r], first[r + 1]) for r in rows])
             f = feats[take]
             vec = net.vectors(f)
-            net.prepare(first, counts)
-            pool, places = net.pooled(vec, first, counts, argmax=True)
+            net.prepare(begin, size)
+            pool, places = net.pooled(vec, begin, size, argmax=True)
             z = pool @ net.out + net.bias[0]
             g = ((sigmoid(z) - y[rows]) * weight[rows] / len(rows)).astype(np.float32)
             d_out = pool.T @ g + 1e-4 * net.out
@@ -151,8 +153,15 @@ def fit(texts: list[str], y: np.ndarray, steps: int = 600, batch: int = 48, seed
                         for c in range(f.shape[1]):
                             np.add.at(net.emb, f[at, c], -2.0 * move)
             dense.step([*d_filters, *d_shift, d_out, np.array([g.sum()], np.float32)])
-    net.prepare(words.first, words.counts)
-    z = net.pooled(net.vectors(feats), words.first, words.counts) @ net.out + net.bias[0]
+    rows = np.flatnonzero(held)
+    z = np.zeros(len(y))
+    for b in range(0, len(rows), batch):
+        some = rows[b : b + batch]
+        size = counts[some]
+        begin = np.concatenate([[0], np.cumsum(size)])
+        net.prepare(begin, size)
+        take = np.concatenate([np.arange(first[r], first[r + 1]) for r in some])
+        z[some] = net.pooled(net.vectors(feats[take]), begin, size) @ net.out + net.bias[0]
     net.temperature = temperature(z[held].astype(float), y[held])
     return net
 
