@@ -30,7 +30,7 @@ def test_claim_is_reproducible(spark):
     assert a == b and a[0].subject_name == "Dietary fiber" and a[0].object_name == "Remission" and a[0].claim_id.startswith("pmid_0_claim_")
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(alphabet="aé😀 .; \nbut that", max_size=40), min_size=1, max_size=20))
 def test_offsets(spark, texts):
     rows = spark.createDataFrame([(str(k), 0, "t", j, x) for k, t in enumerate(texts) for j, x in enumerate(t.split("\n"))], "document_id string, section_idx int, section_title string, paragraph_idx int, raw_text string")
