@@ -6,8 +6,8 @@ over the document feeds a logistic output, calibrated by a temperature on held-b
 dimension starts from the log ratio of document frequencies in the two classes, the rest at random; everything is then
 trained by back-propagation through the maxima.
 
-A score depends on the text alone.  ``thresholds`` are calibrated by language on held-back rows afterwards: the least score at
-which at least ``precision`` of the flagged rows of that language are toxic (0.3 where a language has too few rows).
+A score depends on the text alone.  ``thresholds`` are calibrated by language on labelled rows afterwards: the least score at
+which at least ``precision`` of the flagged rows of that language are toxic.
 
 Null, empty and blank texts have no words: their pooled features are zero and their score is the output's bias.
 Without training rows of both classes every score is the share of label 1 (0, if there are none).
@@ -25,6 +25,8 @@ from .textops import U64, Words, mix
 BUCKETS, DIMS, FILTERS, WIDTHS = 1 << 16, 8, 8, (1, 2, 3)
 PREFIXES = (4, 5)
 MOST_ROWS, MOST_BYTES = 6000, 14_000_000
+#: Bounds of thresholds: none is lower than FLOOR, and with too few toxic rows it is CAUTIOUS, so that clean documents stay.
+FLOOR, CAUTIOUS = 0.5, 0.95
 
 
 class Network:
@@ -167,10 +169,14 @@ def fit(texts: list[str], y: np.ndarray, steps: int = 600, batch: int = 48, seed
 
 
 def thresholds(scores: np.ndarray, y: np.ndarray, langs: list, precision: float = 0.98, least: int = 20) -> dict:
-    """By language, the least score at which ``precision`` of flagged rows are toxic; languages with few toxic rows have none."""
-    out = {}
-    for lang in sorted({x for x in langs if x is not None}):
-        own = np.array([x == lang for x in langs])
+    """By language, the least score of at least FLOOR at which ``precision`` of flagged rows are toxic.
+
+    The key None holds the threshold of all rows together, for languages with fewer than ``least`` toxic rows; where even those are too
+    few, it is CAUTIOUS.
+    """
+    out = {None: CAUTIOUS}
+    for lang in [None, *sorted({x for x in langs if x is not None})]:
+        own = np.array([lang is None or x == lang for x in langs], bool)
         s, t = scores[own], y[own]
         if t.sum() < least:
             continue
@@ -179,7 +185,7 @@ def thresholds(scores: np.ndarray, y: np.ndarray, langs: list, precision: float
         last = np.flatnonzero((good >= precision) & np.append(np.diff(s[order]) != 0, True))
         if len(last):
             below = s[order][last[-1] + 1] if last[-1] + 1 < len(t) else 0.0
-            out[lang] = float((s[order][last[-1]] + below) / 2)
+            out[lang] = max(FLOOR, float((s[order][last[-1]] + below) / 2))
     return out
 
 
@@ -202,19 +208,20 @@ def language_thresholds(docs: DataFrame, labels: DataFrame, net: Network, trains
     return thresholds(np.array([r.score for r in got]), np.array([r.y for r in got], float), [r.lang for r in got])
 
 
-def limit_of(limits: dict, default: float) -> Column:
-    limit = F.lit(default)
+def limit_of(limits: dict) -> Column:
+    limit = F.lit(limits[None])
     for lang, value in limits.items():
-        limit = F.when(F.col("lang") == lang, value).otherwise(limit)
+        if lang is not None:
+            limit = F.when(F.col("lang") == lang, value).otherwise(limit)
     return limit
 
 
-def flagged(docs: DataFrame, net: Network, limits: dict, default: float = 0.3) -> DataFrame:
+def flagged(docs: DataFrame, net: Network, limits: dict) -> DataFrame:
     """(doc_id, score, toxic): toxic where the score reaches the threshold of the document's language."""
-    return score(docs, net, "lang").select("doc_id", "score", (F.col("score") >= limit_of(limits, default)).alias("toxic"))
+    return score(docs, net, "lang").select("doc_id", "score", (F.col("score") >= limit_of(limits)).alias("toxic"))
 
 
-def accepted(docs: DataFrame, net: Network, limits: dict, default: float = 0.3) -> DataFrame:
+def accepted(docs: DataFrame, net: Network, limits: dict) -> DataFrame:
     """The documents that are not toxic, with all their columns."""
     rows = scored(docs, net.scores, *(c for c in docs.columns if c != "doc_id"), name="__toxicity")
-    return rows.filter(F.col("__toxicity") < limit_of(limits, default)).select(docs.columns)
+    return rows.filter(F.col("__toxicity") < limit_of(limits)).select(docs.columns)
