@@ -6,15 +6,18 @@ pass fills BINS bins by the leading hash bits; an empty bin copies the first fil
 permutation of the bins.  Runs of ROWS bins are banded buckets.  A bucket with several classes gives a few stars:
 a centre each and an edge to every other member, so pairs grow with the members and not with their square.  Edges
 whose signatures agree far too little are dropped (by more than five standard deviations), the likeliest of each class are confirmed
-on the full sets, and confirmed links are contracted to components.  Buckets that then still hold
-several components get new stars with other centres, until a round confirms nothing; this is how links are
-found whose ends were never a centre.
+on the full sets, and confirmed links are contracted to components.  Stars only make components large cheaply and may
+leave links out.  A last pass closes every bucket that still holds several components: all its pairs across components that no star
+has tested are compared by size and signature in blocks of bounded size, and confirmed on the full sets.  So each pair
+that shares a bucket is in one component or has been compared.
 
 Null, empty and blank texts have an empty set (n_shingles 0), link with nothing and stay.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +32,10 @@ BINS, ROWS = 128, 4
 LEAST_AGREEING = 0.55
 #: In one round: stars of a bucket, and edges of a member that are tested.
 STARS, EDGES_A_ROUND = 3, 4
-MAX_ROUNDS = 12
+#: Star rounds go on while each adds a link to so many; the last pass is cheaper for the rest.
+WORTH = 50
+#: Members of a bucket that a block of the last pass holds on either side, and pairs compared at once.
+BLOCK, AT_ONCE = 1000, 1 << 15
 
 _rng = np.random.default_rng(20)
 #: Row i: the order in which bin i looks for a filled bin, itself first.
@@ -126,6 +132,69 @@ def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "items_a", "items_b").mapInArrow(run, "a long, b long")
 
 
+def blocks(now: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Members of buckets that hold several labels, dealt to blocks (bucket, i, j).
+
+    A bucket's pairs across labels have an end outside its most frequent label: such members are centres of one row of blocks,
+    and every member is a partner in one column.
+    """
+    mixed = now.groupBy("bucket", "label").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.sum("n").alias("m"), F.count("*").alias("labels"), F.max(F.struct("n", "label")).alias("top")).filter("labels > 1")
+    mixed = mixed.select("bucket", F.col("top.label").alias("top"), F.ceil((F.col("m") - F.col("top.n")) / BLOCK).alias("rows"), F.ceil(F.col("m") / BLOCK).alias("columns"))
+    at = now.join(mixed, "bucket").withColumn("i", F.expr("pmod(xxhash64(rep, 1), rows)")).withColumn("j", F.expr("pmod(xxhash64(rep, 2), columns)")).withColumn("minor", F.expr("label <> top"))
+    at = at.join(sigs, "rep")
+    partner = F.expr("transform(sequence(0, rows - 1), x -> struct(x as i, j as j, false as centre))")
+    centre = F.expr("if(minor, transform(sequence(0, columns - 1), x -> struct(i as i, x as j, true as centre)), array())")
+    return at.select("bucket", "rep", "label", "minor", "n_shingles", "sig", F.explode(F.concat(partner, centre)).alias("at")).select("bucket", "at.i", "at.j", "at.centre", "rep", "label", "minor", "n_shingles", "sig")
+
+
+def across(members: DataFrame, percent: int, least: float) -> DataFrame:
+    """Of each block, the pairs (a, b) of a centre and a partner of another label whose sizes and signatures allow a link."""
+
+    def pairs(rows: pa.RecordBatch):
+        keys, (centre, rep, label, minor, size) = (np.stack([rows.column(k).to_numpy() for k in range(3)]), (rows.column(k).to_numpy(zero_copy_only=False) for k in range(3, 8)))
+        sig = np.frombuffer(b"".join(rows.column(8).to_pylist()), np.uint8).reshape(-1, BINS)
+        first = np.append(True, (keys[:, 1:] != keys[:, :-1]).any(0))
+        begin = np.flatnonzero(first)
+        partners = np.add.reduceat(~centre, begin)  # a block's partners are before its centres
+        x = np.flatnonzero(centre)
+        block = np.cumsum(first)[x] - 1
+        begin, n = begin[block], partners[block]
+        total = np.concatenate([[0], np.cumsum(n)])
+        k = 0
+        while k < len(x):
+            to = max(k + 1, int(np.searchsorted(total, total[k] + AT_ONCE, "right")) - 1)
+            m = n[k:to]
+            one = np.repeat(x[k:to], m)
+            two = np.arange(len(one)) + np.repeat(begin[k:to] - (total[k:to] - total[k]), m)
+            low, high = np.minimum(size[one], size[two]), np.maximum(size[one], size[two])
+            # two centres meet in two blocks
+            ok = (label[one] != label[two]) & ~(minor[two] & (rep[one] > rep[two])) & (100 * low >= percent * high)
+            one, two = one[ok], two[ok]
+            ok = (sig[one] == sig[two]).mean(1) >= least
+            a, b = rep[one[ok]], rep[two[ok]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            k = to
+
+    def run(batches):
+        rest = None
+        for batch in batches:
+            if rest is not None:
+                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            if not batch.num_rows:
+                continue
+            # the last block may go on in the next batch
+            keys = np.stack([batch.column(k).to_numpy() for k in range(3)])
+            at = int(np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(0)))[-1])
+            if at:
+                yield from pairs(batch.slice(0, at))
+            rest = batch.slice(at)
+        if rest is not None:
+            yield from pairs(rest)
+
+    dealt = members.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "centre")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -137,13 +206,24 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = entries.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1").select("bucket")
     # entries of buckets that hold several classes; the rest can never give an edge
     active = written(entries.join(shared, "bucket").select("bucket", "rep"), "near-entries")
-    sigs = reps.select(F.col("doc_id").alias("rep"), "sig")
+    sigs = reps.select(F.col("doc_id").alias("rep"), "n_shingles", "sig")
     labels = tested = links = None
-    for turn in range(MAX_ROUNDS):
+    total = 0
+
+    def labelled() -> DataFrame:
         if labels is None:
-            now = active.withColumn("label", F.col("rep"))
-        else:
-            now = written(active.join(labels, "rep", "left").select("bucket", "rep", F.coalesce("label", "rep").alias("label")), "near-entries")
+            return active.withColumn("label", F.col("rep"))
+        return written(active.join(labels, "rep", "left").select("bucket", "rep", F.coalesce("label", "rep").alias("label")), "near-entries")
+
+    def verified(edges: DataFrame) -> DataFrame:
+        # written, so that its true size decides whether texts have to be shuffled
+        ends = written(edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near-ends")
+        sets = written(full_sets(docs.join(ends, "doc_id", "left_semi"), width), "near-sets")
+        pairs = edges.join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b")), "b").join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a")), "a")
+        return written(confirmed(pairs, percent), "near-links")
+
+    for turn in itertools.count():
+        now = labelled()
         # the first centre is at first the smallest document; the others, and all later ones, are any member
         orders = [F.col("rep") if turn == 0 and k == 0 else F.xxhash64("rep", F.lit(STARS * turn + k)) for k in range(STARS)]
         centres = [F.min(F.struct(o.alias("o"), "rep", "label")).alias(f"c{k}") for k, o in enumerate(orders)]
@@ -153,7 +233,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         star = star.filter("label <> c.label").groupBy(F.col("c.rep").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("n"))
         if tested is not None:
             star = star.join(tested, ["a", "b"], "left_anti")
-        # a member needs one true link to get into its component: its likeliest edges go first, the others stay for later rounds
+        # a member needs one true link to get into its component: its likeliest edges go first, the others stay for later rounds and the last pass
         likely = F.slice(F.sort_array(F.collect_list(F.struct("n", "a")), False), 1, EDGES_A_ROUND).getField("a")
         star = written(star.groupBy("b").agg(F.explode(likely).alias("a")).select("a", "b"), "near-stars")
         pairs = star.join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b")), "b").join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a")
@@ -162,12 +242,20 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             break
         both = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
         tested = both if tested is None else tested.unionByName(both)
-        ends = edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = written(full_sets(docs.join(ends, "doc_id", "left_semi"), width), "near-sets")
-        pairs = edges.join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b")), "b").join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a")), "a")
-        found = written(confirmed(pairs, percent), "near-links")
-        if turn and found.isEmpty():
+        found = verified(edges)
+        n = found.count()
+        if n:
+            total += n
+            links = found if links is None else links.unionByName(found)
+            labels = min_labels(links)
+        if n * WORTH <= total:
             break
+    edges = across(blocks(labelled(), sigs), percent, LEAST_AGREEING)
+    if tested is not None:
+        edges = edges.join(tested, ["a", "b"], "left_anti")
+    edges = written(edges, "near-edges")
+    if not edges.isEmpty():
+        found = verified(edges)
         links = found if links is None else links.unionByName(found)
         labels = min_labels(links)
     classed = classes.select("set_a", "set_b", "n_shingles", "rep")

@@ -126,6 +126,29 @@ def test_near_dedup_table(spark):
     assert got == brute_near([(r.doc_id, r.text) for r in rows])
 
 
+@pytest.mark.parametrize("block", [1000, 7])
+def test_near_dedup_hubs(spark, block, monkeypatch):
+    """Hubs of middle ids link spokes that share buckets with each other but are no links; pairs hide among such spokes."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rng = random.Random(11)
+    texts = []
+    for h in range(5):
+        base = [f"w{h}x{k}" for k in range(400)]
+        own = []
+        for d in range(60):
+            c = list(base)
+            for k in rng.sample(range(5, 395, 6), 10 if h < 3 else 12):
+                c[k] = f"s{d}y{k}"
+            own.append(c)
+        if h < 3:
+            own.insert(30, base)
+        else:
+            own += [[*own[7][:-1], "z"], [*own[21][:-1], "z"]]
+        texts += [" ".join(c) for c in own]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_groups(frame(spark, texts)).collect()}
+    assert got == brute_near(enumerate(texts))
+
+
 @pytest.mark.parametrize("key", [None, "length"])
 def test_exact_dedup(spark, key):
     """With the length as the key, most keys chain several texts."""
