@@ -1,10 +1,12 @@
 """Cross-entropy difference: per-token loss under a target model minus loss under a background model.
 
-Both models are word bigram models of one kind over one shared vocabulary: every word of the background corpus falls in one of 2 ** WORD_BITS
-hashed classes and every pair of neighbouring words in one of 2 ** PAIR_BITS, whichever corpus it is from.  A pair's probability is
-its count over its first word's count, interpolated with the word's own share, which is smoothed over all classes.  Counts cover every
-text of both corpora: tasks count their own texts and Spark adds the counts up, so what is gathered follows the
-input, while the summed tables have a fixed bound and can be broadcast.
+Both models are word bigram models of one kind over one shared vocabulary.  Words are 64-bit hashes and a pair is its two words' hashes,
+so the count tables hold every distinct word and pair of both corpora and grow with them; they are shuffled and written, and no
+task or driver holds one whole.  A pair's probability is its count over its first word's count, interpolated with the word's own
+share, which is smoothed over the vocabulary (2 ** WORD_BITS words at least, so that unseen words have a share in small corpora).
+
+To score, documents' distinct pairs are packed by block of documents and bucket of pair hashes, meet the losses of their bucket, and
+the sums go back to their block.  A common pair is one key of a block, however many documents have it.
 
 The score is mean over a document's tokens of ``loss_target - loss_background`` in nats: the lower, the more the document is like the
 target.  A document that is null, empty or blank has no tokens and the score null.  Words are as in the shingle operators;
@@ -13,88 +15,247 @@ each document begins after a start symbol.  An empty corpus gives uniform probab
 
 from __future__ import annotations
 
+from collections import Counter
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import input_bytes, released, written
 from .textops import U64, Words, doc_chunks, ids_at, mix
 
-WORD_BITS, PAIR_BITS = 17, 20
+WORD_BITS = 17
 WEIGHT, ADDED = 0.6, 0.5
 START = U64(0x1D8E4E27C47D124F)
+#: Words that a task counts before it passes their pairs on; bytes of a block of documents; buckets, and input bytes of one.
+COUNTED, BLOCK_BYTES = 4_000_000, 1 << 22
+LEAST_BUCKETS, BUCKET_BYTES = 48, 32 << 20
+PACKED = "bucket int, kind int, block long, ids array<long>, keys binary, x binary, y binary, z binary"
+TABLE, ENTRIES, HEAD = range(3)
+
+
+def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix(before.view(U64) * U64(0x9E3779B97F4A7C15) + word.view(U64)).view(np.int64)
 
 
 def classes(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per word: its class, the class of the word before it (2 ** WORD_BITS at a document's start), and their pair's class."""
+    """Per word: its key, the key of the word before it (START at a document's start), and their pair's key."""
     h = words.hashes
-    word = (h >> U64(64 - WORD_BITS)).astype(np.int64)
     start = np.append(True, words.doc[1:] != words.doc[:-1])[: len(h)]
-    before_hash = np.where(start, START, np.roll(h, 1))
-    before = np.where(start, 1 << WORD_BITS, np.roll(word, 1))
-    pair = (mix(before_hash * U64(0x9E3779B97F4A7C15) + h) >> U64(64 - PAIR_BITS)).astype(np.int64)
-    return word, before, pair
+    word, before = h.view(np.int64), np.where(start, START, np.roll(h, 1)).view(np.int64)
+    return word, before, pair_keys(before, word)
 
 
 def counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """(kind, class, n): 0 words, 1 words as the first of a pair, 2 pairs; summed over all texts."""
+    """(before, word, n) of every part of the texts; a pair can have several rows."""
 
     def run(batches):
-        sums = [np.zeros(1 << WORD_BITS, np.int64), np.zeros((1 << WORD_BITS) + 1, np.int64), np.zeros(1 << PAIR_BITS, np.int64)]
+        held, size = [], 0
+
+        def summed():
+            before, word, pair = (np.concatenate(x) for x in zip(*held))
+            _, at, n = np.unique(pair, return_index=True, return_counts=True)
+            for k in range(0, len(at), 100_000):
+                part = at[k : k + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(before[part]), pa.array(word[part]), pa.array(n[k : k + 100_000])], ["before", "word", "n"])
+
         for batch in batches:
             with np.errstate(over="ignore"):
                 for _, _, buf, offs in doc_chunks(batch.column(0)):
-                    w = Words(buf, offs)
-                    for s, c in zip(sums, classes(w)):
-                        s += np.bincount(c, minlength=len(s))
-        for kind, s in enumerate(sums):
-            at = np.flatnonzero(s)
-            for k in range(0, len(at), 100_000):
-                part = at[k : k + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), kind, np.int32)), pa.array(part.astype(np.int32)), pa.array(s[part])], ["kind", "class", "n"])
+                    word, before, pair = classes(Words(buf, offs))
+                    held.append((before, word, pair))
+                    size += len(word)
+                    if size >= COUNTED:
+                        yield from summed()
+                        held, size = [], 0
+        if held:
+            yield from summed()
 
-    parts = texts.select(F.col(text_col).alias("text")).mapInArrow(run, "kind int, class int, n long")
-    return parts.groupBy("kind", "class").agg(F.sum("n").alias("n"))
+    return texts.select(F.col(text_col).alias("text")).mapInArrow(run, "before long, word long, n long")
 
 
 class Model:
-    """Tables of one corpus; at most 2 ** PAIR_BITS + 2 ** (WORD_BITS + 1) + 1 counts."""
+    """One corpus's column of the count tables that both corpora share."""
 
-    def __init__(self, rows: pa.Table) -> None:
-        kind, cls, n = (rows.column(c).to_numpy() for c in ("kind", "class", "n"))
-        size = (1 << WORD_BITS, (1 << WORD_BITS) + 1, 1 << PAIR_BITS)
-        self.words, self.firsts, self.pairs = (np.bincount(cls[kind == k], weights=n[kind == k], minlength=s).astype(np.float32) for k, s in enumerate(size))
-        self.total = float(self.words.sum())
+    def __init__(self, column: str, pairs: DataFrame, words: DataFrame, firsts: DataFrame, source: DataFrame) -> None:
+        self.column, self.source = column, source
+        self.tables = {"pairs": pairs, "words": words, "firsts": firsts}
+        total, self.vocabulary = words.agg(F.coalesce(F.sum(column), F.lit(0)), F.count("*")).first()
+        self.total = float(total)
 
-    def loss(self, word: np.ndarray, before: np.ndarray, pair: np.ndarray) -> np.ndarray:
-        single = (self.words[word] + ADDED) / (self.total + ADDED * (1 << WORD_BITS))
-        return -np.log(WEIGHT * np.minimum(self.pairs[pair] / np.maximum(self.firsts[before], 1), 1) + (1 - WEIGHT) * single)
+    def _held(self, name: str, *keys: str) -> Counter:
+        rows = self.tables[name].select(*keys, self.column).toArrow()
+        with np.errstate(over="ignore"):
+            *k, n = (np.ascontiguousarray(c.to_numpy()) for c in rows.columns)
+            return Counter(dict(zip((k[0] if len(k) == 1 else pair_keys(*k)).tolist(), n.tolist())))
+
+    # counts by key, to look into small models; scores use the tables
+
+    @cached_property
+    def words(self) -> Counter:
+        return self._held("words", "word")
+
+    @cached_property
+    def firsts(self) -> Counter:
+        return self._held("firsts", "before")
+
+    @cached_property
+    def pairs(self) -> Counter:
+        return self._held("pairs", "before", "word")
+
+
+def _sums(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
 
 
 def trained(target: DataFrame, background: DataFrame) -> tuple[Model, Model]:
-    return Model(counts(target).toArrow()), Model(counts(background).toArrow())
+    one = counts(target).select("before", "word", F.col("n").alias("target"), F.lit(0).cast("long").alias("background"))
+    two = counts(background).select("before", "word", F.lit(0).cast("long").alias("target"), F.col("n").alias("background"))
+    pairs = written(_sums(one.unionByName(two), "before", "word"), "lm-pairs")
+    words, firsts = written(_sums(pairs, "word"), "lm-words"), written(_sums(pairs, "before"), "lm-firsts")
+    released(pairs.sparkSession)
+    return tuple(Model(c, pairs, words, firsts, background) for c in ("target", "background"))
 
 
-def score(docs: DataFrame, target: Model, background: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, target_loss, background_loss, score): mean losses per token and their difference."""
-    shared = docs.sparkSession.sparkContext.broadcast((target, background))
+def losses(docs: DataFrame, target: Model, background: Model, text_col: str = "text") -> DataFrame:
+    """(before, word, target, background): both losses of every pair of the corpora and the documents."""
+    pairs, words, firsts = (target.tables[k] for k in ("pairs", "words", "firsts"))
+    if text_col != "text" or not docs.sameSemantics(target.source):
+        none = F.lit(0).cast("long")
+        pairs = _sums(pairs.unionByName(counts(docs, text_col).select("before", "word", none.alias("target"), none.alias("background"))), "before", "word")
+    size = max(1 << WORD_BITS, target.vocabulary)
+    rows = pairs.join(words.select("word", F.col("target").alias("wt"), F.col("background").alias("wb")), "word", "left")
+    rows = rows.join(firsts.select("before", F.col("target").alias("ft"), F.col("background").alias("fb")), "before", "left").na.fill(0)
+
+    def loss(pair: str, first: str, word: str, total: float):
+        single = (F.col(word) + ADDED) / F.lit(total + ADDED * size)
+        return -F.log(WEIGHT * F.least(F.col(pair) / F.greatest(first, F.lit(1)), F.lit(1.0)) + (1 - WEIGHT) * single)
+
+    return rows.select("before", "word", loss("target", "ft", "wt", target.total).alias("target"), loss("background", "fb", "wb", background.total).alias("background"))
 
+
+def bucket_of(pairs: np.ndarray, buckets: int) -> np.ndarray:
+    """Ascending in the pairs as unsigned numbers."""
+    return ((pairs.view(U64) >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int32)
+
+
+def _rows(rows: list) -> pa.RecordBatch:
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4]
+    names = [c.split()[0] for c in PACKED.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+
+def packed_losses(rows: DataFrame, buckets: int) -> DataFrame:
     def run(batches):
-        one, two = shared.value
         for batch in batches:
-            n = np.zeros(batch.num_rows, np.int64)
-            a, b = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
+            if not batch.num_rows:
+                continue
             with np.errstate(over="ignore"):
-                for i, j, buf, offs in doc_chunks(batch.column(1)):
+                before, word, one, two = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+                keys = pair_keys(np.ascontiguousarray(before), np.ascontiguousarray(word)).view(U64)
+            order = np.argsort(keys)
+            keys, one, two = keys[order], one[order], two[order]
+            b = bucket_of(keys, buckets)
+            cut = np.append(np.flatnonzero(np.append(True, b[1:] != b[:-1])), len(b))
+            yield _rows([(b[i], TABLE, 0, None, keys[i:j].tobytes(), one[i:j].tobytes(), two[i:j].tobytes(), None) for i, j in zip(cut[:-1], cut[1:])])
+
+    return rows.mapInArrow(run, PACKED)
+
+
+def packed_docs(docs: DataFrame, buckets: int) -> DataFrame:
+    """Of each block of documents its ids and token counts, and by bucket its distinct pairs: keys, documents of each, who, how often."""
+
+    def run(batches):
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            ids = batch.column(0)
+            for i, j, buf, offs in doc_chunks(batch.column(1), BLOCK_BYTES):
+                with np.errstate(over="ignore"):
                     w = Words(buf, offs)
-                    c = classes(w)
-                    n[i:j] = w.counts
-                    a[i:j] = np.bincount(w.doc, weights=one.loss(*c), minlength=j - i)
-                    b[i:j] = np.bincount(w.doc, weights=two.loss(*c), minlength=j - i)
-            none = n == 0
-            a, b = a / np.maximum(n, 1), b / np.maximum(n, 1)
-            ids = pa.array(ids_at(batch, "doc_id"), pa.int64(), from_pandas=True)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(a, mask=none), pa.array(b, mask=none), pa.array(a - b, mask=none)], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+                    pair = classes(w)[2].view(U64)
+                rows = [(block % buckets, HEAD, block, ids.slice(i, j - i).to_pylist(), w.counts.astype(np.int64).tobytes(), None, None, None)]
+                if len(pair):
+                    order = np.argsort(pair, kind="stable")
+                    p, d = pair[order], w.doc[order]
+                    entry = np.flatnonzero(np.append(True, (p[1:] != p[:-1]) | (d[1:] != d[:-1])))
+                    n = np.diff(np.append(entry, len(p))).astype(np.uint32)
+                    p, d = p[entry], d[entry].astype(np.uint32)
+                    key = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
+                    many = np.diff(np.append(key, len(p))).astype(np.uint32)
+                    keys = p[key]
+                    b = bucket_of(keys, buckets)
+                    cut = np.append(np.flatnonzero(np.append(True, b[1:] != b[:-1])), len(b))
+                    at = np.append(key, len(p))[cut]
+                    for q in range(len(cut) - 1):
+                        k, e = slice(cut[q], cut[q + 1]), slice(at[q], at[q + 1])
+                        rows.append((b[cut[q]], ENTRIES, block, None, keys[k].tobytes(), many[k].tobytes(), d[e].tobytes(), n[e].tobytes()))
+                yield _rows(rows)
+                block += 1
 
+    return docs.mapInArrow(run, PACKED)
+
+
+def met(batches):
+    """Rows sorted by bucket and kind: heads as they are; of entries the documents and both loss sums."""
+    bucket, parts, table = None, [], None
+    for batch in batches:
+        out = []
+        for b, kind, block, ids, *blobs in zip(*(c.to_pylist() for c in batch.columns)):
+            if b != bucket:
+                bucket, parts, table = b, [], None
+            if kind == TABLE:
+                parts.append(blobs[:3])
+            elif kind == HEAD:
+                out.append((b, kind, block, ids, *blobs))
+            else:
+                if table is None:
+                    keys, one, two = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*parts), (U64, float, float)))
+                    order = np.argsort(keys)
+                    table, parts = (keys[order], one[order], two[order]), []
+                keys, many, d, n = (np.frombuffer(x, t) for x, t in zip(blobs, (U64, np.uint32, np.uint32, np.uint32)))
+                at = np.repeat(np.searchsorted(table[0], keys), many)
+                sums = [np.bincount(d, weights=n * x[at]) for x in table[1:]]
+                who = np.unique(d)
+                out.append((b, kind, block, None, who.tobytes(), sums[0][who].tobytes(), sums[1][who].tobytes(), None))
+        if out:
+            yield _rows(out)
+
+
+def gathered(batches):
+    """Rows sorted by block, its head first: the scores of its documents."""
+    block = None
+
+    def scores():
+        n, a, b = tokens, *sums
+        none = n == 0
+        a, b = a / np.maximum(n, 1), b / np.maximum(n, 1)
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(n), pa.array(a, mask=none), pa.array(b, mask=none), pa.array(a - b, mask=none)], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    for batch in batches:
+        for _, kind, at, ids, *blobs in zip(*(c.to_pylist() for c in batch.columns)):
+            if kind == HEAD:
+                if block is not None:
+                    yield scores()
+                block, names, tokens = at, ids, np.frombuffer(blobs[0], np.int64)
+                sums = np.zeros((2, len(tokens)))
+            else:
+                who = np.frombuffer(blobs[0], np.uint32)
+                for x, y in zip(sums, blobs[1:3]):
+                    x[who] += np.frombuffer(y)
+    if block is not None:
+        yield scores()
+
+
+def score(docs: DataFrame, target: Model, background: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, target_loss, background_loss, score): mean losses per token and their difference."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    table = losses(docs, target, background, text_col)
+    buckets = max(LEAST_BUCKETS, input_bytes(docs, text_col) // BUCKET_BYTES)
+    both = packed_losses(table, buckets).unionByName(packed_docs(rows, buckets))
+    parts = both.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(met, PACKED)
+    # HEAD is the largest kind
+    parts = parts.repartition("block").sortWithinPartitions(F.col("block"), F.col("kind").desc())
+    return parts.mapInArrow(gathered, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")

@@ -3,7 +3,7 @@
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -298,6 +298,42 @@ def test_lm_scoring(spark):
     assert got[texts.index(None)].score is None and got[texts.index("")].n_tokens == 0
 
 
+def test_lm_scoring_counts(spark, monkeypatch):
+    """More distinct pairs than a table of fixed size could hold apart: every score is that of true counts."""
+    monkeypatch.setattr(lm_scoring, "COUNTED", 50_000)
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(200_000)}" for _ in range(5000)) for _ in range(60)]
+    passages = [" ".join(t.split()[:300]) for t in texts[:5]]
+    new = ["w1 never seen before w1"]
+    target = spark.createDataFrame([(t,) for t in passages], "text string")
+    docs = frame(spark, texts)
+
+    def true_counts(rows):
+        words, firsts, pairs = Counter(), Counter(), Counter()
+        for t in rows:
+            w = t.split()
+            words.update(w), firsts.update([None, *w[:-1]]), pairs.update(zip([None, *w[:-1]], w))
+        return words, firsts, pairs
+
+    models = [true_counts(passages), true_counts(texts)]
+    size = max(1 << lm_scoring.WORD_BITS, len(models[1][0]))
+    assert size > 1 << lm_scoring.WORD_BITS
+
+    def loss(text, words, firsts, pairs):
+        w = text.split()
+        single = [(words[x] + 0.5) / (sum(words.values()) + 0.5 * size) for x in set(w)]
+        single = dict(zip(set(w), single))
+        return -np.mean([np.log(0.6 * pairs[p, x] / max(firsts[p], 1) + 0.4 * single[x]) for p, x in zip([None, *w[:-1]], w)])
+
+    one, two = lm_scoring.trained(target, docs)
+    got = {r.doc_id: r for r in lm_scoring.score(docs, one, two).collect()}
+    assert len(got) == len(texts)
+    for i in (0, 30, 59):
+        assert (got[i].target_loss, got[i].background_loss) == pytest.approx([loss(texts[i], *m) for m in models], rel=1e-9)
+    (r,) = lm_scoring.score(frame(spark, new), one, two).collect()
+    assert (r.target_loss, r.background_loss) == pytest.approx([loss(new[0], *m) for m in models], rel=1e-9)
+
+
 def test_language_id(spark):
     rows = {r.doc_id: r for r in Q.op9_language_id(spark, "/root/testdata/sf0.01").collect()}
     docs = {r.doc_id: r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
