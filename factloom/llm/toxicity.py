@@ -27,6 +27,8 @@ PREFIXES = (4, 5)
 MOST_ROWS, MOST_BYTES = 6000, 14_000_000
 #: Bounds of thresholds: none is lower than FLOOR, and with too few toxic rows it is CAUTIOUS, so that clean documents stay.
 FLOOR, CAUTIOUS = 0.5, 0.95
+#: Scores from 0 to 1 that thresholds tell apart; all below FLOOR are one.
+SCORE_BINS = 4096
 
 
 class Network:
@@ -168,24 +170,27 @@ def fit(texts: list[str], y: np.ndarray, steps: int = 600, batch: int = 48, seed
     return net
 
 
-def thresholds(scores: np.ndarray, y: np.ndarray, langs: list, precision: float = 0.98, least: int = 20) -> dict:
+def thresholds(rows: list, precision: float = 0.98, least: int = 20) -> dict:
     """By language, the least score of at least FLOOR at which ``precision`` of flagged rows are toxic.
 
+    A row holds the lang, number, toxic number, least and greatest score of a bin of scores of a language.
     The key None holds the threshold of all rows together, for languages with fewer than ``least`` toxic rows; where even those are too
     few, it is CAUTIOUS.
     """
     out = {None: CAUTIOUS}
-    for lang in [None, *sorted({x for x in langs if x is not None})]:
-        own = np.array([lang is None or x == lang for x in langs], bool)
-        s, t = scores[own], y[own]
-        if t.sum() < least:
+    bins: dict = {None: {}}
+    for lang, k, *row in rows:
+        for key in {None, lang}:
+            old = bins.setdefault(key, {}).get(k, (0, 0, 1.0, 0.0))
+            bins[key][k] = (old[0] + row[0], old[1] + row[1], min(old[2], row[2]), max(old[3], row[3]))
+    for lang, own in bins.items():
+        n, toxic, low, high = (np.array(x) for x in zip(*(own[k] for k in sorted(own, reverse=True)))) if own else [np.zeros(0)] * 4
+        if toxic.sum() < least:
             continue
-        order = np.argsort(-s, kind="stable")
-        good = np.cumsum(t[order]) / np.arange(1, len(t) + 1)
-        last = np.flatnonzero((good >= precision) & np.append(np.diff(s[order]) != 0, True))
+        last = np.flatnonzero(np.cumsum(toxic) >= precision * np.cumsum(n))
         if len(last):
-            below = s[order][last[-1] + 1] if last[-1] + 1 < len(t) else 0.0
-            out[lang] = max(FLOOR, float((s[order][last[-1]] + below) / 2))
+            below = high[last[-1] + 1] if last[-1] + 1 < len(n) else 0.0
+            out[lang] = max(FLOOR, float((low[last[-1]] + below) / 2))
     return out
 
 
@@ -199,13 +204,14 @@ def score(docs: DataFrame, net: Network, *carry: str) -> DataFrame:
     return scored(docs, net.scores, *carry)
 
 
-def language_thresholds(docs: DataFrame, labels: DataFrame, net: Network, trains: Column, most: int = 20_000) -> dict:
-    """Thresholds from the scores of at most about ``most`` labelled rows that the network may learn from."""
+def language_thresholds(docs: DataFrame, labels: DataFrame, net: Network, trains: Column) -> dict:
+    """Thresholds from the scores of all labelled rows that the network may learn from, counted by language and bin of scores."""
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("y")).filter(trains)
-    share = int(min(1.0, most / max(1, known.count())) * (1 << 30))
-    drawn = F.broadcast(known.filter(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) < share))
-    got = score(docs.select("doc_id", "text", "lang").join(drawn, "doc_id"), net, "lang", "y").select("lang", "y", "score").collect()
-    return thresholds(np.array([r.score for r in got]), np.array([r.y for r in got], float), [r.lang for r in got])
+    # scored before the join, so that no text is shuffled
+    rows = score(docs.select("doc_id", "text", "lang"), net, "lang").join(known, "doc_id")
+    k = F.when(F.col("score") < FLOOR, -1).otherwise(F.floor(F.col("score") * SCORE_BINS)).alias("bin")
+    got = rows.groupBy("lang", k).agg(F.count("*"), F.sum("y"), F.min("score"), F.max("score")).collect()
+    return thresholds([tuple(r) for r in got])
 
 
 def limit_of(limits: dict) -> Column:

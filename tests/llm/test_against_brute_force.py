@@ -355,6 +355,27 @@ def test_classifiers(spark, name, label):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows.values())
 
 
+def test_toxicity_thresholds(spark):
+    """A small language of a large table has its own threshold, from all its labelled rows; one with few toxic rows has the pooled one."""
+    from pyspark.sql import functions as F
+
+    from factloom.llm import toxicity
+
+    class Net:
+        def scores(self, words, offs):
+            return words.counts / 100
+
+    rows = spark.range(66_000).withColumn("lang", F.expr("if(id % 66 = 0, 'xx', if(id % 66 = 1, 'yy', 'en'))"))
+    rows = rows.withColumn("toxic", F.expr("if(lang = 'xx', id div 66 % 25 = 0, if(lang = 'yy', id div 66 < 19, id % 3 = 0))").cast("int"))
+    rows = rows.withColumn("n", F.expr("case lang when 'en' then if(toxic = 1, 95, 90) else if(toxic = 1, 70, 60) end"))
+    docs = rows.select(F.col("id").alias("doc_id"), F.expr("repeat('w ', n)").alias("text"), "lang")
+    limits = toxicity.language_thresholds(docs, rows.select(F.col("id").alias("doc_id"), "toxic"), Net(), F.lit(True))
+    assert limits == {None: pytest.approx(0.925), "en": pytest.approx(0.925), "xx": pytest.approx(0.65)}
+    none = toxicity.language_thresholds(docs, rows.select(F.col("id").alias("doc_id"), F.lit(0).alias("toxic")), Net(), F.lit(True))
+    assert none == {None: toxicity.CAUTIOUS}
+    assert toxicity.language_thresholds(docs.limit(0), rows.select(F.col("id").alias("doc_id"), "toxic"), Net(), F.lit(True)) == {None: toxicity.CAUTIOUS}
+
+
 def test_empty_tables(spark):
     from pyspark.sql import functions as F
 
