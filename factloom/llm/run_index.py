@@ -1,91 +1,145 @@
-"""A run-length index: suffix array, run-compressed Burrows-Wheeler transform and sampled run ends, in numpy."""
+"""A run-length index of many short segments: run-compressed Burrows-Wheeler transform with sampled run ends, in numpy.
+
+The suffix array is a temporary of the construction.  What stays is a row for each run of the transform: its symbol, its
+length, the text positions at its two ends and the length of the match between its first suffix and the suffix before
+that one.  Suffixes inside a run need nothing of their own: where two neighbours have one symbol before them, their match is one
+shorter than that of the suffixes which begin one symbol earlier, and they are neighbours too.  So the match of every position of the
+text with its neighbour, and where that neighbour is, stream off the sampled run ends.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
+BIG = np.iinfo(np.int64).max
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling; ``text`` holds values below 512.  A suffix that ends sorts before its extensions."""
-    n = len(text)
-    key = np.zeros(n, np.uint64)
-    for k in range(6):
-        part = np.zeros(n, np.uint64)
-        part[: n - k] = text[k:].astype(np.uint64) + np.uint64(1)
-        key = key << np.uint64(10) | part
-    order = np.argsort(key, kind="stable")
-    reach = 6
-    while True:
-        k = key[order]
-        rank = np.zeros(n, np.int64)
-        rank[order] = np.cumsum(np.append(False, k[1:] != k[:-1]))
-        if n == 0 or rank[order[-1]] == n - 1:
-            return order
-        after = np.zeros(n, np.int64)
-        if reach < n:
-            after[: n - reach] = rank[reach:] + 1
-        key = (rank * (n + 2) + after).astype(np.uint64)
-        order = np.argsort(key, kind="stable")
-        reach *= 2
 
+def _prefix_keys(code: np.ndarray, left: np.ndarray, bits: int) -> tuple[np.ndarray, int]:
+    """The next symbols of every position packed in one number, and how many; nothing beyond the end of the segment counts."""
+    key, have = code.astype(np.uint64), 1
+    while 2 * have * bits <= 64:
+        more = np.zeros_like(key)
+        more[: len(key) - have] = key[have:]
+        more[left < have] = 0
+        key = key << np.uint64(have * bits) | more
+        have *= 2
+    return key, have
 
-class RunIndex:
-    """Index of many short segments: symbols are bytes + 1, each segment is followed by the separator 0.
 
-    The transform is kept as its runs (start and symbol); ranks come from a search over the runs of a symbol.  Suffix array
-    values are kept at both ends of every run, and the segment of each suffix for the range minimum of owners.
+def suffix_array(code: np.ndarray, left: np.ndarray, bits: int) -> np.ndarray:
+    """Suffix array of segments that each end with a 0.  ``left``: symbols to the segment's end.
+
+    Suffixes are compared to the end of their segment; equal ones stand in the order of the text.  Only suffixes that are still
+    tied are sorted again, by the ranks of what follows, with doubled reach.
     """
+    n = len(code)
+    key, reach = _prefix_keys(code, left, bits)
+    order = np.argsort(key)
+    key = key[order]
+    head = np.append(True, key[1:] != key[:-1])
+    rank = np.empty(n, np.int64)
+    longest = int(left.max()) if n else 0
+    place = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+    rank[order] = place
+    tied = np.flatnonzero(~(head & np.append(head[1:], True)))
+    last = False
+    while len(tied):
+        p, group = order[tied], place[tied]
+        if last:
+            after = p
+        else:
+            after = np.where(left[p] >= reach, rank[np.minimum(p + reach, n - 1)] + 1, 0)
+        key = group * (n + 1) + after
+        by = np.argsort(key)
+        key = key[by]
+        order[tied] = p = p[by]
+        if last:
+            break
+        new = np.append(True, key[1:] != key[:-1])
+        # tied groups are whole, so a suffix's place is that of the first of its new group
+        at = np.maximum.accumulate(np.where(new, tied, 0))
+        place[tied] = at
+        rank[p] = at
+        tied = tied[~(new & np.append(new[1:], True))]
+        reach *= 2
+        last = reach > longest
+    return order
+
 
-    def __init__(self, segments: list[bytes], owners: np.ndarray) -> None:
-        lens = np.array([len(s) for s in segments], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(lens + 1)])[:-1]
-        text = np.zeros(int(lens.sum() + len(lens)), np.int64)
-        body = np.ones(len(text), bool)
-        body[self.starts + lens] = False
-        text[body] = np.frombuffer(b"".join(segments), np.uint8).astype(np.int64) + 1
-        self.text, n = text, len(text)
-        sa = suffix_array(text)
-        bwt = text[sa - 1]
-        first = np.flatnonzero(np.append(True, bwt[1:] != bwt[:-1])) if n else np.zeros(0, np.int64)
-        self.n, symbol, length = n, bwt[first], np.diff(np.append(first, n))
-        self.sample_first, self.sample_last = sa[first], sa[first + length - 1]
+class RunIndex:
+    """Index of segments given as one run of bytes and their lengths."""
+
+    def __init__(self, data: np.ndarray, lens: np.ndarray) -> None:
+        n = len(data) + len(lens)
+        self.n, self.lens = n, lens
+        self.starts = np.cumsum(lens + 1) - (lens + 1)
+        self.left = np.repeat(self.starts + lens, lens + 1) - np.arange(n)
+        used = np.unique(data)
+        letter = np.zeros(256, np.uint16)
+        letter[used] = np.arange(1, len(used) + 1)
+        body = self.left > 0
+        self.text = np.zeros(n, np.uint16)
+        self.text[body] = letter[data]
+        bits = max(1, int(len(used)).bit_length())
+        sa = suffix_array(self.text, self.left, bits)
+        bwt = self.text[sa - 1]
+        # ends of segments are different symbols, so each is a run of its own
+        first = np.flatnonzero(np.append(True, (bwt[1:] != bwt[:-1]) | (bwt[1:] == 0))) if n else np.zeros(0, np.int64)
+        self.symbol, self.length = bwt[first], np.diff(np.append(first, n))
+        self.first, self.last = sa[first], sa[first + self.length - 1]
         self.runs = len(first)
-        by = np.lexsort((first, symbol))
-        self.key = symbol[by] * (n + 1) + first[by]
-        self.symbol, self.start, self.length = symbol[by], first[by], length[by]
-        total = np.cumsum(self.length)
-        before = total - self.length
-        head = np.append(True, self.symbol[1:] != self.symbol[:-1]) if n else np.zeros(0, bool)
-        self.seen = before - np.repeat(before[head], np.diff(np.append(np.flatnonzero(head), len(by))))
-        self.base = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=257))])
-        self.owner = owners[np.searchsorted(self.starts, sa, "right") - 1]
-
-    def rank(self, symbol: np.ndarray, i: np.ndarray) -> np.ndarray:
-        """How often each symbol stands before place i of the transform."""
-        k = np.searchsorted(self.key, symbol * (self.n + 1) + i) - 1
-        own = (k >= 0) & (self.symbol[k] == symbol)
-        return np.where(own, self.seen[k] + np.minimum(i - self.start[k], self.length[k]), 0)
-
-    def stream(self, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """For windows of ``length`` symbols at places of the text: (match length, least owner of a whole match).
-
-        Windows are matched backwards, all in step.  The match length is how many last symbols also occur elsewhere in the index, at
-        most ``length``; windows that only match themselves stop early, with the owner -1.
+        self.match = np.zeros(self.runs, np.int64)
+        self.match[1:] = self.common(self.first[1:], self.last[:-1])
+        by = np.argsort(self.first)
+        # in text order: position of a run's first suffix, its neighbour before it, their match
+        self.at, self.before, self.common_length = self.first[by], np.append(-1, self.last)[by], self.match[by]
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """How many symbols two suffixes have in common, to the end of the shorter segment."""
+        reach = np.minimum(self.left[a], self.left[b])
+        out = np.zeros(len(a), np.int64)
+        wide = np.zeros(self.n + 8, np.uint64)
+        for k in range(4):  # four symbols of 16 bits
+            wide[: self.n - k] = wide[: self.n - k] << np.uint64(16) | self.text[k:].astype(np.uint64)
+            wide[self.n - k :] <<= np.uint64(16)
+        live = np.arange(len(a))
+        while len(live):
+            x = wide[a[live] + out[live]] ^ wide[b[live] + out[live]]
+            same = (x >> np.uint64(48) == 0).astype(np.int64)
+            same += (x >> np.uint64(32) == 0) * 1
+            same += (x >> np.uint64(16) == 0) * 1
+            same += (x == 0) * 1
+            out[live] += same
+            live = live[(same == 4) & (out[live] < reach[live])]
+        return np.minimum(out, reach)
+
+    def stream(self, least: int, block: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Matching statistics in text order, by blocks: (positions with ``least`` symbols to go, match length, where it is).
+
+        The match of a position is that with the suffix before it; suffixes that share ``least`` symbols are chained by it.
         """
-        lo, hi = np.zeros(len(at), np.int64), np.full(len(at), self.n, np.int64)
-        matched = np.zeros(len(at), np.int64)
-        live = np.arange(len(at))
-        for k in range(length - 1, -1, -1):
-            c = self.text[at[live] + k]
-            lo[live] = self.base[c] + self.rank(c, lo[live])
-            hi[live] = self.base[c] + self.rank(c, hi[live])
-            live = live[hi[live] - lo[live] > 1]
-            matched[live] += 1
-            if not len(live):
+        for s in range(0, self.n, block):
+            at = s + np.flatnonzero(self.left[s : s + block] >= least)
+            run = np.searchsorted(self.at, at, "right") - 1
+            on = at - self.at[run]
+            yield at, self.common_length[run] - on, self.before[run] + on
+
+    def least_owners(self, owners: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """(positions of all windows of ``length`` symbols, least owner of a segment that has the window).  Owners are those of segments."""
+        at, match, where = (np.concatenate(x) for x in zip(*self.stream(length))) if self.n else [np.zeros(0, np.int64)] * 3
+        number = np.zeros(self.n + 1, np.int64)
+        number[at] = np.arange(len(at))
+        chained = match >= length
+        head = np.arange(len(at))
+        head[chained] = number[where[chained]]
+        while True:
+            up = head[head]
+            if (up == head).all():
                 break
-        least = np.full(len(at), -1, np.int64)
-        if len(live):
-            ends = np.stack([lo[live], hi[live]], 1).ravel()
-            padded = np.append(self.owner, np.iinfo(np.int64).max)
-            least[live] = np.minimum.reduceat(padded, ends)[::2]
-        return matched, least
+            head = up
+        own = owners[np.searchsorted(self.starts, at, "right") - 1]
+        least = np.full(len(at), BIG)
+        np.minimum.at(least, head, own)
+        return at, least[head]

@@ -1,31 +1,82 @@
-"""Written intermediate tables in the folder that all executors share."""
+"""Written intermediate tables in the folder that all executors share.
+
+Tables are managed ones of a database that lies in that folder, so that dropping a table deletes its files and a table can be
+bucketed for joins that need no shuffle.
+"""
 
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import time
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Names of the tables that this driver has written and not dropped, in order.
+_live: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where the session names none (local tests)."""
+    """The cluster's shared folder.  Only a local session may do without one and gets a temporary folder."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="factloom-")
         spark.conf.set("spark.checkpoint.dir", where)
-    return where
+    return where.rstrip("/")
+
+
+def _database(spark: SparkSession) -> str:
+    name = "factloom_" + re.sub(r"\W", "_", spark.sparkContext.applicationId.lower())
+    if not spark.catalog.databaseExists(name):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{shared_dir(spark)}/{name}'")
+    return name
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts lineage and survives lost executors."""
+def written(df: DataFrame, label: str, buckets: int = 0, by: tuple[str, ...] = ()) -> DataFrame:
+    """Write a table to the shared folder and read it back: cuts lineage and survives lost executors.
+
+    With ``buckets``, rows are dealt by the columns ``by`` and joins on those columns read the table without a shuffle.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/factloom/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    name = f"{_database(spark)}.{re.sub(r'\W', '_', label)}_{uuid.uuid4().hex}"
+    if buckets:
+        df = df.repartition(buckets, *by)
+    out = df.write.format("parquet").option("compression", "zstd")
+    if buckets:
+        out = out.bucketBy(buckets, *by)
+    out.saveAsTable(name)
+    _live.append(name)
+    table = spark.table(name)
+    table._factloom_name = name
+    return table
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete written tables whose rows are needed no more."""
+    for t in tables:
+        _drop_names(t.sparkSession, [t._factloom_name])
+
+
+def _drop_names(spark: SparkSession, names: Iterable[str]) -> None:
+    for name in list(names):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if name in _live:
+            _live.remove(name)
+
+
+def live() -> set[str]:
+    """Names of the tables that are there, to be given to ``drop_named`` later."""
+    return set(_live)
+
+
+def drop_named(spark: SparkSession, names: Iterable[str]) -> None:
+    _drop_names(spark, [n for n in names if n in _live])
 
 
 def input_bytes(df: DataFrame, text_col: str) -> int:
@@ -38,8 +89,10 @@ def input_bytes(df: DataFrame, text_col: str) -> int:
 
 
 def released(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished jobs, whose results are written, before the next stage needs room."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)  # files go a moment after their last reference
+    """Let Spark delete the shuffle files of finished jobs, whose results are written, before the next stage needs room.
+
+    Spark deletes them when the driver's garbage is collected; by itself that may be half an hour later.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(0.3)
