@@ -7,7 +7,8 @@ partially filled windows least.  A partition packs its own documents as they str
 shuffle and a lost task is simply run again.  Open windows keep their ids; when a partition ends, items
 of the emptiest windows are cut to fill the fullest, which leaves at most one partly filled window.
 
-Null and empty texts are the end id alone.  Ties go to the fuller level; equal levels fill the window opened last.
+Null and empty texts are the end id alone; null ids stay null; repeated rows are packed once each.  A text of any length is cut into windows;
+other columns are not read.  Ties go to the fuller level; equal levels fill the window opened last.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import codec
+from .bpe import CHUNK, codec
 from .textops import doc_chunks
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -123,9 +124,9 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 1024, end_id: int = 0, i
         packer = Packer(length, TaskContext.get().partitionId() << 32)
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for i, _, buf, offs in doc_chunks(batch.column(1)):
+            for i, _, buf, offs in doc_chunks(batch.column(1), CHUNK):
                 for k, x in enumerate(c.encode_chunk(buf, offs)):
-                    packer.add(ids[i + k], x + end)
+                    packer.add(ids[i + k], x.astype("<u4", copy=False).tobytes() + end)
                 if packer.out:
                     yield packer.batch()
         packer.finish()
