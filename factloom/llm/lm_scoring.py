@@ -1,261 +1,238 @@
 """Cross-entropy difference: per-token loss under a target model minus loss under a background model.
 
-Both models are word bigram models of one kind over one shared vocabulary.  Words are 64-bit hashes and a pair is its two words' hashes,
-so the count tables hold every distinct word and pair of both corpora and grow with them; they are shuffled and written, and no
-task or driver holds one whole.  A pair's probability is its count over its first word's count, interpolated with the word's own
-share, which is smoothed over the vocabulary (2 ** WORD_BITS words at least, so that unseen words have a share in small corpora).
+Both are word bigram models of one kind over one vocabulary, the distinct words of both corpora and one for all others.  A pair's
+probability is ``(count + ADDED) / (count of its first word as a first word + ADDED * vocabulary)``.  So a document's loss is a sum of terms that each
+need one count, of a pair or of a first word, and counts never have to meet.
 
-To score, documents' distinct pairs are packed by block of documents and bucket of pair hashes, meet the losses of their bucket, and
-the sums go back to their block.  A common pair is one key of a block, however many documents have it.
+Documents are cut into blocks of some megabytes.  A block sends its distinct pairs and first words, as 64-bit hashes with the documents that have them,
+to buckets of hash ranges.  A bucket so sees all blocks' counts of its keys: it adds them up for both corpora and gives each block
+back the loss sums of its documents.  Nothing is capped: counts grow with the corpora, and no task or driver holds them whole.  A key that very
+many documents of a block have goes to its bucket as one number; its documents wait for the answer where the block's sums
+are gathered, so a word or pair that every document has costs its bucket one number a block.
 
 The score is mean over a document's tokens of ``loss_target - loss_background`` in nats: the lower, the more the document is like the
 target.  A document that is null, empty or blank has no tokens and the score null.  Words are as in the shingle operators;
-each document begins after a start symbol.  An empty corpus gives uniform probabilities.
+each document begins after a start symbol.  With two empty corpora every loss is 0.  Repeated rows count and are scored once each; ids may be null or
+repeated; other columns are not read.  A text of any length is one block, so memory follows the longest text.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from functools import cached_property
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import input_bytes, released, written
-from .textops import U64, Words, doc_chunks, ids_at, mix
+from .scratch import input_bytes
+from .textops import U64, Words, doc_chunks, mix, planes, unplanes
 
-WORD_BITS = 17
-WEIGHT, ADDED = 0.6, 0.5
+ADDED = 0.01
 START = U64(0x1D8E4E27C47D124F)
-#: Words that a task counts before it passes their pairs on; bytes of a block of documents; buckets, and input bytes of one.
+#: Words that a task counts before it passes them on; bytes of a block of documents; buckets, and input bytes of one.
 COUNTED, BLOCK_BYTES = 4_000_000, 1 << 22
 LEAST_BUCKETS, BUCKET_BYTES = 48, 32 << 20
-PACKED = "bucket int, kind int, block long, ids array<long>, keys binary, x binary, y binary, z binary"
-TABLE, ENTRIES, HEAD = range(3)
-
-
-def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mix(before.view(U64) * U64(0x9E3779B97F4A7C15) + word.view(U64)).view(np.int64)
-
-
-def classes(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per word: its key, the key of the word before it (START at a document's start), and their pair's key."""
+#: Documents of a block from which a key's documents are not sent to its bucket.
+MANY = 64
+PAIR, FIRST = range(2)
+#: What a row is to the block that it belongs to, in the order that the block reads them.
+HEAD, SUMS, ANSWER, WAITING = range(4)
+#: Kind of rows that only pass a bucket on their way to their block.
+PASSING = -1
+#: side: 1 counts for the target, 2 for the background.
+PACKED = "bucket int, kind int, side int, block long, n int, keys binary, total binary, many binary, doc binary, times binary, wide binary, role int, part long, ids array<long>"
+#: x, y, z: HEAD: tokens of each document; SUMS: documents, loss sums of both models; ANSWER: terms of both models; WAITING: documents of each key, which, how often.
+GATHERED = "block long, role int, part long, ids array<long>, x binary, y binary, z binary"
+
+
+def keys_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Per word: the key of its pair with the word before it (START at a document's start), and that of the word before it."""
     h = words.hashes
     start = np.append(True, words.doc[1:] != words.doc[:-1])[: len(h)]
-    word, before = h.view(np.int64), np.where(start, START, np.roll(h, 1)).view(np.int64)
-    return word, before, pair_keys(before, word)
+    before = np.where(start, START, np.roll(h, 1))
+    return mix(before * U64(0x9E3779B97F4A7C15) + h), mix(before + U64(0x632BE59BD9B4E019))
 
 
-def counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """(before, word, n) of every part of the texts; a pair can have several rows."""
+def vocabulary(*corpora: DataFrame) -> int:
+    """How many distinct words the corpora have."""
 
     def run(batches):
         held, size = [], 0
-
-        def summed():
-            before, word, pair = (np.concatenate(x) for x in zip(*held))
-            _, at, n = np.unique(pair, return_index=True, return_counts=True)
-            for k in range(0, len(at), 100_000):
-                part = at[k : k + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(before[part]), pa.array(word[part]), pa.array(n[k : k + 100_000])], ["before", "word", "n"])
-
         for batch in batches:
             with np.errstate(over="ignore"):
                 for _, _, buf, offs in doc_chunks(batch.column(0)):
-                    word, before, pair = classes(Words(buf, offs))
-                    held.append((before, word, pair))
-                    size += len(word)
+                    held.append(np.unique(Words(buf, offs).hashes))
+                    size += len(held[-1])
                     if size >= COUNTED:
-                        yield from summed()
-                        held, size = [], 0
+                        held = [np.unique(np.concatenate(held))]
+                        size = len(held[0])
+                        if size >= COUNTED // 2:
+                            yield pa.RecordBatch.from_arrays([pa.array(held[0].view(np.int64))], ["word"])
+                            held, size = [], 0
         if held:
-            yield from summed()
-
-    return texts.select(F.col(text_col).alias("text")).mapInArrow(run, "before long, word long, n long")
-
-
-class Model:
-    """One corpus's column of the count tables that both corpora share."""
-
-    def __init__(self, column: str, pairs: DataFrame, words: DataFrame, firsts: DataFrame, source: DataFrame) -> None:
-        self.column, self.source = column, source
-        self.tables = {"pairs": pairs, "words": words, "firsts": firsts}
-        total, self.vocabulary = words.agg(F.coalesce(F.sum(column), F.lit(0)), F.count("*")).first()
-        self.total = float(total)
-
-    def _held(self, name: str, *keys: str) -> Counter:
-        rows = self.tables[name].select(*keys, self.column).toArrow()
-        with np.errstate(over="ignore"):
-            *k, n = (np.ascontiguousarray(c.to_numpy()) for c in rows.columns)
-            return Counter(dict(zip((k[0] if len(k) == 1 else pair_keys(*k)).tolist(), n.tolist())))
-
-    # counts by key, to look into small models; scores use the tables
-
-    @cached_property
-    def words(self) -> Counter:
-        return self._held("words", "word")
-
-    @cached_property
-    def firsts(self) -> Counter:
-        return self._held("firsts", "before")
-
-    @cached_property
-    def pairs(self) -> Counter:
-        return self._held("pairs", "before", "word")
-
-
-def _sums(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(held)).view(np.int64))], ["word"])
 
-def trained(target: DataFrame, background: DataFrame) -> tuple[Model, Model]:
-    one = counts(target).select("before", "word", F.col("n").alias("target"), F.lit(0).cast("long").alias("background"))
-    two = counts(background).select("before", "word", F.lit(0).cast("long").alias("target"), F.col("n").alias("background"))
-    pairs = written(_sums(one.unionByName(two), "before", "word"), "lm-pairs")
-    words, firsts = written(_sums(pairs, "word"), "lm-words"), written(_sums(pairs, "before"), "lm-firsts")
-    released(pairs.sparkSession)
-    return tuple(Model(c, pairs, words, firsts, background) for c in ("target", "background"))
+    words = [c.mapInArrow(run, "word long") for c in corpora]
+    total = words[0]
+    for w in words[1:]:
+        total = total.unionByName(w)
+    return total.distinct().count()
 
 
-def losses(docs: DataFrame, target: Model, background: Model, text_col: str = "text") -> DataFrame:
-    """(before, word, target, background): both losses of every pair of the corpora and the documents."""
-    pairs, words, firsts = (target.tables[k] for k in ("pairs", "words", "firsts"))
-    if text_col != "text" or not docs.sameSemantics(target.source):
-        none = F.lit(0).cast("long")
-        pairs = _sums(pairs.unionByName(counts(docs, text_col).select("before", "word", none.alias("target"), none.alias("background"))), "before", "word")
-    size = max(1 << WORD_BITS, target.vocabulary)
-    rows = pairs.join(words.select("word", F.col("target").alias("wt"), F.col("background").alias("wb")), "word", "left")
-    rows = rows.join(firsts.select("before", F.col("target").alias("ft"), F.col("background").alias("fb")), "before", "left").na.fill(0)
+def _table(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+    names, types = zip(*(c.split(" ") for c in schema.split(", ")))
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(zip(*rows) if rows else [()] * len(names), types)], list(names))
 
-    def loss(pair: str, first: str, word: str, total: float):
-        single = (F.col(word) + ADDED) / F.lit(total + ADDED * size)
-        return -F.log(WEIGHT * F.least(F.col(pair) / F.greatest(first, F.lit(1)), F.lit(1.0)) + (1 - WEIGHT) * single)
 
-    return rows.select("before", "word", loss("target", "ft", "wt", target.total).alias("target"), loss("background", "fb", "wb", background.total).alias("background"))
-
-
-def bucket_of(pairs: np.ndarray, buckets: int) -> np.ndarray:
-    """Ascending in the pairs as unsigned numbers."""
-    return ((pairs.view(U64) >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int32)
-
-
-def _rows(rows: list) -> pa.RecordBatch:
-    types = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4]
-    names = [c.split()[0] for c in PACKED.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
-
-
-def packed_losses(rows: DataFrame, buckets: int) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            with np.errstate(over="ignore"):
-                before, word, one, two = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-                keys = pair_keys(np.ascontiguousarray(before), np.ascontiguousarray(word)).view(U64)
-            order = np.argsort(keys)
-            keys, one, two = keys[order], one[order], two[order]
-            b = bucket_of(keys, buckets)
-            cut = np.append(np.flatnonzero(np.append(True, b[1:] != b[:-1])), len(b))
-            yield _rows([(b[i], TABLE, 0, None, keys[i:j].tobytes(), one[i:j].tobytes(), two[i:j].tobytes(), None) for i, j in zip(cut[:-1], cut[1:])])
-
-    return rows.mapInArrow(run, PACKED)
-
-
-def packed_docs(docs: DataFrame, buckets: int) -> DataFrame:
-    """Of each block of documents its ids and token counts, and by bucket its distinct pairs: keys, documents of each, who, how often."""
+def packed(texts: DataFrame, buckets: int, side: int, scored: bool) -> DataFrame:
+    """Of (id, text): each block's keys by bucket with their counts, for scored texts with the documents of each key, and a head with the block's ids."""
 
     def run(batches):
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            ids = batch.column(0)
             for i, j, buf, offs in doc_chunks(batch.column(1), BLOCK_BYTES):
                 with np.errstate(over="ignore"):
                     w = Words(buf, offs)
-                    pair = classes(w)[2].view(U64)
-                rows = [(block % buckets, HEAD, block, ids.slice(i, j - i).to_pylist(), w.counts.astype(np.int64).tobytes(), None, None, None)]
-                if len(pair):
-                    order = np.argsort(pair, kind="stable")
-                    p, d = pair[order], w.doc[order]
-                    entry = np.flatnonzero(np.append(True, (p[1:] != p[:-1]) | (d[1:] != d[:-1])))
-                    n = np.diff(np.append(entry, len(p))).astype(np.uint32)
-                    p, d = p[entry], d[entry].astype(np.uint32)
-                    key = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
-                    many = np.diff(np.append(key, len(p))).astype(np.uint32)
-                    keys = p[key]
-                    b = bucket_of(keys, buckets)
-                    cut = np.append(np.flatnonzero(np.append(True, b[1:] != b[:-1])), len(b))
-                    at = np.append(key, len(p))[cut]
-                    for q in range(len(cut) - 1):
-                        k, e = slice(cut[q], cut[q + 1]), slice(at[q], at[q + 1])
-                        rows.append((b[cut[q]], ENTRIES, block, None, keys[k].tobytes(), many[k].tobytes(), d[e].tobytes(), n[e].tobytes()))
-                yield _rows(rows)
+                    both = keys_of(w)
+                rows = [passing(HEAD, block, 0, batch.column(0).slice(i, j - i).to_pylist(), w.counts.astype(np.int64).tobytes())] if scored else []
+                for kind, key in enumerate(both):
+                    if len(key):
+                        rows += packed_keys(kind, key, w.doc, block)
+                yield _table(PACKED, rows)
                 block += 1
 
-    return docs.mapInArrow(run, PACKED)
-
-
-def met(batches):
-    """Rows sorted by bucket and kind: heads as they are; of entries the documents and both loss sums."""
-    bucket, parts, table = None, [], None
+    def packed_keys(kind, key, doc, block):
+        order = np.argsort(key)
+        key = key[order]
+        new = np.append(True, key[1:] != key[:-1])
+        # one number for the key's rank and the document: sorted, its runs are the entries
+        bits = int(doc.max()).bit_length()
+        entry = np.sort((np.cumsum(new) - 1) << bits | doc[order])
+        at = np.flatnonzero(np.append(True, entry[1:] != entry[:-1]))
+        times = np.diff(np.append(at, len(entry)))
+        entry = entry[at]
+        rank, doc = entry >> bits, entry & ((1 << bits) - 1)
+        begin = np.flatnonzero(np.append(True, rank[1:] != rank[:-1]))
+        many, total, key = np.diff(np.append(begin, len(rank))), np.add.reduceat(times, begin), key[new]
+        bucket = ((key >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
+        cut = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(key))
+        edge = np.append(begin, len(rank))
+        wide = many >= MANY
+        slow = np.repeat(wide, many)
+        for a, z in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            e = slice(edge[a], edge[z])
+            b, shown = int(bucket[a]), (None,) * 4
+            if scored:
+                quick = ~slow[e]
+                shown = (planes(np.where(wide[a:z], 0, many[a:z]), 4), planes(doc[e][quick], 4), planes(times[e][quick], 4), np.packbits(wide[a:z]).tobytes())
+                if wide[a:z].any():
+                    yield passing(WAITING, block, 2 * b + kind, None, planes(many[a:z][wide[a:z]], 4), planes(doc[e][~quick], 4), planes(times[e][~quick], 4))
+            yield (b, kind, side, block, z - a, planes(key[a:z], 8), planes(total[a:z], 8), *shown, None, None, None)
+
+    def passing(role, block, part, ids, x, y=None, z=None):
+        return ((block + part) % buckets, PASSING, 0, block, 0, None, None, x, y, z, None, role, part, ids)
+
+    return texts.mapInArrow(run, PACKED)
+
+
+def answered(batches, size: int):
+    """Rows sorted by bucket and kind: the loss sums of each block's documents, and the terms of the keys that its documents wait for."""
+    held: list[tuple] = []
+
+    def settled():
+        keys = [unplanes(r[5], r[4], 8) for r in held]
+        counts = [unplanes(r[6], r[4], 8).astype(np.int64) for r in held]
+        key, count = np.concatenate(keys), np.concatenate(counts)
+        side = np.repeat([r[2] for r in held], [len(k) for k in keys])
+        order = np.argsort(key)
+        group = np.empty(len(key), np.int64)
+        group[order] = np.cumsum(np.append(True, key[order][1:] != key[order][:-1])) - 1
+        terms = []
+        for bit in (1, 2):
+            n = np.bincount(group, weights=count * (side & bit > 0))
+            terms.append(-np.log(n + ADDED) if held[0][1] == PAIR else np.log(n + ADDED * size))
+        at = 0
+        for r, k in zip(held, keys):
+            own = group[at : at + len(k)]
+            at += len(k)
+            if r[7] is None:
+                continue
+            many = unplanes(r[7], len(k), 4).astype(np.int64)
+            entries = int(many.sum())
+            if entries:
+                doc, times = (unplanes(x, entries, 4).astype(np.int64) for x in r[8:10])
+                which = np.repeat(own, many)
+                who = np.flatnonzero(np.bincount(doc))
+                yield (r[3], SUMS, 0, None, who.tobytes(), *(np.bincount(doc, weights=times * x[which])[who].tobytes() for x in terms))
+            wide = np.unpackbits(np.frombuffer(r[10], np.uint8), count=len(k)).astype(bool)
+            if wide.any():
+                yield (r[3], ANSWER, 2 * r[0] + r[1], None, *(x[own[wide]].tobytes() for x in terms), None)
+
+    now = None
     for batch in batches:
         out = []
-        for b, kind, block, ids, *blobs in zip(*(c.to_pylist() for c in batch.columns)):
-            if b != bucket:
-                bucket, parts, table = b, [], None
-            if kind == TABLE:
-                parts.append(blobs[:3])
-            elif kind == HEAD:
-                out.append((b, kind, block, ids, *blobs))
+        for r in zip(*(c.to_pylist() for c in batch.columns)):
+            if r[:2] != now:
+                if held:
+                    out += settled()
+                now, held = r[:2], []
+            if r[1] == PASSING:
+                out.append((r[3], r[11], r[12], r[13], *r[7:10]))
             else:
-                if table is None:
-                    keys, one, two = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*parts), (U64, float, float)))
-                    order = np.argsort(keys)
-                    table, parts = (keys[order], one[order], two[order]), []
-                keys, many, d, n = (np.frombuffer(x, t) for x, t in zip(blobs, (U64, np.uint32, np.uint32, np.uint32)))
-                at = np.repeat(np.searchsorted(table[0], keys), many)
-                sums = [np.bincount(d, weights=n * x[at]) for x in table[1:]]
-                who = np.unique(d)
-                out.append((b, kind, block, None, who.tobytes(), sums[0][who].tobytes(), sums[1][who].tobytes(), None))
-        if out:
-            yield _rows(out)
+                held.append(r)
+        yield _table(GATHERED, out)
+    if held:
+        yield _table(GATHERED, list(settled()))
 
 
 def gathered(batches):
-    """Rows sorted by block, its head first: the scores of its documents."""
-    block = None
+    """Rows sorted by block and role: the scores of the block's documents."""
+    block = ids = tokens = sums = None
+    answers: dict[int, list[np.ndarray]] = {}
 
     def scores():
-        n, a, b = tokens, *sums
-        none = n == 0
-        a, b = a / np.maximum(n, 1), b / np.maximum(n, 1)
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(n), pa.array(a, mask=none), pa.array(b, mask=none), pa.array(a - b, mask=none)], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+        none = tokens == 0
+        a, b = (x / np.maximum(tokens, 1) for x in sums)
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(tokens), *(pa.array(x, mask=none) for x in (a, b, a - b))], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
     for batch in batches:
-        for _, kind, at, ids, *blobs in zip(*(c.to_pylist() for c in batch.columns)):
-            if kind == HEAD:
+        for at, role, part, names, *blobs in zip(*(c.to_pylist() for c in batch.columns)):
+            if role == HEAD:
                 if block is not None:
                     yield scores()
-                block, names, tokens = at, ids, np.frombuffer(blobs[0], np.int64)
+                block, ids, tokens, answers = at, names, np.frombuffer(blobs[0], np.int64), {}
                 sums = np.zeros((2, len(tokens)))
-            else:
-                who = np.frombuffer(blobs[0], np.uint32)
-                for x, y in zip(sums, blobs[1:3]):
+            elif role == SUMS:
+                who = np.frombuffer(blobs[0], np.int64)
+                for x, y in zip(sums, blobs[1:]):
                     x[who] += np.frombuffer(y)
+            elif role == ANSWER:
+                answers[part] = [np.frombuffer(x) for x in blobs[:2]]
+            else:
+                many = unplanes(blobs[0], len(blobs[0]) // 4, 4).astype(np.int64)
+                doc, times = (unplanes(x, len(x) // 4, 4).astype(np.int64) for x in blobs[1:])
+                for x, terms in zip(sums, answers[part]):
+                    x += np.bincount(doc, weights=times * np.repeat(terms, many), minlength=len(tokens))
     if block is not None:
         yield scores()
 
 
-def score(docs: DataFrame, target: Model, background: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, target_loss, background_loss, score): mean losses per token and their difference."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    table = losses(docs, target, background, text_col)
-    buckets = max(LEAST_BUCKETS, input_bytes(docs, text_col) // BUCKET_BYTES)
-    both = packed_losses(table, buckets).unionByName(packed_docs(rows, buckets))
-    parts = both.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(met, PACKED)
-    # HEAD is the largest kind
-    parts = parts.repartition("block").sortWithinPartitions(F.col("block"), F.col("kind").desc())
-    return parts.mapInArrow(gathered, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+def cross_entropy_difference(docs: DataFrame, target: DataFrame, background: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, target_loss, background_loss, score): mean losses per token and their difference.
+
+    ``target`` and ``background`` have a column of the text's name; without a background, the documents themselves are it.
+    """
+    text = F.col(text_col).alias("text")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text)
+    known = [target.select(F.lit(None).cast("long").alias("doc_id"), text)]
+    known.append(rows if background is None else background.select(F.lit(None).cast("long").alias("doc_id"), text))
+    size = vocabulary(*(c.select("text") for c in known)) + 1
+    total = input_bytes(docs, text_col) + (0 if background is None else input_bytes(background, text_col))
+    buckets = max(LEAST_BUCKETS, total // BUCKET_BYTES)
+    parts = packed(rows, buckets, 2 if background is None else 0, True).unionByName(packed(known[0], buckets, 1, False))
+    if background is not None:
+        parts = parts.unionByName(packed(known[1], buckets, 2, False))
+    back = parts.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(lambda b: answered(b, size), GATHERED)
+    back = back.repartition("block").sortWithinPartitions("block", "role")
+    return back.mapInArrow(gathered, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")

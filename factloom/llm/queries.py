@@ -32,8 +32,7 @@ def op3_cover_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents against the benchmark's passages as the target and all documents as the background."""
     docs = table(spark, sf_dir, "documents")
-    target, background = lm_scoring.trained(table(spark, sf_dir, "benchmark"), docs)
-    return lm_scoring.score(docs, target, background)
+    return lm_scoring.cross_entropy_difference(docs, table(spark, sf_dir, "benchmark"))
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

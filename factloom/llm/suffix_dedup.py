@@ -39,7 +39,7 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, Struc
 
 from .run_index import RunIndex
 from .scratch import input_bytes, released, written
-from .textops import U64, doc_chunks
+from .textops import U64, doc_chunks, planes, unplanes
 
 GRAM = 20
 #: A row holds less than 2 ** 31 bytes.
@@ -107,17 +107,6 @@ def cells(buf: np.ndarray, offs: np.ndarray, length: int, gram: int = GRAM) -> t
     return doc, begin - offs[doc], windows, g[anchor[first]], content
 
 
-def planes(values: np.ndarray, width: int) -> bytes:
-    """The low ``width`` bytes of whole numbers, byte by byte of equal weight, so that high bytes compress well."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-
-
-def unplanes(data: memoryview, n: int, width: int) -> np.ndarray:
-    out = np.zeros((n, 8), np.uint8)
-    out[:, :width] = np.frombuffer(data, np.uint8, n * width).reshape(width, n).T
-    return out.view("<u8").ravel()
-
-
 #: Columns of a blob and their bytes each.  Keys: a document's owner (its id) and row.
 KEYS = (("owner", 8), ("row", 8))
 #: Cells; h are the leading bytes of a minimiser's hash, whose rest its bucket partly tells, doc is a place in the keys.
@@ -193,8 +182,8 @@ def by_row(row: np.ndarray, code: np.ndarray, late: np.ndarray) -> pa.Table:
 class PhraseTask:
     """Collects the cells of a run of documents; ``flush`` gives blobs by bucket and what is known already."""
 
-    def __init__(self, buckets: int, length: int) -> None:
-        self.buckets, self.length = buckets, length
+    def __init__(self, buckets: int, length: int, hot: int) -> None:
+        self.buckets, self.length, self.hot = buckets, length, hot
         self.reset()
 
     def reset(self) -> None:
@@ -224,7 +213,7 @@ class PhraseTask:
         first = np.flatnonzero(new_c)
         covered = owner > np.repeat(owner[first], np.diff(np.append(first, len(h))))
         group = np.cumsum(new_h) - 1
-        hot = (np.bincount(group[first]) >= HOT)[group]
+        hot = (np.bincount(group[first]) >= self.hot)[group]
         # a hot minimiser is announced to its bucket (no windows); its cells are dealt by window
         mark = np.flatnonzero(new_h & hot)
         send = np.concatenate([np.flatnonzero(~covered & ~hot), mark])
@@ -275,7 +264,7 @@ def unpacked(table: pa.Table, spec: tuple) -> tuple[np.ndarray, np.ndarray, dict
     return np.concatenate(owners), np.concatenate(rows), {k: np.concatenate([p[k] for p in parts]) for k, _ in spec}, tails
 
 
-def settle(table: pa.Table) -> pa.Table:
+def settle(table: pa.Table, hot_bucket: int) -> pa.Table:
     """One bucket: what its phrases' owners and neighbours say of each row's cells."""
     out = [known_rows(table)]
     owner, row, e, _ = unpacked(table, ENTRY)
@@ -293,7 +282,7 @@ def settle(table: pa.Table) -> pa.Table:
         start = np.flatnonzero(new_h)
         lo, hi = np.minimum.reduceat(owner, start), np.maximum.reduceat(owner, start)
         distinct = np.bincount(group[first])
-        hot = (distinct >= HOT_BUCKET) | np.isin(h[start], marked)
+        hot = (distinct >= hot_bucket) | np.isin(h[start], marked)
         late = ~covered & (hot | ((distinct > 1) & (lo < hi)))[group]
         route = np.where(hot[group], 0, (h % U64(ROUTES)).astype(np.int64) + 1)
         tell = np.flatnonzero(covered | late)
@@ -353,7 +342,7 @@ def marked_windows(index: RunIndex, owners: np.ndarray, length: int) -> tuple[np
     return segment[gone], (at - index.starts[segment])[gone]
 
 
-def match(table: pa.Table, length: int) -> pa.Table:
+def match(table: pa.Table, length: int, part: int) -> pa.Table:
     """One bucket of texts: index them, in parts of whole routes, and mark each window that also stands in a text of a smaller owner."""
     out = [known_rows(table)]
     owner, row, e, tails = unpacked(table, TEXTS)
@@ -364,8 +353,8 @@ def match(table: pa.Table, length: int) -> pa.Table:
     route, total = e["route"][order], np.cumsum(size[order])
     k = 0
     while k < len(order):
-        # as many routes as have PART bytes, one at least
-        to = int(np.searchsorted(total, total[k] - size[order[k]] + PART, "right"))
+        # as many routes as have so many bytes, one at least
+        to = int(np.searchsorted(total, total[k] - size[order[k]] + part, "right"))
         to = int(np.searchsorted(route, route[max(k, to - 1)], "right"))
         some = order[k:to]
         lens = size[some]
@@ -415,7 +404,7 @@ def processed(docs: DataFrame, length: int, id_col: str, text_col: str, carry: l
     released(docs.sparkSession)
 
     def phrases(batches):
-        task = PhraseTask(buckets, length)
+        task = PhraseTask(buckets, length, HOT)
         with np.errstate(over="ignore"):
             for batch in batches:
                 owners, ids = (batch.column(k).to_numpy() for k in range(2))
@@ -425,11 +414,11 @@ def processed(docs: DataFrame, length: int, id_col: str, text_col: str, carry: l
                         yield from task.flush()
             yield from task.flush()
 
-    settled = written(texts.select("owner", "row", "text").mapInArrow(phrases, PARTS_SQL).groupBy("bucket").applyInArrow(settle, TOLD_SQL), "suffix-settled")
+    settled = written(texts.select("owner", "row", "text").mapInArrow(phrases, PARTS_SQL).groupBy("bucket").applyInArrow(lambda t: settle(t, HOT_BUCKET), TOLD_SQL), "suffix-settled")
     released(docs.sparkSession)
     flat = lambda rows, c: rows.filter(f"{c} is not null").groupBy("row").agg(F.flatten(F.collect_list(c)).alias(c))
     dealt = texts.join(flat(settled, "late"), "row").select("owner", "row", "text", "late").mapInArrow(lambda b: deal(b, buckets, length), PARTS_SQL)
-    found = written(dealt.groupBy("bucket").applyInArrow(lambda t: match(t, length), TOLD_SQL).select("row", "done"), "suffix-found")
+    found = written(dealt.groupBy("bucket").applyInArrow(lambda t: match(t, length, PART), TOLD_SQL).select("row", "done"), "suffix-found")
     released(docs.sparkSession)
     told = flat(settled.select("row", "done").unionByName(found), "done")
     joined = texts.join(told, "row", "left").select("text", "done", *(f"carried_{k}" for k in range(len(carry))))

@@ -138,6 +138,17 @@ def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     return doc[order], s[order]
 
 
+def planes(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of whole numbers, byte by byte of equal weight, so that high bytes compress well."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def unplanes(data: bytes | memoryview, n: int, width: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8, n * width).reshape(width, n).T
+    return out.view("<u8").ravel()
+
+
 def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -84,6 +84,8 @@ def brute_near(rows, percent=75):
 def test_suffix_dedup(spark, seed, monkeypatch):
     if seed:
         monkeypatch.setattr(suffix_dedup, "HOT", 3)
+        monkeypatch.setattr(suffix_dedup, "HOT_BUCKET", 5)
+        monkeypatch.setattr(suffix_dedup, "PART", 500)
     texts = fixture_texts(seed)
     ids = list(range(100, 100 + len(texts)))
     random.Random(seed).shuffle(ids)
@@ -274,64 +276,61 @@ def test_top_k(spark, kind):
     assert len(got) == len(range(0, n, 10))
 
 
-def test_lm_scoring(spark):
-    """Counts and scores against a plain loop over words."""
-    texts = fixture_texts(7)
-    docs, target = frame(spark, texts), spark.createDataFrame([("a b c a b",), (None,), ("b c",)], "text string")
-    one, two = lm_scoring.trained(target, docs)
-    assert one.total == 7 and two.total == sum(len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for t in texts)
-    got = {r.doc_id: r for r in lm_scoring.score(docs, one, two).collect()}
-    from factloom.llm.textops import Words
-
-    with np.errstate(over="ignore"):
-        for i in (0, 30, 70):
-            b = np.frombuffer(texts[i].encode(), np.uint8)
-            word, before, pair = lm_scoring.classes(Words(b, np.array([0, len(b)])))
-            loss = []
-            for m in (one, two):
-                total = 0.0
-                for w, f, p in zip(word, before, pair):
-                    single = (m.words[w] + 0.5) / (m.total + 0.5 * (1 << lm_scoring.WORD_BITS))
-                    total -= np.log(0.6 * min(m.pairs[p] / max(m.firsts[f], 1), 1) + 0.4 * single)
-                loss.append(total / len(word))
-            assert got[i].score == pytest.approx(loss[0] - loss[1], rel=1e-4)
-    assert got[texts.index(None)].score is None and got[texts.index("")].n_tokens == 0
+def brute_losses(docs, *corpora):
+    """(tokens, losses under a bigram model of each corpus) of every text, from plain counts of words."""
+    split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+    size = len({w for c in corpora for t in c for w in split(t)}) + 1
+    models = []
+    for corpus in corpora:
+        firsts, pairs = Counter(), Counter()
+        for t in corpus:
+            w = split(t)
+            firsts.update([None, *w[:-1]] if w else []), pairs.update(zip([None, *w[:-1]], w))
+        models.append((firsts, pairs))
+    out = []
+    for t in docs:
+        w = split(t)
+        out.append((len(w), [-np.mean([np.log((pairs[x] + 0.01) / (firsts[x[0]] + 0.01 * size)) for x in zip([None, *w[:-1]], w)]) if w else None for firsts, pairs in models]))
+    return out
+
+
+def agree(got, want):
+    for n, (one, two), r in zip(*zip(*want), got):
+        assert r.n_tokens == n and (n > 0 or r.target_loss is r.background_loss is r.score is None)
+        assert not n or (r.target_loss, r.background_loss, r.score) == pytest.approx((one, two, one - two), rel=1e-9, abs=1e-9)
+
+
+@pytest.mark.parametrize("many", [64, 2])
+def test_lm_scoring(spark, many, monkeypatch):
+    """Every score is that of true counts of words, with blocks of few documents and keys whose documents wait for an answer."""
+    monkeypatch.setattr(lm_scoring, "MANY", many)
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 3000)
+    texts = [t if t is None else t.replace("\x00", "") for t in fixture_texts(7)]
+    target = ["a b c a b", None, "b c", texts[3]]
+    frames = frame(spark, texts), spark.createDataFrame([(t,) for t in target], "text string")
+    got = lm_scoring.cross_entropy_difference(*frames).orderBy("doc_id").collect()
+    agree(got, brute_losses(texts, target, texts))
+    other = [texts[5], "x y z", ""]
+    got = lm_scoring.cross_entropy_difference(*frames, spark.createDataFrame([(t,) for t in other], "text string")).orderBy("doc_id").collect()
+    agree(got, brute_losses(texts, target, other))
+
+
+def test_lm_scoring_table(spark):
+    """The registered query on its whole table."""
+    read = lambda name, key: [r.text for r in spark.read.parquet(f"{SF}/{name}.parquet").orderBy(key).collect()]
+    texts = read("documents", "doc_id")
+    agree(Q.op4_cross_entropy_difference(spark, SF).orderBy("doc_id").collect(), brute_losses(texts, read("benchmark", "item_id"), texts))
 
 
 def test_lm_scoring_counts(spark, monkeypatch):
-    """More distinct pairs than a table of fixed size could hold apart: every score is that of true counts."""
+    """Very many distinct pairs, passed on in parts."""
     monkeypatch.setattr(lm_scoring, "COUNTED", 50_000)
     rng = random.Random(12)
     texts = [" ".join(f"w{rng.randrange(200_000)}" for _ in range(5000)) for _ in range(60)]
     passages = [" ".join(t.split()[:300]) for t in texts[:5]]
-    new = ["w1 never seen before w1"]
-    target = spark.createDataFrame([(t,) for t in passages], "text string")
-    docs = frame(spark, texts)
-
-    def true_counts(rows):
-        words, firsts, pairs = Counter(), Counter(), Counter()
-        for t in rows:
-            w = t.split()
-            words.update(w), firsts.update([None, *w[:-1]]), pairs.update(zip([None, *w[:-1]], w))
-        return words, firsts, pairs
-
-    models = [true_counts(passages), true_counts(texts)]
-    size = max(1 << lm_scoring.WORD_BITS, len(models[1][0]))
-    assert size > 1 << lm_scoring.WORD_BITS
-
-    def loss(text, words, firsts, pairs):
-        w = text.split()
-        single = [(words[x] + 0.5) / (sum(words.values()) + 0.5 * size) for x in set(w)]
-        single = dict(zip(set(w), single))
-        return -np.mean([np.log(0.6 * pairs[p, x] / max(firsts[p], 1) + 0.4 * single[x]) for p, x in zip([None, *w[:-1]], w)])
+    got = lm_scoring.cross_entropy_difference(frame(spark, texts), spark.createDataFrame([(t,) for t in passages], "text string")).orderBy("doc_id").collect()
+    agree(got, brute_losses(texts, passages, texts))
 
-    one, two = lm_scoring.trained(target, docs)
-    got = {r.doc_id: r for r in lm_scoring.score(docs, one, two).collect()}
-    assert len(got) == len(texts)
-    for i in (0, 30, 59):
-        assert (got[i].target_loss, got[i].background_loss) == pytest.approx([loss(texts[i], *m) for m in models], rel=1e-9)
-    (r,) = lm_scoring.score(frame(spark, new), one, two).collect()
-    assert (r.target_loss, r.background_loss) == pytest.approx([loss(new[0], *m) for m in models], rel=1e-9)
 
 
 def test_language_id(spark):
@@ -391,7 +390,7 @@ def test_empty_tables(spark):
     assert toxicity.score(docs, toxicity.trained(docs, labels)).count() == 0
     assert quality.score(docs, quality.trained(docs, labels)).count() == 0
     assert language_id.predict(docs, *language_id.learn(docs, F.lit(True))).count() == 0
-    assert lm_scoring.score(docs, *lm_scoring.trained(docs, docs)).count() == 0
+    assert lm_scoring.cross_entropy_difference(docs, docs).count() == 0
     assert cover_search.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
 
 
