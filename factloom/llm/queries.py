@@ -46,7 +46,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("bucket", "link")
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("key", "depth", "prefix")
 
 
 OP7_SQL = r"""
