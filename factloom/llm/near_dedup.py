@@ -11,7 +11,11 @@ leave links out.  A last pass closes every bucket that still holds several compo
 has tested are compared by size and signature in blocks of bounded size, and confirmed on the full sets.  So each pair
 that shares a bucket is in one component or has been compared.
 
-Null, empty and blank texts have an empty set (n_shingles 0), link with nothing and stay.
+The last pass first counts the shingles that only one set of all mixed buckets has: they are in no intersection, so a set with too many of them
+is left out and a pair is compared only if what both share could suffice.  That bound is exact.
+
+Null, empty and blank texts have an empty set (n_shingles 0), link with nothing and stay.  Null ids sort after all others; of rows with one id
+the first read is the smaller.  One row of a component is kept, whatever ids are repeated.  Other columns may have any name.
 """
 
 from __future__ import annotations
@@ -20,12 +24,14 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import min_labels
-from .scratch import written
-from .textops import U64, Words, doc_chunks, ids_at, mix, shingles
+from .picking import picked
+from .scratch import drop, released, written
+from .textops import U64, Words, doc_chunks, mix, shingles
 
 BINS, ROWS = 128, 4
 #: Signatures of sets with similarity 0.75 agree in fewer bins than this once in over a million cases.
@@ -67,41 +73,69 @@ def shingle_sets(column: pa.Array, width: int):
             yield np.unique(s[a:b])
 
 
+def set_ids(s: np.ndarray) -> tuple[int, int]:
+    """128 bits that identify a set."""
+    return int(mix(s).sum(dtype=U64).view(np.int64)), int(np.bitwise_xor.reduce(mix(s ^ U64(0xA0761D6478BD642F)), initial=U64(0)).view(np.int64))
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, sig, bands); set_a and set_b identify the set, null bands if it is empty."""
+    """(row, doc_id, content, n_shingles, set_a, set_b, sig, bands) of (doc_id, content, text).
+
+    row is a number of the row's own; set_a and set_b identify the set; sig and bands are null if it is empty.
+    """
 
     def run(batches):
+        at = TaskContext.get().partitionId() << 33
         for batch in batches:
             n, a, b, sigs, keys = [], [], [], [], []
             with np.errstate(over="ignore"):
-                for s in shingle_sets(batch.column(1), width):
+                for s in shingle_sets(batch.column(2), width):
                     n.append(len(s))
+                    x, y = set_ids(s)
+                    a.append(x), b.append(y)
                     if not len(s):
-                        a.append(0), b.append(0), sigs.append(None), keys.append(None)
+                        sigs.append(None), keys.append(None)
                         continue
-                    a.append(int(mix(s).sum(dtype=U64).view(np.int64)))
-                    b.append(int(np.bitwise_xor.reduce(mix(s ^ U64(0xA0761D6478BD642F))).view(np.int64)))
                     sig = signature(s)
                     sigs.append((mix(sig) & U64(255)).astype(np.uint8).tobytes())
                     keys.append(bands(sig))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids_at(batch, "doc_id"), pa.int64()), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "set_a", "set_b", "sig", "bands"],
-            )
+            rows = pa.array(np.arange(at, at + len(n)))
+            at += len(n)
+            made = [pa.array(x, t) for x, t in ((n, pa.int64()), (a, pa.int64()), (b, pa.int64()), (sigs, pa.binary()), (keys, pa.list_(pa.int64())))]
+            yield pa.RecordBatch.from_arrays([rows, batch.column(0), batch.column(1), *made], ["row", "doc_id", "content", "n_shingles", "set_a", "set_b", "sig", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, sig binary, bands array<long>")
+    return docs.mapInArrow(run, "row long, doc_id long, content long, n_shingles long, set_a long, set_b long, sig binary, bands array<long>")
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, items): the sorted distinct shingle hashes as packed bytes."""
+    """(set_a, set_b, items) of (doc_id, content, text): the sorted distinct shingle hashes as packed bytes."""
 
     def run(batches):
         for batch in batches:
             with np.errstate(over="ignore"):
-                items = [s.tobytes() for s in shingle_sets(batch.column(1), width)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids_at(batch, "doc_id"), pa.int64()), pa.array(items, pa.binary())], ["doc_id", "items"])
+                sets = list(shingle_sets(batch.column(2), width))
+                a, b = zip(*map(set_ids, sets)) if sets else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["set_a", "set_b", "items"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, items binary")
+    return docs.mapInArrow(run, "set_a long, set_b long, items binary")
+
+
+def single_items(sets: DataFrame) -> DataFrame:
+    """(rep, single): of (rep, items), how many items of a set no other of the sets has, where there are any."""
+
+    def run(batches):
+        for batch in batches:
+            size = np.array([len(x.as_buffer()) // 8 for x in batch.column(1)], np.int64)
+            if not size.sum():
+                continue
+            item = np.frombuffer(b"".join(x.as_buffer() for x in batch.column(1)), np.int64)
+            rep = np.repeat(batch.column(0).to_numpy(), size)
+            _, first, n = np.unique(item, return_index=True, return_counts=True)
+            # an item of several sets of the batch goes on as one row
+            yield pa.RecordBatch.from_arrays([pa.array(item[first]), pa.array(rep[first]), pa.array(n)], ["item", "rep", "n"])
+
+    items = sets.select("rep", "items").mapInArrow(run, "item long, rep long, n long").groupBy("item").agg(F.sum("n").alias("n"), F.min("rep").alias("rep"))
+    return items.filter("n = 1").groupBy("rep").agg(F.count("*").alias("single"))
 
 
 def agreeing(pairs: DataFrame, least: float) -> DataFrame:
@@ -132,6 +166,12 @@ def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "items_a", "items_b").mapInArrow(run, "a long, b long")
 
 
+def mixed_members(now: DataFrame) -> DataFrame:
+    """(rep) of every member of a bucket that holds several labels."""
+    mixed = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("bucket")
+    return now.join(mixed, "bucket").select("rep").distinct()
+
+
 def blocks(now: DataFrame, sigs: DataFrame) -> DataFrame:
     """Members of buckets that hold several labels, dealt to blocks (bucket, i, j).
 
@@ -144,15 +184,18 @@ def blocks(now: DataFrame, sigs: DataFrame) -> DataFrame:
     at = at.join(sigs, "rep")
     partner = F.expr("transform(sequence(0, rows - 1), x -> struct(x as i, j as j, false as centre))")
     centre = F.expr("if(minor, transform(sequence(0, columns - 1), x -> struct(i as i, x as j, true as centre)), array())")
-    return at.select("bucket", "rep", "label", "minor", "n_shingles", "sig", F.explode(F.concat(partner, centre)).alias("at")).select("bucket", "at.i", "at.j", "at.centre", "rep", "label", "minor", "n_shingles", "sig")
+    return at.select("bucket", "rep", "label", "minor", "n_shingles", "shared", "sig", F.explode(F.concat(partner, centre)).alias("at")).select("bucket", "at.i", "at.j", "at.centre", "rep", "label", "minor", "n_shingles", "shared", "sig")
 
 
 def across(members: DataFrame, percent: int, least: float) -> DataFrame:
-    """Of each block, the pairs (a, b) of a centre and a partner of another label whose sizes and signatures allow a link."""
+    """Of each block, the pairs (a, b) of a centre and a partner of another label whose sizes, shared shingles and signatures allow a link.
+
+    A set's shared shingles are those that some other set of a mixed bucket has: no pair can have more in common.
+    """
 
     def pairs(rows: pa.RecordBatch):
-        keys, (centre, rep, label, minor, size) = (np.stack([rows.column(k).to_numpy() for k in range(3)]), (rows.column(k).to_numpy(zero_copy_only=False) for k in range(3, 8)))
-        sig = np.frombuffer(b"".join(rows.column(8).to_pylist()), np.uint8).reshape(-1, BINS)
+        keys, (centre, rep, label, minor, size, shared) = (np.stack([rows.column(k).to_numpy() for k in range(3)]), (rows.column(k).to_numpy(zero_copy_only=False) for k in range(3, 9)))
+        sig = np.frombuffer(b"".join(rows.column(9).to_pylist()), np.uint8).reshape(-1, BINS)
         first = np.append(True, (keys[:, 1:] != keys[:, :-1]).any(0))
         begin = np.flatnonzero(first)
         partners = np.add.reduceat(~centre, begin)  # a block's partners are before its centres
@@ -166,9 +209,10 @@ def across(members: DataFrame, percent: int, least: float) -> DataFrame:
             m = n[k:to]
             one = np.repeat(x[k:to], m)
             two = np.arange(len(one)) + np.repeat(begin[k:to] - (total[k:to] - total[k]), m)
-            low, high = np.minimum(size[one], size[two]), np.maximum(size[one], size[two])
+            # with c in common: 100 c >= percent (m + n - c); c is at most what either set shares
+            most, both = np.minimum(shared[one], shared[two]), size[one] + size[two]
             # two centres meet in two blocks
-            ok = (label[one] != label[two]) & ~(minor[two] & (rep[one] > rep[two])) & (100 * low >= percent * high)
+            ok = (label[one] != label[two]) & ~(minor[two] & (rep[one] > rep[two])) & ((100 + percent) * most >= percent * both)
             one, two = one[ok], two[ok]
             ok = (sig[one] == sig[two]).mean(1) >= least
             a, b = rep[one[ok]], rep[two[ok]]
@@ -197,16 +241,24 @@ def across(members: DataFrame, percent: int, least: float) -> DataFrame:
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = numbered_groups(docs, F.lit(0).cast("long"), id_col, text_col, width, percent)
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def numbered_groups(docs: DataFrame, content, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """(row, doc_id, content, n_shingles, component_id, kept): ``content`` is passed on, to tell rows with one id apart."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), content.alias("content"), F.col(text_col).alias("text"))
     sketch = written(sketches(docs, width), "near-sketches")
     full = sketch.filter("n_shingles > 0")
-    classes = written(full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep")), "near-classes")
-    reps = full.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    entries = reps.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket"))
+    # the row that stands for each distinct set
+    classes = written(full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("row").alias("rep")), "near-classes")
+    reps = full.join(classes.select(F.col("rep").alias("row")), "row", "left_semi").withColumnRenamed("row", "rep")
+    entries = reps.select("rep", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1").select("bucket")
     # entries of buckets that hold several classes; the rest can never give an edge
     active = written(entries.join(shared, "bucket").select("bucket", "rep"), "near-entries")
-    sigs = reps.select(F.col("doc_id").alias("rep"), "n_shingles", "sig")
+    sigs = written(reps.select("rep", "doc_id", "set_a", "set_b", "n_shingles", "sig").join(active.select("rep").distinct(), "rep", "left_semi"), "near-signatures")
+    released(docs.sparkSession)
     labels = tested = links = None
     total = 0
 
@@ -215,16 +267,25 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             return active.withColumn("label", F.col("rep"))
         return written(active.join(labels, "rep", "left").select("bucket", "rep", F.coalesce("label", "rep").alias("label")), "near-entries")
 
+    def sets_of(some: DataFrame) -> DataFrame:
+        """(rep, items) for each of (rep)."""
+        ends = written(some.join(sigs, "rep").select("rep", "doc_id", "set_a", "set_b"), "near-ends")
+        ids = ends.select(F.col("doc_id").alias("end")).distinct()
+        texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("end")), "left_semi")
+        sets = full_sets(texts, width).join(ends.drop("doc_id"), ["set_a", "set_b"]).select("rep", "items")
+        return written(sets.dropDuplicates(["rep"]), "near-sets")
+
     def verified(edges: DataFrame) -> DataFrame:
         # written, so that its true size decides whether texts have to be shuffled
-        ends = written(edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near-ends")
-        sets = written(full_sets(docs.join(ends, "doc_id", "left_semi"), width), "near-sets")
-        pairs = edges.join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b")), "b").join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a")), "a")
-        return written(confirmed(pairs, percent), "near-links")
+        sets = sets_of(written(edges.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "near-ends"))
+        pairs = edges.join(sets.select(F.col("rep").alias("b"), F.col("items").alias("items_b")), "b").join(sets.select(F.col("rep").alias("a"), F.col("items").alias("items_a")), "a")
+        out = written(confirmed(pairs, percent), "near-links")
+        drop(sets)
+        return out
 
     for turn in itertools.count():
         now = labelled()
-        # the first centre is at first the smallest document; the others, and all later ones, are any member
+        # the first centre is at first the smallest row; the others, and all later ones, are any member
         orders = [F.col("rep") if turn == 0 and k == 0 else F.xxhash64("rep", F.lit(STARS * turn + k)) for k in range(STARS)]
         centres = [F.min(F.struct(o.alias("o"), "rep", "label")).alias(f"c{k}") for k, o in enumerate(orders)]
         open_ = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), *centres).filter("lo < hi")
@@ -250,7 +311,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             labels = min_labels(links)
         if n * WORTH <= total:
             break
-    edges = across(blocks(labelled(), sigs), percent, LEAST_AGREEING)
+    now = labelled()
+    members = sets_of(written(mixed_members(now), "near-mixed"))
+    rare = written(single_items(members), "near-rare")
+    drop(members)
+    able = sigs.join(rare, "rep", "left").select("rep", "n_shingles", "sig", (F.col("n_shingles") - F.coalesce("single", F.lit(0))).alias("shared"))
+    # a set that shares too little can link with none
+    able = able.filter(100 * F.col("shared") >= percent * F.col("n_shingles"))
+    edges = across(blocks(now.join(able.select("rep"), "rep", "left_semi"), able), percent, LEAST_AGREEING)
     if tested is not None:
         edges = edges.join(tested, ["a", "b"], "left_anti")
     edges = written(edges, "near-edges")
@@ -263,13 +331,28 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         classed = classed.join(labels, "rep", "left")
     else:
         classed = classed.withColumn("label", F.col("rep"))
-    classed = classed.select("set_a", "set_b", "n_shingles", F.coalesce("label", "rep").alias("component_id"))
-    rows = full.select("doc_id", "n_shingles", "set_a", "set_b").join(classed, ["set_a", "set_b", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
-    rows = rows.unionByName(sketch.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
-    return rows.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    classed = classed.select("set_a", "set_b", "n_shingles", F.coalesce("label", "rep").alias("label"))
+    # nulls come after all ids, and of repeated ids the first row
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least")
+    by_set = full.groupBy("set_a", "set_b", "n_shingles").agg(least).join(classed, ["set_a", "set_b", "n_shingles"])
+    groups = by_set.groupBy("label").agg(F.min("least").alias("least"))
+    by_set = written(by_set.drop("least").join(groups, "label").select("set_a", "set_b", "n_shingles", F.col("least.doc_id").alias("component_id"), F.col("least.row").alias("keeper")), "near-groups")
+    rows = full.join(by_set, ["set_a", "set_b", "n_shingles"]).select("row", "doc_id", "content", "n_shingles", "component_id", (F.col("row") == F.col("keeper")).alias("kept"))
+    alone = sketch.filter("n_shingles = 0").select("row", "doc_id", "content", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return rows.unionByName(alone)
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
     """The documents that stay, one of each component, with all their columns."""
-    kept = near_groups(docs, id_col, text_col, width, percent).filter("kept").select(F.col("doc_id").alias("__kept"))
-    return docs.join(kept, docs[id_col] == kept["__kept"], "left_semi")
+    content = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.col(text_col).isNull())
+    groups = numbered_groups(docs, content, id_col, text_col, width, percent)
+    groups = written(groups.select(F.col("doc_id").alias("id"), "content", "kept", "n_shingles"), "near-kept")
+    # rows of one id and text are told apart by their columns; those without words all stay
+    blank = groups.filter("n_shingles = 0").select("id", "content").distinct()
+    worded = groups.filter("n_shingles > 0")
+    kept = worded.filter("kept").select("id", "content")
+    counts = worded.groupBy("id", "content").agg(F.count("*").alias("rows")).filter("rows > 1").select(F.col("id").alias("i"), F.col("content").alias("c"))
+    again = written(kept.join(counts, kept["id"].eqNullSafe(F.col("i")) & (kept["content"] == F.col("c")), "left_semi"), "near-again")
+    own = F.col(id_col).cast("long")
+    stays = picked(docs, kept, again, own, content)
+    return stays.unionByName(docs.join(blank, own.eqNullSafe(blank["id"]) & (content == blank["content"]), "left_semi"))

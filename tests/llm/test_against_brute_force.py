@@ -170,11 +170,48 @@ def test_exact_dedup(spark, key):
 
 
 def test_directory_doubles(spark):
-    """Buckets split until they fit, unevenly loaded prefixes to different depths."""
-    keys = spark.createDataFrame([(k << 52 | k,) for k in range(64)] + [((1 << 62) + k,) for k in range(5)], "key long")
-    rows = exact_dedup.directory(keys, 4).collect()
-    assert len({r.local_depth for r in rows}) > 1
-    assert len({r.cell for r in rows}) == len(rows)
+    """Buckets split until they fit, unevenly loaded prefixes to different depths, down to the last bit."""
+    values = [k << 52 | k for k in range(64)] + [(1 << 62) + k for k in range(5)] + [-1, -2, -(1 << 63)]
+    rows = [(r.depth, r.prefix) for r in exact_dedup.directory(spark.createDataFrame([(k,) for k in values], "key long"), 4).collect()]
+    held = lambda d, p: sum((k & (1 << 64) - 1) >> (64 - d) == p & (1 << d) - 1 for k in values)
+    assert len({d for d, _ in rows}) > 2 and max(d for d, _ in rows) > 60
+    assert sum(held(d, p) for d, p in rows) == len(values) and len(set(rows)) == len(rows)
+    assert all(0 < held(d, p) <= 4 < held(d - 1, p >> 1) for d, p in rows)
+
+
+@pytest.mark.parametrize("hot", [2, 256])
+def test_exact_dedup_salted(spark, hot, monkeypatch):
+    """Groups of copies that several owners share; null and repeated ids; columns named like the operator's own."""
+    monkeypatch.setattr(exact_dedup, "HOT_SHARE", 0)
+    rows = [(i % 7 if i % 5 else None, "a b" if i % 2 else f"t {i % 3}") for i in range(60)]
+    docs = spark.createDataFrame([(i, t, k, "x") for k, (i, t) in enumerate(rows)], "doc_id long, text string, id long, norm string").repartition(4)
+    order = lambda i: (i is None, i or 0)
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[t].append(i)
+    want = Counter((i, min(groups[t], key=order), len(groups[t]), hashlib.sha256(t.encode()).hexdigest()) for i, t in rows)
+    got = exact_dedup.exact_groups(docs, hot=hot).collect()
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == want
+    assert all(r.kept == (r.doc_id == r.keep_id) for r in got)
+    kept = exact_dedup.deduplicate(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.text, r.doc_id) for r in kept.collect()) == sorted((t, min(g, key=order)) for t, g in groups.items())
+
+
+def test_near_dedup_ids(spark):
+    """Null, repeated and very large ids; columns named like the operator's own; rows without words."""
+    base = " ".join(f"w{k}" for k in range(60))
+    near = base.replace("w59", "z")
+    big = (1 << 53) + 1
+    rows = [(1, "a b"), (1, "a b"), (1, "zzz"), (0, "zzz"), (None, base), (big, near), (big + 1, base), (None, "q r"), (None, "q r"), (5, None), (5, ""), (None, " ")]
+    docs = spark.createDataFrame([(i, t, k, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, row long, kept long").repartition(3)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_groups(docs).collect())
+    want = [(1, 1, 1), (1, 1, 1), (1, 1, 0), (0, 1, 0), (None, 56, big), (big, 56, big), (big + 1, 56, big), (None, 1, None), (None, 1, None), (5, 0, 5), (5, 0, 5), (None, 0, None)]
+    assert got == Counter(want)
+    out = near_dedup.deduplicate(docs)
+    assert out.columns == docs.columns
+    kept = Counter((r.doc_id, r.text) for r in out.collect())
+    assert kept == Counter([(1, "a b"), (0, "zzz"), (big, near), (None, "q r"), (5, None), (5, ""), (None, " ")])
 
 
 def test_bpe(spark):
