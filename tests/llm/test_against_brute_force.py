@@ -431,6 +431,51 @@ def test_empty_tables(spark):
     assert cover_search.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("spread", [1.0, 40.0])
+def test_cover_tree(spread):
+    """Covering, separation and nesting at every level; pairs are pruned as scores rise, and the best are those of all products."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, spread, (30, 8))
+    points = np.floor(256 * (centres[rng.integers(0, 30, 3000)] + rng.normal(0, 0.05, (3000, 8))))
+    tree = cover_search.CoverTree(points)
+    away = lambda a, b: float(np.sqrt(((points[a] - points[b]) ** 2).sum()))
+    assert sorted(tree.order.tolist()) == list(range(3000)) and len(tree.centre) > 10
+    for node, below in enumerate(tree.children):
+        lo, hi = tree.range[node]
+        assert tree.centre[node] in tree.order[lo:hi]
+        assert all(away(tree.centre[node], x) <= min(tree.radius[node], 2.0 ** tree.level[node]) for x in tree.order[lo:hi])
+        if below:
+            assert [tree.range[c][0] for c in below] + [hi] == [lo] + [tree.range[c][1] for c in below]
+            assert tree.centre[node] in {tree.centre[c] for c in below}
+            assert all(tree.level[c] < tree.level[node] for c in below)
+            assert all(away(tree.centre[c], tree.centre[d]) > 2.0 ** (tree.level[node] - 1) for c in below for d in below if c < d)
+    queries = points[::10]
+    found = cover_search.DualSearch(cover_search.CoverTree(queries), np.arange(0, 3000, 10), tree, np.arange(3000), 5)
+    products = queries @ points.T
+    for i, (score, row) in enumerate(found.best):
+        products[i, 10 * i] = -np.inf
+        want = np.lexsort((np.arange(3000), -products[i]))[:5]
+        assert row.tolist() == want.tolist() and score.tolist() == products[i, want].tolist()
+    assert found.pruned > 0 and found.scored < 0.6 * products.size
+
+
+def test_top_k_copies(spark):
+    """Repeated rows take a rank each; ids with several vectors, null ids, vectors of other lengths."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(8)
+    rows = [(int(i), [float(v) for v in rng.normal(size=4)]) for i in rng.integers(0, 60, 200)]
+    rows += rows[:40] * 3 + [(None, [9.0] * 4), (70, [1.0, 2.0]), (80, [3.0, 1.0]), (90, []), (100, None), (110, [None, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = defaultdict(list)
+    for r in cover_search.top_k(df, F.col("vec_id") % 10 == 0, k=7).collect():
+        got[r.query_id].append((r.rank, r.score, r.vec_id))
+    usable = [(i, tuple(int(np.floor(256 * x)) for x in v)) for i, v in rows if i is not None and v and None not in v]
+    for q in {i for i, _ in usable if i % 10 == 0}:
+        scores = [(-sum(a * b for a, b in zip(x, y)), j) for i, x in set(usable) if i == q for j, y in usable if j != q and len(x) == len(y)]
+        assert sorted(got[q]) == [(r + 1, -s, j) for r, (s, j) in enumerate(sorted(scores)[:7])]
+
+
 def test_untrained_scores(spark):
     from factloom.llm import quality, toxicity
 
