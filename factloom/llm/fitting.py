@@ -71,18 +71,27 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(grid[int(np.argmin(loss))])
 
 
-def scored(docs: DataFrame, score: Callable[[Words, np.ndarray], np.ndarray], *carry: str, name: str = "score") -> DataFrame:
-    """(doc_id, carried columns, score): ``score`` gets the words and offsets of each chunk of whole documents."""
+def with_scores(docs: DataFrame, score: Callable[[Words, np.ndarray], np.ndarray]) -> DataFrame:
+    """All columns of the documents as c0, c1, ... and the score: ``score`` gets the words and offsets of each chunk of whole documents.
+
+    Columns have names by place, so that none can clash.
+    """
+    at = docs.columns.index("text")
 
     def run(batches):
         for batch in batches:
             out = np.zeros(batch.num_rows)
-            for i, j, buf, offs in doc_chunks(batch.column(1)):
+            for i, j, buf, offs in doc_chunks(batch.column(at)):
                 with np.errstate(over="ignore"):
                     out[i:j] = score(Words(buf, offs), offs)
-            own = [batch.column(k) for k in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([own[0], *own[2:], pa.array(out, pa.float64())], ["doc_id", *carry, name])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names)
+
+    rows = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+    names = [*rows.columns, "score"]
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("score", DoubleType())]))
+
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").alias("__text"), *carry)
-    schema = StructType([rows.schema[0], *rows.schema.fields[2:], StructField(name, DoubleType())])
-    return rows.mapInArrow(run, schema)
+def scored(docs: DataFrame, score: Callable[[Words, np.ndarray], np.ndarray], *carry: str) -> DataFrame:
+    """(doc_id, carried columns, score)."""
+    rows = with_scores(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry), score)
+    return rows.select(F.col("c0").alias("doc_id"), *(F.col(f"c{k + 2}").alias(c) for k, c in enumerate(carry)), "score")

@@ -9,7 +9,8 @@ trained by back-propagation through the maxima.
 A score depends on the text alone.  ``thresholds`` are calibrated by language on labelled rows afterwards: the least score at
 which at least ``precision`` of the flagged rows of that language are toxic.
 
-Null, empty and blank texts have no words: their pooled features are zero and their score is the output's bias.
+Null, empty and blank texts have no words: their pooled features are zero and their score is the output's bias.  Repeated rows get equal scores; null
+and repeated ids are passed on, and labels of null ids are not read; other columns may have any name.  A text of any length is scored whole.
 Without training rows of both classes every score is the share of label 1 (0, if there are none).
 """
 
@@ -19,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .fitting import Adam, labelled_sample, scored, sigmoid, temperature, word_chunks
+from .fitting import Adam, labelled_sample, scored, sigmoid, temperature, with_scores, word_chunks
 from .textops import U64, Words, mix
 
 BUCKETS, DIMS, FILTERS, WIDTHS = 1 << 16, 8, 8, (1, 2, 3)
@@ -214,20 +215,20 @@ def language_thresholds(docs: DataFrame, labels: DataFrame, net: Network, trains
     return thresholds([tuple(r) for r in got])
 
 
-def limit_of(limits: dict) -> Column:
+def limit_of(limits: dict, language: Column) -> Column:
     limit = F.lit(limits[None])
     for lang, value in limits.items():
         if lang is not None:
-            limit = F.when(F.col("lang") == lang, value).otherwise(limit)
+            limit = F.when(language == lang, value).otherwise(limit)
     return limit
 
 
 def flagged(docs: DataFrame, net: Network, limits: dict) -> DataFrame:
     """(doc_id, score, toxic): toxic where the score reaches the threshold of the document's language."""
-    return score(docs, net, "lang").select("doc_id", "score", (F.col("score") >= limit_of(limits)).alias("toxic"))
+    return score(docs, net, "lang").select("doc_id", "score", (F.col("score") >= limit_of(limits, F.col("lang"))).alias("toxic"))
 
 
 def accepted(docs: DataFrame, net: Network, limits: dict) -> DataFrame:
     """The documents that are not toxic, with all their columns."""
-    rows = scored(docs, net.scores, *(c for c in docs.columns if c != "doc_id"), name="__toxicity")
-    return rows.filter(F.col("__toxicity") < limit_of(limits)).select(docs.columns)
+    lang = F.col(f"c{docs.columns.index('lang')}")
+    return with_scores(docs, net.scores).filter(F.col("score") < limit_of(limits, lang)).drop("score").toDF(*docs.columns)
