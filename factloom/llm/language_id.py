@@ -6,7 +6,8 @@ those of its training texts.  The language whose prototype has the largest cosin
 
 Letters are lower-cased; a-z have a vector each, all other letters share 37 by code point.  Anything else ends a word; words are
 set between blanks, which count as a letter.  A text that is null or has no letter gives ``und`` with score 0.  A tie goes to the language that sorts
-first.  Without training rows every text gives ``und``.  The score is the softmax share of the chosen cosine.
+first.  Without training rows every text gives ``und``.  A text of any
+length is read whole; repeated rows get equal results; ids may be null or repeated and are passed on; other columns are not read.  The score is the softmax share of the chosen cosine.
 """
 
 from __future__ import annotations
@@ -18,11 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textops import ids_at
-
 DIMS, SYMBOLS = 1024, 64
-#: Training rows of one language are drawn down to about this many, and to about this many bytes.
-MOST_ROWS, MOST_BYTES = 3000, 8_000_000
 SHARPNESS = 20.0
 
 _table: np.ndarray | None = None
@@ -64,43 +61,51 @@ def trigrams(text: str) -> np.ndarray:
     return (s[:-2] << 12 | s[1:-1] << 6 | s[2:])[s[1:-1] != 0]
 
 
-def bundle(codes: np.ndarray) -> np.ndarray:
-    """The sum of the vectors of all trigrams of a text."""
-    if not len(codes):
-        return np.zeros(DIMS, np.float32)
-    codes, n = np.unique(codes, return_counts=True)
-    bound = LETTERS[0][codes >> 12] * LETTERS[1][codes >> 6 & 63] * LETTERS[2][codes & 63]
-    return n.astype(np.float32) @ bound.astype(np.float32)
+def bundle(codes: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The sum of the vectors of distinct trigrams, each so many times."""
+    out = np.zeros(DIMS)
+    for k in range(0, len(codes), 4096):
+        c = codes[k : k + 4096]
+        bound = LETTERS[0][c >> 12] * LETTERS[1][c >> 6 & 63] * LETTERS[2][c & 63]
+        out += n[k : k + 4096].astype(np.float32) @ bound.astype(np.float32)
+    return out
 
 
-def learn(docs: DataFrame, trains: Column, most: int = MOST_ROWS, most_bytes: int = MOST_BYTES) -> tuple[list[str], np.ndarray]:
-    """(languages, unit prototypes) from a bounded share of each language's training rows.
+def learn(docs: DataFrame, trains: Column) -> tuple[list[str], np.ndarray]:
+    """(languages, unit prototypes) from all training rows.
 
-    Shares are drawn by id hash from the counts and sizes of all training rows; partial bundles are summed by Spark, so the driver gets
-    one vector for each language and task.
+    Bundling is a sum, so trigrams are counted by language first, and each distinct one is bound once; the driver gets one vector for
+    each language.
     """
-    rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & trains)
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).collect()
-    if not sizes:
-        return [], np.zeros((0, DIMS), np.float32)
-    share = F.lit(0)
-    for r in sizes:
-        share = F.when(F.col("lang") == r.lang, int(min(1.0, most / r.n, most_bytes / max(1, r.b)) * (1 << 30))).otherwise(share)
-    drawn = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share).select("lang", "text")
+    rows = docs.select("text", F.col("lang").cast("string").alias("lang"), trains.alias("trains")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("trains"))
 
-    def run(batches):
+    def count(batches):
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums.setdefault(lang, np.zeros(DIMS))
-                sums[lang] += bundle(trigrams(text))
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], ["lang", "v"])
+                if lang not in sums:
+                    sums[lang] = np.zeros(SYMBOLS**3, np.int64)
+                codes, n = np.unique(trigrams(text), return_counts=True)
+                sums[lang][codes] += n
+        for lang, n in sums.items():
+            codes = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(n[codes])], ["lang", "code", "n"])
+
+    def bind(batches):
+        for batch in batches:
+            lang, codes, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            for one in set(lang):
+                own = lang == one
+                yield pa.RecordBatch.from_arrays([pa.array([one], pa.string()), pa.array([bundle(codes[own], n[own]).astype(float).tolist()], pa.list_(pa.float64()))], ["lang", "v"])
 
-    parts = drawn.mapInArrow(run, "lang string, v array<double>")
+    counts = rows.select("lang", "text").mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    parts = counts.mapInArrow(bind, "lang string, v array<double>")
     summed = parts.select("lang", F.posexplode("v").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
     got = summed.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v")).collect()
     langs = sorted(r.lang for r in got)
     vectors = {r.lang: np.array([p.x for p in r.v]) for r in got}
+    if not langs:
+        return [], np.zeros((0, DIMS), np.float32)
     protos = np.stack([vectors[x] for x in langs])
     norm = np.linalg.norm(protos, axis=1, keepdims=True)
     return langs, (protos / np.maximum(norm, 1e-9)).astype(np.float32)
@@ -117,12 +122,11 @@ def predict(docs: DataFrame, langs: list[str], protos: np.ndarray) -> DataFrame:
                 if not len(codes) or not langs:
                     pred.append("und"), score.append(0.0)
                     continue
-                v = bundle(codes)
+                v = bundle(*np.unique(codes, return_counts=True))
                 cos = (protos @ v).astype(float) / max(1e-9, float(np.linalg.norm(v)))
                 best = int(np.argmax(cos))
                 pred.append(langs[best])
                 score.append(float(1 / np.exp(SHARPNESS * (cos - cos[best])).sum()))
-            ids = pa.array(ids_at(batch, "doc_id"), pa.int64(), from_pandas=True)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(pred, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")

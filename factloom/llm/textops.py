@@ -151,7 +151,3 @@ def unplanes(data: bytes | memoryview, n: int, width: int) -> np.ndarray:
 
 def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def ids_at(batch: pa.RecordBatch, name: str) -> np.ndarray:
-    return batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
