@@ -1,25 +1,27 @@
 """Quality classifier: random-indexing word vectors pooled per document, then a two-layer network in numpy.
 
-Every hashed word has a sparse ternary index vector that follows from its hash.  Over a bounded training sample, a word's
+Every hashed word has a sparse ternary index vector that follows from its hash.  Over all documents, a word's
 context vector sums the index vectors of its neighbours; it is scaled to unit length.  A document pools, over its words,
 the mean context vector and the mean index vector of word shapes (letter case, digits, punctuation, length), with the spread of its words.  A
 hidden layer and a logistic output are trained with Adam; a temperature fitted on held-back rows makes the
 outputs probabilities.
 
 A score depends on the text alone.  Null, empty and blank texts have zero pooled features and get the network's
-score for those.  Without training rows of both classes every score is the share of label 1 (1, if there are none).
+score for those.  Repeated rows count in the contexts once each and get equal scores; null and repeated ids are passed on, and labels of null ids
+are not read; other columns may have any name.  A text of any length is scored whole.  Without training rows of both classes every score is the share of label 1 (1, if there are none).
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .fitting import Adam, labelled_sample, scored, sigmoid, temperature, word_chunks
-from .textops import U64, Words, mix
+from .textops import U64, Words, doc_chunks, mix
 
-BUCKETS, DIMS, HIDDEN, WINDOW, SHAPES = 1 << 14, 64, 24, 2, 256
+BUCKETS, DIMS, HIDDEN, WINDOW, SHAPES, SLICES = 1 << 14, 64, 24, 2, 256, 64
 MOST_ROWS, MOST_BYTES = 6000, 14_000_000
 EXTRAS = 6
 
@@ -124,16 +126,47 @@ class Model:
         return self.scores_raw(words, words.raw, offs)
 
 
-def fit(texts: list[str], y: np.ndarray, epochs: int = 60, batch: int = 64, seed: int = 6) -> Model:
+def contexts(docs: DataFrame, seed: int = 6) -> np.ndarray:
+    """Summed context vectors of every word bucket, over all documents.  Tasks' sums are added up in slices; their size does not depend on the documents."""
+
+    def run(batches):
+        model, total = Model(seed), np.zeros((BUCKETS, DIMS), np.float32)
+        for batch in batches:
+            with np.errstate(over="ignore"):
+                for _, _, buf, offs in doc_chunks(batch.column(0)):
+                    model.add_contexts(Words(buf, offs), total)
+        yield sliced(dict(enumerate(np.split(total, SLICES))))
+
+    def sliced(sums):
+        return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["slice", "sums"])
+
+    def added(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums[k] = sums.get(k, 0) + np.frombuffer(x.as_buffer(), np.float32).astype(float)
+        yield sliced(sums)
+
+    parts = docs.select("text").mapInArrow(run, "slice int, sums binary")
+    got = parts.repartition(SLICES, "slice").mapInArrow(added, "slice int, sums binary").collect()
+    out = np.zeros((SLICES, BUCKETS // SLICES, DIMS))
+    for r in got:
+        out[r["slice"]] = np.frombuffer(r["sums"]).reshape(out.shape[1:])
+    return out.reshape(BUCKETS, DIMS).astype(np.float32)
+
+
+def fit(texts: list[str], y: np.ndarray, total: np.ndarray | None = None, epochs: int = 60, batch: int = 64, seed: int = 6) -> Model:
+    """``total``: summed context vectors; without them, those of the texts."""
     model = Model(seed)
     if not len(y) or y.min() == y.max():
         model.constant = float(y.mean()) if len(y) else 1.0
         return model
     rng = np.random.default_rng(seed)
     with np.errstate(over="ignore"):
-        total = np.zeros((BUCKETS, DIMS), np.float32)
-        for words, _ in word_chunks(texts):
-            model.add_contexts(words, total)
+        if total is None:
+            total = np.zeros((BUCKETS, DIMS), np.float32)
+            for words, _ in word_chunks(texts):
+                model.add_contexts(words, total)
         model.set_contexts(total)
         x = np.concatenate([model.features(words, words.raw, offs) for words, offs in word_chunks(texts)])
     held = np.zeros(len(y), bool)
@@ -156,7 +189,7 @@ def fit(texts: list[str], y: np.ndarray, epochs: int = 60, batch: int = 64, seed
 
 def trained(docs: DataFrame, labels: DataFrame, trains: Column | None = None) -> Model:
     texts, y = labelled_sample(docs, labels, "quality", F.lit(True) if trains is None else trains, MOST_ROWS, MOST_BYTES)
-    return fit(texts, y)
+    return fit(texts, y, contexts(docs))
 
 
 def score(docs: DataFrame, model: Model, *carry: str) -> DataFrame:

@@ -427,6 +427,7 @@ def test_empty_tables(spark):
     assert toxicity.score(docs, toxicity.trained(docs, labels)).count() == 0
     assert quality.score(docs, quality.trained(docs, labels)).count() == 0
     assert language_id.predict(docs, *language_id.learn(docs, F.lit(True))).count() == 0
+    assert quality.contexts(docs).shape == (quality.BUCKETS, quality.DIMS)
     assert lm_scoring.cross_entropy_difference(docs, docs).count() == 0
     assert cover_search.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
 
@@ -476,6 +477,101 @@ def test_top_k_copies(spark):
         assert sorted(got[q]) == [(r + 1, -s, j) for r, (s, j) in enumerate(sorted(scores)[:7])]
 
 
+def test_toxicity_forward(spark):
+    """Scores against a plain loop over words, windows and filters; ids pass unchanged and columns may be named like the operator's."""
+    from factloom.llm import toxicity
+    from factloom.llm.textops import Words
+
+    rng = random.Random(2)
+    texts = [" ".join(rng.choices(["foul", "fine", "words", "more", "a"], k=rng.randint(0, 9))) for _ in range(120)]
+    y = np.array([float("foul" in t) for t in texts])
+    net = toxicity.fit(texts, y)
+    odd = texts[:20] + [None, "", " \n", "Foul", "x" * 300_000 + " foul"]
+    ids = [(1 << 53) + 1, None, *range(2, len(odd))]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in zip(ids, odd)], "doc_id long, text string, lang string, score int").repartition(3)
+    got = {(r.doc_id, r.text): r for r in toxicity.accepted(docs, net, {None: 2.0}).collect()}
+    assert set(got) == set(zip(ids, odd)) and got[ids[0], odd[0]].asDict().keys() == {"doc_id", "text", "lang", "score"}
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, net).collect()}
+
+    def embedded(word):
+        b = np.frombuffer(word.encode(), np.uint8)
+        with np.errstate(over="ignore"):
+            return sum(net.emb[f] for f in toxicity.Network.features(Words(b, np.array([0, len(b)])))[0]).astype(float)
+
+    for i, t in zip(ids, odd):
+        vec, pooled = [embedded(w) for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")], []
+        for width, weights, shift in zip(toxicity.WIDTHS, net.filters, net.shift):
+            for f in range(toxicity.FILTERS):
+                sums = [shift[f] + sum(float(vec[k + j] @ weights[j * toxicity.DIMS : (j + 1) * toxicity.DIMS, f]) for j in range(width) if k + j < len(vec)) for k in range(len(vec))]
+                pooled.append(max([0.0, *sums]))
+        z = (float(np.dot(pooled, net.out)) + float(net.bias[0])) / net.temperature
+        assert scores[i] == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-4, abs=1e-6)
+
+
+def test_quality_forward(spark):
+    """Contexts over all documents against a plain loop over neighbours; scores against pooled means of single words."""
+    from factloom.llm import quality
+    from factloom.llm.textops import Words
+
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["good", "Bad", "so1", "é!", "plain", "words"], k=rng.randint(1, 12))) for _ in range(150)]
+    docs = frame(spark, [*texts, None, "", texts[0]])
+    total = quality.contexts(docs)
+    fresh, want = quality.Model(), np.zeros((quality.BUCKETS, quality.DIMS))
+
+    def one(word):
+        b = np.frombuffer(word.encode(), np.uint8)
+        with np.errstate(over="ignore"):
+            w = Words(b, np.array([0, len(b)]))
+            return int(fresh.buckets(w)[0]), int(fresh.shapes(w, w.raw)[0])
+
+    for t in [*texts, texts[0]]:
+        w = [one(x)[0] for x in t.split()]
+        for k in range(len(w)):
+            for j in range(max(0, k - quality.WINDOW), min(len(w), k + quality.WINDOW + 1)):
+                if j != k:
+                    want[w[k]] += fresh.index[w[j]]
+    assert np.allclose(total, want, atol=1e-3)
+    model = quality.fit(texts, np.array([float("good" in t) for t in texts]), total)
+    scores = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
+    for i, t in enumerate(texts[:30]):
+        w, raw = [one(x) for x in t.split()], np.frombuffer(t.encode(), np.uint8)
+        with np.errstate(over="ignore"):
+            extras = model.features(Words(raw, np.array([0, len(raw)])), raw, np.array([0, len(raw)]))[0, 2 * quality.DIMS :]
+        x = np.concatenate([np.mean([model.context[b] for b, _ in w], 0), np.mean([model.shape_index[s] for _, s in w], 0), extras])
+        z = np.tanh((x - model.mean) / model.spread @ model.w1 + model.b1) @ model.w2 + model.b2[0]
+        assert scores[i] == pytest.approx(1 / (1 + np.exp(-z / model.temperature)), rel=1e-4, abs=1e-6)
+
+
+def test_language_vectors(spark):
+    """Prototypes and cosines against letter-by-letter binding and bundling of whole texts."""
+    texts = ["Ab ba, abba!", "zwei  Zebras ß", None, "12", "ab", "x" * 200_000]
+    langs = ["p", "q", "p", "q", "p", None]
+    docs = spark.createDataFrame([(i + (1 << 53), t, x) for i, (t, x) in enumerate(zip(texts, langs))] + [(None, "ba ab", "p")], "doc_id long, text string, lang string").repartition(3)
+    names, protos = language_id.learn(docs, (docs["doc_id"] != 4 + (1 << 53)) | docs["doc_id"].isNull())
+
+    def vector(text):
+        s = [int(language_id.symbols()[ord(c)]) for c in f" {text or ''} "]
+        s = [a for k, a in enumerate(s) if a or k == 0 or s[k - 1]]
+        out = np.zeros(language_id.DIMS)
+        for k in range(1, len(s) - 1):
+            if s[k]:
+                out += language_id.LETTERS[0][s[k - 1]].astype(float) * language_id.LETTERS[1][s[k]] * language_id.LETTERS[2][s[k + 1]]
+        return out
+
+    raw = {"p": vector(texts[0]) + vector("ba ab"), "q": vector(texts[1])}
+    assert names == ["p", "q"] and np.allclose(protos, np.stack([raw[x] / np.linalg.norm(raw[x]) for x in names]), atol=1e-5)
+    got = {r.doc_id: r for r in language_id.predict(docs, names, protos).collect()}
+    for i, t in enumerate(texts):
+        r, v = got[i + (1 << 53)], vector(t)
+        if not v.any():
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        cos = [float(v @ raw[x] / np.linalg.norm(v) / np.linalg.norm(raw[x])) for x in names]
+        assert r.lang_pred == names[int(np.argmax(cos))]
+        assert r.score == pytest.approx(1 / sum(np.exp(language_id.SHARPNESS * (c - max(cos))) for c in cos), rel=1e-4)
+
+
 def test_untrained_scores(spark):
     from factloom.llm import quality, toxicity
 
