@@ -6,9 +6,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.llm import bpe, exact_dedup, near_dedup, packing, suffix_dedup, toxicity
-from factloom.llm.scratch import written
+from factloom.llm.scratch import drop_named, live, released, written
 
+#: Intermediate tables of the last stage that was called; its result is written before the next stage begins, which deletes them.
+_leftover: set[str] = set()
 
+
+def stage(of):
+    """A stage that deletes the intermediate tables of the one before it, whose result is written by then."""
+
+    def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_named(spark, _leftover)
+        released(spark)
+        before = live()
+        out = of(spark, docs, sf_dir)
+        _leftover.clear()
+        _leftover.update(live() - before)
+        return out
+
+    begin.__name__, begin.__doc__ = of.__name__, of.__doc__
+    return begin
+
+
+@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not flag at their language's threshold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -17,21 +37,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.accepted(docs, net, limits)
 
 
+@stage
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     return exact_dedup.deduplicate(docs)
 
 
+@stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near-duplicates."""
     return near_dedup.deduplicate(docs)
 
 
+@stage
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the long strings that an earlier document has; n_chars follows the text."""
     return suffix_dedup.remove_repeats(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
+@stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 tokens."""
     return packing.pack(docs, bpe.default_tokenizer())
@@ -51,8 +75,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; each earlier stage is written as Parquet and read back."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+    for k, (name, apply) in enumerate(STAGES):
+        docs = apply(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = written(docs, f"pipeline-{name.replace(' ', '-')}")
+            docs = written(docs, f"pipeline-{name}")
     return docs
