@@ -172,7 +172,8 @@ def answered(batches, size: int):
     now = None
     for batch in batches:
         out = []
-        for r in zip(*(c.to_pylist() for c in batch.columns)):
+        for i in range(batch.num_rows):
+            r = tuple(c[i].as_py() for c in batch.columns)
             if r[:2] != now:
                 if held:
                     out += settled()
@@ -181,6 +182,9 @@ def answered(batches, size: int):
                 out.append((r[3], r[11], r[12], r[13], *r[7:10]))
             else:
                 held.append(r)
+            if len(out) >= 64:
+                yield _table(GATHERED, out)
+                out = []
         yield _table(GATHERED, out)
     if held:
         yield _table(GATHERED, list(settled()))
@@ -233,6 +237,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, background: Dat
     parts = packed(rows, buckets, 2 if background is None else 0, True).unionByName(packed(known[0], buckets, 1, False))
     if background is not None:
         parts = parts.unionByName(packed(known[1], buckets, 2, False))
-    back = parts.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(lambda b: answered(b, size), GATHERED)
+    # as many tasks as buckets, so that none holds many
+    back = parts.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(lambda b: answered(b, size), GATHERED)
     back = back.repartition("block").sortWithinPartitions("block", "role")
     return back.mapInArrow(gathered, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
