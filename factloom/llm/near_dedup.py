@@ -7,9 +7,10 @@ permutation of the bins.  Runs of ROWS bins are banded buckets.  A bucket with s
 a centre each and an edge to every other member, so pairs grow with the members and not with their square.  Edges
 whose signatures agree far too little are dropped (by more than five standard deviations), the likeliest of each class are confirmed
 on the full sets, and confirmed links are contracted to components.  Stars only make components large cheaply and may
-leave links out.  A last pass closes every bucket that still holds several components: all its pairs across components that no star
-has tested are compared by size and signature in blocks of bounded size, and confirmed on the full sets.  So each pair
-that shares a bucket is in one component or has been compared.
+leave links out.  A last pass closes every bucket that still holds several components: all its pairs across components
+are compared by size and signature in blocks of bounded size.  No pairs come out of a block, only which parts of which component hold
+a partner that a member could be linked with; the member's full set is then compared with those of all that part's members, in memory, and gives one link.
+So each pair that shares a bucket is in one component or has been compared.
 
 The last pass first counts the shingles that only one set of all mixed buckets has: they are in no intersection, so a set with too many of them
 is left out and a pair is compared only if what both share could suffice.  That bound is exact.
@@ -40,8 +41,8 @@ LEAST_AGREEING = 0.55
 STARS, EDGES_A_ROUND = 3, 4
 #: Star rounds go on while each adds a link to so many; the last pass is cheaper for the rest.
 WORTH = 50
-#: Members of a bucket that a block of the last pass holds on either side, and pairs compared at once.
-BLOCK, AT_ONCE = 1000, 1 << 15
+#: Members of a bucket that a block of the last pass holds on either side, pairs compared at once, and members of a label whose sets are together.
+BLOCK, AT_ONCE, CHUNK = 1000, 1 << 15, 1000
 
 _rng = np.random.default_rng(20)
 #: Row i: the order in which bin i looks for a filled bin, itself first.
@@ -184,18 +185,18 @@ def blocks(now: DataFrame, sigs: DataFrame) -> DataFrame:
     at = at.join(sigs, "rep")
     partner = F.expr("transform(sequence(0, rows - 1), x -> struct(x as i, j as j, false as centre))")
     centre = F.expr("if(minor, transform(sequence(0, columns - 1), x -> struct(i as i, x as j, true as centre)), array())")
-    return at.select("bucket", "rep", "label", "minor", "n_shingles", "shared", "sig", F.explode(F.concat(partner, centre)).alias("at")).select("bucket", "at.i", "at.j", "at.centre", "rep", "label", "minor", "n_shingles", "shared", "sig")
+    return at.select("bucket", "rep", "label", "part", "minor", "n_shingles", "shared", "sig", F.explode(F.concat(partner, centre)).alias("at")).select("bucket", "at.i", "at.j", "at.centre", "rep", "label", "part", "minor", "n_shingles", "shared", "sig")
 
 
 def across(members: DataFrame, percent: int, least: float) -> DataFrame:
-    """Of each block, the pairs (a, b) of a centre and a partner of another label whose sizes, shared shingles and signatures allow a link.
+    """(a, label, part): centres and the parts of other labels that hold a partner whose size, shared shingles and signature allow a link.
 
     A set's shared shingles are those that some other set of a mixed bucket has: no pair can have more in common.
     """
 
     def pairs(rows: pa.RecordBatch):
-        keys, (centre, rep, label, minor, size, shared) = (np.stack([rows.column(k).to_numpy() for k in range(3)]), (rows.column(k).to_numpy(zero_copy_only=False) for k in range(3, 9)))
-        sig = np.frombuffer(b"".join(rows.column(9).to_pylist()), np.uint8).reshape(-1, BINS)
+        keys, (centre, rep, label, part, minor, size, shared) = (np.stack([rows.column(k).to_numpy() for k in range(3)]), (rows.column(k).to_numpy(zero_copy_only=False) for k in range(3, 10)))
+        sig = np.frombuffer(b"".join(rows.column(10).to_pylist()), np.uint8).reshape(-1, BINS)
         first = np.append(True, (keys[:, 1:] != keys[:, :-1]).any(0))
         begin = np.flatnonzero(first)
         partners = np.add.reduceat(~centre, begin)  # a block's partners are before its centres
@@ -203,7 +204,7 @@ def across(members: DataFrame, percent: int, least: float) -> DataFrame:
         block = np.cumsum(first)[x] - 1
         begin, n = begin[block], partners[block]
         total = np.concatenate([[0], np.cumsum(n)])
-        k = 0
+        k, seen = 0, []
         while k < len(x):
             to = max(k + 1, int(np.searchsorted(total, total[k] + AT_ONCE, "right")) - 1)
             m = n[k:to]
@@ -215,9 +216,12 @@ def across(members: DataFrame, percent: int, least: float) -> DataFrame:
             ok = (label[one] != label[two]) & ~(minor[two] & (rep[one] > rep[two])) & ((100 + percent) * most >= percent * both)
             one, two = one[ok], two[ok]
             ok = (sig[one] == sig[two]).mean(1) >= least
-            a, b = rep[one[ok]], rep[two[ok]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            if ok.any():
+                seen.append(np.unique(np.stack([rep[one[ok]], label[two[ok]], part[two[ok]]]), axis=1))
             k = to
+        if seen:
+            found = np.unique(np.concatenate(seen, 1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["a", "label", "part"])
 
     def run(batches):
         rest = None
@@ -236,6 +240,49 @@ def across(members: DataFrame, percent: int, least: float) -> DataFrame:
             yield from pairs(rest)
 
     dealt = members.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "centre")
+    return dealt.mapInArrow(run, "a long, label long, part long").distinct()
+
+
+def linked(asks: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): for each of (a, label, part), a member b of that part that is linked with a, if there is one.
+
+    Members of a label are one component, so one link is as good as all; it is looked for in the full sets of all the part's members, brought
+    together once for up to CHUNK centres.
+    """
+    turns = asks.groupBy("label", "part").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("turns"))
+    there = members.join(turns, ["label", "part"]).join(sets, "rep").select("label", "part", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), F.lit(False).alias("asks"), "rep", "items")
+    asking = asks.join(turns, ["label", "part"]).join(sets.withColumnRenamed("rep", "a"), "a")
+    asking = asking.select("label", "part", F.expr("cast(pmod(xxhash64(a, 4), turns) as int)").alias("turn"), F.lit(True).alias("asks"), F.col("a").alias("rep"), "items")
+
+    def run(batches):
+        now, reps, items = None, [], []
+        ready = None
+        for batch in batches:
+            out = []
+            for *key, asks, rep, own in zip(*(batch.column(k).to_pylist() for k in range(5)), batch.column(5)):
+                own = np.frombuffer(own.as_buffer(), U64)
+                if key != now:
+                    now, reps, items, ready = key, [], [], None
+                if not asks:
+                    reps.append(rep), items.append(own.copy())
+                    continue
+                if ready is None and reps:
+                    sizes = np.array([len(x) for x in items])
+                    every, code = np.unique(np.concatenate(items), return_inverse=True)
+                    ready = every, code, np.cumsum(sizes) - sizes, sizes
+                if reps:
+                    every, code, begin, sizes = ready
+                    at = np.minimum(np.searchsorted(every, own), len(every) - 1)
+                    has = np.zeros(len(every), np.int64)
+                    has[at[every[at] == own]] = 1
+                    both = np.add.reduceat(has[code], begin)
+                    hit = np.flatnonzero(100 * both >= percent * (sizes + len(own) - both))
+                    if len(hit):
+                        out.append((rep, reps[hit[0]]))
+            a, b = np.array(out, np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    dealt = there.unionByName(asking).repartition("label", "part", "turn").sortWithinPartitions("label", "part", "turn", "asks")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -312,18 +359,19 @@ def numbered_groups(docs: DataFrame, content, id_col: str, text_col: str, width:
         if n * WORTH <= total:
             break
     now = labelled()
-    members = sets_of(written(mixed_members(now), "near-mixed"))
-    rare = written(single_items(members), "near-rare")
-    drop(members)
-    able = sigs.join(rare, "rep", "left").select("rep", "n_shingles", "sig", (F.col("n_shingles") - F.coalesce("single", F.lit(0))).alias("shared"))
+    members = written(mixed_members(now), "near-mixed")
+    sets = sets_of(members)
+    rare = written(single_items(sets), "near-rare")
+    of = now.join(members, "rep", "left_semi").select("rep", "label").distinct()
+    of = of.join(of.groupBy("label").agg(F.ceil(F.count("*") / CHUNK).alias("parts")), "label").select("rep", "label", F.expr("pmod(xxhash64(rep, 3), parts)").alias("part"))
+    of = written(of, "near-parts")
+    able = sigs.join(of.select("rep", "part"), "rep").join(rare, "rep", "left").select("rep", "part", "n_shingles", "sig", (F.col("n_shingles") - F.coalesce("single", F.lit(0))).alias("shared"))
     # a set that shares too little can link with none
     able = able.filter(100 * F.col("shared") >= percent * F.col("n_shingles"))
-    edges = across(blocks(now.join(able.select("rep"), "rep", "left_semi"), able), percent, LEAST_AGREEING)
-    if tested is not None:
-        edges = edges.join(tested, ["a", "b"], "left_anti")
-    edges = written(edges, "near-edges")
-    if not edges.isEmpty():
-        found = verified(edges)
+    asks = written(across(blocks(now.join(able.select("rep"), "rep", "left_semi"), able), percent, LEAST_AGREEING), "near-asks")
+    found = written(linked(asks, of, sets, percent), "near-links")
+    drop(sets)
+    if not found.isEmpty():
         links = found if links is None else links.unionByName(found)
         labels = min_labels(links)
     classed = classes.select("set_a", "set_b", "n_shingles", "rep")
