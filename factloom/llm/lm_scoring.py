@@ -30,7 +30,7 @@ from .textops import U64, Words, doc_chunks, mix, planes, unplanes
 ADDED = 0.01
 START = U64(0x1D8E4E27C47D124F)
 #: Words that a task counts before it passes them on; bytes of a block of documents; buckets, and input bytes of one.
-COUNTED, BLOCK_BYTES = 4_000_000, 1 << 22
+COUNTED, BLOCK_BYTES = 2_000_000, (1 << 21) - 16
 LEAST_BUCKETS, BUCKET_BYTES = 48, 4 << 20
 #: Documents of a block from which a key's documents are not sent to its bucket.
 MANY = 64

@@ -21,7 +21,8 @@ SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-CHUNK_BYTES = 1 << 20
+#: A little less than a power of two, so that tables by byte of a chunk have that size.
+CHUNK_BYTES = (1 << 19) - 16
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -88,7 +89,7 @@ class Words:
     @classmethod
     def _powers(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls._power) < n:
-            size = 1 << max(21, int(n - 1).bit_length())
+            size = 1 << max(19, int(n - 1).bit_length())
             with np.errstate(over="ignore"):
                 cls._power = np.cumprod(np.concatenate([[U64(1)], np.full(size - 1, U64(cls._base))]), dtype=U64)
                 cls._inverse = np.cumprod(np.concatenate([[U64(1)], np.full(size - 1, U64(pow(cls._base, -1, 1 << 64)))]), dtype=U64)
