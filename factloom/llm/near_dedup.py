@@ -113,10 +113,19 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
+            out, size = [], 0
             with np.errstate(over="ignore"):
-                sets = list(shingle_sets(batch.column(2), width))
-                a, b = zip(*map(set_ids, sets)) if sets else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["set_a", "set_b", "items"])
+                for s in shingle_sets(batch.column(2), width):
+                    out.append((*set_ids(s), s.tobytes()))
+                    size += len(s)
+                    if size >= AT_ONCE:
+                        yield packed(out)
+                        out, size = [], 0
+            yield packed(out)
+
+    def packed(rows):
+        a, b, items = zip(*rows) if rows else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(items, pa.binary())], ["set_a", "set_b", "items"])
 
     return docs.mapInArrow(run, "set_a long, set_b long, items binary")
 
@@ -127,13 +136,18 @@ def single_items(sets: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             size = np.array([len(x.as_buffer()) // 8 for x in batch.column(1)], np.int64)
-            if not size.sum():
-                continue
-            item = np.frombuffer(b"".join(x.as_buffer() for x in batch.column(1)), np.int64)
-            rep = np.repeat(batch.column(0).to_numpy(), size)
-            _, first, n = np.unique(item, return_index=True, return_counts=True)
-            # an item of several sets of the batch goes on as one row
-            yield pa.RecordBatch.from_arrays([pa.array(item[first]), pa.array(rep[first]), pa.array(n)], ["item", "rep", "n"])
+            total = np.concatenate([[0], np.cumsum(size)])
+            k = 0
+            while k < len(size):
+                # sets of some half a million items at once
+                to = max(k + 1, int(np.searchsorted(total, total[k] + 16 * AT_ONCE, "right")) - 1)
+                if total[to] > total[k]:
+                    item = np.frombuffer(b"".join(x.as_buffer() for x in batch.column(1).slice(k, to - k)), np.int64)
+                    rep = np.repeat(batch.column(0).slice(k, to - k).to_numpy(), size[k:to])
+                    _, first, n = np.unique(item, return_index=True, return_counts=True)
+                    # an item of several of these sets goes on as one row
+                    yield pa.RecordBatch.from_arrays([pa.array(item[first]), pa.array(rep[first]), pa.array(n)], ["item", "rep", "n"])
+                k = to
 
     items = sets.select("rep", "items").mapInArrow(run, "item long, rep long, n long").groupBy("item").agg(F.sum("n").alias("n"), F.min("rep").alias("rep"))
     return items.filter("n = 1").groupBy("rep").agg(F.count("*").alias("single"))
