@@ -49,7 +49,7 @@ ROUTES = (1 << 22) - 3
 #: Distinct cells of a minimiser from which its windows are dealt one by one: in one flush of a task, and in a bucket.
 HOT, HOT_BUCKET = 64, 1 << 14
 #: Cells that a task collects before it passes them on; input bytes of a bucket; bytes that are hashed and indexed at once.
-FLUSH, BUCKET_BYTES, CHUNK, PART = 600_000, 4_000_000, 1 << 18, 2_000_000
+FLUSH, BUCKET_BYTES, CHUNK, PART = 400_000, 4_000_000, 1 << 18, 600_000
 
 
 def _joined(h: np.ndarray, gap: int, count: int) -> np.ndarray:
