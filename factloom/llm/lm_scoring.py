@@ -53,6 +53,18 @@ def keys_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return mix(before * U64(0x9E3779B97F4A7C15) + h), mix(before + U64(0x632BE59BD9B4E019))
 
 
+def squeezed(values: np.ndarray, width: int) -> bytes:
+    """Whole numbers as byte planes, compressed, behind their number of bytes."""
+    data = planes(values, width)
+    return len(data).to_bytes(4, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def loosened(data: bytes, width: int) -> np.ndarray:
+    size = int.from_bytes(data[:4], "little")
+    raw = pa.decompress(data[4:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+    return unplanes(raw, size // width, width)
+
+
 def vocabulary(*corpora: DataFrame) -> int:
     """How many distinct words the corpora have."""
 
@@ -125,10 +137,10 @@ def packed(texts: DataFrame, buckets: int, side: int, scored: bool) -> DataFrame
             b, shown = int(bucket[a]), (None,) * 4
             if scored:
                 quick = ~slow[e]
-                shown = (planes(np.where(wide[a:z], 0, many[a:z]), 4), planes(doc[e][quick], 4), planes(times[e][quick], 4), np.packbits(wide[a:z]).tobytes())
+                shown = (squeezed(np.where(wide[a:z], 0, many[a:z]), 4), squeezed(doc[e][quick], 4), squeezed(times[e][quick], 4), np.packbits(wide[a:z]).tobytes())
                 if wide[a:z].any():
-                    yield passing(WAITING, block, 2 * b + kind, None, planes(many[a:z][wide[a:z]], 4), planes(doc[e][~quick], 4), planes(times[e][~quick], 4))
-            yield (b, kind, side, block, z - a, planes(key[a:z], 8), planes(total[a:z], 8), *shown, None, None, None)
+                    yield passing(WAITING, block, 2 * b + kind, None, squeezed(many[a:z][wide[a:z]], 4), squeezed(doc[e][~quick], 4), squeezed(times[e][~quick], 4))
+            yield (b, kind, side, block, z - a, squeezed(key[a:z], 8), squeezed(total[a:z], 8), *shown, None, None, None)
 
     def passing(role, block, part, ids, x, y=None, z=None):
         return ((block + part) % buckets, PASSING, 0, block, 0, None, None, x, y, z, None, role, part, ids)
@@ -141,8 +153,8 @@ def answered(batches, size: int):
     held: list[tuple] = []
 
     def settled():
-        keys = [unplanes(r[5], r[4], 8) for r in held]
-        counts = [unplanes(r[6], r[4], 8).astype(np.int64) for r in held]
+        keys = [loosened(r[5], 8) for r in held]
+        counts = [loosened(r[6], 8).astype(np.int64) for r in held]
         key, count = np.concatenate(keys), np.concatenate(counts)
         side = np.repeat([r[2] for r in held], [len(k) for k in keys])
         order = np.argsort(key)
@@ -158,10 +170,10 @@ def answered(batches, size: int):
             at += len(k)
             if r[7] is None:
                 continue
-            many = unplanes(r[7], len(k), 4).astype(np.int64)
+            many = loosened(r[7], 4).astype(np.int64)
             entries = int(many.sum())
             if entries:
-                doc, times = (unplanes(x, entries, 4).astype(np.int64) for x in r[8:10])
+                doc, times = (loosened(x, 4).astype(np.int64) for x in r[8:10])
                 which = np.repeat(own, many)
                 who = np.flatnonzero(np.bincount(doc))
                 yield (r[3], SUMS, 0, None, who.tobytes(), *(np.bincount(doc, weights=times * x[which])[who].tobytes() for x in terms))
@@ -214,8 +226,8 @@ def gathered(batches):
             elif role == ANSWER:
                 answers[part] = [np.frombuffer(x) for x in blobs[:2]]
             else:
-                many = unplanes(blobs[0], len(blobs[0]) // 4, 4).astype(np.int64)
-                doc, times = (unplanes(x, len(x) // 4, 4).astype(np.int64) for x in blobs[1:])
+                many = loosened(blobs[0], 4).astype(np.int64)
+                doc, times = (loosened(x, 4).astype(np.int64) for x in blobs[1:])
                 for x, terms in zip(sums, answers[part]):
                     x += np.bincount(doc, weights=times * np.repeat(terms, many), minlength=len(tokens))
     if block is not None:
