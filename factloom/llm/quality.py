@@ -24,25 +24,35 @@ from .textops import U64, Words, doc_chunks, mix
 BUCKETS, DIMS, HIDDEN, WINDOW, SHAPES, SLICES = 1 << 14, 64, 24, 2, 256, 64
 MOST_ROWS, MOST_BYTES = 6000, 14_000_000
 EXTRAS = 6
+#: Pairs of neighbours that are counted at once.
+HELD = 2_000_000
 
 #: Byte classes of word shapes: 0 lower, 1 upper, 2 digit, 3 other ASCII, 4 beyond ASCII.
 _KIND = np.full(256, 3, np.uint8)
 _KIND[97:123], _KIND[65:91], _KIND[48:58], _KIND[128:] = 0, 1, 2, 4
 
 
-def index_vectors(n: int, dims: int, seed: int) -> np.ndarray:
-    """n sparse ternary vectors: four entries of +1 and four of -1 each."""
+#: Signs of the entries of an index vector.
+SIGNS = np.array([1, 1, 1, 1, -1, -1, -1, -1], np.float32)
+
+
+def index_places(n: int, dims: int, seed: int) -> np.ndarray:
+    """Where the entries of n sparse ternary vectors are."""
     rng = np.random.default_rng(seed)
-    out = np.zeros((n, dims), np.float32)
-    where = np.argsort(rng.random((n, dims)), axis=1)[:, :8]
-    np.put_along_axis(out, where, np.array([1, 1, 1, 1, -1, -1, -1, -1], np.float32)[None], 1)
+    return np.argsort(rng.random((n, dims)), axis=1)[:, : len(SIGNS)]
+
+
+def index_vectors(places: np.ndarray, dims: int) -> np.ndarray:
+    out = np.zeros((len(places), dims), np.float32)
+    np.put_along_axis(out, places, SIGNS[None], 1)
     return out
 
 
 class Model:
     def __init__(self, seed: int = 6) -> None:
-        self.index = index_vectors(BUCKETS, DIMS, seed)
-        self.shape_index = index_vectors(SHAPES, DIMS, seed + 1)
+        self.places = index_places(BUCKETS, DIMS, seed)
+        self.index = index_vectors(self.places, DIMS)
+        self.shape_index = index_vectors(index_places(SHAPES, DIMS, seed + 1), DIMS)
         self.context = self.index.copy()
         rng = np.random.default_rng(seed)
         width = 2 * DIMS + EXTRAS
@@ -65,23 +75,24 @@ class Model:
         code = ((kind[words.starts] * 5 + kind[words.ends - 1]) * 8 + bits) * 6 + size
         return (mix(code.astype(U64)) & U64(SHAPES - 1)).astype(np.int64)
 
-    def add_contexts(self, words: Words, total: np.ndarray) -> None:
-        """Add to each bucket the index vectors of its words' neighbours."""
-        b = self.buckets(words)
+    def neighbours(self, words: Words) -> np.ndarray:
+        """Every pair of neighbouring words' buckets as one number."""
+        b, out = self.buckets(words), [np.zeros(0, np.int64)]
         for gap in range(1, WINDOW + 1):
-            if len(b) <= gap:
-                continue
-            left, right, same = b[:-gap], b[gap:], words.doc[:-gap] == words.doc[gap:]
-            # each distinct pair of buckets once, with its count
-            pair, n = np.unique(left[same] * BUCKETS + right[same], return_counts=True)
-            x, y, n = pair // BUCKETS, pair % BUCKETS, n.astype(np.float32)
-            for at, other in ((x, y), (y, x)):
-                order = np.argsort(at, kind="stable")
-                for s in range(0, len(order), 100_000):
-                    o = order[s : s + 100_000]
-                    a = at[o]
-                    first = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
-                    total[a[first]] += np.add.reduceat(self.index[other[o]] * n[o][:, None], first)
+            same = words.doc[:-gap] == words.doc[gap:]
+            out.append((b[:-gap] * BUCKETS + b[gap:])[same])
+        return np.concatenate(out)
+
+    def add_contexts(self, pairs: np.ndarray, total: np.ndarray) -> None:
+        """Add to each bucket the index vectors of its neighbours.  Each distinct pair is added once, entry by entry of the sparse vectors."""
+        pairs = np.sort(pairs)
+        first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)])
+        n = np.diff(np.append(first, len(pairs))).astype(float)
+        x, y = pairs[first] // BUCKETS, pairs[first] % BUCKETS
+        flat = total.reshape(-1)
+        for at, other in ((x, y), (y, x)):
+            for k, sign in enumerate(SIGNS.tolist()):
+                flat += np.bincount(at * DIMS + self.places[other, k], weights=sign * n, minlength=BUCKETS * DIMS)
 
     def set_contexts(self, total: np.ndarray) -> None:
         norm = np.linalg.norm(total, axis=1, keepdims=True)
@@ -130,12 +141,18 @@ def contexts(docs: DataFrame, seed: int = 6) -> np.ndarray:
     """Summed context vectors of every word bucket, over all documents.  Tasks' sums are added up in slices; their size does not depend on the documents."""
 
     def run(batches):
-        model, total = Model(seed), np.zeros((BUCKETS, DIMS), np.float32)
+        model, total = Model(seed), np.zeros((BUCKETS, DIMS))
+        held, size = [np.zeros(0, np.int64)], 0
         for batch in batches:
             with np.errstate(over="ignore"):
                 for _, _, buf, offs in doc_chunks(batch.column(0)):
-                    model.add_contexts(Words(buf, offs), total)
-        yield sliced(dict(enumerate(np.split(total, SLICES))))
+                    held.append(model.neighbours(Words(buf, offs)))
+                    size += len(held[-1])
+                    if size >= HELD:
+                        model.add_contexts(np.concatenate(held), total)
+                        held, size = [np.zeros(0, np.int64)], 0
+        model.add_contexts(np.concatenate(held), total)
+        yield sliced(dict(enumerate(np.split(total.astype(np.float32), SLICES))))
 
     def sliced(sums):
         return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["slice", "sums"])
@@ -164,9 +181,9 @@ def fit(texts: list[str], y: np.ndarray, total: np.ndarray | None = None, epochs
     rng = np.random.default_rng(seed)
     with np.errstate(over="ignore"):
         if total is None:
-            total = np.zeros((BUCKETS, DIMS), np.float32)
+            total = np.zeros((BUCKETS, DIMS))
             for words, _ in word_chunks(texts):
-                model.add_contexts(words, total)
+                model.add_contexts(model.neighbours(words), total)
         model.set_contexts(total)
         x = np.concatenate([model.features(words, words.raw, offs) for words, offs in word_chunks(texts)])
     held = np.zeros(len(y), bool)
