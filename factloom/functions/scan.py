@@ -7,25 +7,36 @@ leaves and of the matches between them.  Patterns are given with ``(?iU)`` so th
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPANS = "array<struct<s:int,e:int,t:string>>"
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-def scan(text: Column, pattern: str) -> Column:
-    """All matches as array<struct<s, e, t>>, half-open offsets in code points; null text gives an empty array."""
+
+def segments(text: Column, pattern: str) -> Column:
+    """The text between matches, empty pieces too: array<struct<s, e, t, m>>, each with the match after it (null at the end).
+
+    Offsets are half-open and count code points; null text is empty text.  Only numbers are folded: where each piece begins.
+    """
     text = F.coalesce(text, F.lit(""))
-    pieces = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda g, m: F.struct(g.alias("g"), m.alias("m")))
-    start = F.struct(F.lit(0).alias("p"), F.expr(f"cast(array() as {SPANS})").alias("a"))
+    found = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda t, m: F.struct(t.alias("t"), m.alias("m")))
 
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["p"] + F.length(x["g"])
-        e = s + F.length(x["m"])
-        return F.struct(e.alias("p"), F.concat(acc["a"], F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("t")))).alias("a"))
+    def placed(pieces: Column) -> Column:
+        begins = F.aggregate(pieces, F.array(F.lit(0)), lambda b, x: F.array_append(b, F.element_at(b, -1) + F.length(x["t"]) + F.coalesce(F.length(x["m"]), F.lit(0))))
+        return F.zip_with(pieces, F.slice(begins, F.lit(1), F.size(pieces)), lambda x, s: F.struct(s.alias("s"), (s + F.length(x["t"])).alias("e"), x["t"].alias("t"), x["m"].alias("m")))
 
-    return F.aggregate(F.filter(pieces, lambda x: x["m"].isNotNull()), start, step, lambda acc: acc["a"])
+    return let(found, placed)
+
+
+def scan(text: Column, pattern: str) -> Column:
+    """All matches as array<struct<s, e, t>>, half-open offsets in code points; null text gives an empty array."""
+    hits = F.filter(segments(text, pattern), lambda x: x["m"].isNotNull())
+    return F.transform(hits, lambda x: F.struct(x["e"].alias("s"), (x["e"] + F.length(x["m"])).alias("e"), x["m"].alias("t")))
 
 
 def scan_cores(text: Column, before: str, core: str, after: str = "") -> Column:

@@ -101,12 +101,21 @@ def derive_foods(conclusions: DataFrame, edges: DataFrame) -> DataFrame:
     return grouped.withColumns({"paper_count": F.size(all_papers), "direction": direction(F.size("supporting"), F.size("contradicting"))})
 
 
-def batch_facts(papers: DataFrame) -> DataFrame:
-    """(kind, value, papers): counts by design, funder type and source type, with the range of years.  papers: document_id, study_design, publication_year, source_type."""
-    count = lambda c: papers.groupBy(F.lit(c).alias("kind"), F.coalesce(F.col(c).cast("string"), F.lit("unknown")).alias("value")).agg(F.count_distinct("document_id").alias("papers"))
+def batch_facts(papers: DataFrame, funding: DataFrame | None = None) -> DataFrame:
+    """(kind, value, papers): counts by design and source type, with funding by funder type, and the range of years.
+
+    papers: document_id, study_design, publication_year, source_type; funding: document_id, funder_type.
+    """
+    count = lambda rows, c: rows.groupBy(F.lit(c).alias("kind"), F.coalesce(F.col(c).cast("string"), F.lit("unknown")).alias("value")).agg(F.count_distinct("document_id").alias("papers"))
     years = papers.agg(F.min("publication_year").alias("lo"), F.max("publication_year").alias("hi"), F.count("publication_year").alias("papers"))
     years = years.select(F.lit("year_range").alias("kind"), F.format_string("%s-%s", "lo", "hi").alias("value"), "papers")
-    return count("study_design").unionByName(count("source_type")).unionByName(years)
+    rows = count(papers, "study_design").unionByName(count(papers, "source_type")).unionByName(years)
+    return rows if funding is None else rows.unionByName(count(funding.join(papers.select("document_id"), "document_id", "left_semi"), "funder_type"))
+
+
+def topic_frequency(sets: DataFrame) -> DataFrame:
+    """(concept_id, papers): how many papers have each concept.  sets: document_id, concept_id (null for a paper without)."""
+    return sets.filter("concept_id is not null").groupBy("concept_id").agg(F.count_distinct("document_id").alias("papers"))
 
 
 def self_loops(rows: DataFrame, by: str | None = None) -> DataFrame:

@@ -91,3 +91,19 @@ def qualifiers_of(claims: DataFrame, obs: DataFrame, quals: DataFrame) -> DataFr
     return rows.groupBy("claim_id", "qualifier_type", "value").agg(
         F.first("value_concept_id", ignorenulls=True).alias("value_concept_id"), F.min_by("value_text", "observation_id").alias("value_text"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans")
     )
+
+
+def modifiers_of(claims: DataFrame, obs: DataFrame, mods: DataFrame) -> DataFrame:
+    """Localising modifiers of each claim's endpoints, one row per endpoint and value, with the first observation's text.  obs: with both mention ids."""
+    owner = claims.select("claim_id", F.explode("observation_ids").alias("observation_id")).join(obs.select("observation_id", "subject_mention_id", "object_mention_id"), "observation_id")
+    ends = owner.select("claim_id", "observation_id", F.explode(F.create_map(F.lit("subject"), "subject_mention_id", F.lit("object"), "object_mention_id")).alias("endpoint", "owner_id"))
+    rows = ends.join(mods.filter("relation = 'localized_in'").select("owner_id", "relation", "value_concept_id", "value_text"), "owner_id")
+    value = F.coalesce("value_concept_id", T.surface_key(F.col("value_text")))
+    return rows.groupBy("claim_id", "endpoint", "relation", value.alias("value")).agg(F.first("value_concept_id", ignorenulls=True).alias("value_concept_id"), F.min_by("value_text", "observation_id").alias("value_text")).drop("value")
+
+
+def with_children(claims: DataFrame, quals: DataFrame, mods: DataFrame) -> DataFrame:
+    """Claims with their qualifiers and modifiers as arrays; children are grouped before they are joined."""
+    q = quals.groupBy("claim_id").agg(F.array_sort(F.collect_list(F.struct("qualifier_type", "value_concept_id", "value_text"))).alias("qualifiers"))
+    m = mods.groupBy("claim_id").agg(F.array_sort(F.collect_list(F.struct("endpoint", "relation", "value_concept_id", "value_text"))).alias("modifiers"))
+    return claims.join(q, "claim_id", "left").join(m, "claim_id", "left")

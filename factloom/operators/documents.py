@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.scan import scan
+from ..functions.scan import let, segments
 from ..plans.rules import CLAUSE_MARKERS, CONTRASTIVE
 
 #: Between two paragraphs of the canonical text.
@@ -57,17 +57,14 @@ def sections(paragraphs: DataFrame) -> DataFrame:
     return grouped.withColumn("text", F.array_join(F.transform("p", lambda x: x["text"]), "\n" * PARAGRAPH_GAP)).drop("p")
 
 
-def between(text: Column, separators: Column) -> Column:
-    """The trimmed, non-empty spans between separators: array<struct<s, e, t>>."""
-    starts = F.concat(F.array(F.lit(0)), F.transform(separators, lambda x: x["e"]))
-    ends = F.concat(F.transform(separators, lambda x: x["s"]), F.array(F.length(text)))
-    spans = F.zip_with(starts, ends, lambda s, e: F.struct(s.alias("s"), e.alias("e"), F.substring(text, s + 1, e - s).alias("t")))
-    return F.filter(F.transform(spans, T.trimmed), lambda x: x["e"] > x["s"])
+def between(text: Column, pattern: str) -> Column:
+    """The trimmed, non-empty spans between matches of a pattern: array<struct<s, e, t>>."""
+    return F.filter(F.transform(segments(text, pattern), T.trimmed), lambda x: x["e"] > x["s"])
 
 
 def sentences(paragraphs: DataFrame, pattern: str = SENTENCE_GAP) -> DataFrame:
     """Rule-based sentences of each paragraph, with document offsets."""
-    spans = paragraphs.select("document_id", "section_id", "paragraph_id", "start_char", F.posexplode(between(F.col("text"), scan(F.col("text"), pattern))).alias("k", "x"))
+    spans = paragraphs.select("document_id", "section_id", "paragraph_id", "start_char", F.posexplode(between(F.col("text"), pattern)).alias("k", "x"))
     return spans.select(
         T.sentence_id(F.col("paragraph_id"), F.col("k")).alias("sentence_id"), "paragraph_id", "section_id", "document_id",
         (F.col("start_char") + F.col("x.s")).cast("int").alias("start_char"), (F.col("start_char") + F.col("x.e")).cast("int").alias("end_char"), F.col("x.t").alias("text"),
@@ -79,11 +76,8 @@ def clauses(sents: DataFrame, markers: str = CLAUSE_MARKERS, contrastive: list[s
 
     Segments without text vanish with their marker; the first clause that is kept is never contrastive.
     """
-    text = F.col("text")
-    marks = scan(text, "(?iU)" + markers)
-    starts = F.concat(F.array(F.struct(F.lit(0).alias("e"), F.lit(None).cast("string").alias("m"))), F.transform(marks, lambda x: F.struct(x["e"].alias("e"), F.lower(x["t"]).alias("m"))))
-    ends = F.concat(F.transform(marks, lambda x: x["s"]), F.array(F.length(text)))
-    parts = F.zip_with(starts, ends, lambda a, e: F.struct(T.trimmed(F.struct(a["e"].alias("s"), e.alias("e"), F.substring(text, a["e"] + 1, e - a["e"]).alias("t"))).alias("x"), a["m"].alias("m")))
+    marked = lambda found: F.transform(found, lambda x, k: F.struct(T.trimmed(x).alias("x"), F.lower(F.get(found, k - 1)["m"]).alias("m")))
+    parts = let(segments(F.col("text"), "(?iU)" + markers), marked)
     rows = sents.select("document_id", "sentence_id", "start_char", F.posexplode(F.filter(parts, lambda p: p["x"]["e"] > p["x"]["s"])).alias("clause_index", "p"))
     return rows.select(
         T.clause_id(F.col("sentence_id"), F.col("clause_index")).alias("clause_id"), "sentence_id", "document_id", "clause_index",

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -66,13 +67,39 @@ def first_span(text: Column, pattern: str) -> Column:
     return F.get(scan(text, "(?iU)" + pattern), F.lit(0))
 
 
+#: Surfaces of a lexicon that are searched as one pattern; a larger one is no lexicon of names.
+MOST_SURFACES = 100_000
+
+
+def nested(surfaces: list[str]) -> list[tuple[str, str]]:
+    """(found, surface): every surface, and the shorter ones that a found one begins with as whole words."""
+    known = {s.lower(): s for s in surfaces}
+    out = []
+    for s in known:
+        ends = [k for k in range(1, len(s) + 1) if k == len(s) or not (s[k].isalnum() or s[k] == "_")]
+        out += [(s, known[s[:k]]) for k in ends if s[:k] in known]
+    return out
+
+
 def surface_hits(texts: DataFrame, vocabulary: DataFrame, text_col: str = "text") -> DataFrame:
-    """Rows of texts joined with every vocabulary surface that stands in them as a word.  vocabulary: surface and its columns; a bounded lexicon.
+    """Rows of texts joined with every vocabulary surface that stands in them as a word, in any case.  vocabulary: surface and its columns; a bounded lexicon.
 
-    Each surface is searched by its lower-cased form bounded by non-word characters; the lexicon side is broadcast, being a fixed list.
+    One pattern finds, at every place where a word begins, the longest surface that begins there; its shorter beginnings are known beforehand.  What is
+    found meets the lexicon by its key.  A surface that stands alone and begins a longer one comes twice.
     """
-    v = F.broadcast(vocabulary.withColumn("__p", F.concat(F.lit(r"(?iU)(?<!\w)\Q"), F.col("surface"), F.lit(r"\E(?!\w)"))))
-    return texts.join(v, F.expr(f"{text_col} rlike __p")).drop("__p")
+    spark = texts.sparkSession
+    names = [r.surface for r in vocabulary.select("surface").distinct().limit(MOST_SURFACES + 1).collect()]
+    if len(names) > MOST_SURFACES:
+        raise ValueError(f"a lexicon may have {MOST_SURFACES} surfaces")
+    if not names:
+        return texts.join(vocabulary, F.lit(False))
+    ordered = sorted(set(names), key=lambda s: (-len(s), s))
+    pattern = r"(?iU)(?<!\w)(?=(" + "|".join(re.escape(s).replace(r"\ ", " ") for s in ordered) + r")(?!\w))"
+    keys = spark.createDataFrame(nested(names), "hit_key string, surface string")
+    found = F.array_distinct(F.transform(F.regexp_extract_all(text_col, F.lit(pattern), F.lit(1)), F.lower))
+    # the lexicon has MOST_SURFACES rows at most
+    lexicon = F.broadcast(keys.join(vocabulary, "surface").select("hit_key", *vocabulary.columns))
+    return texts.withColumn("hit_key", F.explode(found)).join(lexicon, "hit_key").drop("hit_key")
 
 
 def country(texts: DataFrame, countries: DataFrame) -> DataFrame:

@@ -28,7 +28,10 @@ def surface_index(concepts: DataFrame) -> DataFrame:
 
 
 def normalize(surfaces: DataFrame, index: DataFrame, surface: str = "surface_text") -> DataFrame:
-    """Surfaces with concept_id, canonical_name and status: unmatched, ambiguous or normalized."""
+    """Surfaces with concept_id, canonical_name and status: unmatched, ambiguous or normalized.
+
+    To narrow by type, give the index of that type's concepts: ``surface_index(concepts.filter(...))``.
+    """
     joined = surfaces.withColumn("key", T.surface_key(F.col(surface))).join(F.broadcast(index.select("key", "n_concepts", "concept_id", "canonical_name")), "key", "left")
     status = F.when(F.col("n_concepts").isNull(), "unmatched").when(F.col("n_concepts") > 1, "ambiguous").otherwise("normalized")
     return joined.withColumn("status", status).drop("key", "n_concepts")
@@ -59,6 +62,22 @@ def detected_spans(sents: DataFrame, detect: Callable[[str], Iterable[tuple[int,
     return sents.select("document_id", "sentence_id", "start_char", "text").mapInArrow(run, schema)
 
 
+def open_observation_id(document: Column, start: Column, end: Column) -> Column:
+    return T.digest(document, start.cast("string"), end.cast("string"), length=16, skip_empty=False, separator="|")
+
+
+def open_observations(sents: DataFrame, detect: Callable[[str], Iterable[tuple[int, int, str, float]]], least: float = 0.0) -> DataFrame:
+    """Relations of a user's detector with ids: of equal spans of a document the best-scored one, best first and then by place."""
+    rows = detected_spans(sents, detect).filter(F.col("score") >= least)
+    best = rows.groupBy("document_id", "start_char", "end_char").agg(F.max_by(F.struct("sentence_id", "surface_text", "label", "score"), F.struct("score", "label")).alias("b"))
+    return best.select(open_observation_id(F.col("document_id"), F.col("start_char"), F.col("end_char")).alias("open_observation_id"), "document_id", "b.sentence_id", "start_char", "end_char", F.col("b.surface_text").alias("text"), "b.label", "b.score")
+
+
+def best_first(rows: DataFrame) -> DataFrame:
+    """Open observations of each document, best-scored first, then by place."""
+    return rows.orderBy("document_id", F.desc("score"), "start_char", "end_char", "open_observation_id")
+
+
 def overlap(a: DataFrame, b: DataFrame) -> Column:
     return (a["document_id"] == b["document_id"]) & (a["start_char"] < b["end_char"]) & (b["start_char"] < a["end_char"])
 

@@ -121,7 +121,79 @@ def keep_first(rows: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def run_id(documents: DataFrame, versions: list[str], extra: str = "") -> DataFrame:
-    """(run_id): digest of versions and sorted document ids; times do not count."""
-    ids = documents.agg(F.array_sort(F.collect_set("document_id")).alias("ids"))
-    parts = F.concat(F.array(*(F.lit(v) for v in versions)), F.col("ids"), F.array(F.lit(extra)) if extra else F.array().cast("array<string>"))
-    return ids.select(F.substring(F.sha2(F.array_join(parts, "\n"), 256), 1, 16).alias("run_id"))
+    """(run_id): digest of versions and the set of document ids; times do not count.
+
+    Ids are hashed one by one and summed as whole numbers, in whatever order they come, so no task holds them all.
+    """
+    digest = F.sha2("document_id", 256)
+    part = lambda k: F.sum(F.conv(F.substring(digest, 1 + 12 * k, 12), 16, 10).cast("decimal(38,0)"))
+    ids = documents.select("document_id").distinct().agg(F.count("*").alias("n"), *(F.coalesce(part(k), F.lit(0)).alias(f"s{k}") for k in range(3)))
+    parts = [*(F.lit(v) for v in versions), *(F.col(c).cast("string") for c in ("n", "s0", "s1", "s2")), F.lit(extra)]
+    return ids.select(F.substring(F.sha2(F.concat_ws("\n", *parts), 256), 1, 16).alias("run_id"))
+
+
+def texts_between(obs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Observations with the text between their endpoints, and its length (0, where they touch or overlap)."""
+    lo, hi = F.least("subject_end_char", "object_end_char"), F.greatest("subject_start_char", "object_start_char")
+    rows = obs.join(texts, "document_id")
+    return rows.withColumn("between", F.substring("canonical_text", lo + 1, F.greatest(hi - lo, F.lit(0)))).withColumn("distance", F.greatest(hi - lo, F.lit(0))).drop("canonical_text")
+
+
+def nested_documents(documents: DataFrame, sections: DataFrame, paragraphs: DataFrame, sentences: DataFrame) -> DataFrame:
+    """Documents with sections > paragraphs > sentences as nested arrays in reading order; children are grouped before they are joined."""
+
+    def under(rows: DataFrame, key: str, *columns: str) -> DataFrame:
+        # named by the child's id column, and ordered by place
+        name = columns[0].replace("_id", "s")
+        return rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start_char", "end_char", *columns))).alias(name))
+
+    p = paragraphs.join(under(sentences, "paragraph_id", "sentence_id", "text"), "paragraph_id", "left")
+    s = sections.join(under(p, "section_id", "paragraph_id", "text", "sentences"), "section_id", "left")
+    return documents.join(under(s, "document_id", "section_id", "title", "paragraphs"), "document_id", "left")
+
+
+def deconstruct(sents: DataFrame, clause_rows: DataFrame, found: DataFrame, obs: DataFrame) -> DataFrame:
+    """A trace of each sentence: its clauses, mentions and observations in order, and why nothing is bound where that is so."""
+    clauses_ = clause_rows.groupBy("sentence_id").agg(F.array_sort(F.collect_list(F.struct("clause_index", "text", "marker"))).alias("clauses"))
+    mentions_ = found.filter("sentence_id is not null").groupBy("sentence_id").agg(F.array_sort(F.collect_list(F.struct("start_char", "surface_text", "concept_id", "status"))).alias("mentions"))
+    bound = obs.groupBy("sentence_id").agg(F.array_sort(F.collect_list(F.struct("subject_start_char", "object_start_char", "predicate", "rule_id", "polarity", "certainty"))).alias("observations"))
+    rows = sents.select("document_id", "sentence_id", "start_char", "text")
+    for child in (clauses_, mentions_, bound):
+        rows = rows.join(child, "sentence_id", "left")
+    n = F.coalesce(F.size("mentions"), F.lit(0))
+    reason = F.when(F.col("observations").isNotNull(), "bound").when(n <= 0, "no_mentions").when(n == 1, "one_mention").otherwise("no_relation_between_mentions")
+    return rows.withColumn("outcome", reason)
+
+
+def explain_fully(claims: DataFrame, evidence: DataFrame, characteristics: DataFrame, funding: DataFrame, assessments: DataFrame, documents: DataFrame, runs: DataFrame, obs: DataFrame) -> DataFrame:
+    """``explain_claims`` with the paper, the latest run and the claim's observations.  documents: document_id, title, journal, publication_date."""
+    rows = explain_claims(claims, evidence, characteristics, funding, assessments)
+    paper = documents.select("document_id", F.struct("title", "journal", "publication_date").alias("paper"))
+    of = claims.select("claim_id", F.explode("observation_ids").alias("observation_id")).join(obs.select("observation_id", "sentence_id", "predicate", "rule_id", "context"), "observation_id")
+    of = of.groupBy("claim_id").agg(F.array_sort(F.collect_list(F.struct("observation_id", "sentence_id", "predicate", "rule_id", "context"))).alias("observations"))
+    # the latest run is one row
+    return rows.join(paper, "document_id", "left").join(of, "claim_id", "left").crossJoin(F.broadcast(latest_run(runs).select("run_id")))
+
+
+def distinct_in_order(messages: Column) -> Column:
+    """The first of each of equal messages of a list."""
+    return F.array_distinct(messages)
+
+
+#: Tables that are listed by document, with their order.
+LISTS = {
+    "documents": ("document_id",), "sentences": ("start_char",), "entity_mentions": ("start_char", "end_char", "entity_type"), "entity_modifiers": ("owner_id", "relation", "value_text"), "claims": ("subject_name", "predicate", "object_name", "claim_id"),
+    "claim_evidence": ("claim_id", "start_char"), "observations": ("subject_start_char", "object_start_char", "predicate", "observation_id"), "open_observations": ("start_char",),
+}
+
+
+def listed(store, table: str, document_id: str) -> DataFrame:
+    """One document's rows of a stored table in its order; claims come with their qualifiers and modifiers."""
+    rows = store.read(table).filter(F.col("document_id") == document_id)
+    if table == "claims":
+        from .claims import with_children
+
+        rows = with_children(rows, *(store.read(t).filter(F.col("document_id") == document_id) for t in ("claim_qualifiers", "claim_modifiers")))
+    if table == "open_observations":
+        return rows.orderBy(F.desc("score"), "start_char", "open_observation_id")
+    return rows.orderBy(*LISTS[table])

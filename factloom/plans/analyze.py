@@ -5,29 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import text as T
-from ..operators import analysis, documents, query
-from ..sources import xml
-from ..sources.store import Store
-from .extract import extract
-
-
-def normalize(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records, raw paragraphs) of raw files (pmid, name, content): ``pubmed.xml`` and, where there is one, ``pmc.xml``."""
-    files = raw.withColumn("document_id", T.document_id(F.col("pmid")))
-    pubmed, pmc = files.filter("name like 'pubmed%'"), files.filter("name like 'pmc%'")
-    records = xml.pubmed_records(pubmed)
-    return records, documents.assemble(records.select("document_id", "title"), xml.abstract_sections(pubmed), xml.jats_sections(pmc))
-
-
-def ingest(store: Store, raw: DataFrame) -> None:
-    """Records, canonical tables, mentions, observations and claims of raw files, replaced paper by paper."""
-    records, paragraphs = normalize(raw)
-    ids = records.select("document_id")
-    store.replace("documents", records)
-    found = extract(paragraphs)
-    for name, table in (("paragraphs", "paragraphs"), ("sentences", "sentences"), ("mentions", "entity_mentions"), ("observations", "observations"), ("claims", "claims")):
-        store.replace(table, found[name], ids)
+from ..operators import analysis, query
 
 
 def batch(papers: DataFrame, mentions: DataFrame, claims: DataFrame, core_fraction: float = 0.5, threshold: float = 0.2, strengths: DataFrame | None = None) -> dict[str, DataFrame]:

@@ -1,7 +1,9 @@
-"""The extraction plan: paragraphs to sentences, mentions, observations and claims, as lazily composed tables."""
+"""The extraction plan: paragraphs to sentences, mentions, observations and claims, as composed tables."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,25 +12,37 @@ from ..sources import vocabulary
 from . import rules as R
 
 
-def extract(raw_paragraphs: DataFrame, concepts: DataFrame | None = None, surfaces: list[str] | None = None, states: DataFrame | None = None, rule_rows: list[tuple] = R.RELATION_RULES, markers: str = R.CLAUSE_MARKERS, model_spans=None) -> dict[str, DataFrame]:
-    """Tables by name.  A lexicon other than the built-in one comes as concepts with its list of surfaces."""
+def extract(
+    raw_paragraphs: DataFrame, concepts: DataFrame | None = None, surfaces: list[str] | None = None, states: DataFrame | None = None, rule_rows: list[tuple] = R.RELATION_RULES, markers: str = R.CLAUSE_MARKERS,
+    model_spans=None, parses: DataFrame | None = None, keep: Callable[[str, DataFrame], DataFrame] = lambda name, rows: rows,
+) -> dict[str, DataFrame]:
+    """Tables by name.  A lexicon other than the built-in one comes as concepts with its list of surfaces.
+
+    ``parses`` are dependency parses of sentences (see ``binding.parse_bind``): sentences with a parse are bound by it first, and by the flat binder only where the
+    parse binds nothing.  ``keep`` gets every table as it is made and returns the one to go on with, so a store can write each stage once.
+    """
     spark = raw_paragraphs.sparkSession
     concepts = vocabulary.concepts(spark) if concepts is None else concepts
     surfaces = vocabulary.surfaces() if surfaces is None else surfaces
     states = vocabulary.disease_states(spark) if states is None else states
-    paragraphs = documents.canonical_paragraphs(raw_paragraphs)
+    paragraphs = keep("paragraphs", documents.canonical_paragraphs(raw_paragraphs))
     texts = documents.canonical_text(paragraphs)
-    sents = documents.sentences(paragraphs)
+    parts = keep("sections", documents.sections(paragraphs))
+    sents = keep("sentences", documents.sentences(paragraphs))
     spans = model_spans(sents) if model_spans is not None else None
-    found = mentions.mentions(sents, paragraphs, mentions.surface_index(concepts), surfaces, spans)
-    parts = documents.clauses(sents, markers)
-    quals = mentions.qualifiers(parts, "clause_id", mentions.surface_index(states))
-    mods = mentions.modifiers(found, texts)
-    obs = binding.link_parents(binding.flat_bind(found, parts, quals, texts, rule_rows))
+    found = keep("mentions", mentions.mentions(sents, paragraphs, mentions.surface_index(concepts), surfaces, spans))
+    cut = keep("clauses", documents.clauses(sents, markers))
+    quals = keep("qualifiers", mentions.qualifiers(cut, "clause_id", mentions.surface_index(states)))
+    mods = keep("modifiers", mentions.modifiers(found, texts))
+    obs = binding.flat_bind(found, cut, quals, texts, rule_rows)
+    if parses is not None:
+        parsed = binding.parse_bind(parses, found, texts)
+        obs = binding.with_fallback(parsed, parsed.select("sentence_id").limit(0), obs)
+    obs = binding.link_parents(obs)
     ends = sents.select("sentence_id", F.col("start_char").alias("evidence_start"), F.col("end_char").alias("evidence_end"))
-    obs = claims.with_signatures(obs.join(ends, "sentence_id"), quals, mods)
-    folded = claims.fold(obs, concepts)
-    return {"paragraphs": paragraphs, "texts": texts, "sentences": sents, "mentions": found, "clauses": parts, "qualifiers": quals, "modifiers": mods, "observations": obs, "claims": folded}
+    obs = keep("observations", claims.with_signatures(obs.join(ends, "sentence_id"), quals, mods))
+    folded = keep("claims", claims.fold(obs, concepts))
+    return {"paragraphs": paragraphs, "texts": texts, "sections": parts, "sentences": sents, "mentions": found, "clauses": cut, "qualifiers": quals, "modifiers": mods, "observations": obs, "claims": folded}
 
 
 def one_sentence_papers(rows: DataFrame) -> DataFrame:
@@ -36,3 +50,18 @@ def one_sentence_papers(rows: DataFrame) -> DataFrame:
     title = rows.select("document_id", F.lit(-1).alias("section_idx"), F.lit("Title").alias("section_title"), F.lit(0).alias("paragraph_idx"), F.col("title").alias("raw_text")).filter("raw_text is not null")
     body = rows.select("document_id", F.lit(0).alias("section_idx"), F.lit("Abstract").alias("section_title"), F.lit(0).alias("paragraph_idx"), F.col("sentence").alias("raw_text"))
     return title.unionByName(body)
+
+
+def of_quotes(quotes: DataFrame, **options) -> DataFrame:
+    """Observations of single sentences (sentence_id, quote) without a store, in reading order: sentence_id, k and the observation's columns."""
+    rows = quotes.select(F.col("sentence_id").alias("document_id"), F.lit(None).cast("string").alias("title"), F.col("quote").alias("sentence"))
+    obs = extract(one_sentence_papers(rows), **options)["observations"].drop("sentence_id").withColumnRenamed("document_id", "sentence_id")
+    return in_order(obs)
+
+
+def in_order(obs: DataFrame) -> DataFrame:
+    """Observations numbered (k) in each sentence: by subject, object, predicate, id."""
+    from pyspark.sql import Window as W
+
+    order = W.partitionBy("sentence_id").orderBy("subject_start_char", "object_start_char", "predicate", "observation_id")
+    return obs.withColumn("k", (F.row_number().over(order) - 1).cast("int"))

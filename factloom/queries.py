@@ -15,7 +15,7 @@ from .functions import text as T
 from .operators import analysis, binding, claims, documents, facts, mentions, query
 from .plans import rules as R
 from .plans.extract import extract, one_sentence_papers
-from .sources import vocabulary, xml
+from .sources import store, vocabulary, xml
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,9 +91,7 @@ q AS (SELECT doc_id, k, CASE WHEN k > 1 THEN m[k - 1] END AS marker, s + length(
 def sentence_segments(spark, sf_dir):
     """The segmentation primitive with a probe boundary that both engines can state."""
     docs = table(spark, sf_dir, "documents")
-    from .functions.scan import scan
-
-    x = docs.select("doc_id", F.explode(documents.between(F.col("text"), scan(F.col("text"), r"(?U)[.!?]+[ ]"))).alias("x"))
+    x = docs.select("doc_id", F.explode(documents.between(F.col("text"), r"(?U)[.!?]+[ ]")).alias("x"))
     return x.select("doc_id", F.col("x.s").cast("long").alias("start_char"), F.col("x.e").cast("long").alias("end_char"), F.col("x.t").alias("text"))
 
 
@@ -563,8 +561,59 @@ def vocab_overlay(spark, sf_dir):
 def open_observations(spark, sf_dir):
     """The detector hook with a demonstration detector: texts whose length is a multiple of three bear a relation."""
     s = doc_paragraphs(spark, sf_dir).withColumnRenamed("paragraph_id", "sentence_id")
-    found = mentions.detected_spans(s, lambda t: [(0, len(t), "relation", len(t) / 100)] if t and len(t) % 3 == 0 else [])
-    return found.select("document_id", "end_char", "score", T.digest(F.col("document_id"), F.col("start_char").cast("string"), F.col("end_char").cast("string"), length=16, skip_empty=False, separator="|").alias("id"))
+    found = mentions.open_observations(s, lambda t: [(0, len(t), "relation", len(t) / 100), (0, len(t), "weaker", 0.0)] if t and len(t) % 3 == 0 else [])
+    return found.select("document_id", "end_char", "score", F.col("open_observation_id").alias("id"))
+
+
+@register(r"""WITH v AS (SELECT unnest(['the', 'the and', 'and', 'de', 'de la', 'der', 'in', 'und', 'les']) AS surface), t AS (SELECT doc_id, regexp_replace(lower(text), '[^\p{L}\p{N}\p{M}_ ]', '#', 'g') AS w FROM documents)
+SELECT doc_id, surface, length(surface) AS size FROM t, v WHERE regexp_matches(w, '(^|[ #])' || surface || '($|[ #])')""")
+def surface_lookup(spark, sf_dir):
+    """Every surface of a lexicon that stands in a text as a word, also one that begins a longer one."""
+    v = values(spark, "surface string, size long", *((w, len(w)) for w in ("the", "the and", "and", "de", "de la", "der", "in", "und", "les")))
+    return facts.surface_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), v).select("doc_id", "surface", "size").distinct()
+
+
+@register("""SELECT min(doc_id) AS position, (doc_id % 97)::VARCHAR AS pmid FROM documents GROUP BY 2""")
+def paper_id_list(spark, sf_dir):
+    """A text source of paper ids, with comments, blanks and repeated ids."""
+    line = F.when(F.col("doc_id") % 2 == 0, F.format_string(" PMID: %d # note", F.col("doc_id") % 97)).otherwise((F.col("doc_id") % 97).cast("string"))
+    lines = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("position"), line.alias("line"))
+    return store.pmid_list(lines.unionByName(values(spark, "position long, line string", (-1, ""), (-2, "# none"))))
+
+
+@register(f"WITH {OBS_SQL} SELECT subject_concept_id AS concept_id, count(DISTINCT document_id) AS papers FROM obs GROUP BY 1")
+def topic_frequency(spark, sf_dir):
+    return analysis.topic_frequency(observations(spark, sf_dir).select("document_id", F.col("subject_concept_id").alias("concept_id")))
+
+
+@register("""SELECT doc_id::VARCHAR AS document_id, substr(text, 3 + doc_id % 5 + 1, greatest(20 - 3 - (doc_id % 5), 0)::BIGINT) AS between, (17 - doc_id % 5)::INTEGER AS distance FROM documents""")
+def texts_between(spark, sf_dir):
+    """The text between the endpoints of stand-in observations, whichever comes first."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("document_id"), F.coalesce("text", F.lit("")).alias("canonical_text"), (F.col("doc_id") % 5).cast("int").alias("k"))
+    ends = {"subject": (F.lit(0), F.lit(3) + F.col("k")), "object": (F.lit(20), F.lit(25))}
+    swap = F.col("k") % 2 == 1
+    obs = d.select("document_id", *(F.when(swap, ends[b][j]).otherwise(ends[a][j]).alias(f"{a}_{c}_char") for a, b in (("subject", "object"), ("object", "subject")) for j, c in enumerate(("start", "end"))))
+    return query.texts_between(obs, d.select("document_id", "canonical_text")).select("document_id", "between", "distance")
+
+
+@register(f"""WITH {LINES} SELECT document_id, 1 AS sections, count(*)::INTEGER AS paragraphs, sum(length(text)) AS chars, min_by(text, par) AS first_text FROM p GROUP BY 1""")
+def nested_documents(spark, sf_dir):
+    """Documents rebuilt as sections > paragraphs > sentences; every sentence lies in its paragraph."""
+    p = documents.canonical_paragraphs(raw_lines(spark, sf_dir))
+    d = query.nested_documents(p.select("document_id").distinct(), documents.sections(p), p, documents.sentences(p))
+    paragraphs = F.flatten(F.transform("sections", lambda s: s["paragraphs"]))
+    chars = F.aggregate(paragraphs, F.lit(0).cast("long"), lambda n, x: n + F.length(x["text"]))
+    sound = F.forall(paragraphs, lambda x: F.forall(x["sentences"], lambda s: (s["start_char"] >= x["start_char"]) & (s["end_char"] <= x["end_char"])))
+    return d.filter(sound).select("document_id", F.size("sections").alias("sections"), F.size(paragraphs).alias("paragraphs"), chars.alias("chars"), F.get(paragraphs, F.lit(0))["text"].alias("first_text"))
+
+
+@register()
+def extract_documents(spark, sf_dir):
+    """The whole extraction plan over all documents with a probe lexicon and a probe rule; rows only, as no SQL states the rules.  One row per outcome."""
+    concepts = values(spark, vocabulary.CONCEPT, *PROBE)
+    rules = [("rel_probe", "associated_with", "positive", True, r"\w+")]
+    x = extract(raw_lines(spark, sf_dir), concepts, [s for p in PROBE for s in p[3]], rule_rows=rules)
+    return query.deconstruct(x["sentences"], x["clauses"], x["mentions"], x["observations"]).groupBy("outcome").agg(F.count("*").alias("sentences"))
 
 
 @register("""WITH s AS (SELECT doc_id, 10 * (doc_id % 7) AS a FROM documents), m AS (SELECT doc_id, unnest(generate_series(0, 90, 9)) AS b FROM documents) SELECT doc_id::VARCHAR AS document_id, a::INTEGER AS start_char, b::INTEGER AS m_start FROM s JOIN m USING (doc_id) WHERE b < a + 15 AND a < b + 4""")

@@ -1,26 +1,30 @@
-"""The table store: Parquet tables partitioned by a hash bucket of the document, replaced document by document.
+"""The table store: Parquet tables with declared schemas, partitioned by a hash bucket of their key, replaced key by key.
 
 Writing a document again replaces its rows and no others, so a run can be repeated.  Rows of other documents in the same bucket are carried
-over; buckets that hold none of the written documents are not touched (dynamic partition overwrite).  A table is read before it is overwritten, so the
-new bucket contents are first written beside it.
+over; buckets that hold none of the written keys are not touched (dynamic partition overwrite).  New bucket contents are first written beside the table, as
+it is read before it is overwritten; that copy is emptied afterwards.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Key of each table; tables with document_id are replaced by document, the others are merged by key.
-TABLES = {
-    "extraction_runs": "run_id", "documents": "document_id", "document_versions": "document_id", "sections": "document_id", "paragraphs": "document_id",
-    "sentences": "document_id", "entities": "concept_id", "entity_mentions": "document_id", "entity_modifiers": "document_id", "extraction_rules": "rule_id",
-    "observations": "document_id", "observation_qualifiers": "document_id", "claims": "document_id", "claim_evidence": "document_id", "claim_qualifiers": "document_id",
-    "claim_modifiers": "document_id", "open_observations": "document_id", "study_characteristics": "document_id", "funders": "funder_id",
-    "funding_relationships": "document_id", "institutions": "institution_id", "authors": "document_id", "affiliations": "document_id",
-    "author_affiliations": "document_id", "assessment_frameworks": "framework_id", "assessment_criteria": "criterion", "assessments": "document_id",
-}
+from .schemas import TABLES
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet table is there."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
 
 
 class Store:
@@ -34,34 +38,64 @@ class Store:
             raise KeyError(f"no table {table}")
         return f"{self.path}/{table}"
 
+    def _schema(self, table: str) -> str:
+        return TABLES[table][1]
+
     def exists(self, table: str) -> bool:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(table))
-        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where)
+        return exists(self.spark, self._path(table))
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self._path(table)).drop("bucket")
-
-    def replace(self, table: str, rows: DataFrame, documents: DataFrame | None = None) -> None:
-        """Put rows in place of all earlier rows of their keys, and of ``documents`` (which may have no rows now)."""
-        key = TABLES[table]
-        bucket = F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
-        keys = rows.select(key).distinct()
-        if documents is not None and key == "document_id":
-            keys = keys.union(documents.select(key)).distinct()
-        new = rows.withColumn("bucket", bucket)
-        if self.exists(table):
-            old = self.spark.read.parquet(self._path(table))
-            touched = keys.select(bucket.alias("bucket")).distinct()
-            rest = old.join(F.broadcast(touched), "bucket", "left_semi").join(keys, key, "left_anti")
-            new = new.unionByName(rest, allowMissingColumns=True)
+        """The table's rows; a table that was never written is empty."""
+        if not self.exists(table):
+            return self.spark.createDataFrame([], self._schema(table))
+        rows = self.spark.read.schema(self._schema(table) + ", bucket int").parquet(self._path(table)).drop("bucket")
+        return rows.filter(F.col(TABLES[table][0][0]).isNotNull())
+
+    def conform(self, table: str, rows: DataFrame) -> DataFrame:
+        """The declared columns in order and type; columns that the rows lack are null, others are left out."""
+        fields = self.spark.createDataFrame([], self._schema(table)).schema
+        return rows.select(*((F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields))
+
+    def replace(self, table: str, rows: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+        """Put rows in place of all earlier rows of their keys, and of ``keys`` (which may have no rows now); returns the table's rows of ``keys``, or all of them.
+
+        ``keys`` has the first columns of the table's key, or all of them.
+        """
+        key = list(TABLES[table][0])
+        bucket = F.pmod(F.xxhash64(key[0]), F.lit(self.buckets)).cast("int")
         aside = f"{self.path}/_new/{table}-{uuid.uuid4().hex}"
-        new.repartition("bucket").write.partitionBy("bucket").parquet(aside)
-        ready = self.spark.read.parquet(aside)
-        ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self._path(table))
+        self.conform(table, rows).withColumn("bucket", bucket).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(aside)
+        schema = self._schema(table) + ", bucket int"
+        made = self.spark.read.schema(schema).parquet(aside)
+        new = made
+        if self.exists(table):
+            gone = made.select(*key).distinct()
+            if keys is not None:
+                rest = [k for k in key if k not in keys.columns]
+                more = keys.select(*(k for k in key if k in keys.columns)).distinct()
+                # further key columns: the combinations that are written now, a handful
+                gone = gone.union(more.crossJoin(F.broadcast(made.select(*rest).distinct())).select(*key) if rest else more).distinct()
+            old = self.spark.read.schema(schema).parquet(self._path(table)).filter(F.col(key[0]).isNotNull())
+            touched = gone.select(bucket.alias("bucket")).distinct()
+            kept = old.join(touched, "bucket", "left_semi").join(gone, key, "left_anti").select(made.columns)
+            merged = made.unionByName(kept)
+            # a partition cannot be overwritten by nothing: a bucket that loses its last row gets one without a key, which reads leave out
+            blank = touched.select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in made.schema if f.name != "bucket"), "bucket")
+            merged = merged.unionByName(blank).hint("rebalance", "bucket")
+            merged.write.partitionBy("bucket").parquet(f"{aside}-merged")
+            new = self.spark.read.schema(schema).parquet(f"{aside}-merged")
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self._path(table))
+        written = self.read(table)
+        if keys is not None:
+            written = written.join(keys.select(key[0]).distinct(), key[0], "left_semi")
+        for path in (aside, f"{aside}-merged"):
+            if exists(self.spark, path):
+                self.spark.createDataFrame([], self._schema(table)).write.mode("overwrite").parquet(path)
+        return written
 
     def missing(self, table: str, documents: DataFrame) -> DataFrame:
         """Documents that the table does not have."""
-        return documents if not self.exists(table) else documents.join(self.read(table).select("document_id").distinct(), "document_id", "left_anti")
+        return documents.join(self.read(table).select("document_id").distinct(), "document_id", "left_anti")
 
 
 def archive_raw(spark: SparkSession, files: DataFrame, path: str, force: bool = False) -> DataFrame:
@@ -70,8 +104,7 @@ def archive_raw(spark: SparkSession, files: DataFrame, path: str, force: bool =
     A forced write adds a version; files that the new one lacks stay.
     """
     rows = files.withColumn("sha256", F.sha2("content", 256))
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where) and not force:
+    if exists(spark, path) and not force:
         there = rows.join(spark.read.parquet(path).select("pmid", "name"), ["pmid", "name"], "left_semi")
         if not there.isEmpty():
             raise FileExistsError("raw files are immutable; use force to add a version")
@@ -79,6 +112,33 @@ def archive_raw(spark: SparkSession, files: DataFrame, path: str, force: bool =
     return rows.drop("content")
 
 
+def checksums(spark: SparkSession, path: str) -> DataFrame:
+    """(pmid, name, sha256) of an archive's files."""
+    return spark.read.parquet(path).select("pmid", "name", "sha256").distinct()
+
+
+def has_raw(papers: DataFrame, archive: DataFrame) -> DataFrame:
+    """Papers (pmid) with a flag whether the archive has files of them."""
+    known = archive.select("pmid").distinct().withColumn("has_raw", F.lit(True))
+    return papers.join(known, "pmid", "left").withColumn("has_raw", F.coalesce("has_raw", F.lit(False)))
+
+
 def canonical_json(rows: DataFrame) -> DataFrame:
     """(json) of each row with its fields in alphabetical order."""
     return rows.select(F.to_json(F.struct(*sorted(rows.columns))).alias("json"))
+
+
+def read_json(rows: DataFrame, schema: str) -> DataFrame:
+    """Rows back from (json); text that is no object of the schema gives nulls."""
+    return rows.select(F.from_json("json", schema).alias("x")).select("x.*")
+
+
+def pmid_list(lines: DataFrame) -> DataFrame:
+    """Paper ids of a text source (position, line): blanks and comments out, prefixes off, the first of equal ones stays; anything else is an error."""
+    from ..functions import text as T
+    from ..operators.query import keep_first
+
+    rows = lines.withColumn("pmid", F.trim(F.regexp_replace("line", "#.*$", ""))).filter("pmid <> ''")
+    known = T.pmid(F.col("pmid"))
+    rows = rows.withColumn("pmid", F.when(known.isNull(), F.raise_error(F.concat(F.lit("no paper id: "), "pmid"))).otherwise(known))
+    return keep_first(rows, "pmid", "position").select("position", "pmid")

@@ -5,6 +5,9 @@ The lexicon here is a small authored one with the identifiers that rules and val
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,12 +42,13 @@ FOUND_IN = {
     "NUTR:iron": ["FOOD:red_meat", "FOOD:spinach"], "NUTR:dietary_fiber": ["FOOD:vegetables", "FOOD:flaxseed", "FOOD:pumpkin"], "CHEM:polyphenols": ["FOOD:tomato", "FOOD:capsicum"],
     "NUTR:vitamin_d": ["FOOD:fish"], "NUTR:probiotics": ["FOOD:kefir"],
 }
+# Funders and countries with their forms.
 FUNDERS = [
     ("FUND:nih", "National Institutes of Health", "government", ["national institutes of health", "nih", "u.s. national institutes of health"]),
     ("FUND:nihr", "National Institute for Health Research", "government", ["national institute for health research", "nihr"]),
     ("FUND:nsf", "National Science Foundation", "government", ["national science foundation", "nsf"]),
     ("FUND:mrc", "Medical Research Council", "government", ["medical research council", "mrc"]),
-    ("FUND:pfizer", "Pfizer", "pharmaceutical", ["pfizer", "pfizer inc"]),
+    ("FUND:pfizer", "Pfizer", "pharmaceutical", ["pfizer", "pfizer inc", "pfizer inc."]),
     ("FUND:nestle", "Nestlé", "food_industry", ["nestlé", "nestle"]),
 ]
 COUNTRIES = [
@@ -54,15 +58,101 @@ COUNTRIES = [
 ]
 
 
+# Authored data: foods by group, and what each group is a source of.  An edge is made for every food and every source of its groups.
+FOOD_GROUPS = {
+    "leafy_greens": "kale spinach lettuce chard arugula collard_greens watercress endive",
+    "brassicas": "broccoli cabbage cauliflower brussels_sprouts bok_choy radish turnip",
+    "roots": "carrot beetroot sweet_potato parsnip celeriac potato",
+    "fruiting_vegetables": "tomato capsicum pumpkin zucchini eggplant cucumber okra",
+    "legumes": "lentils chickpeas black_beans kidney_beans soybeans peas peanuts",
+    "whole_grains": "oats barley rye brown_rice quinoa buckwheat whole_wheat millet",
+    "nuts_and_seeds": "walnuts almonds hazelnuts pistachios flaxseed chia_seeds sesame_seeds pumpkin_seeds sunflower_seeds",
+    "berries": "blueberries strawberries raspberries blackberries cranberries",
+    "orchard_fruit": "apples pears plums peaches cherries pomegranate grapes",
+    "citrus": "oranges lemons grapefruit mandarins limes",
+    "tropical_fruit": "bananas mango papaya pineapple kiwi avocado",
+    "fermented_foods": "kefir yogurt sauerkraut kimchi miso tempeh",
+    "dairy": "milk cheese butter whey",
+    "oily_fish": "fish salmon mackerel sardines herring anchovies",
+    "shellfish": "mussels oysters shrimp",
+    "meats": "red_meat beef lamb pork liver",
+    "poultry_and_eggs": "chicken turkey eggs",
+    "herbs_and_spices": "turmeric ginger garlic cinnamon rosemary oregano",
+    "alliums": "onions leeks shallots",
+    "drinks": "green_tea black_tea coffee red_wine cocoa",
+}
+SOURCES_OF = {
+    "leafy_greens": "NUTR:folate NUTR:iron NUTR:vitamin_k NUTR:vitamin_c NUTR:magnesium NUTR:dietary_fiber CHEM:lutein CHEM:nitrate",
+    "brassicas": "NUTR:vitamin_c NUTR:vitamin_k NUTR:dietary_fiber NUTR:folate CHEM:sulforaphane CHEM:glucosinolates",
+    "roots": "NUTR:dietary_fiber NUTR:potassium NUTR:vitamin_a CHEM:carotenoids",
+    "fruiting_vegetables": "NUTR:vitamin_c NUTR:dietary_fiber CHEM:polyphenols CHEM:carotenoids",
+    "legumes": "NUTR:dietary_fiber NUTR:protein NUTR:folate NUTR:iron NUTR:magnesium NUTR:zinc CHEM:saponins CHEM:phytosterols",
+    "whole_grains": "NUTR:dietary_fiber NUTR:beta_glucan NUTR:magnesium NUTR:selenium NUTR:vitamin_b1 NUTR:vitamin_b3 CHEM:lignans CHEM:arabinoxylan",
+    "nuts_and_seeds": "NUTR:omega_3 NUTR:omega_6 NUTR:vitamin_e NUTR:magnesium NUTR:zinc NUTR:protein CHEM:lignans CHEM:phytosterols",
+    "berries": "CHEM:anthocyanins CHEM:polyphenols CHEM:ellagic_acid NUTR:vitamin_c NUTR:dietary_fiber",
+    "orchard_fruit": "CHEM:quercetin CHEM:polyphenols NUTR:pectin NUTR:dietary_fiber",
+    "citrus": "NUTR:vitamin_c NUTR:pectin CHEM:hesperidin CHEM:naringenin",
+    "tropical_fruit": "NUTR:potassium NUTR:vitamin_c NUTR:dietary_fiber CHEM:carotenoids",
+    "fermented_foods": "NUTR:probiotics NUTR:vitamin_b12 CHEM:lactic_acid",
+    "dairy": "NUTR:calcium NUTR:protein NUTR:vitamin_b2 NUTR:vitamin_b12 NUTR:phosphorus",
+    "oily_fish": "NUTR:omega_3 NUTR:vitamin_d NUTR:protein NUTR:selenium NUTR:vitamin_b12 NUTR:iodine",
+    "shellfish": "NUTR:zinc NUTR:copper NUTR:selenium NUTR:vitamin_b12 NUTR:iodine",
+    "meats": "NUTR:iron NUTR:protein NUTR:zinc NUTR:vitamin_b12 CHEM:carnitine CHEM:choline",
+    "poultry_and_eggs": "NUTR:protein NUTR:vitamin_b6 NUTR:selenium CHEM:choline",
+    "herbs_and_spices": "CHEM:polyphenols CHEM:essential_oils",
+    "alliums": "NUTR:inulin CHEM:quercetin CHEM:allicin",
+    "drinks": "CHEM:polyphenols CHEM:catechins CHEM:caffeine",
+}
+INSTITUTIONS = [
+    ("INST:harvard", "Harvard University", "university", ["harvard university", "harvard medical school", "harvard t.h. chan school of public health"]),
+    ("INST:oxford", "University of Oxford", "university", ["university of oxford", "oxford university"]),
+    ("INST:cambridge", "University of Cambridge", "university", ["university of cambridge", "cambridge university"]),
+    ("INST:tokyo", "University of Tokyo", "university", ["university of tokyo"]), ("INST:karolinska", "Karolinska Institutet", "university", ["karolinska institutet", "karolinska institute"]),
+    ("INST:mayo", "Mayo Clinic", "hospital", ["mayo clinic"]), ("INST:charite", "Charité", "hospital", ["charité", "charite"]), ("INST:nih", "National Institutes of Health", "government", ["national institutes of health"]),
+    ("INST:inserm", "Inserm", "research_institute", ["inserm"]), ("INST:max_planck", "Max Planck Society", "research_institute", ["max planck institute", "max planck society"]),
+    ("INST:nestle_research", "Nestlé Research", "company", ["nestlé research", "nestle research"]),
+]
+MODIFIER_SITES = {"SITE:colon": ["colon", "colonic"], "SITE:ileum": ["ileum", "ileal"], "SITE:liver": ["hepatic"], "SITE:mucosa": ["mucosa", "mucosal"], "SITE:serum": ["serum"], "SITE:plasma": ["plasma"], "SITE:feces": ["feces", "stool", "fecal"]}
+
+
+def found_in() -> list[tuple[str, str]]:
+    """(source, food) of every edge, ordered: those given singly, and each group's foods with each of the group's sources."""
+    single = {(s, f) for s, foods in FOUND_IN.items() for f in foods}
+    return sorted(single | {(s, f"FOOD:{f}") for group, foods in FOOD_GROUPS.items() for f in foods.split() for s in SOURCES_OF[group].split()})
+
+
 def concept_rows() -> list[tuple]:
+    ids = [f"{prefix}:{n}" for prefix, names in CONCEPTS.items() for n in names.split()]
+    ids += [f"FOOD:{f}" for foods in FOOD_GROUPS.values() for f in foods.split()] + [s for of in SOURCES_OF.values() for s in of.split()]
     out = []
-    for prefix, names in CONCEPTS.items():
-        for n in names.split():
-            cid, plain = f"{prefix}:{n}", n.replace("_", " ")
-            out.append((cid, plain.capitalize(), TYPES[prefix], list(dict.fromkeys([plain, *FORMS.get(cid, [])]))))
+    for cid in dict.fromkeys(ids):
+        prefix, n = cid.split(":")
+        plain = n.replace("_", " ")
+        out.append((cid, plain.capitalize(), TYPES[prefix], list(dict.fromkeys([plain, *FORMS.get(cid, [])]))))
     return out
 
 
+def digest(rows: list | None = None) -> str:
+    """Twelve hex digits of a lexicon or an overlay; the built-in lexicon's without rows."""
+    return hashlib.sha256(json.dumps(concept_rows() if rows is None else rows, ensure_ascii=False, sort_keys=True).encode()).hexdigest()[:12]
+
+
+def entity_types(known: DataFrame) -> DataFrame:
+    """(entity_type), each once, in order."""
+    return known.select("entity_type").distinct().orderBy("entity_type")
+
+
+def by_id(known: DataFrame, concept_id: str) -> DataFrame:
+    return known.filter(F.col("concept_id") == concept_id)
+
+
+def for_surface(known: DataFrame, surface: str) -> DataFrame:
+    """Concepts that have the surface as one of their forms, in any case and spacing."""
+    from ..functions import text as T
+
+    return known.filter(F.exists("surface_forms", lambda s: T.surface_key(s) == T.surface_key(F.lit(surface)))).orderBy("concept_id")
+
+
 def surfaces() -> list[str]:
     return sorted({s for r in concept_rows() for s in r[3]})
 
@@ -79,13 +169,17 @@ def funders(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(i, n, t, s) for i, n, t, ss in FUNDERS for s in ss], "funder_id string, canonical_name string, funder_type string, surface string")
 
 
+def institutions(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(i, n, t, s) for i, n, t, ss in INSTITUTIONS for s in ss], "institution_id string, canonical_name string, institution_type string, surface string")
+
+
 def countries(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(i, j, n, s) for i, (n, ss) in enumerate(COUNTRIES) for j, s in enumerate(ss)], "country_order int, surface_order int, canonical_name string, surface string")
 
 
 def edges(spark: SparkSession, known: DataFrame) -> DataFrame:
     """(source_concept_id, source_name, food_concept_id, food_name), ordered; an endpoint without a concept is an error."""
-    rows = spark.createDataFrame([(s, f) for s, fs in FOUND_IN.items() for f in fs], "source_concept_id string, food_concept_id string")
+    rows = spark.createDataFrame(found_in(), "source_concept_id string, food_concept_id string")
     for side in ("source", "food"):
         rows = rows.join(known.select(F.col("concept_id").alias(f"{side}_concept_id"), F.col("canonical_name").alias(f"{side}_name")), f"{side}_concept_id", "left")
         rows = rows.withColumn(f"{side}_name", F.coalesce(f"{side}_name", F.raise_error(F.concat(F.lit("unknown concept "), f"{side}_concept_id"))))

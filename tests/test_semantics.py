@@ -100,10 +100,18 @@ def test_edges(spark):
 def test_store_replaces_documents(spark, tmp_path):
     s = store.Store(spark, str(tmp_path / "db"), buckets=4)
     schema = "claim_id string, document_id string"
+    assert s.read("claims").count() == 0
     s.replace("claims", spark.createDataFrame([(f"{d}{k}", d) for d in "abcdef" for k in range(3)], schema))
     s.replace("claims", spark.createDataFrame([("a9", "a")], schema), spark.createDataFrame([("a",), ("b",)], "document_id string"))
     s.replace("claims", spark.createDataFrame([("a9", "a")], schema))
     assert sorted(r.claim_id for r in s.read("claims").collect()) == sorted(["a9", *(f"{d}{k}" for d in "cdef" for k in range(3))])
+    everything = spark.createDataFrame([(d,) for d in "abcdef"], "document_id string")
+    s.replace("claims", spark.createDataFrame([], schema), everything)
+    assert s.read("claims").count() == 0
+    grade = "document_id string, framework_id string, framework_version string, criterion string, value string"
+    s.replace("assessments", spark.createDataFrame([("a", "f", v, "c", "x") for v in ("1", "2")], grade))
+    s.replace("assessments", spark.createDataFrame([("a", "f", "2", "c", "y")], grade), everything)
+    assert sorted((r.framework_version, r.value) for r in s.read("assessments").collect()) == [("1", "x"), ("2", "y")]
     files = spark.createDataFrame([("1", "x.xml", bytearray(b"x"))], "pmid string, name string, content binary")
     store.archive_raw(spark, files, str(tmp_path / "raw"))
     with pytest.raises(FileExistsError):
@@ -119,3 +127,56 @@ def test_stream(spark, tmp_path):
     for _ in range(2):
         ingest(spark, str(tmp_path / "in"), s, str(tmp_path / "ck")).awaitTermination()
     assert s.read("claims").count() == 1 and s.read("sentences").count() == 1
+
+
+def test_lexicon_is_wide(spark):
+    rows, edges = vocabulary.concept_rows(), vocabulary.found_in()
+    assert len({r[0] for r in rows}) == len(rows) >= 200
+    assert len(edges) >= 300 and len({s for s, _ in edges}) >= 40
+    assert vocabulary.edges(spark, vocabulary.concepts(spark)).count() == len(edges)
+    assert vocabulary.valid_concept(vocabulary.concepts(spark)).filter("not valid").isEmpty()
+    assert [r.concept_id for r in vocabulary.for_surface(vocabulary.concepts(spark), " Gut  MICROBIOME").collect()] == ["BIOM:gut_microbiota"]
+    assert len(vocabulary.digest()) == 12 and vocabulary.digest([]) != vocabulary.digest()
+
+
+def test_ingest_fills_every_table(spark, tmp_path):
+    """Raw files to all tables; a run's id follows from its documents and versions alone."""
+    from factloom.operators import query
+    from factloom.plans import persist
+    from factloom.queries import JATS, PUBMED
+    from factloom.sources.schemas import TABLES
+
+    text = b"Dietary fiber was associated with remission. Kale of the colon during remission reduces abdominal pain."
+    raw = spark.createDataFrame([("12345678", "pubmed.xml", bytearray(PUBMED)), ("12345678", "pmc.xml", bytearray(JATS.replace(b"Tests.", text)))], "pmid string, name string, content binary")
+    s = store.Store(spark, str(tmp_path / "db"), buckets=2)
+    detect = lambda t: [(0, 4, "relation", 0.5)] if len(t) > 60 else []
+    run_id = persist.ingest(s, raw, detect).first().run_id
+    assert run_id == persist.versions(s.read("documents"), "2020-01-01").first().run_id
+    counts = {t: s.read(t).count() for t in TABLES}
+    assert not [t for t, n in counts.items() if n == 0 and t not in ("claim_modifiers", "entity_modifiers")], counts
+    assert counts["claims"] == 2 and counts["open_observations"] == 1 and counts["assessments"] == counts["assessment_criteria"] == 4
+    assert s.read("claim_evidence").join(s.read("sentences").select("sentence_id", "text"), "sentence_id").filter("text <> quoted_text").isEmpty()
+    d = "pmid_12345678"
+    assert [r.claim_id for r in query.listed(s, "claims", d).collect()] == [r.claim_id for r in s.read("claims").orderBy("subject_name", "predicate").collect()]
+    full = query.explain_fully(*(s.read(t) for t in ("claims", "claim_evidence", "study_characteristics", "funding_relationships", "assessments", "documents", "extraction_runs", "observations"))).collect()
+    assert len(full) == 2 and all(r.paper.title and r.run_id == run_id and len(r.observations) == 1 and r.evidence for r in full)
+    one = persist.summary(s.read("observations"), s.read("claims"), s.read("entity_mentions")).first()
+    assert (one.document_id, one.claims, one.observations) == (d, 2, 2)
+
+
+def test_quotes_are_scored_without_a_store(spark, tmp_path):
+    import json
+
+    from factloom import cli
+
+    end = lambda text, cid: {"text": text, "concept_id": cid, "in_vocab": True}
+    row = {"subject": end("dietary fiber", "NUTR:dietary_fiber"), "object": end("remission", "OUT:remission"), "predicate": "associated_with", "polarity": "positive", "certainty": "asserted", "failure_mode": None}
+    gold = {"sentences": [{"sentence_id": "s1", "quote": "Dietary fiber was associated with remission.", "expected": [row]}]}
+    path = tmp_path / "gold.json"
+    path.write_text(json.dumps(gold))
+    r = cli.quote_scores(spark, str(path)).first()
+    assert (r.correct, r.missed, r.spurious) == (1, 0, 0)
+    gold["sentences"][0]["expected"][0]["certainty"] = "sure"
+    path.write_text(json.dumps(gold))
+    with pytest.raises(Exception, match="unknown certainty"):
+        cli.quote_scores(spark, str(path)).collect()
