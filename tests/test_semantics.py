@@ -149,7 +149,7 @@ def test_ingest_fills_every_table(spark, tmp_path):
     text = b"Dietary fiber was associated with remission. Kale of the colon during remission reduces abdominal pain."
     raw = spark.createDataFrame([("12345678", "pubmed.xml", bytearray(PUBMED)), ("12345678", "pmc.xml", bytearray(JATS.replace(b"Tests.", text)))], "pmid string, name string, content binary")
     s = store.Store(spark, str(tmp_path / "db"), buckets=2)
-    detect = lambda t: [(0, 4, "relation", 0.5)] if len(t) > 60 else []
+    detect = lambda t: [(0, 4, "relation", 0.5)] if len(t) > 50 else []
     run_id = persist.ingest(s, raw, detect).first().run_id
     assert run_id == persist.versions(s.read("documents"), "2020-01-01").first().run_id
     counts = {t: s.read(t).count() for t in TABLES}
