@@ -47,7 +47,9 @@ POSITION_BITS = U64(31)
 #: Routes of cells to be matched; they are dealt over the buckets.
 ROUTES = (1 << 22) - 3
 #: Distinct cells of a minimiser from which its windows are dealt one by one: in one flush of a task, and in a bucket.
-HOT, HOT_BUCKET = 64, 1 << 14
+HOT, HOT_BUCKET = 1024, 1 << 14
+#: Documents whose texts are dealt at once.
+DEALT = 1000
 #: Cells that a task collects before it passes them on; input bytes of a bucket; bytes that are hashed and indexed at once.
 FLUSH, BUCKET_BYTES, CHUNK, PART = 400_000, 4_000_000, 1 << 18, 600_000
 
@@ -291,8 +293,8 @@ def settle(table: pa.Table, hot_bucket: int) -> pa.Table:
 
 
 def deal(batches, buckets: int, length: int):
-    """Texts of unsettled cells, by route; equal single windows are collapsed to their smallest owner first."""
-    for batch in batches:
+    """Texts of unsettled cells, by route; equal single windows are collapsed to their smallest owner first, in runs of some documents."""
+    for batch in (b.slice(k, DEALT) for b in batches for k in range(0, max(1, b.num_rows), DEALT)):
         owners, ids = (batch.column(k).to_numpy() for k in range(2))
         texts: dict[int, list] = {}
         covered: list[tuple[int, int]] = []
