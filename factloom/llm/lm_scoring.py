@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import input_bytes
+from .scratch import input_bytes, released
 from .textops import U64, Words, doc_chunks, mix, planes, unplanes
 
 ADDED = 0.01
@@ -244,6 +244,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, background: Dat
     known = [target.select(F.lit(None).cast("long").alias("doc_id"), text)]
     known.append(rows if background is None else background.select(F.lit(None).cast("long").alias("doc_id"), text))
     size = vocabulary(*(c.select("text") for c in known)) + 1
+    released(docs.sparkSession)
     total = input_bytes(docs, text_col) + (0 if background is None else input_bytes(background, text_col))
     buckets = max(LEAST_BUCKETS, total // BUCKET_BYTES)
     parts = packed(rows, buckets, 2 if background is None else 0, True).unionByName(packed(known[0], buckets, 1, False))
