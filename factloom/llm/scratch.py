@@ -91,8 +91,16 @@ def input_bytes(df: DataFrame, text_col: str) -> int:
 def released(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs, whose results are written, before the next stage needs room.
 
-    Spark deletes them when the driver's garbage is collected; by itself that may be half an hour later.
+    Spark deletes them when the driver's garbage is collected; by itself that may be half an hour later.  What Python let go counts as
+    garbage only when a thread of Py4J, which looks once a second, has told the JVM.  One collection was seen to leave the last
+    query's files and the next one to take them; so there are several.
     """
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    time.sleep(0.3)
+    untold = getattr(spark.sparkContext._gateway._gateway_client, "finalizer_deque", None)
+    until = time.monotonic() + 5
+    while untold and time.monotonic() < until:
+        time.sleep(0.05)
+    time.sleep(0.1)  # for the last one, which is on its way
+    for _ in range(3):
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)

@@ -4,12 +4,14 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from factloom.llm import bpe, cover_search, exact_dedup, language_id, lm_scoring, near_dedup, packing, suffix_dedup
 from factloom.llm import queries as Q
+from factloom.llm.scratch import released
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, sig string, label string, n int"
@@ -369,6 +371,17 @@ def test_lm_scoring_counts(spark, monkeypatch):
     agree(got, brute_losses(texts, passages, texts))
 
 
+def test_lm_scoring_releases(spark):
+    """The vocabulary's shuffle files are gone before blocks are sent."""
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    files = lambda: {p for d in env.blockManager().diskBlockManager().localDirsString() for p in Path(d).rglob("shuffle_*.data")}
+    docs = frame(spark, fixture_texts(7)).select("text")
+    before = files()
+    lm_scoring.vocabulary(docs, docs)
+    made = files() - before
+    released(spark)
+    assert made and not made & files()
+
 
 def test_language_id(spark):
     rows = {r.doc_id: r for r in Q.op9_language_id(spark, "/root/testdata/sf0.01").collect()}
