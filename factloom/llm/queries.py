@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, cover_search, exact_dedup, language_id, lm_scoring, near_dedup, packing, quality, suffix_dedup, toxicity
+from . import bpe, cover_search, exact_dedup, language_id, lm_scoring, near_dedup, packing, prefix_trie, private_data, quality, suffix_dedup, toxicity, tree_lloyd
 from .fitting import remainder
 from .textops import table
 
@@ -81,9 +81,70 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), bpe.default_tokenizer())
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_dual_tree_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters, squared distances and their sums, and a digest of each vector's final centroid."""
+    found, centroids = tree_lloyd.lloyd(table(spark, sf_dir, "embeddings"), k=8, rounds=10, scale=1024.0, dims=64, seed=3)
+    return tree_lloyd.inertia(found, centroids).withColumn("centroid_sha256", tree_lloyd.centroid_digest(centroids)).select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return private_data.digests(private_data.find_spans(docs, private_data.learn(docs)))
+
+
+#: The unsigned crc32 of the decimal id, modulo 4, over a table of 256 remainders.
+OP11_SQL = """
+WITH crc AS (SELECT list_transform(range(256), lambda x: list_reduce([x] || range(8), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS tab),
+t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), text) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, xor(list_reduce([4294967295] || list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t), crc),
+r AS (SELECT c.conv_id, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND pos < h
+  UNION ALL SELECT c.conv_id, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND pos >= h),
+s AS (SELECT c.conv_id, list(sha256(role.length() || ':' || role || text) ORDER BY pos) FILTER (pos IS NOT NULL) AS path,
+    list(len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '')) ORDER BY pos) FILTER (pos IS NOT NULL) AS words
+  FROM c LEFT JOIN r USING (conv_id) GROUP BY ALL),
+p AS (SELECT conv_id, coalesce(path, []) AS path, words, unnest(range(coalesce(len(path), 0) + 1)) AS depth FROM s),
+n AS (SELECT path[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(any_value(words[depth]), 0) AS words,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = len(path)), '') AS ends
+  FROM p GROUP BY ALL),
+k AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (node)),
+u AS (SELECT node[1:d] AS node, sum((n_convs - 1) * words) AS saved_tokens, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM m) GROUP BY ALL)
+SELECT m.conv_id, m.depth, o.conv_id AS parent_conv_id, m.n_convs, m.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN u USING (node) LEFT JOIN n o ON m.depth > 0 AND o.node = m.node[1:m.depth - 1]
+"""
+
+
+def _lloyd_sql(k: int = 8, rounds: int = 10) -> str:
+    """A round's assignment and its centroids as two tables, for each round."""
+    assign = """a{r} AS MATERIALIZED (SELECT row, v, c AS cluster, d FROM (SELECT row, v, c, list_sum(list_transform(list_zip(v, w), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM v, c{r})
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, c) = 1)"""
+    move = """m{r} AS (SELECT cluster AS c, list(floor_mean ORDER BY i) AS w FROM (
+    SELECT cluster, i, (sum(x)::BIGINT - ((sum(x)::BIGINT % count(*)) + count(*)) % count(*)) // count(*) AS floor_mean
+    FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS i FROM a{r}) GROUP BY cluster, i) GROUP BY cluster),
+c{s} AS MATERIALIZED (SELECT c, coalesce(m{r}.w, c{r}.w) AS w FROM c{r} LEFT JOIN m{r} USING (c))"""
+    parts = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS c, v AS w FROM v WHERE vec_id IS NOT NULL ORDER BY sha256('3:' || vec_id), v LIMIT {k})"""]
+    for r in range(rounds):
+        parts += [assign.format(r=r), move.format(r=r, s=r + 1)]
+    parts.append(assign.format(r=rounds))
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, cluster::INTEGER AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (row) JOIN c{rounds} ON c = cluster"""
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_cover_tree_top_k": OP3_SQL, "op7_exact_dedup": OP7_SQL}
+    return {"op3_cover_tree_top_k": OP3_SQL, "op7_exact_dedup": OP7_SQL, "op11_prefix_trie": OP11_SQL, "op12_dual_tree_lloyd": _lloyd_sql()}
