@@ -7,7 +7,7 @@ entity of a kind of at most ``LONGEST`` tokens, and whole-span features score it
 Viterbi over bounded segments chooses boundaries and kinds jointly; an entity that overlaps a base span gives way to it.
 
 The weights are trained here by the conditional likelihood (forward-backward over the same segments, Adam).  Its windows are drawn from the documents, at most ``WINDOWS`` from about ``SAMPLE`` documents with
-a digit or @; their labels are the base spans, and in copies of some windows the drawn values are set side by side, where the truth is known.  Documents without any base span give a
+a digit or @ (their first 20 windows each); their labels are the base spans, and in copies of some windows the drawn values are set side by side, where the truth is known.  Documents without any base span give a
 field of fixed example values.  Scoring is one pass over whole texts without a shuffle; window scans are linear in the text.
 
 Null and empty texts have no spans.  Ids may be null or repeated; rows are scored one by one, so ties and repeated rows get equal results; an empty table gives no rows.  Offsets are code points, ends exclusive.
@@ -370,8 +370,9 @@ def trained_field(texts: list[str], epochs: int = EPOCHS, seed: int = 13) -> Spa
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> SpanField:
-    """The field trained on windows of about ``sample`` documents that have a digit or @, the ones with the least hash of their text."""
+    """The field trained on windows of about ``sample`` documents that have a digit or @, drawn by hash of their text, so alike however the input is partitioned."""
     held = docs.filter(F.col(text_col).rlike("[0-9@]")).select(F.col(text_col).alias("text"))
+    share = int(min(1.0, sample / max(1, held.count())) * (1 << 30))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a document gives the windows at its beginning, as these need not be all
@@ -382,8 +383,9 @@ def learn(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> Span
                 out.append("\n".join(text[a:b] for a, b in some if b - a <= 8 * REACH))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["text"])
 
-    drawn = held.select(F.xxhash64("text").alias("h"), "text").distinct().orderBy("h", F.length("text")).limit(sample).select("text").mapInArrow(cut, "text string")
-    return trained_field(sorted(r.text for r in drawn.collect()))
+    drawn = held.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share).mapInArrow(cut, "text string")
+    # a text counts once; a hot one cannot make the sample larger than the documents drawn with it
+    return trained_field(sorted(r.text for r in drawn.distinct().collect()))
 
 
 def spans_of(text: str, model: SpanField) -> list[tuple[int, int, int, bool]]:
@@ -455,5 +457,6 @@ def digests(found: DataFrame) -> DataFrame:
     spelled = lambda s: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))
     base = F.filter("spans", lambda s: s["base"])
     joined = lambda spans: F.array_join(F.transform(spans, spelled), ",")
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    of_kind = lambda k: F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long")
+    counts = [of_kind(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
