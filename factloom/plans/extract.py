@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import binding, claims, documents, mentions
+from ..operators import binding, claims, documents, mentions, parse
 from ..sources import vocabulary
+from ..sources.staging import staged
 from . import rules as R
 
 
@@ -18,8 +19,8 @@ def extract(
 ) -> dict[str, DataFrame]:
     """Tables by name.  A lexicon other than the built-in one comes as concepts with its list of surfaces.
 
-    ``parses`` are dependency parses of sentences (see ``binding.parse_bind``): sentences with a parse are bound by it first, and by the flat binder only where the
-    parse binds nothing.  ``keep`` gets every table as it is made and returns the one to go on with, so a store can write each stage once.
+    ``parses`` are tokens of dependency parses of sentences (see ``operators.parse``): sentences with a parse are bound by it first, and by the flat binder only where the
+    parse binds nothing and no predicate's subject is known to be no entity; modifiers come from the parse, and from neighbours where it gives none.  ``keep`` gets every table as it is made and returns the one to go on with, so a store can write each stage once.
     """
     spark = raw_paragraphs.sparkSession
     concepts = vocabulary.concepts(spark) if concepts is None else concepts
@@ -36,8 +37,12 @@ def extract(
     mods = keep("modifiers", mentions.modifiers(found, texts))
     obs = binding.flat_bind(found, cut, quals, texts, rule_rows)
     if parses is not None:
-        parsed = binding.parse_bind(parses, found, texts)
-        obs = binding.with_fallback(parsed, parsed.select("sentence_id").limit(0), obs)
+        index = mentions.surface_index(concepts)
+        bound = parse.bind(parses, found, texts)
+        parsed = parse.parse_observations(bound, sents, rule_rows)
+        quals = quals.unionByName(parse.parse_qualifiers(bound, mentions.surface_index(states)))
+        obs = binding.with_fallback(parsed, parse.blocked_sentences(bound), obs)
+        mods = parse.modifiers_with_floor(parse.modifiers(staged(parse.parse_tree(parses), "parse-tree"), found, texts, index), mods)
     obs = binding.link_parents(obs)
     ends = sents.select("sentence_id", F.col("start_char").alias("evidence_start"), F.col("end_char").alias("evidence_end"))
     obs = keep("observations", claims.with_signatures(obs.join(ends, "sentence_id"), quals, mods))

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from factloom.functions.scan import scan, word_pattern
-from factloom.operators import analysis, binding, documents, mentions
+from factloom.operators import analysis, binding, documents, mentions, parse
 from factloom.plans.extract import extract, one_sentence_papers
 from factloom.sources import store, vocabulary
 
@@ -75,7 +75,7 @@ def test_parse_binder(spark):
     spans = [("m1", "Fiber", "NUTR:dietary_fiber"), ("m2", "cancer", "DIS:cancer"), ("m3", "pain", "SYMP:abdominal_pain")]
     found = spark.createDataFrame([(m, "d", "s", c, w, text.index(w), text.index(w) + len(w)) for m, w, c in spans], "mention_id string, document_id string, sentence_id string, concept_id string, surface_text string, start_char int, end_char int")
     texts = spark.createDataFrame([("d", text)], "document_id string, canonical_text string")
-    obs = binding.parse_bind(tokens, found, texts)
+    obs = parse.parse_observations(parse.bind(tokens, found, texts), texts.selectExpr("'s' as sentence_id", "0 as start_char"))
     assert sorted((r.subject_concept_id, r.predicate, r.object_concept_id, r.polarity) for r in obs.collect()) == [("NUTR:dietary_fiber", "improves", "SYMP:abdominal_pain", "negative"), ("NUTR:dietary_fiber", "reduces_risk", "DIS:cancer", "positive")]
     none = spark.createDataFrame([], "sentence_id string")
     assert binding.with_fallback(obs, none, obs).count() == obs.count()
