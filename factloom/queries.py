@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import parse_queries
 from .functions import text as T
 from .operators import analysis, binding, claims, documents, facts, mentions, query
 from .plans import rules as R
@@ -667,3 +668,9 @@ def authors_xml(spark, sf_dir):
 def html_sections(spark, sf_dir):
     """Rows only: no SQL parses markup."""
     return xml.html_sections(table(spark, sf_dir, "pages"))
+
+
+# --- grammatical binding --------------------------------------------------------------
+
+QUERIES.update(parse_queries.QUERIES)
+ORACLES.update(parse_queries.ORACLES)
