@@ -58,9 +58,9 @@ def one_sentence_papers(rows: DataFrame) -> DataFrame:
 
 
 def of_quotes(quotes: DataFrame, **options) -> DataFrame:
-    """Observations of single sentences (sentence_id, quote) without a store, in reading order: sentence_id, k and the observation's columns."""
+    """Observations of single sentences (sentence_id, quote) without a store, in reading order: sentence_id, k and the observation's columns.  Steps are staged, so that each is planned by itself."""
     rows = quotes.select(F.col("sentence_id").alias("document_id"), F.lit(None).cast("string").alias("title"), F.col("quote").alias("sentence"))
-    obs = extract(one_sentence_papers(rows), **options)["observations"].drop("sentence_id").withColumnRenamed("document_id", "sentence_id")
+    obs = extract(one_sentence_papers(rows), **({"keep": lambda name, part: part if name in ("sections", "claims") else staged(part, name)} | options))["observations"].drop("sentence_id").withColumnRenamed("document_id", "sentence_id")
     return in_order(obs)
 
 

@@ -36,8 +36,12 @@ def rule_registry(spark) -> DataFrame:
 
 
 def persist_extraction(store: Store, paragraphs: DataFrame, ids: DataFrame, detect: Callable[[str], Iterable[tuple]] | None = None, **options) -> dict[str, DataFrame]:
-    """The tables of the extraction plan for the documents ``ids``, and their children: evidence, qualifiers, modifiers, open observations."""
+    """The tables of the extraction plan for the documents ``ids``, and their children: evidence, qualifiers, modifiers, open observations; committed together."""
+    with store.transaction():
+        return _persist_extraction(store, paragraphs, ids, detect, **options)
 
+
+def _persist_extraction(store: Store, paragraphs: DataFrame, ids: DataFrame, detect: Callable[[str], Iterable[tuple]] | None, **options) -> dict[str, DataFrame]:
     stored: dict[str, DataFrame] = {}
 
     def keep(name: str, rows: DataFrame) -> DataFrame:
@@ -103,7 +107,12 @@ def versions(documents_: DataFrame, timestamp: str | None = None) -> DataFrame:
 
 
 def ingest(store: Store, raw: DataFrame, detect: Callable[[str], Iterable[tuple]] | None = None, timestamp: str | None = None, **options) -> DataFrame:
-    """All tables of raw files (pmid, name, content), replaced paper by paper; returns the run."""
+    """All tables of raw files (pmid, name, content), replaced paper by paper and committed together; returns the run."""
+    with store.transaction():
+        return _ingest(store, raw, detect, timestamp, **options)
+
+
+def _ingest(store: Store, raw: DataFrame, detect: Callable[[str], Iterable[tuple]] | None, timestamp: str | None, **options) -> DataFrame:
     records, paragraphs = normalize(raw)
     records = store.replace("documents", records.withColumn("source_type", F.lit("xml")))
     ids = records.select("document_id")

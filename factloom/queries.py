@@ -550,7 +550,7 @@ def gold_score(spark, sf_dir):
     return analysis.gold_scores(a).select("correct", "field_error", "missed", "spurious", "precision_strict", "recall_lenient", "recall_achievable_strict")
 
 
-@register("SELECT * FROM (VALUES ('A:a', 'A', 'builtin'), ('A:b', 'B two', 'override'), ('A:d', 'D', 'custom')) AS t(concept_id, canonical_name, origin)")
+@register("SELECT * FROM (VALUES ('A:a', 'A', 'builtin'), ('A:b', 'B two', 'overridden'), ('A:d', 'D', 'custom')) AS t(concept_id, canonical_name, origin)")
 def vocab_overlay(spark, sf_dir):
     schema = "pos int, " + vocabulary.CONCEPT
     b = values(spark, schema, (0, "A:a", "A", "t", ["a"]), (1, "A:b", "B", "t", ["b"]), (2, "A:c", "C", "t", ["c"]))

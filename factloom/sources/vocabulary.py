@@ -7,10 +7,15 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .manifest import Conflict, Manifests
+
+#: Fixed value: what a concept's id looks like.
+CONCEPT_ID = r"^[A-Za-z][A-Za-z0-9]*:[A-Za-z0-9_]+$"
 CONCEPT = "concept_id string, canonical_name string, entity_type string, surface_forms array<string>"
 TYPES = {"NUTR": "nutrient", "OUT": "outcome", "DIS": "disease", "SYMP": "symptom", "BIOM": "biomarker", "CHEM": "chemical", "FOOD": "food", "INT": "intervention"}
 
@@ -202,7 +207,7 @@ def with_overlay(builtin: DataFrame, custom: DataFrame, removed: DataFrame) -> D
     b = builtin.select("concept_id", F.col("pos").alias("b_pos"), F.struct("canonical_name", "entity_type", "surface_forms").alias("b"))
     c = custom.select("concept_id", F.col("pos").alias("c_pos"), F.struct("canonical_name", "entity_type", "surface_forms").alias("c"))
     rows = b.join(c, "concept_id", "full").join(removed, "concept_id", "left_anti")
-    origin = F.when(F.col("c").isNull(), "builtin").when(F.col("b").isNull(), "custom").otherwise("override")
+    origin = F.when(F.col("c").isNull(), "builtin").when(F.col("b").isNull(), "custom").otherwise("overridden")
     return rows.select("concept_id", F.coalesce("c", "b").alias("x"), origin.alias("origin"), F.struct(F.col("b_pos").isNull().alias("new"), F.coalesce("b_pos", "c_pos").alias("pos")).alias("place")).select("concept_id", "x.*", "origin", "place")
 
 
@@ -222,4 +227,99 @@ def valid_concept(rows: DataFrame) -> DataFrame:
     """Concepts with trimmed surfaces, without those that differ in case only; flags ids that are not ``PREFIX:name``."""
     forms = F.filter(F.transform("surface_forms", lambda s: F.trim(s)), lambda s: s != "")
     firsts = F.filter(forms, lambda s, i: F.array_position(F.transform(forms, F.lower), F.lower(s)) == i + 1)
-    return rows.withColumns({"surface_forms": firsts, "valid": F.col("concept_id").rlike(r"^[A-Z]+:[a-z0-9_]+$") & (F.size(firsts) > 0)})
+    return rows.withColumns({"surface_forms": firsts, "valid": F.col("concept_id").rlike(CONCEPT_ID) & (F.size(firsts) > 0)})
+
+
+#: Stands for the digest of whatever version is the last when a change begins.
+LATEST = "latest"
+
+
+class Exists(ValueError):
+    """The concept that was to be added is there."""
+
+
+class Overlay:
+    """A user's changes of a lexicon: versions of two tables, custom concepts and removed ids, of which a manifest names the last.
+
+    A change is read, made and saved as a whole; ``save`` compares the digest that the change started from with the last one, and of two writers of the next version one gets a ``Conflict``, so no change is lost unseen.
+    """
+
+    CUSTOM, REMOVED = "pos int, " + CONCEPT, "concept_id string"
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+        self.manifests = Manifests(spark, f"{self.path}/_manifests")
+
+    def digest(self) -> str | None:
+        """Twelve hex digits of the overlay's content; None while it is empty."""
+        return self.manifests.latest()[1].get("digest")
+
+    def tables(self) -> tuple[DataFrame, DataFrame]:
+        """(custom, removed) of the last version."""
+        now = self.manifests.latest()[1]
+        if not now:
+            return self.spark.createDataFrame([], self.CUSTOM), self.spark.createDataFrame([], self.REMOVED)
+        return tuple(self.spark.read.schema(schema).parquet(f"{self.path}/{now['id']}/{name}") for name, schema in (("custom", self.CUSTOM), ("removed", self.REMOVED)))
+
+    def save(self, custom: DataFrame, removed: DataFrame, expected: str | None) -> str | None:
+        """Put a new version in place of the one with the digest ``expected``; returns its digest."""
+        number, now = self.manifests.latest()
+        if now.get("digest") != expected:
+            raise Conflict(f"the overlay is no longer {expected}")
+        version = uuid.uuid4().hex
+        for name, rows, schema in (("custom", custom, self.CUSTOM), ("removed", removed, self.REMOVED)):
+            fields = self.spark.createDataFrame([], schema).schema
+            rows.select(*(F.col(f.name).cast(f.dataType) for f in fields)).write.parquet(f"{self.path}/{version}/{name}")
+        made = self.spark.read.schema(self.CUSTOM).parquet(f"{self.path}/{version}/custom"), self.spark.read.schema(self.REMOVED).parquet(f"{self.path}/{version}/removed")
+        # a sum of row digests, so that the order of rows does not count and no row has all of them
+        rows = made[0].select(F.to_json(F.struct("pos", "concept_id", "canonical_name", "entity_type", "surface_forms")).alias("x")).unionByName(made[1].select("concept_id").withColumnRenamed("concept_id", "x"))
+        n, total = rows.agg(F.count("*"), F.sum(F.conv(F.substring(F.sha2("x", 256), 1, 15), 16, 10).cast("decimal(38,0)"))).first()
+        digest = hashlib.sha256(f"{n}:{total}".encode()).hexdigest()[:12] if n else None
+        taken = self.manifests.numbers()
+        self.manifests.commit(max([number, *taken[-1:]]) + 1, {"id": version, "digest": digest})
+        return digest
+
+    def effective(self, builtin: DataFrame) -> DataFrame:
+        """The lexicon with the overlay applied, in order, each concept with its origin.  builtin: CONCEPT columns in the order of their ids, or with ``pos``."""
+        return with_overlay(placed(builtin), *self.tables()).orderBy("place").drop("place")
+
+    def _known(self, builtin: DataFrame, concept_id: str) -> bool:
+        return not self.effective(builtin).filter(F.col("concept_id") == concept_id).isEmpty()
+
+    def _put(self, concept_id: str, name: str, entity_type: str, forms: list[str], expected: str | None) -> str | None:
+        one = self.spark.createDataFrame([(concept_id, name, entity_type, forms)], CONCEPT)
+        one = valid_concept(one).first()
+        if not one.valid or not name or not entity_type:
+            raise ValueError(f"no concept: {concept_id}")
+        expected = self.digest() if expected == LATEST else expected
+        custom, removed = self.tables()
+        last = custom.agg(F.max("pos")).first()[0]
+        row = self.spark.createDataFrame([(0 if last is None else last + 1, concept_id, name, entity_type, one.surface_forms)], self.CUSTOM)
+        return self.save(*upsert(custom, removed, row), expected)
+
+    def add(self, builtin: DataFrame, concept_id: str, name: str, entity_type: str, forms: list[str], expected: str | None = LATEST) -> str | None:
+        """A new concept; one that is there is an error."""
+        if self._known(builtin, concept_id):
+            raise Exists(concept_id)
+        return self._put(concept_id, name, entity_type, forms, expected)
+
+    def edit(self, builtin: DataFrame, concept_id: str, name: str, entity_type: str, forms: list[str], expected: str | None = LATEST) -> str | None:
+        """New fields of a concept that is there."""
+        if not self._known(builtin, concept_id):
+            raise KeyError(concept_id)
+        return self._put(concept_id, name, entity_type, forms, expected)
+
+    def remove(self, builtin: DataFrame, concept_id: str, expected: str | None = LATEST) -> str | None:
+        """Hide a built-in concept or drop a custom one."""
+        if not self._known(builtin, concept_id):
+            raise KeyError(concept_id)
+        ids = self.spark.createDataFrame([(concept_id,)], "concept_id string")
+        now = self.digest()
+        return self.save(*delete(*self.tables(), builtin, ids), now if expected == LATEST else expected)
+
+
+def placed(builtin: DataFrame) -> DataFrame:
+    """Concepts with ``pos``, their place by id where none is given; a lexicon is numbered range by range."""
+    if "pos" in builtin.columns:
+        return builtin
+    return builtin.orderBy("concept_id").withColumn("pos", F.monotonically_increasing_id())

@@ -98,7 +98,7 @@ def test_edges(spark):
 
 
 def test_store_replaces_documents(spark, tmp_path):
-    s = store.Store(spark, str(tmp_path / "db"), buckets=4)
+    s = store.Store(spark, str(tmp_path / "db"))
     schema = "claim_id string, document_id string"
     assert s.read("claims").count() == 0
     s.replace("claims", spark.createDataFrame([(f"{d}{k}", d) for d in "abcdef" for k in range(3)], schema))
@@ -123,7 +123,7 @@ def test_stream(spark, tmp_path):
 
     rows = spark.createDataFrame([("pmid_1", None, "Dietary fiber was associated with remission.")], "document_id string, title string, sentence string")
     one_sentence_papers(rows).write.parquet(str(tmp_path / "in"))
-    s = store.Store(spark, str(tmp_path / "db"), buckets=2)
+    s = store.Store(spark, str(tmp_path / "db"))
     for _ in range(2):
         ingest(spark, str(tmp_path / "in"), s, str(tmp_path / "ck")).awaitTermination()
     assert s.read("claims").count() == 1 and s.read("sentences").count() == 1
@@ -148,7 +148,7 @@ def test_ingest_fills_every_table(spark, tmp_path):
 
     text = b"Dietary fiber was associated with remission. Kale of the colon during remission reduces abdominal pain."
     raw = spark.createDataFrame([("12345678", "pubmed.xml", bytearray(PUBMED)), ("12345678", "pmc.xml", bytearray(JATS.replace(b"Tests.", text)))], "pmid string, name string, content binary")
-    s = store.Store(spark, str(tmp_path / "db"), buckets=2)
+    s = store.Store(spark, str(tmp_path / "db"))
     detect = lambda t: [(0, 4, "relation", 0.5)] if len(t) > 50 else []
     run_id = persist.ingest(s, raw, detect).first().run_id
     assert run_id == persist.versions(s.read("documents"), "2020-01-01").first().run_id
@@ -180,3 +180,13 @@ def test_quotes_are_scored_without_a_store(spark, tmp_path):
     path.write_text(json.dumps(gold))
     with pytest.raises(Exception, match="unknown certainty"):
         cli.quote_scores(spark, str(path)).collect()
+
+
+def test_scans_of_long_texts_are_near_linear(spark):
+    import time
+
+    rows = spark.createDataFrame([("fiber " * 80_000,)], "text string")
+    hits = rows.select(F.explode(scan(F.col("text"), word_pattern(["fiber", "iron"]))).alias("x"))
+    began = time.perf_counter()
+    last = hits.agg(F.count("*").alias("n"), F.max("x.e").alias("e")).first()
+    assert (last.n, last.e) == (80_000, 479_999) and time.perf_counter() - began < 10
