@@ -3,7 +3,13 @@
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a document's set is its distinct ``width``-word shingles
 (the whole sequence, if it has fewer words).  Documents with equal sets are one class from the start.  Per class, one hash
 pass fills BINS bins by the leading hash bits; an empty bin copies the first filled bin of its own random
-permutation of the bins.  Runs of ROWS bins are banded buckets.  A bucket with several classes gives a few stars:
+permutation of the bins.  Runs of ROWS bins are banded buckets.
+
+In small sets few hashes fill many bins, and a true link would be lost too often.  Sets of up to SMALL shingles, and those that one of these can be
+linked with, have exact buckets instead: the least hashes of the set, so many that two linked sets have one of them in common, each with the set's class of size, in which or beside which all its
+partners lie.  Signatures say nothing about a pair with such a set.
+
+A bucket with several classes gives a few stars:
 a centre each and an edge to every other member, so pairs grow with the members and not with their square.  Edges
 whose signatures agree far too little are dropped (by more than five standard deviations), the likeliest of each class are confirmed
 on the full sets, and confirmed links are contracted to components.  Stars only make components large cheaply and may
@@ -22,6 +28,7 @@ the first read is the smaller.  One row of a component is kept, whatever ids are
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +44,8 @@ from .textops import U64, Words, doc_chunks, mix, shingles
 BINS, ROWS = 128, 4
 #: Signatures of sets with similarity 0.75 agree in fewer bins than this once in over a million cases.
 LEAST_AGREEING = 0.55
+#: Shingles up to which a set's buckets are exact and its signature is not asked.
+SMALL = 64
 #: In one round: stars of a bucket, and edges of a member that are tested.
 STARS, EDGES_A_ROUND = 3, 4
 #: Star rounds go on while each adds a link to so many; the last pass is cheaper for the rest.
@@ -65,6 +74,24 @@ def bands(sig: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def exact_keys(sorted_set: np.ndarray, percent: int) -> np.ndarray:
+    """Buckets of which two linked sets share one.
+
+    They share ``percent`` of either's hashes at least.  Of each, leave out one hash less than that, the greatest ones: the least hash that both have is among the rest of both.
+    """
+    n = len(sorted_set)
+    step = math.floor(math.log(n) / math.log(100 / percent) + 1e-9) if percent < 100 else n
+    least = sorted_set[: n - -(-percent * n // 100) + 1]
+    # linked sets lie in one class of size or in neighbouring ones, and each has its own and the next
+    return np.concatenate([mix(mix(least) + U64(k) * U64(0x9E3779B97F4A7C15)) for k in (step, step + 1)]).view(np.int64)
+
+
+def bucket_keys(sorted_set: np.ndarray, sig: np.ndarray, percent: int) -> np.ndarray:
+    n = len(sorted_set)
+    exact = exact_keys(sorted_set, percent) if n * percent <= SMALL * 100 else np.zeros(0, np.int64)
+    return np.concatenate([exact, bands(sig)]) if n > SMALL else exact
+
+
 def shingle_sets(column: pa.Array, width: int):
     """Yields each row's sorted distinct shingle hashes."""
     for _, _, buf, offs in doc_chunks(column):
@@ -79,7 +106,7 @@ def set_ids(s: np.ndarray) -> tuple[int, int]:
     return int(mix(s).sum(dtype=U64).view(np.int64)), int(np.bitwise_xor.reduce(mix(s ^ U64(0xA0761D6478BD642F)), initial=U64(0)).view(np.int64))
 
 
-def sketches(docs: DataFrame, width: int) -> DataFrame:
+def sketches(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(row, doc_id, content, n_shingles, set_a, set_b, sig, bands) of (doc_id, content, text).
 
     row is a number of the row's own; set_a and set_b identify the set; sig and bands are null if it is empty.
@@ -99,7 +126,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                         continue
                     sig = signature(s)
                     sigs.append((mix(sig) & U64(255)).astype(np.uint8).tobytes())
-                    keys.append(bands(sig))
+                    keys.append(bucket_keys(s, sig, percent))
             rows = pa.array(np.arange(at, at + len(n)))
             at += len(n)
             made = [pa.array(x, t) for x, t in ((n, pa.int64()), (a, pa.int64()), (b, pa.int64()), (sigs, pa.binary()), (keys, pa.list_(pa.int64())))]
@@ -229,7 +256,7 @@ def across(members: DataFrame, percent: int, least: float) -> DataFrame:
             # two centres meet in two blocks
             ok = (label[one] != label[two]) & ~(minor[two] & (rep[one] > rep[two])) & ((100 + percent) * most >= percent * both)
             one, two = one[ok], two[ok]
-            ok = (sig[one] == sig[two]).mean(1) >= least
+            ok = (np.minimum(size[one], size[two]) <= SMALL) | ((sig[one] == sig[two]).mean(1) >= least)
             if ok.any():
                 seen.append(np.unique(np.stack([rep[one[ok]], label[two[ok]], part[two[ok]]]), axis=1))
             k = to
@@ -309,7 +336,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def numbered_groups(docs: DataFrame, content, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
     """(row, doc_id, content, n_shingles, component_id, kept): ``content`` is passed on, to tell rows with one id apart."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), content.alias("content"), F.col(text_col).alias("text"))
-    sketch = written(sketches(docs, width), "near-sketches")
+    sketch = written(sketches(docs, width, percent), "near-sketches")
     full = sketch.filter("n_shingles > 0")
     # the row that stands for each distinct set
     classes = written(full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("row").alias("rep")), "near-classes")
