@@ -106,6 +106,26 @@ def link_parents(obs: DataFrame) -> DataFrame:
     return obs.join(best, "observation_id", "left")
 
 
+def pair_trace(cm: DataFrame, texts: DataFrame, rules: list[tuple] = R.RELATION_RULES) -> DataFrame:
+    """Every pair of neighbouring mentions of a clause with what each rule made of the text between them, and the pair's outcome.
+
+    cm: mentions in clauses, flagged (``flag_qualifier_mentions``).  rule_trace has, in order of priority, each rule with the cue that it found; the first that found one is ``chosen``, later ones are ``outranked`` and the
+    others ``no_cue``.
+    """
+    order = W.partitionBy("clause_id").orderBy("start_char", "end_char")
+    rows = cm.select("document_id", "sentence_id", "clause_id", "is_q", F.struct(*ENDPOINT).alias("subject"), F.lead(F.struct(*ENDPOINT, "is_q")).over(order).alias("object")).filter("object is not null")
+    rows = rows.join(texts, "document_id")
+    apart = F.col("object.start_char") >= F.col("subject.end_char")
+    rows = rows.withColumn("between", F.when(apart, F.substring("canonical_text", F.col("subject.end_char") + 1, F.col("object.start_char") - F.col("subject.end_char"))))
+    cues = F.array(*(F.struct(F.lit(r[0]).alias("rule_id"), F.nullif(F.regexp_extract(F.coalesce("between", F.lit("")), "(?iU)" + r[4], 0), F.lit("")).alias("cue")) for r in rules))
+    rows = rows.withColumn("cues", cues)
+    first = F.array_position(F.transform("cues", lambda c: c["cue"].isNotNull()), F.lit(True))
+    verdict = lambda c, k: F.struct(c["rule_id"].alias("rule_id"), c["cue"].alias("cue"), F.when(c["cue"].isNull(), "no_cue").when(k + 1 == F.col("first"), "chosen").otherwise("outranked").alias("verdict"))
+    rows = rows.withColumn("first", first).withColumn("rule_trace", F.transform("cues", verdict))
+    outcome = F.when(~apart, "overlap").when(F.col("first") > 0, F.when(F.col("is_q") | F.col("object.is_q"), "cue_but_endpoint_is_condition").otherwise("cue")).otherwise("no_cue")
+    return rows.withColumn("outcome", outcome).select("document_id", "sentence_id", "clause_id", F.col("subject.mention_id").alias("subject_mention_id"), F.col("object.mention_id").alias("object_mention_id"), "between", "rule_trace", "outcome")
+
+
 def with_fallback(parsed: DataFrame, blocked: DataFrame, flat: DataFrame) -> DataFrame:
     """Parse observations, and flat ones of sentences where the parse made none and does not block them (blocked: sentence_id)."""
     rest = flat.join(parsed.select("sentence_id").distinct(), "sentence_id", "left_anti").join(blocked.select("sentence_id"), "sentence_id", "left_anti")

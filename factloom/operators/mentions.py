@@ -62,8 +62,10 @@ def detected_spans(sents: DataFrame, detect: Callable[[str], Iterable[tuple[int,
     return sents.select("document_id", "sentence_id", "start_char", "text").mapInArrow(run, schema)
 
 
-def open_observation_id(document: Column, start: Column, end: Column) -> Column:
-    return T.digest(document, start.cast("string"), end.cast("string"), length=16, skip_empty=False, separator="|")
+def open_observation_id(document: Column, start: Column, end: Column, detector: Column | None = None) -> Column:
+    """Digest of the span, and of the detector's name where it is told."""
+    parts = [document, start.cast("string"), end.cast("string")]
+    return T.digest(*parts, *([detector] if detector is not None else []), length=16, skip_empty=False, separator="|")
 
 
 def open_observations(sents: DataFrame, detect: Callable[[str], Iterable[tuple[int, int, str, float]]], least: float = 0.0) -> DataFrame:
@@ -73,6 +75,54 @@ def open_observations(sents: DataFrame, detect: Callable[[str], Iterable[tuple[i
     return best.select(open_observation_id(F.col("document_id"), F.col("start_char"), F.col("end_char")).alias("open_observation_id"), "document_id", "b.sentence_id", "start_char", "end_char", F.col("b.surface_text").alias("text"), "b.label", "b.score")
 
 
+# Marks of a linearised relation (fixed values): ``<triplet> subject <subj> object <obj> relation``.
+def decoded_triples(text: Column) -> Column:
+    """array<struct<subject, relation, object>> of a model's linearised output: a new subject begins with ``<triplet>``, and further objects of it with ``<subj>``; parts that are blank, and repeated triples, are left out."""
+    clean = F.regexp_replace(F.coalesce(text, F.lit("")), r"</?s>|<pad>", "")
+    parts = F.slice(F.split(clean, "<triplet>", -1), 2, F.size(F.split(clean, "<triplet>", -1)))
+    trim = lambda c: F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
+
+    def of_subject(part: Column) -> Column:
+        pieces = F.split(part, "<subj>", -1)
+        tails = F.transform(F.slice(pieces, 2, F.size(pieces)), lambda t: F.split(t, "<obj>", 2))
+        return F.transform(F.filter(tails, lambda t: F.size(t) == 2), lambda t: F.struct(trim(pieces[0]).alias("subject"), trim(F.regexp_replace(t[1], "<.*$", "")).alias("relation"), trim(t[0]).alias("object")))
+
+    found = F.flatten(F.transform(F.filter(parts, lambda x: x.contains("<subj>")), of_subject))
+    return F.array_distinct(F.filter(found, lambda x: (x["subject"] != "") & (x["relation"] != "") & (x["object"] != "")))
+
+
+def sequence_confidence(log_probabilities: Column) -> Column:
+    """The mean log probability of a generated sequence's tokens as a probability in [0, 1]; 1 where the model gives none."""
+    mean = F.aggregate(log_probabilities, F.lit(0.0), lambda s, x: s + x.cast("double")) / F.size(log_probabilities)
+    known = F.coalesce(F.size(log_probabilities) > 0, F.lit(False)) & ~F.coalesce(F.exists(log_probabilities, lambda x: x.isNull() | F.isnan(x.cast("double"))), F.lit(False))
+    return F.when(known, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.exp(mean)))).otherwise(F.lit(1.0))
+
+
+def generated_relations(sents: DataFrame, outputs: DataFrame, detector: str = "generated", version: str = "") -> DataFrame:
+    """Sentences for which a generating model gave a relation, with its triples and confidence.
+
+    outputs: sentence_id, generated (linearised), log_probabilities; of several outputs of a sentence the most confident one counts, of equal ones the first by text.
+    """
+    rows = outputs.select("sentence_id", "generated", sequence_confidence(F.col("log_probabilities")).alias("score")).filter(F.col("generated").contains("<triplet>"))
+    best = rows.groupBy("sentence_id").agg(F.max("score").alias("score"), F.min_by("generated", F.struct(-F.col("score"), "generated")).alias("generated"))
+    s = sents.select("document_id", "sentence_id", "start_char", "end_char", "text").join(best, "sentence_id")
+    oid = open_observation_id(F.col("document_id"), F.col("start_char"), F.col("end_char"), F.lit(detector))
+    return s.select(oid.alias("open_observation_id"), "document_id", "sentence_id", "start_char", "end_char", "text", F.lit("relation").alias("label"), "score", F.lit(detector).alias("detector_name"), F.lit(version).alias("detector_version"), decoded_triples(F.col("generated")).alias("triples"))
+
+
+def placed_triples(relations: DataFrame, found: DataFrame) -> DataFrame:
+    """One row per triple with its ends on mentions of its sentence: the first mention whose surface is the end's text, in any case and spacing; an end without one has no mention.
+
+    relations: rows of ``generated_relations``; found: mentions.
+    """
+    rows = relations.select("open_observation_id", "document_id", "sentence_id", "score", F.posexplode("triples").alias("triple", "t")).select("*", "t.*").drop("t")
+    named = found.filter("sentence_id is not null").groupBy("sentence_id", T.surface_key(F.col("surface_text")).alias("key")).agg(F.min_by(F.struct("mention_id", "concept_id"), F.struct("start_char", "end_char", "mention_id")).alias("m"))
+    for side in ("subject", "object"):
+        of = named.select(F.col("sentence_id").alias("s"), F.col("key").alias("k"), F.col("m.mention_id").alias(f"{side}_mention_id"), F.col("m.concept_id").alias(f"{side}_concept_id"))
+        rows = rows.join(of, (F.col("sentence_id") == F.col("s")) & (T.surface_key(F.col(side)) == F.col("k")), "left").drop("s", "k")
+    return rows
+
+
 def best_first(rows: DataFrame) -> DataFrame:
     """Open observations of each document, best-scored first, then by place."""
     return rows.orderBy("document_id", F.desc("score"), "start_char", "end_char", "open_observation_id")

@@ -212,15 +212,15 @@ def mentions_of(tokens: Column, field: str) -> Column:
     return F.array_distinct(F.filter(F.transform(tokens, lambda t: t[field]), lambda m: m.isNotNull()))
 
 
-def predicates(args: DataFrame) -> DataFrame:
-    """One row per predicate (sentence_id, head, i): the verb with its own or inherited subjects, in order of binding (``place``)."""
+def predicates(args: DataFrame, mapped: bool = True) -> DataFrame:
+    """One row per predicate (sentence_id, head, i): the verb with its own or inherited subjects, in order of binding (``place``); also verbs without a predicate of ours if not ``mapped``."""
     roots = args.groupBy("sentence_id").agg(
         F.bool_or((F.col("dep") == "ROOT") & F.col("verbal")).alias("has_verbal_root"),
         F.transform(F.array_sort(F.collect_list(F.when(F.col("dep").isin("csubj", "csubjpass") & F.col("verbal") & F.col("by_subtree").isNotNull(), F.struct("i", F.col("by_subtree").alias("m"))))), lambda x: x["m"]).alias("gerunds"),
     )
     rows = args.join(roots, "sentence_id")
     heads = rows.filter(predicate_heads(rows)).select(F.col("sentence_id").alias("hs"), F.col("i").alias("head"), F.col("participial").alias("head_participial"), F.col("subjects").alias("head_subjects"), F.struct((F.col("dep") != "ROOT").alias("late"), F.col("i").alias("head")).alias("order"))
-    verbs = rows.filter(F.coalesce(F.col("lem").isin(list(R.VERB_PREDICATES)), F.lit(False)))
+    verbs = rows.filter(F.coalesce(F.col("lem").isin(list(R.VERB_PREDICATES)), F.lit(False))) if mapped else rows
     own = heads.join(verbs, (F.col("hs") == F.col("sentence_id")) & (F.col("head") == F.col("i"))).drop("hs").withColumn("place", F.struct("order.late", "order.head", F.lit(-1).alias("k")))
     joined = verbs.filter((F.col("dep") == "conj") & F.col("verbal"))
     also = heads.join(joined, (F.col("hs") == F.col("sentence_id")) & (F.col("head") == F.col("up"))).drop("hs").withColumn("place", F.struct("order.late", "order.head", F.col("i").alias("k")))
@@ -256,7 +256,7 @@ def bound_predicates(p: DataFrame, args: DataFrame, texts: DataFrame) -> DataFra
     subjects = F.when(F.col("way") == "own", F.col("s_own")).when(F.col("way") == "adjunct", F.col("s_adjunct")).when(F.col("way") == "gerund", F.col("s_gerund")).when(F.col("way") == "control", F.col("s_control")).when(F.col("way") == "clause", F.array_distinct("gerunds"))
     predicate = F.when(F.col("way") == "adjunct", F.coalesce(R.literal_map(R.ABUNDANCE)[F.col("predicate")], F.col("predicate"))).otherwise(F.col("predicate"))
     conditions = F.when((F.col("way") == "control") & F.col("inherited").isNotNull(), F.concat("conditions", "inherited")).otherwise(F.col("conditions"))
-    p = p.select("document_id", *at, "place", "negated", predicate.alias("predicate"), "way", ((F.col("way") == "entity") & ~F.col("head_participial")).alias("blocks"), subjects.alias("subjects"), F.array_distinct(conditions).alias("conditions"), unwrapped(objects, True).alias("of_object"), "objects")
+    p = p.select("document_id", *at, "place", "lem", "dep", "negated", "is_risk", "direction", predicate.alias("predicate"), "way", "head_participial", ((F.col("way") == "entity") & ~F.col("head_participial")).alias("blocks"), subjects.alias("subjects"), F.array_distinct(conditions).alias("conditions"), unwrapped(objects, True).alias("of_object"), "objects")
     p = p.join(texts, "document_id")
 
     def phrase(span: Column) -> Column:
@@ -273,6 +273,25 @@ def bound_predicates(p: DataFrame, args: DataFrame, texts: DataFrame) -> DataFra
     return p.withColumn("found", found).drop("of_object", "objects").withColumnRenamed("found", "objects")
 
 
+def trace(bound: DataFrame) -> DataFrame:
+    """What became of each predicate: how its subject was found, its arguments and conditions, and an outcome with the reason where nothing is bound.
+
+    bound: ``bound_predicates`` of ``predicates(args, mapped=False)``, so that verbs without a predicate are told of too.
+    """
+    n = lambda c: F.coalesce(F.size(c), F.lit(0))
+    outcome = (
+        F.when(F.col("predicate").isNull(), "verb_not_mapped").when((F.col("way") == "entity") & F.col("blocks"), "subject_no_entity_flat_blocked").when(F.col("way") == "entity", "subject_no_entity")
+        .when(n("subjects") == 0, "no_subject_left_to_flat").when(n("objects") == 0, "no_object").otherwise("bound")
+    )
+    texts = lambda c: F.transform(c, lambda m: m["surface_text"])
+    conditions = F.transform("conditions", lambda s: F.substring(F.col("canonical_text"), s["s"] + 1, s["e"] - s["s"]))
+    nested = (F.col("way") == "adjunct") | F.split("dep", ":")[0].isin("acl", "relcl")
+    return bound.select(
+        "document_id", "sentence_id", "i", "place", F.col("lem").alias("verb"), "dep", F.col("head_participial").alias("participial"), "negated", F.coalesce("is_risk", F.lit(False)).alias("object_is_risk"), F.col("direction").alias("object_direction"),
+        "predicate", F.when(n("subjects") > 0, F.col("way")).alias("subject_way"), texts(F.col("subjects")).alias("subjects"), texts(F.col("objects")).alias("objects"), conditions.alias("conditions"), nested.alias("nested"), outcome.alias("outcome"),
+    )
+
+
 def verb_clause(sentence: Column, i: Column) -> Column:
     """Stands for a clause in parse observations: the qualifiers of a predicate's conditions have the same."""
     return F.format_string("%s_v%03d", sentence, i)
@@ -317,13 +336,13 @@ def relevant(tokens: DataFrame, found: DataFrame) -> DataFrame:
     return tokens.join(found.select("sentence_id"), "sentence_id", "left_semi").join(verbs, "sentence_id", "left_semi")
 
 
-def bind(tokens: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
-    """Bound predicates of sentences with parses, as a staged table; each step is written, as the next reads it several times."""
-    tree = staged(parse_tree(relevant(tokens, found)), "parse-tree")
+def bind(tokens: DataFrame, found: DataFrame, texts: DataFrame, mapped: bool = True) -> DataFrame:
+    """Bound predicates of sentences with parses, as a staged table; each step is written, as the next reads it several times.  All verbs of all sentences if not ``mapped``, for ``trace``."""
+    tree = staged(parse_tree(relevant(tokens, found) if mapped else tokens), "parse-tree")
     nodes = staged(resolved(tree, found), "parse-resolved")
     lists = nouns(nodes)
     args = arguments(lists)
-    verbs = staged(predicates(args), "parse-predicates")
+    verbs = staged(predicates(args, mapped), "parse-predicates")
     bound = staged(bound_predicates(verbs, args, texts), "parse-bound")
     release(tree, nodes, lists, args, verbs)
     return bound

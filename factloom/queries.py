@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import parse_queries
+from . import parse_queries, trace_queries
 from .functions import text as T
 from .operators import analysis, binding, claims, documents, facts, mentions, query
 from .plans import rules as R
@@ -674,3 +674,6 @@ def html_sections(spark, sf_dir):
 
 QUERIES.update(parse_queries.QUERIES)
 ORACLES.update(parse_queries.ORACLES)
+
+QUERIES.update(trace_queries.QUERIES)
+ORACLES.update(trace_queries.ORACLES)

@@ -60,34 +60,41 @@ def _rows(raw: DataFrame, parse: Callable[[str, object], Iterator[tuple]], schem
     return raw.select("document_id", "content").mapInArrow(run, fields)
 
 
-def jats_sections(raw: DataFrame) -> DataFrame:
-    """Body paragraphs: every section is followed by its nested ones and holds only its own; loose paragraphs are untitled sections."""
-
-    def parse(doc, root):
-        body = next((e for e in root.iter() if tag(e) == "body"), None)
-        found: list[tuple[str | None, list[str]]] = []
-
-        def walk(sec):
-            title = next((words(c) for c in sec if tag(c) == "title"), None) or None
-            found.append((title, [words(c) for c in sec if tag(c) == "p"]))
-            for c in sec:
-                if tag(c) == "sec":
-                    walk(c)
-
-        loose: list[str] = []
-        for c in body if body is not None else ():
-            if tag(c) == "p":
-                loose.append(words(c))
-            elif tag(c) == "sec":
-                if loose:
-                    found.append((None, loose))
-                    loose = []
+def body_sections(root) -> list[tuple[str | None, list[str]]]:
+    """(title, paragraphs) of the sections of an article's body: every section is followed by its nested ones and holds only its own; loose paragraphs are untitled sections."""
+    body = next((e for e in root.iter() if tag(e) == "body"), None)
+    found: list[tuple[str | None, list[str]]] = []
+
+    def walk(sec):
+        title = next((words(c) for c in sec if tag(c) == "title"), None) or None
+        found.append((title, [words(c) for c in sec if tag(c) == "p"]))
+        for c in sec:
+            if tag(c) == "sec":
                 walk(c)
-        if loose:
-            found.append((None, loose))
-        return [(doc, k, title, j, p) for k, (title, ps) in enumerate(found) for j, p in enumerate(ps)]
 
-    return _rows(raw, parse, SECTIONS)
+    loose: list[str] = []
+    for c in body if body is not None else ():
+        if tag(c) == "p":
+            loose.append(words(c))
+        elif tag(c) == "sec":
+            if loose:
+                found.append((None, loose))
+                loose = []
+            walk(c)
+    if loose:
+        found.append((None, loose))
+    return found
+
+
+def body_paragraphs(content: bytes | None) -> list[tuple[int, str | None, int, str]]:
+    """(section, title, paragraph, text) of an article; nothing of one that cannot be read."""
+    root = tree(content)
+    return [] if root is None else [(k, title, j, p) for k, (title, ps) in enumerate(body_sections(root)) for j, p in enumerate(ps)]
+
+
+def jats_sections(raw: DataFrame) -> DataFrame:
+    """Body paragraphs of articles, in order (see ``body_sections``)."""
+    return _rows(raw, lambda doc, root: [(doc, k, title, j, p) for k, (title, ps) in enumerate(body_sections(root)) for j, p in enumerate(ps)], SECTIONS)
 
 
 def statements(raw: DataFrame) -> DataFrame:
