@@ -1,7 +1,7 @@
 """Registered queries of the evidence engine, each with the DuckDB SQL that states the same result.
 
 The synthetic tables hold no papers, so text operators run with probe lexicons, markers and rules on ``documents``, the built-in rules
-run on inline sentences, and claim-level operators run on a stand-in: paper = supplier, subject = brand, object = part type.
+run on sentences made of table rows (``rule_queries``), and claim-level operators run on a stand-in: paper = supplier, subject = brand, object = part type.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import parse_queries, trace_queries
+from . import parse_queries, rule_queries, trace_queries
 from .functions import text as T
 from .operators import analysis, binding, claims, documents, facts, mentions, query
 from .plans import rules as R
@@ -20,6 +20,7 @@ from .sources import store, vocabulary, xml
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+CASES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {}
 
 
 def register(sql: str | None = None):
@@ -32,6 +33,16 @@ def register(sql: str | None = None):
     return add
 
 
+def inline(sql: str):
+    """A case on rows typed in here: no query of the tables, but a test of its operator (see tests/test_queries.py)."""
+
+    def add(f):
+        CASES[f.__name__] = (f, sql)
+        return f
+
+    return add
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -107,7 +118,7 @@ def clauses(spark, sf_dir):
 RULE_SENTENCES = ["Fiber helped. It was safe (n = 10). Dr. Smith agreed.", "Levels, e.g. iron, rose 2.5 fold. \"Good\" they said.", "One only", "See Fig. 2 for details. Next."]
 
 
-@register("SELECT * FROM (VALUES " + sql_values(
+@inline("SELECT * FROM (VALUES " + sql_values(
     ("0", "Fiber helped."), ("0", "It was safe (n = 10)."), ("0", "Dr. Smith agreed."), ("1", "Levels, e.g. iron, rose 2.5 fold."), ("1", '"Good" they said.'), ("2", "One only"),
     ("3", "See Fig. 2 for details."), ("3", "Next."),
 ) + ") AS t(document_id, text)")
@@ -148,7 +159,7 @@ def mentions_by_concept(spark, sf_dir):
     return query.mentions_of(found, "P:and").groupBy("document_id").agg(F.count("*").alias("n"))
 
 
-@register("SELECT * FROM (VALUES " + sql_values(("a", 5, 18, "Dietary fiber"), ("b", 0, 18, "gut microbiome gut")) + ") AS t(document_id, start_char, end_char, surface_text)")
+@inline("SELECT * FROM (VALUES " + sql_values(("a", 5, 18, "Dietary fiber"), ("b", 0, 18, "gut microbiome gut")) + ") AS t(document_id, start_char, end_char, surface_text)")
 def longest_match(spark, sf_dir):
     p = values(spark, "document_id string, paragraph_id string, start_char int, text string", ("a", "a", 0, "Both Dietary fiber! fibers éfiber"), ("b", "b", 0, "gut microbiome gut"))
     return mentions.dictionary_spans(p, ["fiber", "dietary fiber", "gut", "gut microbiome", "gut microbiome gut"]).drop("paragraph_id")
@@ -165,7 +176,7 @@ def title_filter(spark, sf_dir):
 TITLES = [("Dietary fiber and remission", True), ("Diets of children", True), ("Proteins in meals", True), ("A study of mice", False), ("Plant-based foods", True), ("Implant surgery", False), (None, False), ("BODY MASS INDEX", True)]
 
 
-@register("SELECT title, on_topic FROM (VALUES " + sql_values(*TITLES) + ") AS t(title, on_topic)")
+@inline("SELECT title, on_topic FROM (VALUES " + sql_values(*TITLES) + ") AS t(title, on_topic)")
 def title_keywords(spark, sf_dir):
     return query.on_topic(values(spark, "title string", *((t,) for t, _ in TITLES))).select("title", "on_topic")
 
@@ -176,7 +187,7 @@ QUALIFIED = [
 ]
 
 
-@register("SELECT * FROM (VALUES " + sql_values(
+@inline("SELECT * FROM (VALUES " + sql_values(
     ("1", "disease_state", "DS:remission", "remission"), ("2", "dose", None, "High-dose"), ("2", "population", None, "children"), ("2", "duration", None, "for 12 weeks"), ("2", "severity", None, "mild"),
     ("3", "disease_state", None, "severe flare"), ("3", "disease_state", "DS:remission", "quiescent disease"), ("4", "route", None, "oral"), ("4", "route", None, "orally"), ("4", "dose", None, "400 mg/day"), ("4", "disease_state", "DS:flare", "clinical flare"),
 ) + ") AS t(clause_id, qualifier_type, value_concept_id, value_text)")
@@ -186,7 +197,7 @@ def qualifiers(spark, sf_dir):
     return q.select("clause_id", "qualifier_type", "value_concept_id", "value_text")
 
 
-@register("""SELECT * FROM (VALUES ('m1', 'localized_in', 'of', 'BIOM:gut_microbiota'), ('m3', 'qualified_by', 'within', NULL)) AS t(owner_id, relation, preposition, value_concept_id)""")
+@inline("""SELECT * FROM (VALUES ('m1', 'localized_in', 'of', 'BIOM:gut_microbiota'), ('m3', 'qualified_by', 'within', NULL)) AS t(owner_id, relation, preposition, value_concept_id)""")
 def modifier_floor(spark, sf_dir):
     text = "dysbiosis of the gut microbiome; pain within a colon, iron in fish"
     spans = [("m1", 0, 9, "DIS:dysbiosis"), ("m2", 17, 31, "BIOM:gut_microbiota"), ("m3", 33, 37, "SYMP:pain"), ("m4", 47, 52, None), ("m5", 54, 58, "NUTR:iron"), ("m6", 62, 66, "FOOD:fish")]
@@ -211,7 +222,7 @@ CUES = [
 FIRST_RULE = "CASE " + " ".join(f"WHEN regexp_matches(cue, '{p}', 'i') THEN '{r}'" for r, _, _, _, p in R.RELATION_RULES) + " END"
 
 
-@register(f"""WITH c AS (SELECT * FROM (VALUES {sql_values(*((c,) for c in CUES))}) AS t(cue)) SELECT cue, {FIRST_RULE} AS rule_id FROM c""")
+@inline(f"""WITH c AS (SELECT * FROM (VALUES {sql_values(*((c,) for c in CUES))}) AS t(cue)) SELECT cue, {FIRST_RULE} AS rule_id FROM c""")
 def relation_match(spark, sf_dir):
     rows = values(spark, "cue string", *((c,) for c in CUES))
     return rows.select("cue", R.match_relation(F.col("cue"))["rule_id"].alias("rule_id"))
@@ -221,7 +232,7 @@ def _got(p: str) -> str:
     return f"nullif(regexp_extract(cue, '{p}', 0, 'i'), '')"
 
 
-@register(f"""WITH c AS (SELECT * FROM (VALUES {sql_values(*((c,) for c in CUES))}) AS t(cue) CROSS JOIN (VALUES ('positive', true), ('negative', true), ('neutral', false)) AS b(base, flips)),
+@inline(f"""WITH c AS (SELECT * FROM (VALUES {sql_values(*((c,) for c in CUES))}) AS t(cue) CROSS JOIN (VALUES ('positive', true), ('negative', true), ('neutral', false)) AS b(base, flips)),
 g AS (SELECT *, {_got(R.INSUFFICIENT)} AS i, {_got(R.HYPOTHETICAL)} AS h, CASE WHEN flips THEN {_got(R.NEGATION)} END AS n, {_got(R.UNCERTAINTY)} AS u FROM c)
 SELECT cue, base, flips, CASE WHEN i IS NOT NULL THEN 'neutral' WHEN n IS NOT NULL THEN CASE base WHEN 'positive' THEN 'negative' WHEN 'negative' THEN 'positive' ELSE base END ELSE base END AS polarity,
 CASE WHEN i IS NOT NULL THEN 'insufficient_evidence' WHEN h IS NOT NULL THEN 'hypothetical' WHEN u IS NOT NULL THEN 'possible' ELSE 'asserted' END AS certainty,
@@ -235,7 +246,7 @@ def modality(spark, sf_dir):
 VERBS = [(v, r, d) for v in ("reduce", "increase", "associate", "link", "cause", "characterize", "walk") for r in (True, False) for d in ("reduced", "increased", None)]
 
 
-@register(f"""WITH v AS (SELECT * FROM (VALUES {sql_values(*VERBS)}) AS t(lemma, risk, way)), b AS (SELECT *, CASE lemma WHEN 'reduce' THEN 'decreases' WHEN 'increase' THEN 'increases' WHEN 'cause' THEN 'causes' WHEN 'characterize' THEN 'characterized_by' WHEN 'walk' THEN NULL ELSE 'associated_with' END AS base FROM v)
+@inline(f"""WITH v AS (SELECT * FROM (VALUES {sql_values(*VERBS)}) AS t(lemma, risk, way)), b AS (SELECT *, CASE lemma WHEN 'reduce' THEN 'decreases' WHEN 'increase' THEN 'increases' WHEN 'cause' THEN 'causes' WHEN 'characterize' THEN 'characterized_by' WHEN 'walk' THEN NULL ELSE 'associated_with' END AS base FROM v)
 SELECT lemma, risk, way, CASE WHEN base = 'associated_with' AND way = 'reduced' THEN CASE WHEN risk THEN 'reduces_risk' ELSE 'associated_with_reduced' END WHEN base = 'associated_with' AND way = 'increased' THEN CASE WHEN risk THEN 'increases_risk' ELSE 'associated_with_increased' END
 WHEN risk AND base = 'decreases' THEN 'reduces_risk' WHEN risk AND base = 'increases' THEN 'increases_risk' ELSE base END AS predicate FROM b""")
 def verb_predicates(spark, sf_dir):
@@ -247,7 +258,7 @@ OBJECTS = ["DIS:cancer", "SYMP:pain", "OUT:remission", "OUT:surgery", "BIOM:hdl"
 PREDICATES = sorted({r[1] for r in R.RELATION_RULES})
 
 
-@register(f"""WITH c AS (SELECT * FROM (VALUES {sql_values(*((p,) for p in PREDICATES))}) AS t(predicate) CROSS JOIN (VALUES {sql_values(*((o,) for o in OBJECTS))}) AS u(object)),
+@inline(f"""WITH c AS (SELECT * FROM (VALUES {sql_values(*((p,) for p in PREDICATES))}) AS t(predicate) CROSS JOIN (VALUES {sql_values(*((o,) for o in OBJECTS))}) AS u(object)),
 d AS (SELECT *, CASE WHEN object = 'BIOM:hdl' THEN 1 WHEN object IN ('OUT:surgery', 'BIOM:crp', 'CHEM:glucose') THEN -1 WHEN split_part(object, ':', 1) IN ('DIS', 'SYMP') THEN -1 WHEN split_part(object, ':', 1) = 'OUT' THEN 1 ELSE 0 END AS want,
 CASE WHEN predicate IN ('decreases', 'reduces_risk', 'prevents', 'associated_with_reduced') THEN -1 WHEN predicate IN ('increases', 'increases_risk', 'causes', 'achieves', 'associated_with_increased', 'associated_with') THEN 1 ELSE 0 END AS move FROM c)
 SELECT predicate, object, CASE WHEN predicate IN ('associated_with_adverse_event', 'contraindicated') THEN 'caution' WHEN predicate = 'improves' THEN 'beneficial' WHEN predicate = 'worsens' THEN 'harmful' WHEN want * move > 0 THEN 'beneficial' WHEN want * move < 0 THEN 'harmful' ELSE 'neutral' END AS direction FROM d""")
@@ -269,7 +280,7 @@ def papers(spark):
     return extract(one_sentence_papers(values(spark, "document_id string, title string, sentence string", *((d, None, s) for d, s in PAPERS))))
 
 
-@register("SELECT * FROM (VALUES " + sql_values(
+@inline("SELECT * FROM (VALUES " + sql_values(
     ("pmid_1", "NUTR:dietary_fiber", "associated_with", "OUT:remission", "positive", "asserted", ""), ("pmid_2", "NUTR:dietary_fiber", "improves", "OUT:remission", "negative", "asserted", ""),
     ("pmid_3", "NUTR:dietary_fiber", "improves", "OUT:remission", "positive", "asserted", "disease_state=DS:remission"), ("pmid_3", "NUTR:dietary_fiber", "worsens", "SYMP:abdominal_pain", "positive", "possible", "disease_state=DS:active_disease"),
     ("pmid_4", "NUTR:dietary_fiber", "decreases", "SYMP:abdominal_pain", "positive", "asserted", "disease_state=DS:remission"), ("pmid_5", "CHEM:curcumin", "improves", "SYMP:bloating", "neutral", "insufficient_evidence", ""),
@@ -478,7 +489,7 @@ def assessment(spark, sf_dir):
 TYPES = [("a", 0, "Review"), ("a", 1, "Randomized Controlled Trial"), ("b", 0, "Clinical Trial"), ("b", 1, "Comparative Study"), ("c", 0, "Journal Article"), ("d", 0, " letter "), ("d", 1, "Meta-Analysis")]
 
 
-@register("SELECT * FROM (VALUES ('a', 'randomized_controlled_trial', 'Randomized Controlled Trial'), ('b', 'controlled_trial', 'Clinical Trial'), ('d', 'meta_analysis', 'Meta-Analysis')) AS t(document_id, value, publication_type)")
+@inline("SELECT * FROM (VALUES ('a', 'randomized_controlled_trial', 'Randomized Controlled Trial'), ('b', 'controlled_trial', 'Clinical Trial'), ('d', 'meta_analysis', 'Meta-Analysis')) AS t(document_id, value, publication_type)")
 def study_design_rank(spark, sf_dir):
     return facts.design_of_types(values(spark, "document_id string, pos int, publication_type string", *TYPES))
 
@@ -489,7 +500,7 @@ STUDIES = [
 ]
 
 
-@register("SELECT * FROM (VALUES " + sql_values(
+@inline("SELECT * FROM (VALUES " + sql_values(
     ("a", "study_design", "randomized_controlled_trial"), ("a", "publication_year", "2016"), ("a", "sample_size", "1250"), ("a", "follow_up", "two years"), ("a", "country", "Germany"),
     ("b", "study_design", "cohort"), ("b", "publication_year", "2016"), ("b", "sample_size", "340"), ("b", "follow_up", "12 months"), ("b", "country", "Japan"),
     ("c", "study_design", "in_vitro"), ("c", "publication_year", "2016"), ("c", "sample_size", "12"), ("c", "country", "Netherlands"), ("d", "study_design", "unknown"), ("d", "publication_year", "2016"),
@@ -501,7 +512,7 @@ def study_text_facts(spark, sf_dir):
     return facts.study_characteristics(p, types, vocabulary.countries(spark), aff).select("document_id", "field", "value")
 
 
-@register("SELECT * FROM (VALUES " + sql_values(
+@inline("SELECT * FROM (VALUES " + sql_values(
     ("a", "National Institutes of Health", "FUND:nih", "government", "pmc_award_group"), ("a", "Pfizer", "FUND:pfizer", "pharmaceutical", "coi_statement"), ("b", "Acme Trust", None, "unknown", "pmc_award_group"),
     ("b", "National Science Foundation", "FUND:nsf", "government", "acknowledgements"), ("b", "Medical Research Council", "FUND:mrc", "government", "acknowledgements"),
 ) + ") AS t(document_id, funder, funder_id, funder_type, source)")
@@ -543,14 +554,14 @@ GOLD = [
 MADE = [("s1", 0, "Pain", None, "x", None, "worsens", "positive", "asserted"), ("s1", 1, "Fiber", "N:f", "remission", "O:r", "improves", "positive", "asserted"), ("s1", 2, "fiber", None, "pain", None, "worsens", "positive", "asserted"), ("s2", 0, "iron", "N:i", "pain", "S:p", "causes", "negative", "asserted")]
 
 
-@register("SELECT 1::BIGINT AS correct, 2::BIGINT AS field_error, 1::BIGINT AS missed, 1::BIGINT AS spurious, 0.25::DOUBLE AS precision_strict, 0.75::DOUBLE AS recall_lenient, 1 / 3::DOUBLE AS recall_achievable_strict")
+@inline("SELECT 1::BIGINT AS correct, 2::BIGINT AS field_error, 1::BIGINT AS missed, 1::BIGINT AS spurious, 0.25::DOUBLE AS precision_strict, 0.75::DOUBLE AS recall_lenient, 1 / 3::DOUBLE AS recall_achievable_strict")
 def gold_score(spark, sf_dir):
     fields = "sentence_id string, k int, subject_text string, subject_concept_id string, object_text string, object_concept_id string, predicate string, polarity string, certainty string"
     a = analysis.gold_alignment(values(spark, fields + ", in_vocab boolean, failure_mode string", *GOLD), values(spark, fields, *MADE))
     return analysis.gold_scores(a).select("correct", "field_error", "missed", "spurious", "precision_strict", "recall_lenient", "recall_achievable_strict")
 
 
-@register("SELECT * FROM (VALUES ('A:a', 'A', 'builtin'), ('A:b', 'B two', 'overridden'), ('A:d', 'D', 'custom')) AS t(concept_id, canonical_name, origin)")
+@inline("SELECT * FROM (VALUES ('A:a', 'A', 'builtin'), ('A:b', 'B two', 'overridden'), ('A:d', 'D', 'custom')) AS t(concept_id, canonical_name, origin)")
 def vocab_overlay(spark, sf_dir):
     schema = "pos int, " + vocabulary.CONCEPT
     b = values(spark, schema, (0, "A:a", "A", "t", ["a"]), (1, "A:b", "B", "t", ["b"]), (2, "A:c", "C", "t", ["c"]))
@@ -638,28 +649,28 @@ def raw(spark, *content: bytes) -> DataFrame:
     return spark.createDataFrame([(f"pmid_{k}", bytearray(c)) for k, c in enumerate(content)], "document_id string, content binary")
 
 
-@register("SELECT 'pmid_0' AS document_id, '12345678' AS pmid, 'PMC99' AS pmcid, '10.1/x' AS doi, 'Dietary fiber and remission' AS title, 'Gut' AS journal, '2010-03-05' AS publication_date, 'Doe Jane|The Group' AS authors, 'Review' AS types")
+@inline("SELECT 'pmid_0' AS document_id, '12345678' AS pmid, 'PMC99' AS pmcid, '10.1/x' AS doi, 'Dietary fiber and remission' AS title, 'Gut' AS journal, '2010-03-05' AS publication_date, 'Doe Jane|The Group' AS authors, 'Review' AS types")
 def pubmed_xml(spark, sf_dir):
     r = xml.pubmed_records(raw(spark, PUBMED, b"<broken"))
     return r.select("document_id", "pmid", "pmcid", "doi", "title", "journal", "publication_date", F.array_join("authors", "|").alias("authors"), F.array_join("publication_types", "|").alias("types"))
 
 
-@register("SELECT * FROM (VALUES (0, NULL, 'Loose.'), (1, 'Methods', 'We did it.'), (2, 'Statistics', 'Tests.'), (3, NULL, 'End.')) AS t(section_idx, section_title, raw_text)")
+@inline("SELECT * FROM (VALUES (0, NULL, 'Loose.'), (1, 'Methods', 'We did it.'), (2, 'Statistics', 'Tests.'), (3, NULL, 'End.')) AS t(section_idx, section_title, raw_text)")
 def jats_xml(spark, sf_dir):
     return xml.jats_sections(raw(spark, JATS, b"")).select("section_idx", "section_title", "raw_text")
 
 
-@register("SELECT * FROM (VALUES (0, 'NIH', 'NIH', 'pmc_award_group'), (1, NULL, 'Paid by Pfizer.', 'pmc_funding_statement'), (2, NULL, 'Thanks.', 'acknowledgements'), (3, NULL, 'None.', 'coi_statement')) AS t(pos, funder, text, source)")
+@inline("SELECT * FROM (VALUES (0, 'NIH', 'NIH', 'pmc_award_group'), (1, NULL, 'Paid by Pfizer.', 'pmc_funding_statement'), (2, NULL, 'Thanks.', 'acknowledgements'), (3, NULL, 'None.', 'coi_statement')) AS t(pos, funder, text, source)")
 def jats_statements(spark, sf_dir):
     return xml.statements(raw(spark, JATS)).select("pos", "funder", "text", "source")
 
 
-@register("SELECT * FROM (VALUES (0, 'Background', 'Fiber helps.'), (1, 'Results', 'It was associated with remission.')) AS t(section_idx, section_title, raw_text)")
+@inline("SELECT * FROM (VALUES (0, 'Background', 'Fiber helps.'), (1, 'Results', 'It was associated with remission.')) AS t(section_idx, section_title, raw_text)")
 def abstract_xml(spark, sf_dir):
     return xml.abstract_sections(raw(spark, PUBMED)).select("section_idx", "section_title", "raw_text")
 
 
-@register("SELECT * FROM (VALUES ('pmid_0_au000', 'Doe Jane', 'pmid_0_aff000'), ('pmid_0_au001', 'The Group', NULL)) AS t(author_id, name, affiliation_id)")
+@inline("SELECT * FROM (VALUES ('pmid_0_au000', 'Doe Jane', 'pmid_0_aff000'), ('pmid_0_au001', 'The Group', NULL)) AS t(author_id, name, affiliation_id)")
 def authors_xml(spark, sf_dir):
     return xml.author_affiliations(raw(spark, PUBMED)).select("author_id", "name", "affiliation_id")
 
@@ -670,10 +681,8 @@ def html_sections(spark, sf_dir):
     return xml.html_sections(table(spark, sf_dir, "pages"))
 
 
-# --- grammatical binding --------------------------------------------------------------
-
-QUERIES.update(parse_queries.QUERIES)
-ORACLES.update(parse_queries.ORACLES)
+# --- queries of other modules ---------------------------------------------------------
 
-QUERIES.update(trace_queries.QUERIES)
-ORACLES.update(trace_queries.ORACLES)
+for more in (parse_queries, rule_queries, trace_queries):
+    QUERIES.update(more.QUERIES)
+    ORACLES.update(more.ORACLES)
