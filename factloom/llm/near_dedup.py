@@ -6,8 +6,8 @@ pass fills BINS bins by the leading hash bits; an empty bin copies the first fil
 permutation of the bins.  Runs of ROWS bins are banded buckets.
 
 In small sets few hashes fill many bins, and a true link would be lost too often.  Sets of up to SMALL shingles, and those that one of these can be
-linked with, have exact buckets instead: the least hashes of the set, so many that two linked sets have one of them in common, each with the set's class of size, in which or beside which all its
-partners lie.  Signatures say nothing about a pair with such a set.
+linked with, have exact buckets instead: the rarest shingles of the set, so many that two linked sets have one of them in common, each with the set's class of size, in which or beside which all its
+partners lie.  Shingles that no other small set has make no bucket.  Signatures say nothing about a pair with such a set.
 
 A bucket with several classes gives a few stars:
 a centre each and an edge to every other member, so pairs grow with the members and not with their square.  Edges
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import min_labels
-from .picking import picked
+from .picking import looked_up, picked
 from .scratch import drop, released, written
 from .textops import U64, Words, doc_chunks, mix, shingles
 
@@ -74,24 +74,6 @@ def bands(sig: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def exact_keys(sorted_set: np.ndarray, percent: int) -> np.ndarray:
-    """Buckets of which two linked sets share one.
-
-    They share ``percent`` of either's hashes at least.  Of each, leave out one hash less than that, the greatest ones: the least hash that both have is among the rest of both.
-    """
-    n = len(sorted_set)
-    step = math.floor(math.log(n) / math.log(100 / percent) + 1e-9) if percent < 100 else n
-    least = sorted_set[: n - -(-percent * n // 100) + 1]
-    # linked sets lie in one class of size or in neighbouring ones, and each has its own and the next
-    return np.concatenate([mix(mix(least) + U64(k) * U64(0x9E3779B97F4A7C15)) for k in (step, step + 1)]).view(np.int64)
-
-
-def bucket_keys(sorted_set: np.ndarray, sig: np.ndarray, percent: int) -> np.ndarray:
-    n = len(sorted_set)
-    exact = exact_keys(sorted_set, percent) if n * percent <= SMALL * 100 else np.zeros(0, np.int64)
-    return np.concatenate([exact, bands(sig)]) if n > SMALL else exact
-
-
 def shingle_sets(column: pa.Array, width: int):
     """Yields each row's sorted distinct shingle hashes."""
     for _, _, buf, offs in doc_chunks(column):
@@ -107,32 +89,59 @@ def set_ids(s: np.ndarray) -> tuple[int, int]:
 
 
 def sketches(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(row, doc_id, content, n_shingles, set_a, set_b, sig, bands) of (doc_id, content, text).
+    """(row, doc_id, content, n_shingles, set_a, set_b, sig, bands, items) of (doc_id, content, text).
 
-    row is a number of the row's own; set_a and set_b identify the set; sig and bands are null if it is empty.
+    row is a number of the row's own; set_a and set_b identify the set; sig is null if it is empty, bands are if it is small, and items, the set's sorted hashes as packed bytes, are if neither it nor a set that it can be linked with is.
     """
 
     def run(batches):
         at = TaskContext.get().partitionId() << 33
         for batch in batches:
-            n, a, b, sigs, keys = [], [], [], [], []
+            n, a, b, sigs, keys, items = [], [], [], [], [], []
             with np.errstate(over="ignore"):
                 for s in shingle_sets(batch.column(2), width):
                     n.append(len(s))
                     x, y = set_ids(s)
                     a.append(x), b.append(y)
+                    items.append(s.tobytes() if 0 < len(s) * percent <= SMALL * 100 else None)
                     if not len(s):
                         sigs.append(None), keys.append(None)
                         continue
                     sig = signature(s)
                     sigs.append((mix(sig) & U64(255)).astype(np.uint8).tobytes())
-                    keys.append(bucket_keys(s, sig, percent))
+                    keys.append(bands(sig) if len(s) > SMALL else None)
             rows = pa.array(np.arange(at, at + len(n)))
             at += len(n)
-            made = [pa.array(x, t) for x, t in ((n, pa.int64()), (a, pa.int64()), (b, pa.int64()), (sigs, pa.binary()), (keys, pa.list_(pa.int64())))]
-            yield pa.RecordBatch.from_arrays([rows, batch.column(0), batch.column(1), *made], ["row", "doc_id", "content", "n_shingles", "set_a", "set_b", "sig", "bands"])
+            made = [pa.array(x, t) for x, t in ((n, pa.int64()), (a, pa.int64()), (b, pa.int64()), (sigs, pa.binary()), (keys, pa.list_(pa.int64())), (items, pa.binary()))]
+            yield pa.RecordBatch.from_arrays([rows, batch.column(0), batch.column(1), *made], ["row", "doc_id", "content", "n_shingles", "set_a", "set_b", "sig", "bands", "items"])
+
+    return docs.mapInArrow(run, "row long, doc_id long, content long, n_shingles long, set_a long, set_b long, sig binary, bands array<long>, items binary")
 
-    return docs.mapInArrow(run, "row long, doc_id long, content long, n_shingles long, set_a long, set_b long, sig binary, bands array<long>")
+
+def exact_entries(reps: DataFrame, percent: int) -> DataFrame:
+    """(rep, bucket) of small sets (rep, n_shingles, items), so that any two linked ones share a bucket.
+
+    Linked sets share ``percent`` of either's items at least.  In the order of how many sets have an item, leave out one item less than that at the end of each: the first item that both have is among the rest of both.  An item that
+    no other set has is counted at its place but makes no bucket.
+    """
+
+    def run(batches):
+        for batch in batches:
+            size = np.array([len(x.as_buffer()) // 8 for x in batch.column(2)], np.int64)
+            flat = np.frombuffer(b"".join(x.as_buffer() for x in batch.column(2)), np.int64)
+            rep, n = (np.repeat(batch.column(k).to_numpy(), size) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(n), pa.array(flat)], ["rep", "n_shingles", "item"])
+
+    items = written(reps.filter("items is not null").select("rep", "n_shingles", "items").mapInArrow(run, "rep long, n_shingles long, item long"), "near-items")
+    held = written(items.groupBy("item").agg(F.count("*").alias("sets")).filter("sets > 1"), "near-held")
+    found = looked_up(items, held, "item", "sets")
+    first = F.expr(f"cast(n_shingles - ceil({percent} * n_shingles / 100) + 1 - (n_shingles - size(own)) as int)")
+    own = found.groupBy("rep", "n_shingles").agg(F.array_sort(F.collect_list(F.struct("sets", "item"))).alias("own"))
+    own = own.withColumn("first", first).filter("first > 0").select("rep", "n_shingles", F.explode(F.slice("own", F.lit(1), F.col("first"))).alias("x"))
+    # linked sets lie in one class of size or in neighbouring ones, and each has its own and the next
+    step = F.floor(F.log("n_shingles") / math.log(100 / percent) + 1e-9) if percent < 100 else F.col("n_shingles")
+    classes = F.explode(F.array(step, step + 1)).alias("step")
+    return own.select("rep", "x.item", classes).select("rep", F.xxhash64("item", "step", F.lit("exact")).alias("bucket"))
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -341,7 +350,7 @@ def numbered_groups(docs: DataFrame, content, id_col: str, text_col: str, width:
     # the row that stands for each distinct set
     classes = written(full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("row").alias("rep")), "near-classes")
     reps = full.join(classes.select(F.col("rep").alias("row")), "row", "left_semi").withColumnRenamed("row", "rep")
-    entries = reps.select("rep", F.explode("bands").alias("bucket"))
+    entries = reps.select("rep", F.explode("bands").alias("bucket")).unionByName(exact_entries(reps, percent))
     shared = entries.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1").select("bucket")
     # entries of buckets that hold several classes; the rest can never give an edge
     active = written(entries.join(shared, "bucket").select("bucket", "rep"), "near-entries")

@@ -22,3 +22,16 @@ def picked(docs: DataFrame, kept: DataFrame, again: DataFrame, own_id: Column, c
     several = hit(again).select(whole.alias("whole"), own_id.alias("id"), content.alias("content"), F.xxhash64(whole).alias("order"))
     several = several.withColumn("rank", F.row_number().over(W.partitionBy("id", "content").orderBy("order"))).filter("rank = 1")
     return single.unionByName(several.select(*(F.col("whole").getField(c).alias(c) for c in docs.columns)))
+
+
+#: Keys that may have over 1 / HOT of all rows, and so rows of a broadcast table.
+HOT = 4096
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:
+    """Inner join with a table of one row for each key and its number of rows: keys with over 1 / HOT of all rows, HOT at most, go to every task."""
+    total = table.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    hot = F.col(weight) > total / HOT
+    often = rows.join(F.broadcast(table.filter(hot)), key)
+    known = F.broadcast(table.filter(hot).select(key))
+    return often.unionByName(rows.join(known, key, "left_anti").join(table.filter(~hot), key))

@@ -5,7 +5,7 @@ path, with how many they are, the smallest id and a digest of all ids.  Paths th
 paths' longest common prefix is one chain of nodes, and the next turn id deals them to new buckets.  A smaller bucket is finished by one task: multikey quicksort splits its
 paths by the id at a depth into smaller, equal and greater ones, and each descent into equal ones emits a node.  What a subtree holds is added up over its buckets, from the last round to the first.
 
-A round sends rows by hash of their bucket's prefix only to finish small buckets; large ones are summed with partial sums, and their figures reach their rows by a broadcast of at most ``HOT`` buckets,
+A round sends rows by hash of their bucket's prefix only to finish small buckets; large ones are summed with partial sums, and their figures reach their rows by a broadcast of at most ``picking.HOT`` buckets,
 or a join for the others.  So no task holds more of a bucket than ``LOCAL`` turns and one path, however many conversations share it.  A path is one row of 12 bytes a turn.
 
 Turns are ordered by turn (null first), then by role and text; equal rows count each.  A null role or text is the empty string.  Rows with a null conv_id take no part; an empty table
@@ -23,25 +23,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .picking import looked_up
 from .scratch import drop, written
 
-#: Turns of a bucket that one task finishes, rows of broadcast tables, ids of a piece of a path's list, turns of a conversation that another may begin with.
-LOCAL, HOT, PIECE, HEAD = 20_000, 4096, 50_000, 3
+#: Turns of a bucket that one task finishes, ids of a piece of a path's list, turns of a conversation that another may begin with.
+LOCAL, PIECE, HEAD = 20_000, 50_000, 3
 NODE = "conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, ends_sha256 string"
 EMPTY = hashlib.sha256(b"").hexdigest()
 FIELDS = [f.split()[0] for f in NODE.split(", ")]
 TYPES = [pa.string() if f == "ends_sha256" else pa.int64() for f in FIELDS]
 
 
-def looked_up(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:
-    """Inner join with a table of one row for each key and its number of rows: keys with over 1 / HOT of all rows, HOT at most, go to every task."""
-    total = table.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
-    hot = F.col(weight) > total / HOT
-    often = rows.join(F.broadcast(table.filter(hot)), key)
-    known = F.broadcast(table.filter(hot).select(key))
-    return often.unionByName(rows.join(known, key, "left_anti").join(table.filter(~hot), key))
-
-
 def ranked(turns: DataFrame) -> DataFrame:
     """(conv, pos, key, words): turns with their place from 0.  A conversation of any length is dealt by ranges, and what earlier ranges hold of it is added."""
     order = ["conv", F.col("turn").asc_nulls_first(), "role", "key"]

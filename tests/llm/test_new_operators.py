@@ -316,19 +316,30 @@ def test_short_near_copies_are_never_lost(spark):
     assert got == want
 
 
-def test_exact_keys_of_linked_sets_meet():
+def test_exact_buckets_of_linked_sets_meet(spark):
     from factloom.llm import near_dedup
 
     rng = np.random.default_rng(6)
-    for _ in range(3000):
+    pool = rng.integers(1, 2**62, 4000, dtype=np.int64)
+    common = pool[:15]  # in many sets
+    rows, sets = [], []
+    for _ in range(500):
         m = int(rng.integers(1, 65))
-        pool = np.unique(rng.integers(1, 2**63, 200, dtype=np.uint64))
-        rng.shuffle(pool)
-        a = np.sort(pool[:m])
-        common = int(rng.integers(-(-75 * m // 100), m + 1))
-        most = common * 100 // 75 - m + common  # of the other set, with this much in common
-        n = int(rng.integers(common, max(common, most) + 1))
-        b = np.sort(np.concatenate([a[rng.permutation(m)[:common]], pool[m : m + n - common]]))
-        if 100 * common >= 75 * (m + n - common) and n:
-            with np.errstate(over="ignore"):
-                assert set(near_dedup.exact_keys(a, 75)) & set(near_dedup.exact_keys(b, 75))
+        own = np.unique(np.concatenate([rng.choice(pool, m), common[: int(rng.integers(0, 16))]]))
+        for keep in (1.0, 0.9, 0.75):
+            sets.append(np.sort(rng.permutation(own)[: max(1, -int(-keep * len(own) // 1))]))
+    rows = [(k, len(s), s.tobytes()) for k, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "rep long, n_shingles long, items binary").repartition(3)
+    buckets = defaultdict(set)
+    for r in near_dedup.exact_entries(df, 75).collect():
+        buckets[r.rep].add(r.bucket)
+    plain = [set(s.tolist()) for s in sets]
+    linked = met = 0
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(plain[a] & plain[b])
+            if plain[a] != plain[b] and 100 * both >= 75 * (len(plain[a]) + len(plain[b]) - both):
+                linked += 1
+                assert buckets[a] & buckets[b]
+            met += bool(buckets[a] & buckets[b])
+    assert linked > 500 and met < 20 * linked
