@@ -80,6 +80,72 @@ def synthesize(claims: DataFrame, strengths: DataFrame | None = None) -> DataFra
     })
 
 
+CERTAINTIES = ("asserted", "possible", "hypothetical", "insufficient_evidence")
+STRENGTHS = ("high", "moderate", "low", "unknown")
+
+
+def conclusion_papers(claims: DataFrame) -> DataFrame:
+    """One row for each conclusion and paper: the sides that the paper takes, its claims by certainty, its smallest claim of either side, and names from its smallest claim."""
+    pos, neg = F.col("polarity") == "positive", F.col("polarity") == "negative"
+    return claims.groupBy(*CONCLUSION, "document_id").agg(
+        F.bool_or(pos).alias("supports"), F.bool_or(neg).alias("contradicts"), F.bool_or(~pos & ~neg).alias("is_neutral"), *(F.count_if(F.col("certainty") == c).alias(f"n_{c}") for c in CERTAINTIES), F.count("*").alias("claim_count"),
+        F.min_by("subject_name", "claim_id").alias("subject_name"), F.min_by("object_name", "claim_id").alias("object_name"), F.min(F.when(pos, F.col("claim_id"))).alias("supporting_claim"), F.min(F.when(neg, F.col("claim_id"))).alias("contradicting_claim"),
+    )
+
+
+def conclusions(papers: DataFrame, strengths: DataFrame | None = None) -> DataFrame:
+    """Conclusions of any number of papers, as counts: ``synthesize`` without lists of papers, which stay rows of ``conclusion_papers``.
+
+    Both steps sum before they shuffle, so no task holds a conclusion's papers.
+    """
+    if strengths is None:
+        papers = papers.withColumn("strength", F.lit("unknown"))
+    else:
+        papers = papers.join(strengths.select("document_id", F.col("value").alias("strength")), "document_id", "left").fillna("unknown", "strength")
+    out = papers.groupBy(*CONCLUSION).agg(
+        F.min_by("subject_name", "document_id").alias("subject_name"), F.min_by("object_name", "document_id").alias("object_name"), F.count("*").alias("paper_count"), F.sum("claim_count").alias("claim_count"),
+        F.count_if("supports").alias("n_supporting"), F.count_if("contradicts").alias("n_contradicting"), F.count_if("is_neutral").alias("n_neutral"), *(F.sum(f"n_{c}").alias(f"n_{c}") for c in CERTAINTIES),
+        *(F.count_if(F.col("strength") == s).alias(f"strength_{s}") for s in STRENGTHS), F.min("supporting_claim").alias("supporting_claim"), F.min("contradicting_claim").alias("contradicting_claim"),
+    )
+    return out.withColumns({"direction": direction(F.col("n_supporting"), F.col("n_contradicting")), "clinical_direction": R.clinical_direction(F.col("predicate"), F.col("object_concept_id"))})
+
+
+def first_quotes(conclusion_rows: DataFrame, evidence: DataFrame) -> DataFrame:
+    """The quotes that stand for a conclusion: of its smallest supporting claim, and of its smallest contradicting one, the first piece of evidence that has a text.
+
+    evidence: claim_id, document_id, start_char, end_char, quoted_text, and reconstructed, which counts first.
+    """
+    text = F.coalesce(F.nullif("reconstructed", F.lit("")) if "reconstructed" in evidence.columns else F.lit(None).cast("string"), F.nullif("quoted_text", F.lit("")))
+    rows = evidence.withColumn("text", text).filter("text is not null")
+    first = rows.groupBy("claim_id").agg(F.min(F.struct("document_id", "start_char", "end_char", "text")).alias("q"))
+    sides = F.explode(F.array(*(F.struct(F.lit(side).alias("side"), F.col(f"{side}_claim").alias("claim_id")) for side in ("supporting", "contradicting")))).alias("s")
+    asked = conclusion_rows.select(*CONCLUSION, sides).select(*CONCLUSION, "s.side", "s.claim_id").filter("claim_id is not null")
+    return asked.join(first, "claim_id").select(*CONCLUSION, "side", "claim_id", "q.document_id", F.col("q.text").alias("quoted_text"))
+
+
+FOOD = ["food_concept_id", "predicate", "object_concept_id", "qualifier_sig", "modifier_sig"]
+
+
+def at_foods(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """Rows about compounds as rows about the foods that they are found in, but for a food that is the object."""
+    return rows.join(edges, rows["subject_concept_id"] == edges["source_concept_id"]).filter(F.col("food_concept_id") != F.col("object_concept_id"))
+
+
+def food_conclusions(papers: DataFrame, edges: DataFrame) -> DataFrame:
+    """``derive_foods`` as counts: a paper counts once for a food, whatever compounds it speaks of.  papers: rows of ``conclusion_papers``."""
+    carried = at_foods(papers, edges)
+    once = carried.groupBy(*FOOD, "document_id").agg(F.bool_or("supports").alias("supports"), F.bool_or("contradicts").alias("contradicts"), F.bool_or("is_neutral").alias("is_neutral"), F.min("food_name").alias("food_name"), F.min_by("object_name", "source_concept_id").alias("object_name"))
+    counts = once.groupBy(*FOOD).agg(F.min("food_name").alias("food_name"), F.min("object_name").alias("object_name"), F.count("*").alias("paper_count"), F.count_if("supports").alias("n_supporting"), F.count_if("contradicts").alias("n_contradicting"), F.count_if("is_neutral").alias("n_neutral"))
+    # compounds of an ontology, of which a food has a bounded number
+    via = carried.select(*FOOD, "source_concept_id").distinct().groupBy(*FOOD).agg(F.array_sort(F.collect_list("source_concept_id")).alias("via"))
+    return counts.join(via, FOOD).withColumns({"direction": direction(F.col("n_supporting"), F.col("n_contradicting")), "clinical_direction": R.clinical_direction(F.col("predicate"), F.col("object_concept_id"))})
+
+
+def food_evidence(quotes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Quotes carried over to foods: one for each food's conclusion, paper and claim.  quotes: rows of ``first_quotes``."""
+    return at_foods(quotes, edges).groupBy(*FOOD, "document_id", "claim_id").agg(F.min("quoted_text").alias("quoted_text"))
+
+
 def ranked(conclusions: DataFrame, first: str = "subject_name", by: str = "subject_concept_id") -> DataFrame:
     """Conclusions with the most papers first, in a total order."""
     return conclusions.orderBy(F.desc("paper_count"), F.lower(first), "predicate", F.lower("object_name"), by, "object_concept_id", "qualifier_sig", "modifier_sig")

@@ -175,6 +175,25 @@ def explain_fully(claims: DataFrame, evidence: DataFrame, characteristics: DataF
     return rows.join(paper, "document_id", "left").join(of, "claim_id", "left").crossJoin(F.broadcast(latest_run(runs).select("run_id")))
 
 
+def paper_report(documents: DataFrame, characteristics: DataFrame, funding: DataFrame, assessments: DataFrame, claims: DataFrame) -> DataFrame:
+    """One row per document: title, source, year, design and size (numbers, or null), its kinds of funders, its grade of independence, and how many claims it makes.  Children are grouped before they are joined."""
+    wide = characteristics.groupBy("document_id").pivot("field", ["publication_year", "study_design", "sample_size"]).agg(F.min("value"))
+    wide = wide.withColumns({c: T.safe_int(F.col(c)) for c in ("publication_year", "sample_size")})
+    money = funding.groupBy("document_id").agg(F.array_sort(F.collect_set("funder_type")).alias("funder_types"))
+    grade = assessments.filter("criterion = 'funding_independence'").groupBy("document_id").agg(F.max("value").alias("funding_independence"))
+    made = claims.groupBy("document_id").agg(F.count("*").alias("n_claims"))
+    rows = documents.select("document_id", "title", "source_type")
+    for child in (wide, money, grade, made):
+        rows = rows.join(child, "document_id", "left")
+    return rows.withColumns({"funder_types": F.coalesce("funder_types", F.array().cast("array<string>")), "n_claims": F.coalesce("n_claims", F.lit(0))})
+
+
+def author_institutions(authors: DataFrame, links: DataFrame, affiliations: DataFrame, institutions: DataFrame) -> DataFrame:
+    """Authors with their affiliations and the institutions of these; an author may have none, and an affiliation an institution that is not listed."""
+    rows = authors.join(links.select("author_id", "affiliation_id"), "author_id", "left").join(affiliations.select("affiliation_id", "raw_text", "institution_id"), "affiliation_id", "left")
+    return rows.join(institutions.select("institution_id", "institution_name", "institution_type"), "institution_id", "left").select("document_id", "author_id", "position", "name", "affiliation_id", "raw_text", "institution_id", "institution_name", "institution_type")
+
+
 def distinct_in_order(messages: Column) -> Column:
     """The first of each of equal messages of a list."""
     return F.array_distinct(messages)

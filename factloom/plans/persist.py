@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -98,12 +99,28 @@ def persist_papers(store: Store, raw: DataFrame, records: DataFrame, paragraphs:
     store.replace("assessment_criteria", grades.select(*framework, "criterion").distinct())
 
 
+def source_version() -> str | None:
+    """The commit that this code was checked out at; None where it is no checkout."""
+    root = Path(__file__).resolve().parents[2] / ".git"
+    try:
+        head = (root / "HEAD").read_text().strip()
+        if not head.startswith("ref: "):
+            return head or None
+        name = head.removeprefix("ref: ")
+        if (root / name).exists():
+            return (root / name).read_text().strip()
+        packed = (root / "packed-refs").read_text().splitlines()
+        return next((line.split()[0] for line in packed if line.endswith(f" {name}")), None)
+    except OSError:
+        return None
+
+
 def versions(documents_: DataFrame, timestamp: str | None = None) -> DataFrame:
     """One run (run_id and what it was made with) over documents; times do not count in its id."""
     made = [__version__, R.RULESET_VERSION, vocabulary.digest()]
     stamp = timestamp or datetime.now(timezone.utc).isoformat(timespec="seconds")
     run = query.run_id(documents_, made).crossJoin(documents_.agg(F.count_distinct("document_id").alias("documents")))
-    return run.select("run_id", F.lit(stamp).alias("timestamp"), F.lit(__version__).alias("tool_version"), F.lit(None).cast("string").alias("source_version"), F.lit(made[1]).alias("ruleset_version"), F.lit(made[2]).alias("lexicon_digest"), "documents")
+    return run.select("run_id", F.lit(stamp).alias("timestamp"), F.lit(__version__).alias("tool_version"), F.lit(source_version()).cast("string").alias("source_version"), F.lit(made[1]).alias("ruleset_version"), F.lit(made[2]).alias("lexicon_digest"), "documents")
 
 
 def ingest(store: Store, raw: DataFrame, detect: Callable[[str], Iterable[tuple]] | None = None, timestamp: str | None = None, **options) -> DataFrame:

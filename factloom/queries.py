@@ -472,6 +472,136 @@ def derived_foods(spark, sf_dir):
     return d.select("food_concept_id", "predicate", "object_concept_id", "paper_count", F.array_join("via", ",").alias("via"), "direction")
 
 
+FOODS_SQL = "edges AS (SELECT DISTINCT 'BR:' || p_brand AS src, 'FOOD:' || left(p_brand, 7) AS food FROM part)"
+
+
+def food_edges(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "part").select(F.concat(F.lit("BR:"), "p_brand").alias("source_concept_id"), F.concat(F.lit("FOOD:"), F.substring("p_brand", 1, 7)).alias("food_concept_id"), F.substring("p_brand", 1, 7).alias("food_name")).distinct()
+
+
+def stand_in_evidence(spark, sf_dir) -> DataFrame:
+    """A claim's evidence with a quote, which is blank where it begins with the first line of an order."""
+    e = claims.evidence_rows(stand_in_claims(spark, sf_dir))
+    return e.select("claim_id", "document_id", "start_char", "end_char", F.when(F.col("start_char") == 1, "").otherwise(F.concat_ws(" ", "sentence_id", "start_char")).alias("quoted_text"))
+
+
+@register(f"""WITH {CLAIMS_SQL}, s AS (SELECT 'sup_' || s_suppkey AS document_id, CASE WHEN s_acctbal > 5000 THEN 'high' WHEN s_acctbal > 0 THEN 'low' END AS strength FROM supplier)
+SELECT subject_concept_id, predicate, object_concept_id, count(DISTINCT document_id) AS paper_count, count(*) AS claim_count, count(DISTINCT document_id) FILTER (polarity = 'positive') AS n_supporting, count(DISTINCT document_id) FILTER (polarity = 'negative') AS n_contradicting, count(DISTINCT document_id) FILTER (polarity = 'neutral') AS n_neutral,
+  count(*) FILTER (certainty = 'asserted')::BIGINT AS n_asserted, count(DISTINCT document_id) FILTER (strength = 'high') AS strength_high, count(DISTINCT document_id) FILTER (strength IS NULL) AS strength_unknown, min_by(subject_name, (document_id, claim_id)) AS subject_name FROM claims JOIN s USING (document_id) GROUP BY ALL""")
+def conclusion_counts(spark, sf_dir):
+    """Conclusions as counts of papers, claims and strengths, without lists."""
+    value = F.when(F.col("s_acctbal") > 5000, "high").when(F.col("s_acctbal") > 0, "low")
+    strengths = table(spark, sf_dir, "supplier").select(F.concat(F.lit("sup_"), "s_suppkey").alias("document_id"), value.alias("value"))
+    c = analysis.conclusions(analysis.conclusion_papers(plain_claims(spark, sf_dir)), strengths)
+    return c.select("subject_concept_id", "predicate", "object_concept_id", "paper_count", "claim_count", "n_supporting", "n_contradicting", "n_neutral", "n_asserted", "strength_high", "strength_unknown", "subject_name")
+
+
+RANKED_SQL = f"""{SYNTH_SQL}, k AS (SELECT *, row_number() OVER (ORDER BY paper_count DESC, lower(subject_name), predicate, lower(object_name), subject_concept_id, object_concept_id) AS place FROM (
+  SELECT con.*, o.object_name FROM con JOIN (SELECT subject_concept_id, predicate, object_concept_id, min_by(object_name, (document_id, claim_id)) AS object_name FROM claims GROUP BY ALL) o USING (subject_concept_id, predicate, object_concept_id)))"""
+
+
+@register(f"WITH {RANKED_SQL} SELECT place::INTEGER AS place, subject_concept_id, predicate, object_concept_id, paper_count FROM k WHERE place <= 50")
+def synthesis_ranked(spark, sf_dir):
+    """The fifty best-corroborated conclusions in their total order of eight keys (a ranked report)."""
+    top = analysis.ranked(analysis.conclusions(analysis.conclusion_papers(plain_claims(spark, sf_dir)))).limit(50)
+    # the report's rows are few: they are numbered in the order that they came in
+    return top.agg(F.collect_list(F.struct("subject_concept_id", "predicate", "object_concept_id", "paper_count")).alias("x")).select(F.posexplode("x").alias("place", "x")).select((F.col("place") + 1).alias("place"), "x.*")
+
+
+FOOD_COUNTS_SQL = f"""{CLAIMS_SQL}, {FOODS_SQL}, fc AS (SELECT food, predicate, object_concept_id, count(DISTINCT document_id) AS paper_count, count(DISTINCT document_id) FILTER (polarity = 'positive') AS pos, count(DISTINCT document_id) FILTER (polarity = 'negative') AS neg,
+  string_agg(DISTINCT src, ',' ORDER BY src) AS via, min(object_name) AS object_name FROM claims JOIN edges ON src = subject_concept_id WHERE food <> object_concept_id GROUP BY ALL)"""
+
+
+@register(f"""WITH {FOOD_COUNTS_SQL} SELECT food AS food_concept_id, predicate, object_concept_id, paper_count, pos AS n_supporting, neg AS n_contradicting, via, CASE WHEN pos > 0 AND neg > 0 THEN 'conflicting' WHEN pos > 0 THEN 'supported' WHEN neg > 0 THEN 'refuted' ELSE 'inconclusive' END AS direction FROM fc""")
+def food_counts(spark, sf_dir):
+    """Conclusions carried over to foods, as counts: a paper counts once however many compounds of the food it names."""
+    f = analysis.food_conclusions(analysis.conclusion_papers(plain_claims(spark, sf_dir)), food_edges(spark, sf_dir))
+    return f.select("food_concept_id", "predicate", "object_concept_id", "paper_count", "n_supporting", "n_contradicting", F.array_join("via", ",").alias("via"), "direction")
+
+
+@register(f"WITH {FOOD_COUNTS_SQL} SELECT row_number() OVER (ORDER BY paper_count DESC, lower(left(food, 12)[6:]), predicate, lower(object_name), food, object_concept_id)::INTEGER AS place, food AS food_concept_id, predicate, object_concept_id, paper_count FROM fc QUALIFY place <= 50")
+def foods_ranked(spark, sf_dir):
+    """The fifty best-corroborated conclusions about foods in their total order (a ranked report)."""
+    f = analysis.food_conclusions(analysis.conclusion_papers(plain_claims(spark, sf_dir)), food_edges(spark, sf_dir))
+    top = analysis.ranked(f.withColumnRenamed("food_concept_id", "subject_concept_id"), "food_name").limit(50)
+    return top.agg(F.collect_list(F.struct(F.col("subject_concept_id").alias("food_concept_id"), "predicate", "object_concept_id", "paper_count")).alias("x")).select(F.posexplode("x").alias("place", "x")).select((F.col("place") + 1).alias("place"), "x.*")
+
+
+QUOTES_SQL = f"""{CLAIMS_SQL}, ev AS (SELECT claim_id, document_id, k, sentence_id FROM claims JOIN obs USING ({CLAIM_KEY}) WHERE k <> 1),
+fq AS (SELECT claim_id, document_id, min_by(sentence_id || ' ' || k, (k, sentence_id || ' ' || k)) AS quoted_text FROM ev GROUP BY ALL),
+cl AS (SELECT subject_concept_id, predicate, object_concept_id, min(claim_id) FILTER (polarity = 'positive') AS pos, min(claim_id) FILTER (polarity = 'negative') AS neg FROM claims GROUP BY ALL),
+quotes AS (SELECT subject_concept_id, predicate, object_concept_id, side, claim_id, document_id, quoted_text FROM (SELECT subject_concept_id, predicate, object_concept_id, 'supporting' AS side, pos AS claim_id FROM cl UNION ALL SELECT subject_concept_id, predicate, object_concept_id, 'contradicting', neg FROM cl) JOIN fq USING (claim_id))"""
+
+
+@register(f"WITH {QUOTES_SQL} SELECT * FROM quotes")
+def synthesis_quotes(spark, sf_dir):
+    """The first quote of each conclusion's smallest supporting and smallest contradicting claim; blank quotes do not count."""
+    c = analysis.conclusions(analysis.conclusion_papers(plain_claims(spark, sf_dir)))
+    return analysis.first_quotes(c, stand_in_evidence(spark, sf_dir)).select("subject_concept_id", "predicate", "object_concept_id", "side", "claim_id", "document_id", "quoted_text")
+
+
+@register(f"WITH {QUOTES_SQL}, {FOODS_SQL} SELECT food AS food_concept_id, predicate, object_concept_id, document_id, claim_id, min(quoted_text) AS quoted_text FROM quotes JOIN edges ON src = subject_concept_id WHERE food <> object_concept_id GROUP BY ALL")
+def food_quotes(spark, sf_dir):
+    """Evidence of foods' conclusions, once for each paper and claim."""
+    c = analysis.conclusions(analysis.conclusion_papers(plain_claims(spark, sf_dir)))
+    q = analysis.first_quotes(c, stand_in_evidence(spark, sf_dir))
+    return analysis.food_evidence(q, food_edges(spark, sf_dir)).select("food_concept_id", "predicate", "object_concept_id", "document_id", "claim_id", "quoted_text")
+
+
+def supplier_papers(spark, sf_dir) -> dict[str, DataFrame]:
+    """Suppliers as papers: documents, characteristics and grades."""
+    s = table(spark, sf_dir, "supplier")
+    doc = F.concat(F.lit("sup_"), "s_suppkey").alias("document_id")
+    field = lambda name, value: s.select(doc, F.lit(name).alias("field"), value.cast("string").alias("value"))
+    facts_ = field("publication_year", F.when(F.col("s_suppkey") % 4 == 0, "n.d.").otherwise((F.col("s_suppkey") % 30 + 1990).cast("string"))).unionByName(field("study_design", F.when(F.col("s_suppkey") % 2 == 0, "cohort").otherwise("review"))).unionByName(field("sample_size", F.col("s_nationkey")))
+    grades = s.select(doc, F.lit("funding_independence").alias("criterion"), F.when(F.col("s_acctbal") > 0, "independent").otherwise("unknown").alias("value")).unionByName(s.select(doc, F.lit("recency").alias("criterion"), F.lit("older").alias("value")))
+    return {"documents": s.select(doc, F.col("s_name").alias("title"), F.lit("J").alias("journal"), F.lit("2010").alias("publication_date"), F.lit("xml").alias("source_type")), "characteristics": facts_, "assessments": grades}
+
+
+@register(f"""WITH {CLAIMS_SQL}, {FUNDING_SQL}, n AS (SELECT document_id, count(*) AS n_claims FROM claims GROUP BY 1)
+SELECT 'sup_' || s_suppkey AS document_id, s_name AS title, CASE WHEN s_suppkey % 4 <> 0 THEN (s_suppkey % 30 + 1990)::INTEGER END AS publication_year, CASE WHEN s_suppkey % 2 = 0 THEN 'cohort' ELSE 'review' END AS study_design, s_nationkey::INTEGER AS sample_size,
+  CASE WHEN none THEN '' ELSE funder_type END AS funder_types, CASE WHEN s_acctbal > 0 THEN 'independent' ELSE 'unknown' END AS funding_independence, coalesce(n_claims, 0) AS n_claims FROM supplier JOIN funding f ON f.document_id = 'sup_' || s_suppkey LEFT JOIN n ON n.document_id = f.document_id""")
+def paper_report(spark, sf_dir):
+    """Each paper's facts, funders, grade and number of claims."""
+    p = supplier_papers(spark, sf_dir)
+    r = query.paper_report(p["documents"], p["characteristics"], funding(spark, sf_dir), p["assessments"], plain_claims(spark, sf_dir))
+    return r.select("document_id", "title", "publication_year", "study_design", "sample_size", F.array_join("funder_types", ",").alias("funder_types"), "funding_independence", "n_claims")
+
+
+@register(f"""WITH {CLAIMS_SQL}, {FUNDING_SQL}, run AS (SELECT event_id::VARCHAR AS run_id FROM events ORDER BY ts::VARCHAR DESC, event_id::VARCHAR DESC LIMIT 1),
+e AS (SELECT claim_id, count(*) AS n_evidence, min(sentence_id || ' ' || k) AS least_quote FROM (SELECT DISTINCT claim_id, sentence_id, k FROM claims JOIN obs USING ({CLAIM_KEY})) GROUP BY 1)
+SELECT claim_id, n_evidence, least_quote, n_observations, first_observation, 'publication_year=' || CASE WHEN s_suppkey % 4 = 0 THEN 'n.d.' ELSE (s_suppkey % 30 + 1990)::VARCHAR END || ',sample_size=' || s_nationkey || ',study_design=' || CASE WHEN s_suppkey % 2 = 0 THEN 'cohort' ELSE 'review' END AS facts,
+  CASE WHEN none THEN '' ELSE s_name || ':' || funder_type END AS funders, 'funding_independence=' || CASE WHEN s_acctbal > 0 THEN 'independent' ELSE 'unknown' END || ',recency=older' AS grades, s_name AS title, run_id
+FROM claims JOIN e USING (claim_id) JOIN supplier ON document_id = 'sup_' || s_suppkey JOIN funding USING (document_id), run""")
+def explain_claim_fully(spark, sf_dir):
+    """A claim with its evidence, observations, paper, facts, funders, grades and run."""
+    p, c = supplier_papers(spark, sf_dir), stand_in_claims(spark, sf_dir)
+    e = claims.evidence_rows(c).select("claim_id", "start_char", "end_char", F.concat_ws(" ", "sentence_id", "start_char").alias("quoted_text"))
+    runs = table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("run_id"), F.col("ts").cast("string").alias("timestamp"))
+    obs = observations(spark, sf_dir).select("observation_id", "sentence_id", "predicate", F.lit("r").alias("rule_id"), F.lit(None).cast("string").alias("context"))
+    x = query.explain_fully(c.drop("evidence"), e, p["characteristics"], funding(spark, sf_dir), p["assessments"], p["documents"], runs, obs)
+    pairs = lambda c_, a, b, sep: F.array_join(F.transform(F.coalesce(c_, F.expr(f"array() :: array<struct<{a}: string, {b}: string>>")), lambda y: F.concat_ws(sep, y[a], y[b])), ",")
+    return x.select(
+        "claim_id", F.size("evidence").cast("long").alias("n_evidence"), F.array_min(F.transform("evidence", lambda y: y["quoted_text"])).alias("least_quote"), F.size("observations").cast("long").alias("n_observations"), F.col("observations")[0]["observation_id"].alias("first_observation"),
+        pairs(F.col("facts"), "field", "value", "=").alias("facts"), pairs(F.col("funders"), "funder", "funder_type", ":").alias("funders"), pairs(F.col("grades"), "criterion", "value", "=").alias("grades"), F.col("paper.title").alias("title"), "run_id",
+    )
+
+
+@register("""SELECT 'cust_' || c_custkey AS author_id, CASE WHEN c_custkey % 7 <> 0 THEN 'nat_' || n_nationkey END AS affiliation_id, CASE WHEN c_custkey % 7 <> 0 THEN n_name || ' University' END AS raw_text,
+CASE WHEN c_custkey % 7 <> 0 THEN CASE WHEN n_nationkey % 2 = 0 THEN 'I:' || n_regionkey ELSE 'inst_' || substr(sha256(lower(n_name || ' University')), 1, 12) END END AS institution_id, CASE WHEN c_custkey % 7 <> 0 THEN CASE WHEN n_nationkey % 2 = 0 THEN r_name ELSE n_name || ' University' END END AS institution_name
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def author_institutions(spark, sf_dir):
+    """Authors with affiliations, and institutions known by a surface or named by their text; some authors have none."""
+    n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    known = n.filter("n_nationkey % 2 = 0").select(F.concat(F.lit("I:"), "n_regionkey").alias("institution_id"), F.col("r_name").alias("canonical_name"), F.lit("region").alias("institution_type"), F.lower(F.concat("n_name", F.lit(" University"))).alias("surface"))
+    places = n.select(F.lit("d").alias("document_id"), F.concat(F.lit("nat_"), "n_nationkey").alias("affiliation_id"), F.concat("n_name", F.lit(" University")).alias("raw_text"))
+    found = facts.institutions(places, known)
+    a = table(spark, sf_dir, "customer").select(F.lit("d").alias("document_id"), F.concat(F.lit("cust_"), "c_custkey").alias("author_id"), F.lit(0).alias("position"), F.col("c_name").alias("name"), "c_custkey", "c_nationkey")
+    links = a.filter("c_custkey % 7 <> 0").select("author_id", F.concat(F.lit("nat_"), "c_nationkey").alias("affiliation_id"))
+    rows = query.author_institutions(a.drop("c_custkey", "c_nationkey"), links, found, found.select("institution_id", "institution_name", "institution_type").dropDuplicates(["institution_id"]))
+    return rows.select("author_id", "affiliation_id", "raw_text", "institution_id", "institution_name")
+
+
 @register(f"""WITH {CHARS_SQL} SELECT 'study_design' AS kind, study_design AS value, count(*) AS papers FROM chars GROUP BY 2 UNION ALL SELECT 'source_type', 'xml', count(*) FROM chars UNION ALL SELECT 'year_range', min(y) || '-' || max(y), count(*) FROM chars""")
 def batch_facts(spark, sf_dir):
     return analysis.batch_facts(chars(spark, sf_dir).withColumn("source_type", F.lit("xml")))

@@ -245,6 +245,30 @@ def has_raw(papers: DataFrame, archive: DataFrame) -> DataFrame:
     return papers.join(known, "pmid", "left").withColumn("has_raw", F.coalesce("has_raw", F.lit(False)))
 
 
+def has_canonical(papers: DataFrame, store: Store) -> DataFrame:
+    """Papers (document_id) with a flag whether the store has a canonical text of them."""
+    known = store.read("paragraphs").select("document_id").distinct().withColumn("has_canonical", F.lit(True))
+    return papers.join(known, "document_id", "left").withColumn("has_canonical", F.coalesce("has_canonical", F.lit(False)))
+
+
+def save_metadata(rows: DataFrame, path: str) -> None:
+    """Metadata (pmid and any columns) as JSON lines with fields in alphabetical order; a paper that is written again is read as it was written last."""
+    stamped = rows.select("pmid", F.to_json(F.struct(*sorted(rows.columns))).alias("metadata"), F.lit(time.time_ns()).alias("written"))
+    stamped.write.mode("append").json(path)
+
+
+def read_metadata(spark: SparkSession, path: str, papers: DataFrame, schema: str) -> DataFrame:
+    """Papers (pmid) with their metadata as a struct; null for a paper that has none."""
+    try:
+        rows = spark.read.schema("pmid string, metadata string, written long").json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], "pmid string, metadata string, written long")
+    last = rows.groupBy("pmid").agg(F.max_by("metadata", "written").alias("metadata"))
+    return papers.join(last, "pmid", "left").withColumn("metadata", F.from_json("metadata", schema))
+
+
 def canonical_json(rows: DataFrame) -> DataFrame:
     """(json) of each row with its fields in alphabetical order."""
     return rows.select(F.to_json(F.struct(*sorted(rows.columns))).alias("json"))
