@@ -1,8 +1,8 @@
 """Exact top-k inner-product search by dual-tree traversal of cover trees.
 
-In a cover tree, a node of level l covers all its rows within 2 ** l of its centre, which is one of them; its children lie one level lower or
-more, their centres are farther than 2 ** (l - 1) from each other, and one of them has the node's own centre.  A node whose rows are few, or so
-spread that no small net of centres covers them at half the distance, is a leaf and is scored as one matrix product.
+In a cover tree, a node covers all its rows within its radius of its centre, which is one of them; its children's centres are a net: farther than a half of that radius from each other, or than 1 / 1.3 of it where the rows are too spread
+for that, and covering the rest within it; one of them has the node's own centre.  A node with few rows is a leaf and is scored as one matrix product; so is one whose rows are
+so far from each other that any net would take more than a NET-th of them as centres, as such children could be told apart only by what is scored anyway.
 
 The top level is shared: landmarks, a greedy net of a bounded sample, and every query and candidate belongs to the nearest one's group.  Two
 nodes' rows can have no better product than ``<q, c> + |q| r_c + |c| r_q + r_q r_c`` with their centres and covering radii.  So a pair of
@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 
 from .scratch import written
 
-#: Rows of a leaf, and centres of a net that is still worth a level.
-LEAF, NET = 64, 48
+#: Rows of a leaf, the part of a node's rows that a net may have as centres, and how much nearer than their node children cover their rows, tried in turn.
+LEAF, NET, STEPS = 64, 8, (2.0, 1.3)
 QUERY_BLOCK, CANDIDATE_BLOCK = 512, 4096
 #: The sample that landmarks are chosen from, landmarks, and groups that each query group meets in the first pass.
-SAMPLE, LANDMARKS, FIRST_GROUPS = 8192, 128, 2
+SAMPLE, LANDMARKS, FIRST_GROUPS = 8192, 1024, 2
 
 
 def distances(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
@@ -41,13 +41,12 @@ def distances(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
 
 
 class CoverTree:
-    """Rows in node order; per node: centre row, level, covering radius, row range and children."""
+    """Rows in node order; per node: centre row, covering radius, row range and children."""
 
     def __init__(self, points: np.ndarray, leaf: int = LEAF, net: int = NET) -> None:
         self.points, self.leaf, self.net = points, leaf, net
         self.order = np.arange(len(points))
         self.centre: list[int] = []
-        self.level: list[float] = []
         self.radius: list[float] = []
         self.range: list[tuple[int, int]] = []
         self.children: list[list[int]] = []
@@ -61,23 +60,17 @@ class CoverTree:
     def _build(self, lo: int, hi: int, centre: int) -> int:
         rows = self.order[lo:hi]
         x = self.points[rows]
-        near = distances(x, self.points[centre])
-        node, reach = len(self.centre), float(near.max())
-        level = math.ceil(math.log2(reach)) if reach > 0 else -math.inf
-        self.centre.append(centre), self.level.append(level), self.range.append((lo, hi)), self.children.append([])
+        away = distances(x, self.points[centre])
+        node, reach = len(self.centre), float(away.max())
+        self.centre.append(centre), self.range.append((lo, hi)), self.children.append([])
         self.radius.append(reach * (1 + 1e-12))
         if hi - lo <= self.leaf or reach == 0:
             return node
-        # a net at half the level's distance, the farthest row next
-        picks, nearest = [centre], np.zeros(hi - lo, np.int64)
-        while near.max() > 2.0 ** (level - 1):
-            if len(picks) == self.net:
-                return node
-            far = int(np.argmax(near))
-            d = distances(x, x[far])
-            closer = d < near
-            near[closer], nearest[closer] = d[closer], len(picks)
-            picks.append(int(rows[far]))
+        nets = (self._net(x, rows, centre, away, reach / step) for step in STEPS)
+        found = next((n for n in nets if n is not None), None)
+        if found is None:
+            return node
+        picks, nearest = found
         self.order[lo:hi] = rows[np.argsort(nearest, kind="stable")]
         at = lo
         for pick, size in zip(picks, np.bincount(nearest, minlength=len(picks)).tolist()):
@@ -85,6 +78,19 @@ class CoverTree:
             at += size
         return node
 
+    def _net(self, x: np.ndarray, rows: np.ndarray, centre: int, away: np.ndarray, least: float) -> tuple[list[int], np.ndarray] | None:
+        """Centres that cover all rows within a distance, the farthest row next, and each row's; None if they are too many."""
+        picks, nearest, near = [centre], np.zeros(len(rows), np.int64), away.copy()
+        while near.max() > least:
+            if len(picks) > max(self.leaf, len(rows) // self.net):
+                return None
+            far = int(np.argmax(near))
+            d = distances(x, x[far])
+            closer = d < near
+            near[closer], nearest[closer] = d[closer], len(picks)
+            picks.append(int(rows[far]))
+        return picks, nearest
+
 
 class DualSearch:
     """For each query row its k best (score, candidate row) among rows with another id; scores must be exact in doubles, and ids ascend with the rows.

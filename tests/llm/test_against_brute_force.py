@@ -447,7 +447,7 @@ def test_empty_tables(spark):
 
 @pytest.mark.parametrize("spread", [1.0, 40.0])
 def test_cover_tree(spread):
-    """Covering, separation and nesting at every level; pairs are pruned as scores rise, and the best are those of all products."""
+    """Covering, separation and nesting at every node; pairs are pruned as scores rise, and the best are those of all products."""
     rng = np.random.default_rng(5)
     centres = rng.normal(0, spread, (30, 8))
     points = np.floor(256 * (centres[rng.integers(0, 30, 3000)] + rng.normal(0, 0.05, (3000, 8))))
@@ -457,12 +457,13 @@ def test_cover_tree(spread):
     for node, below in enumerate(tree.children):
         lo, hi = tree.range[node]
         assert tree.centre[node] in tree.order[lo:hi]
-        assert all(away(tree.centre[node], x) <= min(tree.radius[node], 2.0 ** tree.level[node]) for x in tree.order[lo:hi])
+        assert all(away(tree.centre[node], x) <= tree.radius[node] for x in tree.order[lo:hi])
         if below:
             assert [tree.range[c][0] for c in below] + [hi] == [lo] + [tree.range[c][1] for c in below]
             assert tree.centre[node] in {tree.centre[c] for c in below}
-            assert all(tree.level[c] < tree.level[node] for c in below)
-            assert all(away(tree.centre[c], tree.centre[d]) > 2.0 ** (tree.level[node] - 1) for c in below for d in below if c < d)
+            step = next(s for s in cover_search.STEPS if all(tree.radius[c] <= tree.radius[node] / s * 1.001 for c in below))
+            closest = min((away(tree.centre[c], tree.centre[d]) for c in below for d in below if c < d), default=np.inf)
+            assert closest > tree.radius[node] / max(cover_search.STEPS) * 0.999 and step
     queries = points[::10]
     found = cover_search.DualSearch(cover_search.CoverTree(queries), np.arange(0, 3000, 10), tree, np.arange(3000), 5)
     products = queries @ points.T
@@ -473,6 +474,20 @@ def test_cover_tree(spread):
     assert found.pruned > 0 and found.scored < 0.6 * products.size
 
 
+def test_cover_trees_of_the_table_and_of_clusters():
+    """The table's vectors make a tree of many nodes, though their spread lets none be pruned; clustered ones are mostly pruned."""
+    import pyarrow.parquet as pq
+
+    x = np.floor(256 * np.array(pq.read_table("/root/testdata/sf0.1/embeddings.parquet")["embedding"].to_pylist(), float))
+    tree = cover_search.CoverTree(x)
+    assert len(tree.centre) > 20 and len(tree.children[0]) > 1
+    rng = np.random.default_rng(1)
+    centres = rng.normal(0, 256, (40, 64))
+    y = np.floor(centres[rng.integers(0, 40, 4000)] + rng.normal(0, 8, (4000, 64)))
+    found = cover_search.DualSearch(cover_search.CoverTree(y[::50]), np.arange(4000)[::50], cover_search.CoverTree(y), np.arange(4000), 5)
+    assert found.scored < 0.1 * len(y[::50]) * len(y) and found.pruned > 100
+
+
 def test_top_k_copies(spark):
     """Repeated rows take a rank each; ids with several vectors, null ids, vectors of other lengths."""
     from pyspark.sql import functions as F
