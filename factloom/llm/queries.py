@@ -57,8 +57,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 OP3_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
@@ -96,14 +96,15 @@ def op13_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_data.digests(private_data.find_spans(docs, private_data.learn(docs)))
 
 
-#: The unsigned crc32 of the decimal id, modulo 4, over a table of 256 remainders.
+#: The unsigned crc32 of the decimal id, modulo 4, byte by byte over a table of 256 remainders.
 OP11_SQL = """
-WITH crc AS (SELECT list_transform(range(256), lambda x: list_reduce([x] || range(8), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS tab),
+WITH RECURSIVE tab AS (SELECT range AS i, 0 AS k, range AS v FROM range(256) UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM tab WHERE k < 8),
 t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), text) - 1 AS pos
   FROM conversations WHERE conv_id IS NOT NULL),
-c AS (SELECT conv_id, xor(list_reduce([4294967295] || list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) % 4 AS h
-  FROM (SELECT DISTINCT conv_id FROM t), crc),
+crc AS (SELECT conv_id, conv_id::VARCHAR AS digits, 4294967295 AS v FROM (SELECT DISTINCT conv_id FROM t)
+  UNION ALL SELECT conv_id, substr(digits, 2), xor(crc.v >> 8, tab.v) FROM crc JOIN tab ON k = 8 AND i = (xor(crc.v, ord(substr(digits, 1, 1))) & 255) WHERE digits <> ''),
+c AS (SELECT conv_id, xor(v, 4294967295) % 4 AS h FROM crc WHERE digits = ''),
 r AS (SELECT c.conv_id, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND pos < h
   UNION ALL SELECT c.conv_id, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND pos >= h),
 s AS (SELECT c.conv_id, list(sha256(role.length() || ':' || role || text) ORDER BY pos) FILTER (pos IS NOT NULL) AS path,
@@ -124,14 +125,14 @@ FROM m JOIN u USING (node) LEFT JOIN n o ON m.depth > 0 AND o.node = m.node[1:m.
 
 def _lloyd_sql(k: int = 8, rounds: int = 10) -> str:
     """A round's assignment and its centroids as two tables, for each round."""
-    assign = """a{r} AS MATERIALIZED (SELECT row, v, c AS cluster, d FROM (SELECT row, v, c, list_sum(list_transform(list_zip(v, w), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM v, c{r})
+    assign = """a{r} AS MATERIALIZED (SELECT row, v, c AS cluster, d FROM (SELECT row, v, c, list_sum([(p[1] - p[2]) * (p[1] - p[2]) for p in list_zip(v, w)]) AS d FROM v, c{r})
   QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, c) = 1)"""
     move = """m{r} AS (SELECT cluster AS c, list(floor_mean ORDER BY i) AS w FROM (
     SELECT cluster, i, (sum(x)::BIGINT - ((sum(x)::BIGINT % count(*)) + count(*)) % count(*)) // count(*) AS floor_mean
     FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS i FROM a{r}) GROUP BY cluster, i) GROUP BY cluster),
 c{s} AS MATERIALIZED (SELECT c, coalesce(m{r}.w, c{r}.w) AS w FROM c{r} LEFT JOIN m{r} USING (c))"""
-    parts = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
-  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, [floor(1024 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS c, v AS w FROM v WHERE vec_id IS NOT NULL ORDER BY sha256('3:' || vec_id), v LIMIT {k})"""]
     for r in range(rounds):
         parts += [assign.format(r=r), move.format(r=r, s=r + 1)]
