@@ -86,7 +86,7 @@ def generated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, D
 
 
 @register(r"""WITH d AS (SELECT doc_id::VARCHAR AS s, length(text) AS n, regexp_extract_all(text, '[^ \n<>]+') AS w FROM documents),
-e AS (SELECT s, n, w, exp(-list_sum(list_transform(w[1:5], lambda x: length(x) % 5)) / 8.0 / 5) AS score FROM d WHERE len(w) >= 5),
+e AS (SELECT s, n, w, exp(-list_sum([length(x) % 5 for x in w[1:5]]) / 8.0 / 5) AS score FROM d WHERE len(w) >= 5),
 t AS (SELECT DISTINCT s, n, score, subject, relation, object FROM (SELECT s, n, score, w[1] AS subject, w[2] AS relation, w[3] AS object FROM e UNION ALL SELECT s, n, score, w[1], w[4], w[5] FROM e)),
 m AS (SELECT s, lower(x) AS key, min(k) - 1 AS k FROM (SELECT s, unnest(w[1:5]) AS x, generate_subscripts(w[1:5], 1) AS k FROM e) WHERE length(x) = 4 GROUP BY ALL)
 SELECT t.s AS sentence_id, subject, relation, object, round(score, 6) AS score, a.s || '_' || a.k AS subject_mention_id, b.s || '_' || b.k AS object_mention_id, substr(sha256(concat_ws('|', t.s, '0', n::VARCHAR, 'stand-in')), 1, 16) AS open_observation_id
