@@ -108,7 +108,7 @@ c AS (SELECT conv_id, xor(v, 4294967295) % 4 AS h FROM crc WHERE digits = ''),
 r AS (SELECT c.conv_id, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND pos < h
   UNION ALL SELECT c.conv_id, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND pos >= h),
 s AS (SELECT c.conv_id, list(sha256(role.length() || ':' || role || text) ORDER BY pos) FILTER (pos IS NOT NULL) AS path,
-    list(len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '')) ORDER BY pos) FILTER (pos IS NOT NULL) AS words
+    list(len([w for w in regexp_split_to_array(text, '[\x20\x09-\x0D]+') if w <> '']) ORDER BY pos) FILTER (pos IS NOT NULL) AS words
   FROM c LEFT JOIN r USING (conv_id) GROUP BY ALL),
 p AS (SELECT conv_id, coalesce(path, []) AS path, words, unnest(range(coalesce(len(path), 0) + 1)) AS depth FROM s),
 n AS (SELECT path[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(any_value(words[depth]), 0) AS words,
