@@ -103,7 +103,7 @@ def broken_spans(spans: DataFrame, texts: DataFrame) -> DataFrame:
 
 def containing_sentence(spans: DataFrame, sents: DataFrame) -> DataFrame:
     """Each span with the first sentence of its document that contains it (null, if none does)."""
-    s = sents.select(F.col("document_id"), F.col("sentence_id").alias("in_sentence"), F.col("start_char").alias("ss"), F.col("end_char").alias("se"))
-    hit = spans.join(s, (spans["document_id"] == s["document_id"]) & (F.col("ss") <= F.col("start_char")) & (F.col("end_char") <= F.col("se")), "left").drop(s["document_id"])
+    s = sents.select(F.col("document_id").alias("sd"), F.col("sentence_id").alias("in_sentence"), F.col("start_char").alias("ss"), F.col("end_char").alias("se"))
+    hit = spans.join(s, (F.col("document_id") == F.col("sd")) & (F.col("ss") <= F.col("start_char")) & (F.col("end_char") <= F.col("se")), "left")
     first = F.row_number().over(W.partitionBy(*spans.columns).orderBy("ss"))
     return hit.withColumn("k", first).filter("k = 1").select(*spans.columns, F.col("in_sentence").alias("sentence_id"))

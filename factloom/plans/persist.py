@@ -14,6 +14,7 @@ from ..functions import text as T
 from ..operators import claims as C
 from ..operators import documents, facts, mentions, query
 from ..sources import vocabulary, xml
+from ..sources.staging import release, staged
 from ..sources.store import Store
 from . import rules as R
 from .extract import extract
@@ -44,10 +45,12 @@ def persist_extraction(store: Store, paragraphs: DataFrame, ids: DataFrame, dete
 
 def _persist_extraction(store: Store, paragraphs: DataFrame, ids: DataFrame, detect: Callable[[str], Iterable[tuple]] | None, **options) -> dict[str, DataFrame]:
     stored: dict[str, DataFrame] = {}
+    held: dict[str, DataFrame] = {}  # steps that no table has, of which several are made
 
     def keep(name: str, rows: DataFrame) -> DataFrame:
         if name not in STAGES:
-            return rows
+            held[name] = staged(rows, name)
+            return held[name]
         if name == "claims":
             rows = rows.join(C.parents(rows, stored["observations"]), "claim_id", "left")
         stored[name] = store.replace(STAGES[name], rows, ids)
@@ -70,7 +73,8 @@ def _persist_extraction(store: Store, paragraphs: DataFrame, ids: DataFrame, det
     store.replace("claim_modifiers", C.modifiers_of(claim_rows, obs, found["modifiers"]).join(owner, "claim_id"), ids)
     detected = mentions.open_observations(found["sentences"], detect) if detect is not None else spark.createDataFrame([], "document_id string")
     store.replace("open_observations", detected, ids)
-    return found
+    release(*held.values())
+    return {name: rows for name, rows in found.items() if name not in held}
 
 
 def persist_papers(store: Store, raw: DataFrame, records: DataFrame, paragraphs: DataFrame) -> None:

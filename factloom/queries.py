@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import parse_queries, rule_queries, trace_queries
+from . import parse_queries, record_queries, rule_queries, trace_queries
 from .functions import text as T
 from .operators import analysis, binding, claims, documents, facts, mentions, query
 from .plans import rules as R
@@ -813,6 +813,7 @@ def html_sections(spark, sf_dir):
 
 # --- queries of other modules ---------------------------------------------------------
 
-for more in (parse_queries, rule_queries, trace_queries):
+for more in (parse_queries, record_queries, rule_queries, trace_queries):
     QUERIES.update(more.QUERIES)
     ORACLES.update(more.ORACLES)
+ORACLES.update(record_queries.late_oracles())
