@@ -438,9 +438,13 @@ def cohesion_scores(spark, sf_dir):
     return analysis.cohesion(concept_sets(spark, sf_dir), 0.9, 0.9)
 
 
-@register(f"WITH {SETS_SQL}, d AS (SELECT DISTINCT document_id FROM sets) SELECT document_id, concept_id FROM d, core WHERE (document_id, concept_id) NOT IN (SELECT (document_id, concept_id) FROM sets)")
+@register("""WITH sets AS (SELECT DISTINCT 'sup_' || l_suppkey AS document_id, p_brand || '/' || p_size % 4 AS concept_id FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber = 1), n AS (SELECT count(DISTINCT document_id) AS n FROM sets),
+core AS (SELECT concept_id FROM sets, n GROUP BY concept_id, n HAVING count(*) >= greatest(2, ceil(0.5 * n))), d AS (SELECT DISTINCT document_id FROM sets) SELECT document_id, concept_id FROM d, core EXCEPT SELECT document_id, concept_id FROM sets""")
 def cohesion_missing(spark, sf_dir):
-    return analysis.missing_core(concept_sets(spark, sf_dir), 0.9)
+    """Core concepts that a paper lacks: brands in four sizes that at least half of the suppliers have in an order's first line."""
+    li = table(spark, sf_dir, "lineitem").filter("l_linenumber = 1").join(table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
+    sets = li.select(F.concat(F.lit("sup_"), "l_suppkey").alias("document_id"), F.concat_ws("/", "p_brand", F.col("p_size") % 4).alias("concept_id")).distinct()
+    return analysis.missing_core(sets, 0.5)
 
 
 SYNTH_SQL = f"""{CLAIMS_SQL}, syn AS (SELECT subject_concept_id, predicate, object_concept_id, min_by(subject_name, (document_id, claim_id)) AS subject_name, list_sort(list(DISTINCT document_id) FILTER (WHERE polarity = 'positive')) AS pos, list_sort(list(DISTINCT document_id) FILTER (WHERE polarity = 'negative')) AS neg,
@@ -610,10 +614,12 @@ def batch_facts(spark, sf_dir):
 ASSESS_VALUES = """CASE WHEN study_design = 'unknown' THEN 'unknown' WHEN study_design = 'randomized_controlled_trial' THEN 'high' WHEN study_design = 'cohort' THEN 'moderate' ELSE 'low' END"""
 
 
-@register(f"""WITH {CHARS_SQL}, a AS (SELECT document_id, unnest(['study_design_strength', 'recency', 'sample_size_adequacy', 'funding_independence']) AS criterion, unnest([{ASSESS_VALUES}, CASE WHEN y >= 2015 THEN 'recent' ELSE 'older' END, CASE WHEN sample_size IS NULL THEN 'unknown' WHEN sample_size >= 100 THEN 'adequate' ELSE 'small' END, 'unknown']) AS value FROM chars) SELECT * FROM a""")
+@register(f"""WITH {CHARS_SQL}, a AS (SELECT document_id, unnest(['study_design_strength', 'recency', 'sample_size_adequacy', 'funding_independence']) AS criterion, unnest([{ASSESS_VALUES}, CASE WHEN y >= 2015 THEN 'recent' ELSE 'older' END, CASE WHEN sample_size IS NULL THEN 'unknown' WHEN sample_size >= 100 THEN 'adequate' ELSE 'small' END, CASE WHEN substr(document_id, 5)::BIGINT % 4 = 0 THEN 'unknown' WHEN substr(document_id, 5)::BIGINT % 3 = 0 THEN 'industry_funded' ELSE 'independent' END]) AS value FROM chars) SELECT * FROM a""")
 def assessment(spark, sf_dir):
-    no_funding = funding(spark, sf_dir).filter(F.col("document_id") == "")
-    return facts.assess(facts.paper_facts(long_chars(spark, sf_dir), no_funding)).select("document_id", "criterion", "value")
+    """Four grades of every paper; three of four papers have funding, of which a third is industry's."""
+    key = F.col("o_orderkey")
+    money = table(spark, sf_dir, "orders").filter(key % 4 != 0).select(F.concat(F.lit("ord_"), key).alias("document_id"), F.explode(F.when(key % 3 == 0, F.array(F.lit("charity"), F.lit("pharmaceutical"))).otherwise(F.array(F.lit("government")))).alias("funder_type"))
+    return facts.assess(facts.paper_facts(long_chars(spark, sf_dir), money)).select("document_id", "criterion", "value")
 
 
 TYPES = [("a", 0, "Review"), ("a", 1, "Randomized Controlled Trial"), ("b", 0, "Clinical Trial"), ("b", 1, "Comparative Study"), ("c", 0, "Journal Article"), ("d", 0, " letter "), ("d", 1, "Meta-Analysis")]
