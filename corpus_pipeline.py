@@ -1,4 +1,9 @@
-"""The corpus pipeline: STAGES in order, each over all that its predecessor kept."""
+"""The corpus pipeline: STAGES in order, each over all that its predecessor kept.
+
+What the stages do with odd rows follows from their operators.  A null or empty text is scored as empty and stays unless the labels make the classifier reject empty texts; null and empty texts are exact copies of each other, of which the one with the
+smallest id stays; a text without words is no near copy of anything; nothing is cut from it; it is packed as its end token alone.  Texts of any length are read whole.  Null ids sort after all others.  Of rows with one id, equal texts leave one row and
+different texts stay.  A null lang has its own threshold.  All but the last stage return the columns that they were given, in order, other columns whatever they are called; an empty table stays empty through all stages.
+"""
 
 from __future__ import annotations
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .scratch import written
 
 #: Rows of a leaf, the part of a node's rows that a net may have as centres, and how much nearer than their node children cover their rows, tried in turn.
-LEAF, NET, STEPS = 64, 8, (2.0, 1.3)
+LEAF, NET, STEPS = 64, 16, (2.0, 1.3)
 QUERY_BLOCK, CANDIDATE_BLOCK = 512, 4096
 #: The sample that landmarks are chosen from, landmarks, and groups that each query group meets in the first pass.
 SAMPLE, LANDMARKS, FIRST_GROUPS = 8192, 1024, 2
@@ -80,12 +80,14 @@ class CoverTree:
 
     def _net(self, x: np.ndarray, rows: np.ndarray, centre: int, away: np.ndarray, least: float) -> tuple[list[int], np.ndarray] | None:
         """Centres that cover all rows within a distance, the farthest row next, and each row's; None if they are too many."""
-        picks, nearest, near = [centre], np.zeros(len(rows), np.int64), away.copy()
+        picks, nearest, near, squares = [centre], np.zeros(len(rows), np.int64), away.copy(), (x**2).sum(1)
         while near.max() > least:
             if len(picks) > max(self.leaf, len(rows) // self.net):
                 return None
             far = int(np.argmax(near))
-            d = distances(x, x[far])
+            # by products, as a net may be off by rounding; each child's radius is measured anew
+            d = np.sqrt(np.maximum(squares - 2 * (x @ x[far]) + squares[far], 0))
+            d[far] = 0
             closer = d < near
             near[closer], nearest[closer] = d[closer], len(picks)
             picks.append(int(rows[far]))

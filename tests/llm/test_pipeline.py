@@ -41,3 +41,42 @@ def test_stages(spark, tmp_path):
             assert all(len(after[i].encode()) <= w[0] - w[1] for i, w in want.items() if w[1])
             assert all(r.n_chars == len(r.text) for r in docs.collect())
         before = after
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, score double, label int, rep long, bucket long, content string"
+
+
+def through(spark, rows, tmp_path):
+    """Every stage on its predecessor's output, written and read again."""
+    docs, seen = spark.createDataFrame([(*r, "s", len(r[1] or ""), 0.5, 1, 2, 3, "c") for r in rows], ODD).repartition(3), []
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, SF)
+        if name != "packing":
+            assert out.columns == docs.columns
+        out.write.parquet(str(tmp_path / str(k)))
+        docs = spark.read.parquet(str(tmp_path / str(k)))
+        seen.append(docs)
+    return seen
+
+
+def test_odd_rows_go_through_all_stages(spark, tmp_path):
+    """Nulls in every column, empty, blank and very long texts, repeated ids and rows, and columns that have names of the operators' own."""
+    long = " ".join(f"w{k}" for k in range(150_000))
+    words = [f"v{k}" for k in range(120)]
+    rows = [
+        (1, None, "en"), (2, "", None), (3, "  ", "en"), (4, long, "de"), (5, long + " end", "de"), (6, "one two", None), (6, "one two", None), (6, "three four five", "fr"), (None, "nobody's own text", None), (None, "nobody's own text", "en"),
+        (7, " ".join(words), "en"), (8, " ".join(words[:-1] + ["other"]), "en"), (9, "x " + " ".join(words[20:60]) + " y", "en"), (10, "😀 ünïcode", "es"),
+    ]
+    toxic, exact, near, cut, packed = through(spark, rows, tmp_path)
+    assert toxic.count() >= len(rows) - 2
+    left = sorted((r.doc_id if r.doc_id is not None else -1, r.text) for r in exact.collect() if (r.text or "").strip())
+    assert left == sorted({(-1 if i is None else i, t) for i, t, _ in rows if (t or "").strip() and toxic.filter(f"doc_id <=> {'null' if i is None else i}").count()})
+    kept = {r.doc_id for r in near.collect()}
+    assert not {5, 8} & kept and {4, 7, 9, 10} <= kept
+    texts = {r.doc_id: r.text for r in cut.collect()}
+    assert len(texts[9]) < 40 and texts[7] == " ".join(words)
+    assert {r.doc_id for r in packed.collect()} == kept
+
+
+def test_empty_tables_stay_empty(spark, tmp_path):
+    assert [d.count() for d in through(spark, [], tmp_path)] == [0] * 5
