@@ -21,11 +21,11 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 def sums_before(numbers: Column) -> Column:
     """For each number of a non-empty array the sum of those before it.
 
-    A fold that appends copies its array each time, so the array is cut into about as many runs as a run has numbers: n numbers cost n to the power 1.5 copies, some ten million for 80,000.
+    A fold that appends copies its array each time, so a long array is cut into about as many runs as a run has numbers: n numbers cost n to the power 1.5 copies, some ten million for 80,000.
     """
 
     def cut(x: Column) -> Column:
-        size = F.ceil(F.sqrt(F.size(x))).cast("int")
+        size = F.greatest(F.lit(64), F.ceil(F.sqrt(F.size(x))).cast("int"))
         return F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / size).cast("int")), lambda k: F.slice(x, k * size + 1, size))
 
     running = lambda x: F.aggregate(x, F.array(F.lit(0)), lambda b, n: F.array_append(b, F.element_at(b, -1) + n))
