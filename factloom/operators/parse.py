@@ -29,7 +29,7 @@ MEASURE_NOUNS = ["intake", "consumption", "ingestion", "concentration", "level",
 VERBAL = ["VERB", "AUX"]
 REDUCED_WORDS = ["reduce", "reduced", "low", "lower", "decrease", "decreased", "diminish", "diminished", "decline", "declined", "lessen", "less", "few", "fewer", "small", "smaller"]
 INCREASED_WORDS = ["increase", "increased", "high", "higher", "elevate", "elevated", "great", "greater", "raise", "raised", "more", "large", "larger"]
-#: What a modifier's phrase may begin with.
+# What a modifier's phrase may begin with, and how far up a verb's controller is looked for.
 LEAD = r"(?i)^\s*(?:of|in|within|on|for|with)\s+(?:the|a|an)\s+"
 HOPS = 6
 

@@ -41,6 +41,7 @@ UNCERTAINTY = r"\b(?:may|might|could|suggest\w*|indicat\w*|possibl\w*|potential\
 CLAUSE_MARKERS = r"\b(?:but|whereas|however|although|while)\b|;"
 CONTRASTIVE = ["but", "whereas", "however", "although", "while"]
 
+# Adjectives and nouns of disease states.
 _ADJ = r"active|acute|clinical|chronic|inactive|severe|mild|moderate|quiescent"
 _HEAD = r"flare-ups?|flareups?|flares?|remission|relapse|quiescence|inflammation|diseases?"
 # Qualifier cues in order - (rule, type, text before the core, core, what may not follow).
@@ -86,7 +87,7 @@ LOWERING = ["decreases", "reduces_risk", "prevents", "associated_with_reduced"]
 RAISING = ["increases", "increases_risk", "causes", "achieves", "associated_with_increased"]
 PREFIX_TYPES = {"DIS": "disease", "SYMP": "symptom", "OUT": "outcome", "BIOM": "biomarker", "CHEM": "chemical", "NUTR": "nutrient", "FOOD": "food", "INT": "intervention"}
 
-#: A longer connecting text is a long window; connecting text of separators and conjunctions alone is a list.
+# A longer connecting text is a long window; connecting text of separators and conjunctions alone is a list.
 LONG_WINDOW = 80
 LIST_LIKE = r"(?iU)^[\s,;/&()\[\]-]*(?:\b(?:and|or|as well as|versus|vs)\b[\s,;/&()\[\]-]*)*$"
 
