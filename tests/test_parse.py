@@ -223,3 +223,11 @@ def test_trees_across_batches(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert len(got) == 7000 and {(r.i, r.pre, r.last, r.depth) for r in got} == {(0, 0, 6, 0), (1, 1, 3, 1), (2, 4, 6, 1), (3, 2, 2, 2), (4, 3, 3, 2), (5, 5, 5, 2), (6, 6, 6, 2)}
+
+
+@pytest.mark.parametrize("name, shuffles", [("parse_spans", 1), ("parse_arguments", 1), ("parse_blocked", 2), ("parse_trace", 5)])
+def test_parses_are_dealt_once(spark, name, shuffles):
+    from factloom.queries import QUERIES
+
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.count("Exchange hashpartitioning") <= shuffles and "staged/" not in plan
